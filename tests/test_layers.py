@@ -1,0 +1,168 @@
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows
+
+from changeflow.plans import Layers, current
+from changeflow.plans.clinical import DIAGNOSES, ENCOUNTERS, PROCEDURES, REPORTS, TABLES
+
+T0 = datetime(2026, 3, 1, 6)
+
+ENCOUNTER = (
+    "encounter_id string, patient_id string, encounter_type string, facility_code string,"
+    " admit_date timestamp, discharge_date timestamp, cdc_operation string, cdc_timestamp timestamp"
+)
+DIAGNOSIS = (
+    "diagnosis_id string, encounter_id string, patient_id string, diagnosis_code string,"
+    " code_system string, is_active boolean, cdc_operation string, cdc_timestamp timestamp"
+)
+PROCEDURE = (
+    "procedure_id string, encounter_id string, procedure_code string, procedure_date timestamp,"
+    " procedure_status string, cdc_operation string, cdc_timestamp timestamp"
+)
+
+
+def at(hours):
+    return T0 + timedelta(hours=hours)
+
+
+def encounter(key, op, seq, patient="P1", kind="EMERGENCY", facility="F1", admit=0, discharge=None):
+    end = None if discharge is None else at(discharge)
+    return (key, patient, kind, facility, None if admit is None else at(admit), end, op, at(seq))
+
+
+def diagnosis(key, op, seq, encounter_id="E1", patient="P9", code="I10", active=True):
+    return (key, encounter_id, patient, code, "ICD-10-CM", active, op, at(seq))
+
+
+def procedure(key, op, seq, encounter_id="E1", status="COMPLETED"):
+    return (key, encounter_id, "99213", at(seq), status, op, at(seq))
+
+
+FIRST = {
+    "encounters": [
+        encounter("E1", "I", 1, discharge=5),
+        encounter("E2", "I", 1, patient="P2", kind="INPATIENT", discharge=-2),
+        encounter("E3", "I", 1, patient=None),
+        encounter(None, "I", 1),
+        encounter("E4", "I", 1, admit=None),
+        encounter("E5", None, 1),
+    ],
+    "diagnoses": [
+        diagnosis("D1", "I", 1),
+        diagnosis("D2", "I", 1, code="bad"),
+        diagnosis("D3", "I", 1, active=None),
+        diagnosis("D4", "I", 1, encounter_id="nowhere"),
+        diagnosis("D5", "I", 1, encounter_id=None),
+    ],
+    "procedures": [procedure("Q1", "I", 1), procedure("Q2", "I", 1, status="LOST")],
+}
+SECOND = {
+    "encounters": [
+        encounter("E1", "D", 3),  # the delete goes no further than the raw layer
+        encounter("E2", "U", 0, patient="P2", kind="TELEHEALTH"),  # late
+        encounter("E6", "I", 2, kind="OUTPATIENT", admit=30),
+    ],
+    "diagnoses": [diagnosis("D1", "U", 2, active=False), diagnosis("D2", "U", 2, code="J44.1")],
+    "procedures": [procedure("Q2", "U", 3, status="CANCELLED"), procedure("Q1", "D", 2)],
+}
+SCHEMAS = {"encounters": ENCOUNTER, "diagnoses": DIAGNOSIS, "procedures": PROCEDURE}
+
+
+def deliver(spark, source, data, folder):
+    for entity, changes in data.items():
+        path = f"{source}/{entity}/{folder}" if entity == "encounters" else f"{source}/{entity}"
+        spark.createDataFrame(changes, SCHEMAS[entity]).write.mode("append").parquet(path)
+
+
+@pytest.fixture(scope="module")
+def layers(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("layers")
+    flow = Layers(spark, f"{root}/source", f"{root}/tables", TABLES, REPORTS, buckets=4)
+    deliver(spark, flow.source, FIRST, "batch_000")
+    flow.run()
+    deliver(spark, flow.source, SECOND, "batch_001")
+    return flow.run()
+
+
+def test_raw_layer_has_every_change_and_its_file(layers):
+    raw = layers.read("bronze_encounters")
+    assert raw.count() == 9
+    assert {r[0].split("/")[-2] for r in raw.select("_source_file").collect()} == {"batch_000", "batch_001"}
+    assert raw.filter("_ingested_at IS NULL").count() == 0
+    assert raw.select("_ingested_at").distinct().count() == 2
+
+
+def test_checked_layer(layers):
+    got = rows(layers.read("silver_encounters"), "encounter_id", "length_of_stay_hours", "is_emergency")
+    assert got == sorted(
+        [("E1", 5.0, True), ("E2", -2.0, False), ("E2", None, False), ("E6", None, False)], key=repr
+    )
+
+
+def test_deleted_and_deactivated_keys_stay_at_their_last_good_row(layers):
+    got = rows(layers.read("gold_encounters_current"), "encounter_id", "encounter_type", "cdc_timestamp")
+    assert got == [("E1", "EMERGENCY", at(1)), ("E2", "INPATIENT", at(1)), ("E6", "OUTPATIENT", at(2))]
+    got = rows(layers.read("gold_diagnoses_current"), "diagnosis_id", "diagnosis_code")
+    assert got == [("D1", "I10"), ("D2", "J44.1"), ("D4", "I10")]
+    got = rows(layers.read("gold_procedures_current"), "procedure_id", "procedure_status")
+    assert got == [("Q1", "COMPLETED"), ("Q2", "CANCELLED")]
+
+
+def test_reports(layers):
+    assert rows(layers.read("gold_facility_summary")) == sorted(
+        [
+            ("F1", "EMERGENCY", 1, 5.0, 1, 1, at(0), at(0)),
+            ("F1", "INPATIENT", 1, -2.0, 1, 0, at(0), at(0)),
+            ("F1", "OUTPATIENT", 1, None, 1, 0, at(30), at(30)),
+        ],
+        key=repr,
+    )
+    # the patients are those on the diagnoses; D4 has no encounter
+    assert rows(layers.read("gold_diagnosis_distribution")) == [
+        ("F1", "I10", "ICD-10-CM", 1, 1, 1),
+        ("F1", "J44.1", "ICD-10-CM", 1, 1, 1),
+    ]
+    days = (T0.date(), at(30).date())
+    assert rows(layers.read("gold_daily_admissions")) == sorted(
+        [("F1", days[0], 2, 1, 1, 0, 1.5), ("F1", days[1], 1, 0, 0, 1, None)], key=repr
+    )
+
+
+def test_quality_over_both_runs(layers):
+    got = {r["rule"]: (r["total_rows"], r["failed_rows"]) for r in layers.quality(ENCOUNTERS).collect()}
+    assert got == {
+        "valid_encounter_id": (7, 1),
+        "valid_patient_id": (7, 1),
+        "valid_admit_date": (7, 1),
+        "valid_discharge_order": (7, 1),
+    }
+    got = {r["rule"]: (r["total_rows"], r["failed_rows"]) for r in layers.quality(DIAGNOSES).collect()}
+    assert got == {"valid_diagnosis_id": (5, 0), "valid_encounter_id": (5, 1), "valid_icd10_format": (5, 1)}
+    got = {r["rule"]: (r["total_rows"], r["failed_rows"]) for r in layers.quality(PROCEDURES).collect()}
+    assert got["valid_status"] == (3, 1)
+
+
+def test_a_run_without_news_changes_nothing(layers):
+    before = {name: layers.read(name).count() for name in layers.datasets()}
+    layers.run()
+    assert {name: layers.read(name).count() for name in layers.datasets()} == before
+
+
+def test_incremental_equals_one_go(spark, layers):
+    for spec in TABLES:
+        want = current(layers.read(spec.bronze), spec)
+        assert rows(layers.read(spec.current)) == rows(want)
+
+
+def test_datasets_by_name(spark, layers):
+    layers.publish()
+    try:
+        for name in layers.datasets():
+            assert spark.read.table(name).count() == layers.read(name).count()
+        assert spark.catalog.getTable("silver_diagnoses").description == DIAGNOSES.comments["silver"]
+        assert spark.catalog.getTable("gold_daily_admissions").description == REPORTS[2].comment
+        assert spark.readStream.table("bronze_encounters").isStreaming
+    finally:
+        for name in layers.datasets():
+            spark.sql(f"DROP {'VIEW' if name.endswith('_current') else 'TABLE'} {name}")

@@ -1,0 +1,155 @@
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import types as T
+
+from changeflow.session import scratch_dir
+from changeflow.sources import (
+    infer_schema,
+    ingest_files,
+    publish_table,
+    read_files,
+    stored_schema,
+    stream_files,
+    tracked_schema,
+    widen,
+    with_lineage,
+)
+from changeflow.sources.paths import NumberedFiles, names, read_json, write_json
+from changeflow.streaming import append_stream, finish
+
+
+def deliver(spark, data, schema, folder):
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(folder))
+
+
+def drain(df, root, name="out"):
+    finish([append_stream(df, f"{root}/{name}", f"{root}/{name}_checkpoint")])
+
+
+@pytest.fixture
+def nested(spark, tmp_path):
+    for number in range(3):
+        deliver(spark, [(number, "x")], "i int, s string", tmp_path / "in" / f"batch_{number:03d}")
+    return str(tmp_path / "in")
+
+
+def test_nested_folders_batch_and_stream(spark, nested, tmp_path):
+    assert rows(read_files(spark, nested), "i") == [(0,), (1,), (2,)]
+    drain(stream_files(spark, nested, infer_schema(spark, nested)), tmp_path)
+    assert rows(read_files(spark, f"{tmp_path}/out"), "i") == [(0,), (1,), (2,)]
+
+
+def test_lineage_names_the_file_and_one_time_per_batch(spark, nested, tmp_path):
+    drain(ingest_files(spark, nested, infer_schema(spark, nested)), tmp_path)
+    got = read_files(spark, f"{tmp_path}/out").collect()
+    assert {r["_source_file"].split("/")[-2] for r in got} == {f"batch_{n:03d}" for n in range(3)}
+    assert len({r["_ingested_at"] for r in got}) == 1
+    assert {f.name: f.dataType for f in read_files(spark, f"{tmp_path}/out").schema}[
+        "_ingested_at"
+    ] == T.TimestampType()
+    batch = with_lineage(read_files(spark, nested))
+    assert {r["_source_file"] for r in batch.collect()} == {r["_source_file"] for r in got}
+
+
+def test_each_file_is_read_once_even_if_it_is_old(spark, nested, tmp_path):
+    schema = infer_schema(spark, nested)
+    drain(stream_files(spark, nested, schema), tmp_path)
+    deliver(spark, [(9, "late")], "i int, s string", f"{nested}/batch_009")
+    for folder, _, files in os.walk(f"{nested}/batch_009"):
+        for file in files:
+            os.utime(os.path.join(folder, file), (0, 0))
+    drain(stream_files(spark, nested, schema), tmp_path)
+    drain(stream_files(spark, nested, schema), tmp_path)
+    assert rows(read_files(spark, f"{tmp_path}/out"), "i") == [(0,), (1,), (2,), (9,)]
+
+
+def test_limits_cut_the_input_into_batches(spark, nested, tmp_path):
+    schema = infer_schema(spark, nested)
+    for name, limit in (("a", {"max_files_per_trigger": 1}), ("b", {"max_bytes_per_trigger": "1"})):
+        query = append_stream(
+            stream_files(spark, nested, schema, **limit), f"{tmp_path}/{name}", f"{tmp_path}/{name}_checkpoint"
+        )
+        finish([query])
+        assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 3
+
+
+def test_one_file_out_of_a_folder(spark, tmp_path):
+    deliver(spark, [(1,)], "i int", tmp_path / "in" / "a")
+    schema = infer_schema(spark, str(tmp_path / "in"))
+    file = next(n for n in os.listdir(tmp_path / "in" / "a") if n.endswith(".parquet"))
+    drain(stream_files(spark, str(tmp_path / "in"), schema, path_glob=file), tmp_path)
+    drain(stream_files(spark, str(tmp_path / "in"), schema, path_glob="no-such-file"), tmp_path, "none")
+    assert read_files(spark, f"{tmp_path}/out").count() == 1
+    assert read_files(spark, f"{tmp_path}/none", schema).count() == 0
+
+
+def test_new_columns_flow_through_and_old_rows_get_null(spark, tmp_path):
+    source, log = str(tmp_path / "in"), str(tmp_path / "schema")
+    deliver(spark, [(1,)], "i int", f"{source}/a")
+    schema = tracked_schema(spark, source, log)
+    drain(stream_files(spark, source, schema), tmp_path)
+    deliver(spark, [("new", 2)], "s string, i int", f"{source}/b")
+    schema = tracked_schema(spark, source, log)
+    assert schema.names == ["i", "s"] and stored_schema(spark, log) == schema
+    drain(stream_files(spark, source, schema), tmp_path)
+    deliver(spark, [(3,)], "i int", f"{source}/c")
+    assert tracked_schema(spark, source, log) == schema
+    assert NumberedFiles(spark, log).numbers() == [1, 2]
+    drain(stream_files(spark, source, schema), tmp_path)
+    assert rows(read_files(spark, f"{tmp_path}/out", schema)) == [(1, None), (2, "new"), (3, None)]
+
+
+def test_types_are_kept_and_changes_of_type_are_refused(spark, tmp_path):
+    source, log = str(tmp_path / "in"), str(tmp_path / "schema")
+    spark.sql("SELECT 1L l, 1.5D d, true b, current_timestamp() t, 'x' s").write.parquet(f"{source}/a")
+    schema = tracked_schema(spark, source, log)
+    assert [f.dataType.simpleString() for f in schema] == ["bigint", "double", "boolean", "timestamp", "string"]
+    with pytest.raises(ValueError, match="column l was bigint and now arrives as string"):
+        widen(schema, T.StructType().add("l", T.StringType()))
+    spark.sql("SELECT 'text' l").write.parquet(f"{source}/b")
+    with pytest.raises(Exception, match="(?i)merge"):
+        tracked_schema(spark, source, log)
+
+
+def test_schema_outlives_its_files(spark, tmp_path):
+    source, log = str(tmp_path / "in"), str(tmp_path / "schema")
+    os.makedirs(source)
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        tracked_schema(spark, source, log)
+    other = str(tmp_path / "other")
+    deliver(spark, [(1,)], "i int", other)
+    schema = tracked_schema(spark, other, log)
+    assert tracked_schema(spark, source, log) == schema
+
+
+def test_published_table_has_comment_and_streams(spark, nested, tmp_path):
+    publish_table(spark, "deliveries", read_files(spark, nested), nested, "raw deliveries")
+    try:
+        assert rows(spark.read.table("deliveries"), "i") == [(0,), (1,), (2,)]
+        assert spark.catalog.getTable("deliveries").description == "raw deliveries"
+        drain(spark.readStream.table("deliveries"), tmp_path)
+        assert read_files(spark, f"{tmp_path}/out").count() == 3
+    finally:
+        spark.sql("DROP TABLE deliveries")
+    assert read_files(spark, nested).count() == 3
+
+
+def test_json_files_are_written_whole_and_once(spark, tmp_path):
+    path = f"{tmp_path}/folder/a.json"
+    write_json(spark, path, {"x": "ü"})
+    assert read_json(spark, path) == {"x": "ü"}
+    with pytest.raises(Exception, match="already exists|FileAlreadyExists"):
+        write_json(spark, path, {"x": 2})
+    assert read_json(spark, path) == {"x": "ü"}
+    write_json(spark, path, {"x": 3}, replace=True)
+    assert read_json(spark, path) == {"x": 3}
+    assert names(spark, f"{tmp_path}/folder") == ["a.json"]
+    assert names(spark, f"{tmp_path}/nowhere") == []
+
+
+def test_scratch_dir_is_in_the_shared_folder_and_new(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second and not os.path.exists(first)
