@@ -35,6 +35,7 @@ from changeflow.sources import (  # noqa: E402
 )
 from changeflow.sources.feeds import FEEDS, TIE_BREAKS, tables_in  # noqa: E402
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE  # noqa: E402
+from changeflow.sources.paths import total_bytes  # noqa: E402
 from changeflow.streaming import append_stream, finish, upsert_stream  # noqa: E402
 
 ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
@@ -99,16 +100,22 @@ def _clustered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(feed: DataFrame, folder: str, by: str | None = None) -> None:
-    """Write a feed as the change files of a source, in one folder or one per ship year."""
+    """Write a feed as the change files of a source, in one folder or one per ship year.
+
+    A source delivers many files. The small test tables are one file each, which one task
+    reads, so their rows are dealt out first.
+    """
+    cores = feed.sparkSession.sparkContext.defaultParallelism
     if by is None:
+        if len(feed.inputFiles()) < cores:
+            feed = feed.repartition(cores)
         feed.write.parquet(folder)
     else:
         feed.withColumn("year", F.year(by)).write.partitionBy("year").parquet(folder)
 
 
-def _per_batch(spark: SparkSession, folder: str) -> int:
-    files = len(spark.read.option("recursiveFileLookup", "true").parquet(folder).inputFiles())
-    return max(1, -(-files // BATCHES))
+def _batch_bytes(spark: SparkSession, folder: str) -> str:
+    return str(max(1, -(-total_bytes(spark, folder) // BATCHES)))
 
 
 def _bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +170,7 @@ def _current_incremental(entity: str, spark: SparkSession, sf_dir: str) -> DataF
         spark,
         f"{root}/source",
         infer_schema(spark, f"{root}/source"),
-        max_files_per_trigger=_per_batch(spark, f"{root}/source"),
+        max_bytes_per_trigger=_batch_bytes(spark, f"{root}/source"),
     )
     table = CurrentTable(
         spark,
@@ -187,7 +194,7 @@ def _quality_streamed(entity: str, spark: SparkSession, sf_dir: str) -> DataFram
         spark,
         f"{root}/source",
         infer_schema(spark, f"{root}/source"),
-        max_files_per_trigger=_per_batch(spark, f"{root}/source"),
+        max_bytes_per_trigger=_batch_bytes(spark, f"{root}/source"),
     )
     finish(
         [

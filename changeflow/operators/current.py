@@ -8,18 +8,24 @@ folder of each bucket. Until that file is there, readers see the table as it was
 Merging takes the latest row per key out of "table plus batch". That is commutative and
 idempotent: late, shuffled and replayed batches give the same table, so the at-least-once
 delivery of ``foreachBatch`` is enough.
+
+Two plans lead to that result. In general the touched part of the table is shuffled once,
+together with the batch. A batch whose measured size is small is broadcast to the table
+instead, whose rows then stay where they are.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.operators.latest import latest_by_key
+from changeflow.operators.latest import latest_by_key, tie_break_columns
 from changeflow.sources.paths import NumberedFiles, delete, names
 from changeflow.sources.schema import widen
 
@@ -43,7 +49,11 @@ class CurrentTable:
         buckets: int = 32,
         splits: int = 1,
         comment: str = "",
+        broadcast_bytes: int = 32 << 20,
+        patches: int = 8,
     ):
+        """A batch of at most ``broadcast_bytes`` (as cached) is broadcast, up to ``patches``
+        times in a row: each time adds small files, which the general plan packs again."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = tuple(keys)
@@ -53,6 +63,8 @@ class CurrentTable:
         self.buckets = buckets
         self.splits = splits
         self.comment = comment
+        self.broadcast_bytes = broadcast_bytes
+        self.patches = patches
         self._log = NumberedFiles(spark, f"{self.path}/_versions")
 
     # -- state ------------------------------------------------------------------------
@@ -70,6 +82,7 @@ class CurrentTable:
             "comment": self.comment,
             "schema": widen(T.StructType([]), schema).jsonValue(),
             "live": {},
+            "patches": 0,
         }
 
     def version(self) -> int:
@@ -103,16 +116,19 @@ class CurrentTable:
 
         # Each key is down to one row before anything is moved to its bucket.
         winners = self._place(latest_by_key(changes, self.keys, self.sequence_by, self.tie_break), state)
+        patches = 0
         if state["live"]:
             winners = winners.persist()
             try:
                 touched = [str(row[0]) for row in winners.select(BUCKET).distinct().collect()]
                 if not touched:
                     return number
-                known = [b for b in touched if b in state["live"]]
-                base = self._place(self._rows(state, known), state)
-                rows = self._spread(base.unionByName(winners, allowMissingColumns=True), state, len(touched))
-                rows = latest_by_key(rows, self.keys, self.sequence_by, self.tie_break, (BUCKET, PART))
+                known = {**state, "schema": schema.jsonValue()}
+                base = self._rows(known, [b for b in touched if b in state["live"]])
+                if state["patches"] < self.patches and self._cached_bytes(winners) <= self.broadcast_bytes:
+                    rows, patches = self._patched(base, winners, state, schema), state["patches"] + 1
+                else:
+                    rows = self._merged(base, winners, state, len(touched))
                 self._write(rows, schema, folder)
             finally:
                 winners.unpersist()
@@ -121,9 +137,50 @@ class CurrentTable:
 
         written = [n.split("=")[1] for n in names(self.spark, f"{self.path}/{folder}") if n.startswith(BUCKET)]
         live = {**state["live"], **dict.fromkeys(written, folder)}
-        self._log.put(number + 1, {**state, "schema": schema.jsonValue(), "live": live})
+        self._log.put(
+            number + 1, {**state, "schema": schema.jsonValue(), "live": live, "patches": patches}
+        )
         return number + 1
 
+    def _merged(self, base: DataFrame, winners: DataFrame, state: dict, touched: int) -> DataFrame:
+        """One shuffle of both sides to their parts, then the latest row per key."""
+        both = self._place(base, state).unionByName(winners, allowMissingColumns=True)
+        spread = self._spread(both, state, touched)
+        return latest_by_key(spread, self.keys, self.sequence_by, self.tie_break, (BUCKET, PART))
+
+    def _patched(
+        self, base: DataFrame, winners: DataFrame, state: dict, schema: T.StructType
+    ) -> DataFrame:
+        """The same without moving the rows of the table: the batch goes to them by broadcast.
+
+        The keys alone are read a second time, to find the rows of the batch that are new.
+        """
+        winners = base.limit(0).unionByName(winners.drop(BUCKET, PART), allowMissingColumns=True)
+        ties = tie_break_columns(schema, self.keys, self.sequence_by, self.tie_break)
+
+        def rank(row: str) -> Column:
+            # Struct comparison takes NULL for the smallest value, as the ranking does.
+            return F.struct(*[F.col(f"{row}.{name}") for name in (self.sequence_by, *ties)])
+
+        def same_key(row: str) -> Column:
+            return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{row}.{k}")) for k in self.keys])
+
+        new = F.broadcast(winners.select(F.struct(*schema.names).alias("new")))
+        old = base.select(*self.keys, F.struct(*schema.names).alias("old"))
+        wins = F.col("new").isNotNull() & (rank("new") > rank("old"))
+        kept = old.join(new, same_key("new"), "left").select(
+            F.when(wins, F.col("new")).otherwise(F.col("old")).alias("row")
+        )
+        met = base.select(*self.keys).join(new, same_key("new"), "left_semi")
+        met = met.select(F.struct(*self.keys).alias("met"))
+        added = self._place(winners.join(met, same_key("met"), "left_anti"), state)
+        return self._place(kept.select("row.*"), state).unionByName(added.repartition(BUCKET))
+
+    @staticmethod
+    def _cached_bytes(cached: DataFrame) -> int:
+        """The size of a cached DataFrame, as measured when it was filled."""
+        return int(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
     def _place(self, df: DataFrame, state: dict) -> DataFrame:
         """Add the bucket and, finer, the part a row belongs to: both depend on the key alone."""
         part = F.pmod(F.xxhash64(*self.keys), F.lit(state["buckets"] * state["splits"])).cast("int")

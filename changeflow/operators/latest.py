@@ -17,6 +17,20 @@ def orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
+def tie_break_columns(
+    schema: T.StructType,
+    keys: Sequence[str],
+    sequence_by: str,
+    tie_break: Sequence[str] | None,
+    within: Sequence[str] = (),
+) -> list[str]:
+    """What orders rows of equal key and sequence: the given columns, else all that can."""
+    if tie_break is not None:
+        return list(tie_break)
+    taken = {*keys, *within, sequence_by}
+    return [f.name for f in schema if f.name not in taken and orderable(f.dataType)]
+
+
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,9 +50,7 @@ def latest_by_key(
     prevents. ``within`` names columns that are functions of the key, by which the rows are
     distributed already; the ranking then needs no shuffle of its own.
     """
-    if tie_break is None:
-        taken = {*keys, *within, sequence_by}
-        tie_break = [f.name for f in df.schema if f.name not in taken and orderable(f.dataType)]
-    order = [F.col(name).desc_nulls_last() for name in (sequence_by, *tie_break)]
+    ties = tie_break_columns(df.schema, keys, sequence_by, tie_break, within)
+    order = [F.col(name).desc_nulls_last() for name in (sequence_by, *ties)]
     ranking = Window.partitionBy(*within, *keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranking)).filter("_rank = 1").drop("_rank")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,7 @@ class Layers:
     buckets: int = 32
     splits: int = 1
     max_files_per_trigger: int | None = None
+    parallel: int = 4
 
     def path(self, dataset: str) -> str:
         return f"{self.root}/{dataset}"
@@ -75,42 +77,28 @@ class Layers:
     def run(self) -> Layers:
         """Take in everything new and bring all datasets up to date.
 
-        The entities of a layer run side by side; a layer starts when the one before it is
-        complete.
+        The entities do not depend on each other and run side by side, ``parallel`` at a
+        time. The reports are built when all of them are done, so they agree with each other.
         """
-        raw = {spec.name: self._ingest(spec) for spec in self.tables}
-        finish(
-            append_stream(raw[s.name], self.path(s.bronze), self._checkpoint(s.bronze), s.raw_layout)
-            for s in self.tables
-        )
-        clean = {
-            s.name: s.clean(stream_files(self.spark, self.path(s.bronze), raw[s.name].schema))
-            for s in self.tables
-        }
-        finish(
-            append_stream(
-                clean[s.name],
-                self.path(s.silver),
-                self._checkpoint(s.silver),
-                s.layout,
-                s.rules,
-                self._counts(s),
-            )
-            for s in self.tables
-        )
-        finish(
-            upsert_stream(
-                stream_files(self.spark, self.path(s.silver), clean[s.name].schema),
-                self.current_table(s),
-                self._checkpoint(s.current),
-            )
-            for s in self.tables
-        )
-        state = {s.name: self.current_table(s).read() for s in self.tables}
+        with ThreadPoolExecutor(self.parallel) as pool:
+            state = dict(zip((s.name for s in self.tables), pool.map(self._advance, self.tables)))
         for report in self.reports:
             write_clustered(report.build(state), self.path(report.name), report.layout)
         return self
 
+    def _advance(self, spec: TableSpec) -> DataFrame:
+        """Bring one entity from its new files to its current state."""
+        raw = self._ingest(spec)
+        bronze, silver = self.path(spec.bronze), self.path(spec.silver)
+        finish([append_stream(raw, bronze, self._checkpoint(spec.bronze), spec.raw_layout)])
+        clean = spec.clean(stream_files(self.spark, bronze, raw.schema))
+        checkpoint, counts = self._checkpoint(spec.silver), self._counts(spec)
+        finish([append_stream(clean, silver, checkpoint, spec.layout, spec.rules, counts)])
+        table = self.current_table(spec)
+        changes = stream_files(self.spark, silver, clean.schema)
+        finish([upsert_stream(changes, table, self._checkpoint(spec.current))])
+        return table.read()
+
     def _schemas(self, spec: TableSpec) -> str:
         return f"{self.root}/_schemas/{spec.bronze}"
 

@@ -21,6 +21,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.mkdirs(target)

@@ -10,8 +10,17 @@ from changeflow.operators import CurrentTable, latest_by_key
 SCHEMA = "k string, seq int, v int"
 
 
+LIMIT = {}
+
+
+@pytest.fixture(params=[0, 1 << 30], ids=["shuffled", "broadcast"], autouse=True)
+def merge_plan(request):
+    """Both plans of a merge, whatever the size of the batch."""
+    LIMIT["broadcast_bytes"] = request.param
+
+
 def table(spark, path, **more):
-    options = {"buckets": 4, **more}
+    options = {"buckets": 4, **LIMIT, **more}
     return CurrentTable(spark, str(path), ["k"], "seq", **options)
 
 
@@ -70,10 +79,30 @@ def test_one_file_per_split(spark, tmp_path):
     t = table(spark, tmp_path, buckets=4, splits=3)
     t.apply(frame(spark, [(str(i), 1, i) for i in range(500)]))
     assert len(t.read().inputFiles()) == 12
+    t.broadcast_bytes = 0
     t.apply(frame(spark, [(str(i), 2, i) for i in range(500)]))
     assert len(t.read().inputFiles()) == 12 and t.read().count() == 500
 
 
+def test_patches_are_packed_again(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=2, broadcast_bytes=1 << 30, patches=2)
+    for seq in range(1, 6):
+        t.apply(frame(spark, [(f"{seq}-{i}", seq, i) for i in range(20)] + [("x", seq, seq)]))
+        assert t._log.latest()[1]["patches"] == (0, 1, 2, 0, 1)[seq - 1]
+    assert t.read().count() == 101 and t.read().filter("k = 'x'").first()["v"] == 5
+
+
+def test_a_small_batch_does_not_move_the_table(spark, tmp_path, plan):
+    t = table(spark, tmp_path)
+    t.apply(frame(spark, [(str(i), 1, i) for i in range(100)]))
+    state = t._log.latest()[1]
+    batch = t._place(frame(spark, [("5", 2, 0), ("new", 1, 1)]), state)
+    text = plan(t._patched(t.read(), batch, state, t.read().schema))
+    kept = text.split("Union")[1].split("LeftAnti")[0]
+    assert "LeftOuter" in kept and "BroadcastHashJoin" in kept
+    assert "Exchange hashpartitioning" not in kept.split("Exchange hashpartitioning(_bucket")[0]
+
+
 def test_readers_see_nothing_of_a_batch_that_failed(spark, tmp_path, monkeypatch):
     t = table(spark, tmp_path)
     t.apply(frame(spark, [("x", 1, 1)]))
