@@ -40,7 +40,12 @@ def current(changes: DataFrame, spec: TableSpec) -> DataFrame:
 
 @dataclass
 class Layers:
-    """The folders of one flow. ``source`` has one folder of change files per entity."""
+    """The folders of one flow. ``source`` has one folder of change files per entity.
+
+    ``max_files_per_trigger`` cuts the raw intake into micro-batches; the later layers take
+    what is there in one batch, so a run rewrites a bucket of the current state once.
+    Readers of the current state may be up to ``keep_versions - 1`` versions behind.
+    """
 
     spark: SparkSession
     source: str
@@ -51,6 +56,7 @@ class Layers:
     splits: int = 1
     max_files_per_trigger: int | None = None
     parallel: int = 4
+    keep_versions: int = 2
 
     def path(self, dataset: str) -> str:
         return f"{self.root}/{dataset}"
@@ -97,6 +103,7 @@ class Layers:
         table = self.current_table(spec)
         changes = stream_files(self.spark, silver, clean.schema)
         finish([upsert_stream(changes, table, self._checkpoint(spec.current))])
+        table.vacuum(self.keep_versions)
         return table.read()
 
     def _schemas(self, spec: TableSpec) -> str:

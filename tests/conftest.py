@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__maxMetadataStringLength="10000",
+        spark__sql__debug__maxToStringFields="1000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -149,6 +149,49 @@ def test_a_run_without_news_changes_nothing(layers):
     assert {name: layers.read(name).count() for name in layers.datasets()} == before
 
 
+def test_old_versions_are_removed(spark, layers):
+    for spec in TABLES:
+        assert len(layers.current_table(spec)._log.numbers()) <= layers.keep_versions
+
+
+def test_nothing_survives_the_checks(spark, tmp_path):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS, buckets=2)
+    lost = {
+        "encounters": [encounter(None, "I", 1)],
+        "diagnoses": [diagnosis("D1", "D", 1)],
+        "procedures": [procedure(None, "U", 1)],
+    }
+    deliver(spark, flow.source, lost, "batch_000")
+    flow.run()
+    for name in flow.datasets():
+        assert flow.read(name).count() == (1 if name.startswith("bronze") else 0)
+    deliver(spark, flow.source, FIRST, "batch_001")
+    flow.run()
+    assert flow.read("gold_encounters_current").count() == 2
+    assert flow.read("gold_facility_summary").count() == 2
+
+
+def test_a_new_column_reaches_the_current_state(spark, tmp_path):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS, buckets=2)
+    deliver(spark, flow.source, FIRST, "batch_000")
+    flow.run()
+    wide = spark.createDataFrame([(*encounter("E7", "I", 4), "ICU")], ENCOUNTER + ", ward string")
+    wide.write.parquet(f"{flow.source}/encounters/batch_001")
+    flow.run()
+    for name in ("bronze_encounters", "silver_encounters", "gold_encounters_current"):
+        got = rows(flow.read(name).filter("encounter_id IN ('E1', 'E7')"), "encounter_id", "ward")
+        assert got == [("E1", None), ("E7", "ICU")]
+
+
+def test_a_broken_entity_does_not_hold_up_the_others(spark, tmp_path):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS, buckets=2)
+    deliver(spark, flow.source, FIRST, "batch_000")
+    spark.sql("SELECT 1 AS procedure_id").write.mode("append").parquet(f"{flow.source}/procedures")
+    with pytest.raises(Exception, match="(?i)merge"):
+        flow.run()
+    assert flow.read("gold_encounters_current").count() == 2
+
+
 def test_incremental_equals_one_go(spark, layers):
     for spec in TABLES:
         want = current(layers.read(spec.bronze), spec)
