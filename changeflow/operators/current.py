@@ -33,11 +33,19 @@ BUCKET = "_bucket"
 PART = "_part"
 
 
+def _bytes(df: DataFrame) -> int:
+    """Spark's size of a DataFrame: exact for one that is cached, or that reads whole files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 class CurrentTable:
     """``buckets`` is the unit of rewriting and ``splits`` the number of files, and of write
     tasks, per bucket. Both are fixed when the table is created; README.md says how to
     choose them. Only lists of bucket numbers ever reach the driver."""
 
+    # How many times larger than the batch the table must be for a broadcast to pay off.
+    ADVANTAGE = 4
+
     def __init__(
         self,
         spark: SparkSession,
@@ -52,8 +60,9 @@ class CurrentTable:
         broadcast_bytes: int = 32 << 20,
         patches: int = 8,
     ):
-        """A batch of at most ``broadcast_bytes`` (as cached) is broadcast, up to ``patches``
-        times in a row: each time adds small files, which the general plan packs again."""
+        """A batch of at most ``broadcast_bytes`` (as cached) that is small beside the part of
+        the table it touches is broadcast, up to ``patches`` times in a row: each time adds
+        small files, which the general plan packs again."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = tuple(keys)
@@ -125,7 +134,7 @@ class CurrentTable:
                     return number
                 known = {**state, "schema": schema.jsonValue()}
                 base = self._rows(known, [b for b in touched if b in state["live"]])
-                if state["patches"] < self.patches and self._cached_bytes(winners) <= self.broadcast_bytes:
+                if state["patches"] < self.patches and self._is_small(winners, base):
                     rows, patches = self._patched(base, winners, state, schema), state["patches"] + 1
                 else:
                     rows = self._merged(base, winners, state, len(touched))
@@ -176,10 +185,10 @@ class CurrentTable:
         added = self._place(winners.join(met, same_key("met"), "left_anti"), state)
         return self._place(kept.select("row.*"), state).unionByName(added.repartition(BUCKET))
 
-    @staticmethod
-    def _cached_bytes(cached: DataFrame) -> int:
-        """The size of a cached DataFrame, as measured when it was filled."""
-        return int(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    def _is_small(self, winners: DataFrame, base: DataFrame) -> bool:
+        """By the measured size of the cached batch and of the files of the table."""
+        batch = _bytes(winners)
+        return batch <= self.broadcast_bytes and batch * self.ADVANTAGE <= _bytes(base)
 
     def _place(self, df: DataFrame, state: dict) -> DataFrame:
         """Add the bucket and, finer, the part a row belongs to: both depend on the key alone."""

@@ -14,9 +14,10 @@ LIMIT = {}
 
 
 @pytest.fixture(params=[0, 1 << 30], ids=["shuffled", "broadcast"], autouse=True)
-def merge_plan(request):
-    """Both plans of a merge, whatever the size of the batch."""
+def merge_plan(request, monkeypatch):
+    """Both plans of a merge, whatever the size of batch and table."""
     LIMIT["broadcast_bytes"] = request.param
+    monkeypatch.setattr(CurrentTable, "ADVANTAGE", 0)
 
 
 def table(spark, path, **more):
@@ -92,6 +93,16 @@ def test_patches_are_packed_again(spark, tmp_path):
     assert t.read().count() == 101 and t.read().filter("k = 'x'").first()["v"] == 5
 
 
+def test_the_measured_sizes_choose_the_plan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(CurrentTable, "ADVANTAGE", 4)
+    t = table(spark, tmp_path, broadcast_bytes=50_000)
+    wide = [(str(i), 1, i, f"{i * 7919}-{i}" * 20) for i in range(3000)]
+    t.apply(frame(spark, wide, SCHEMA + ", w string"))
+    for changed, patches in ((3, 1), (3000, 0), (3, 1)):
+        t.apply(frame(spark, [(str(i), 2, i) for i in range(changed)]))
+        assert t._log.latest()[1]["patches"] == patches
+
+
 def test_a_small_batch_does_not_move_the_table(spark, tmp_path, plan):
     t = table(spark, tmp_path)
     t.apply(frame(spark, [(str(i), 1, i) for i in range(100)]))
