@@ -38,6 +38,17 @@ def _bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def _fit(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema, NULL where ``df`` does not have them."""
+    have = set(df.columns)
+    return df.select(
+        [
+            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 class CurrentTable:
     """``buckets`` is the unit of rewriting and ``splits`` the number of files, and of write
     tasks, per bucket. Both are fixed when the table is created; README.md says how to
@@ -164,7 +175,7 @@ class CurrentTable:
 
         The keys alone are read a second time, to find the rows of the batch that are new.
         """
-        winners = base.limit(0).unionByName(winners.drop(BUCKET, PART), allowMissingColumns=True)
+        winners = _fit(winners, schema)
         ties = tie_break_columns(schema, self.keys, self.sequence_by, self.tie_break)
 
         def rank(row: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WARN = "warn"
@@ -60,8 +60,8 @@ def rule_counts(rules: Iterable[Rule]) -> list[Column]:
     return [F.count(F.lit(1)).alias(TOTAL), *failures]
 
 
-def _long_form(counts: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """Turn the one-row counts of :func:`rule_counts` into one row per rule."""
+def _long_form(counts: DataFrame, rules: Iterable[Rule], labels: tuple[str, ...] = ("dataset",)) -> DataFrame:
+    """Turn rows of counts as of :func:`rule_counts` into one row per rule."""
     rows = F.array(
         *[
             F.struct(
@@ -73,8 +73,8 @@ def _long_form(counts: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         ]
     )
     failed = F.col("r.failed_rows")
-    return counts.select("dataset", TOTAL, F.explode(rows).alias("r")).select(
-        "dataset",
+    return counts.select(*labels, TOTAL, F.explode(rows).alias("r")).select(
+        *labels,
         "r.rule",
         "r.action",
         TOTAL,
@@ -100,12 +100,22 @@ def observe_rules(df: DataFrame, rules: Iterable[Rule], into: Observation | str)
     return df.observe(into, *rule_counts(rules))
 
 
-def quality_history(spark, path: str, rules: Iterable[Rule], dataset: str) -> DataFrame:
-    """The report over the per-batch counts a streaming flow left in ``path``."""
+def quality_history(
+    spark: SparkSession, path: str, rules: Iterable[Rule], dataset: str, by_batch: bool = False
+) -> DataFrame:
+    """The report over the per-batch counts a streaming flow left in ``path``.
+
+    Over all batches, or with one set of rows per batch, labelled by query and batch number.
+    A rule that was added later has no counts, and so no failures, in older batches.
+    """
     rules = tuple(rules)
     fields = [TOTAL, *(rule.name for rule in rules)]
-    counts = spark.read.schema(", ".join(f"{name} BIGINT" for name in fields)).json(path)
-    sums = counts.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in fields])
+    stored = spark.read.schema(", ".join(f"{name} BIGINT" for name in fields)).json(path)
+    if by_batch:
+        batch = F.regexp_replace("_metadata.file_name", "\\.json$", "").alias("batch")
+        counts = stored.select(batch, *[F.coalesce(name, F.lit(0)).alias(name) for name in fields])
+        return _long_form(counts.withColumn("dataset", F.lit(dataset)), rules, ("dataset", "batch"))
+    sums = stored.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in fields])
     return _long_form(sums.withColumn("dataset", F.lit(dataset)), rules)
 
 

@@ -129,9 +129,9 @@ class Layers:
                 return read_files(self.spark, self.path(dataset), clean.schema)
         return read_files(self.spark, self.path(dataset))
 
-    def quality(self, spec: TableSpec) -> DataFrame:
-        """How often each rule failed, over all runs."""
-        return quality_history(self.spark, self._counts(spec), spec.rules, spec.silver)
+    def quality(self, spec: TableSpec, by_batch: bool = False) -> DataFrame:
+        """How often each rule failed, over all runs or batch by batch."""
+        return quality_history(self.spark, self._counts(spec), spec.rules, spec.silver, by_batch)
 
     def datasets(self) -> list[str]:
         names = [name for s in self.tables for name in (s.bronze, s.silver, s.current)]

@@ -143,6 +143,11 @@ def test_quality_over_both_runs(layers):
     assert got["valid_status"] == (3, 1)
 
 
+def test_quality_of_each_run(layers):
+    got = layers.quality(ENCOUNTERS, by_batch=True).filter("rule = 'valid_patient_id'").orderBy("batch").collect()
+    assert [(r["total_rows"], r["failed_rows"]) for r in got] == [(5, 1), (2, 0)]
+
+
 def test_a_run_without_news_changes_nothing(layers):
     before = {name: layers.read(name).count() for name in layers.datasets()}
     layers.run()
