@@ -35,7 +35,7 @@ from changeflow.sources import (  # noqa: E402
 )
 from changeflow.sources.feeds import FEEDS, TIE_BREAKS, tables_in  # noqa: E402
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE  # noqa: E402
-from changeflow.sources.paths import total_bytes  # noqa: E402
+from changeflow.sources.paths import count_files  # noqa: E402
 from changeflow.streaming import append_stream, finish, upsert_stream  # noqa: E402
 
 ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
@@ -45,6 +45,7 @@ BATCHES = 4
 
 
 def _feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # stays and days are those of UTC
     return FEEDS[entity](tables_in(spark, sf_dir))
 
 
@@ -114,8 +115,8 @@ def _land(feed: DataFrame, folder: str, by: str | None = None) -> None:
         feed.withColumn("year", F.year(by)).write.partitionBy("year").parquet(folder)
 
 
-def _batch_bytes(spark: SparkSession, folder: str) -> str:
-    return str(max(1, -(-total_bytes(spark, folder) // BATCHES)))
+def _files_per_batch(spark: SparkSession, folder: str) -> int:
+    return -(-count_files(spark, folder) // BATCHES)
 
 
 def _bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +171,7 @@ def _current_incremental(entity: str, spark: SparkSession, sf_dir: str) -> DataF
         spark,
         f"{root}/source",
         infer_schema(spark, f"{root}/source"),
-        max_bytes_per_trigger=_batch_bytes(spark, f"{root}/source"),
+        max_files_per_trigger=_files_per_batch(spark, f"{root}/source"),
     )
     table = CurrentTable(
         spark,
@@ -194,7 +195,7 @@ def _quality_streamed(entity: str, spark: SparkSession, sf_dir: str) -> DataFram
         spark,
         f"{root}/source",
         infer_schema(spark, f"{root}/source"),
-        max_bytes_per_trigger=_batch_bytes(spark, f"{root}/source"),
+        max_files_per_trigger=_files_per_batch(spark, f"{root}/source"),
     )
     finish(
         [

@@ -21,10 +21,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files below a folder."""
+def count_files(spark: SparkSession, path: str) -> int:
+    """Number of files below a folder, markers included."""
     fs, target = _resolve(spark, path)
-    return fs.getContentSummary(target).getLength()
+    return fs.getContentSummary(target).getFileCount()
 
 
 def make_dir(spark: SparkSession, path: str) -> None:
