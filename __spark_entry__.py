@@ -35,7 +35,7 @@ from changeflow.sources import (  # noqa: E402
 )
 from changeflow.sources.feeds import FEEDS, TIE_BREAKS, tables_in  # noqa: E402
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE  # noqa: E402
-from changeflow.sources.paths import count_files  # noqa: E402
+from changeflow.sources.paths import count_files, delete  # noqa: E402
 from changeflow.streaming import append_stream, finish, upsert_stream  # noqa: E402
 
 ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
@@ -108,7 +108,7 @@ def _land(feed: DataFrame, folder: str, by: str | None = None) -> None:
     """
     cores = feed.sparkSession.sparkContext.defaultParallelism
     if by is None:
-        if len(feed.inputFiles()) < cores:
+        if feed.rdd.getNumPartitions() < cores:
             feed = feed.repartition(cores)
         feed.write.parquet(folder)
     else:
@@ -119,6 +119,11 @@ def _files_per_batch(spark: SparkSession, folder: str) -> int:
     return -(-count_files(spark, folder) // BATCHES)
 
 
+def _clear(spark: SparkSession, root: str) -> None:
+    """Remove the change files a query landed for itself, once they are taken in."""
+    delete(spark, f"{root}/source")
+
+
 def _bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ENTITIES[entity]
     root = scratch_dir(spark, spec.bronze)
@@ -127,6 +132,7 @@ def _bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tracked_schema(spark, f"{root}/source/{entity}", f"{root}/schema")
     rows = ingest_files(spark, f"{root}/source/{entity}", schema)
     finish([append_stream(rows, f"{root}/{spec.bronze}", f"{root}/checkpoint", spec.raw_layout)])
+    _clear(spark, root)
     read = read_files(spark, f"{root}/{spec.bronze}", rows.schema)
     return read.select(
         *schema.names,
@@ -156,6 +162,7 @@ def _bronze_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema = tracked_schema(spark, f"{root}/source", f"{root}/schema")
         rows = ingest_files(spark, f"{root}/source", schema)
         finish([append_stream(rows, f"{root}/table", f"{root}/checkpoint", ("ts",))])
+    _clear(spark, root)
     folder = F.element_at(F.split(SOURCE_FILE, "/"), -2)
     return read_files(spark, f"{root}/table", rows.schema).select(
         *schema.names, folder.alias("source_folder")
@@ -183,6 +190,8 @@ def _current_incremental(entity: str, spark: SparkSession, sf_dir: str) -> DataF
         buckets=8,
     )
     finish([upsert_stream(rows, table, f"{root}/checkpoint")])
+    table.vacuum(keep=1)
+    _clear(spark, root)
     return table.read()
 
 
@@ -209,6 +218,7 @@ def _quality_streamed(entity: str, spark: SparkSession, sf_dir: str) -> DataFram
             )
         ]
     )
+    _clear(spark, root)
     return quality_history(spark, f"{root}/counts", spec.rules, spec.silver)
 
 
@@ -218,7 +228,9 @@ def _layers(spark: SparkSession, sf_dir: str) -> Layers:
         by = "cdc_timestamp" if entity == "encounters" else None
         _land(_feed(spark, sf_dir, entity), f"{root}/source/{entity}", by)
     tables = tuple(ENTITIES.values())
-    return Layers(spark, f"{root}/source", f"{root}/tables", tables, REPORTS, buckets=8).run()
+    layers = Layers(spark, f"{root}/source", f"{root}/tables", tables, REPORTS, buckets=8).run()
+    _clear(spark, root)
+    return layers
 
 
 def _layers_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
