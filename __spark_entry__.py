@@ -38,6 +38,17 @@ from changeflow.sources.files import INGESTED_AT, SOURCE_FILE  # noqa: E402
 from changeflow.sources.paths import count_files, delete  # noqa: E402
 from changeflow.streaming import append_stream, finish, upsert_stream  # noqa: E402
 
+try:  # the training-data operators are a part of their own, which may be left out
+    import corpus_pipeline
+    from changeflow.llm.queries import ORACLES as LLM_ORACLES
+    from changeflow.llm.queries import QUERIES as LLM_QUERIES
+
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "changeflow.llm", "changeflow.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+
 ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
 
 # How many micro-batches the queries that show incremental work use, at any size of data.
@@ -278,6 +289,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clustered_roundtrip": _clustered_roundtrip,
         "layers_row_counts": _layers_row_counts,
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
+        **LLM_QUERIES,
     }
 
 
@@ -310,4 +322,5 @@ def oracle_sql() -> dict[str, str]:
         "clustered_roundtrip": oracles.daily_admissions(),
         "layers_row_counts": oracles.row_counts(),
         "layers_diagnosis_distribution": oracles.diagnosis_distribution(),
+        **LLM_ORACLES,
     }
