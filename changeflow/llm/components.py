@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.scratch import written
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a star per component of the given links, each node at most once."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        after = label.copy()
+        for end in (a, b):
+            np.minimum.at(after, end, least)
+            np.minimum.at(after, label[end], least)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    own = label != np.arange(len(nodes))
+    return nodes[own], nodes[label[own]]
+
+
 def _smallest_neighbour(both: DataFrame) -> DataFrame:
     """Per node the least of itself and its neighbours; summed before the shuffle, so that a
     node with a third of all links is one row per task."""

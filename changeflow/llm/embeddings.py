@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.components import components
+from changeflow.llm.components import components, spanning
 from changeflow.llm.scratch import tasks_for, written
 
 AXES = 4
@@ -38,25 +38,6 @@ def directions(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a star per component of the given links, each node at most once."""
-    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b = ends[: len(a)], ends[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        least = np.minimum(label[a], label[b])
-        after = label.copy()
-        for end in (a, b):
-            np.minimum.at(after, end, least)
-            np.minimum.at(after, label[end], least)
-        after = after[after]
-        if (after == label).all():
-            break
-        label = after
-    own = label != np.arange(len(nodes))
-    return nodes[own], nodes[label[own]]
-
-
 class _Side:
     """A block in one task: ids, how many vectors each stands for, directions, projections."""
 

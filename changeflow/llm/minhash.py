@@ -7,12 +7,13 @@ the one and a group from the other: 100 tables of four minhashes each from 40 mi
 instead of 400. Two documents of similarity s meet in a table with probability
 (1 - (1 - s**2)**10)**2, which is 0.9995 at s = 0.75 and more above.
 
-What follows the tables is exact. Each table entry is a bucket; in it, members are first
-compared with the least member only. Once the links found this way are joined to components,
-every pair of members of a bucket that are in different components, and whose 40 minhashes
-agree in at least ``AGREE``, is compared as well (fewer than 16 of 40 agree with probability
-under 1e-6 at 0.75). So a bucket of thousands of copies costs a comparison a member, and no
-link that the tables show is missed. Comparing is done on the full sets.
+What follows the tables is exact. Members of a bucket are first compared with its least member
+only, and the links found join them to components. Buckets that still hold several components
+are looked at again: components with members whose 40 minhashes agree in ``AGREE`` or more
+(fewer agree with probability 2e-4 at 0.75) form a family. The sets of a family meet once, and
+every two of its members that agree so and are not joined yet are compared. So a bucket of
+thousands of copies costs a comparison a member, only links that join something leave a task,
+and no link that the tables show is missed. Comparing is always done on the full sets.
 """
 
 from __future__ import annotations
@@ -26,15 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import kernels
-from changeflow.llm.components import components
+from changeflow.llm.components import components, spanning
 from changeflow.llm.scratch import tasks_for, written
 
 HALVES = 10
 ROWS = 2
 TABLES = HALVES * HALVES
 HASHES = 2 * HALVES * ROWS
-AGREE = 16
-# Members of a bucket that are compared with each other in one go. Larger buckets are cut
+AGREE = 20
+# Members that are compared with each other in one go. Larger buckets and families are cut
 # into blocks, and each two blocks are compared by one task.
 BLOCK = 2048
 
@@ -115,64 +116,116 @@ def _pairs_batch(a: np.ndarray, b: np.ndarray, entry: np.ndarray | None = None)
     return pa.RecordBatch.from_arrays(columns, names)
 
 
+def _short(signature: np.ndarray) -> pa.Array:
+    """The lowest byte of each minhash. Of different ones it agrees once in 256 times."""
+    return pa.array([row.tobytes() for row in (signature & np.uint32(255)).astype(np.uint8)], pa.binary())
+
+
 def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         signature = _signature_rows(batch.column(2))
         keys = table_keys(signature).view(np.int64).ravel()
-        short = (signature & np.uint32(255)).astype(np.uint8)
-        at = np.repeat(np.arange(len(signature)), TABLES)
+        at = pa.array(np.repeat(np.arange(len(signature)), TABLES))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys),
-                batch.column(0).take(pa.array(at)),
-                batch.column(1).take(pa.array(at)),
-                pa.array([row.tobytes() for row in short], pa.binary()).take(pa.array(at)),
-            ],
+            [pa.array(keys), batch.column(0).take(at), batch.column(1).take(at), _short(signature).take(at)],
             ["key", "id", "component", "short"],
         )
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket and two blocks of it: pairs that may be similar enough."""
-    held: list[pa.RecordBatch] = []
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], _short(_signature_rows(batch.column(3)))], ["family", "id", "component", "short"]
+        )
+
+
+def _groups(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]:
+    """Whole groups of rows sorted by key, x and y: where block x and where block y of each are."""
+    marks = np.stack([rows.column(n).to_numpy() for n in ("key", "x", "y")])
+    cuts = np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0), True])
+    part = {n: rows.column(n).to_numpy() for n in ("id", "component", "side")}
+    part["short"] = np.frombuffer(kernels.text_bytes(rows.column("short"))[0], np.uint8).reshape(-1, HASHES)
+    for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+        left = np.flatnonzero(part["side"][s:e] == marks[1, s]) + s
+        right = np.flatnonzero(part["side"][s:e] == marks[2, s]) + s
+        yield left, right, part
+
+
+def _by_group(compare):
+    """Apply to whole groups, as many at a time as a batch has. A group has two blocks at most."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack([batch.column(n).to_numpy() for n in ("key", "x", "y")])
+            if held and tuple(marks[:, 0]) != last:
+                yield from compare(pa.Table.from_batches(held))
+                held = []
+            last = tuple(marks[:, -1])
+            other = np.flatnonzero((marks != marks[:, -1:]).any(axis=0))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield from compare(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield from compare(pa.Table.from_batches(held))
+
+    return run
+
+
+def _relatives(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Of buckets, which components have members that agree: links of a spanning forest."""
+    found = []
+    for left, right, part in _groups(rows):
+        comp, short = part["component"], part["short"]
+        edges = []
+        for i in left:
+            agree = (short[right] == short[i]).sum(axis=1) >= AGREE
+            others = np.unique(comp[right[agree & (comp[right] != comp[i])]])
+            edges.append(np.stack([np.full(len(others), comp[i]), others]))
+        if edges:
+            found.append(np.stack(spanning(*np.concatenate(edges, axis=1))))
+    if found:
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield _pairs_batch(pairs[0], pairs[1])
+
+
+def _compared(percent: int):
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        names = ("key", "x", "y")
-        marks = np.stack([rows.column(n).to_numpy() for n in names])
-        cuts = np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0), True])
-        ids, side, comp = (rows.column(n).to_numpy() for n in ("id", "side", "component"))
-        short = np.frombuffer(kernels.text_bytes(rows.column("short"))[0], np.uint8).reshape(-1, HASHES)
-        found = []
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            left = np.flatnonzero(side[s:e] == marks[1, s]) + s
-            right = np.flatnonzero(side[s:e] == marks[2, s]) + s
+        """Of families, the links that join two components."""
+        data = rows.column("shingles").combine_chunks()
+        flat, offsets = kernels.text_bytes(data)
+        _, flat = np.unique(np.frombuffer(flat, np.uint64), return_inverse=True)
+        bounds, mark = offsets // 8, np.zeros(flat.max(initial=-1) + 1, dtype=np.int64)
+        size, found = np.diff(bounds), []
+        for left, right, part in _groups(rows):
+            ids, short, label = part["id"], part["short"], part["component"].copy()
             for i in left:
-                agree = (short[right] == short[i]).sum(axis=1) >= AGREE
-                other = right[agree & (comp[right] != comp[i])]
-                found += [np.stack([np.minimum(ids[i], ids[other]), np.maximum(ids[i], ids[other])])]
+                apart = right[label[right] != label[i]]
+                fits = 100 * np.minimum(size[apart], size[i]) >= percent * np.maximum(size[apart], size[i])
+                apart = apart[fits]
+                apart = apart[(short[apart] == short[i]).sum(axis=1) >= AGREE]
+                if not len(apart):
+                    continue
+                own = flat[bounds[i] : bounds[i + 1]]
+                mark[own] = 1
+                before = np.cumsum(size[apart]) - size[apart]
+                at = np.repeat(bounds[apart] - before, size[apart]) + np.arange(size[apart].sum())
+                both = np.add.reduceat(mark[flat[at]], before)
+                mark[own] = 0
+                linked = apart[100 * both >= percent * (size[apart] + size[i] - both)]
+                for j in linked:
+                    if label[j] != label[i]:
+                        found.append((ids[i], ids[j]))
+                        label[label == label[j]] = label[i]
         if found:
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-            if pairs.shape[1]:
-                yield _pairs_batch(pairs[0], pairs[1])
-
-    last = None
-    for batch in batches:  # whole groups are compared; a group has 2 * BLOCK rows or so
-        marks = list(zip(*(batch.column(n).to_pylist() for n in ("key", "x", "y")), strict=True))
-        if not marks:
-            continue
-        if held and marks[0] != last:
-            yield from compare(pa.Table.from_batches(held))
-            held = []
-        cut = len(marks) - 1
-        while cut > 0 and marks[cut - 1] == marks[-1]:
-            cut -= 1
-        if cut:
-            yield from compare(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-            held = []
-        held.append(batch.slice(cut))
-        last = marks[-1]
-    if held:
-        yield from compare(pa.Table.from_batches(held))
+            yield _pairs_batch(*(np.array(x) for x in zip(*found, strict=True)))
+
+    return compare
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -195,20 +248,63 @@ def _verified(percent: int):
     return verify
 
 
-def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = pa.array([x.tobytes() for x in _sets(batch.column(1))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["id", "shingles"])
+
+
+def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs of ids whose full sets are similar enough.
 
     The texts come by joins, which Spark splits where an id is in very many pairs.
     """
-    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(ends, "id", "left_semi").distinct()
-    texts = written(texts, "minhash-texts")
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    joined = pairs.hint("merge").join(a, "a").hint("merge").join(b, "b").select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(_verified(percent), "a long, b long")
 
 
+def _in_blocks(members: DataFrame, key: str, payload: str, tasks: int) -> DataFrame:
+    """Rows of each key by pairs of blocks, sorted, so that any two members of different
+    components meet somewhere.
+
+    The largest component of a key needs no comparison with itself. Its members are dealt to
+    shards, which the blocks of the others come to: while those are few, as stragglers around
+    a large group of copies are, every member of it moves once.
+    """
+    sizes = members.groupBy(key, "component").agg(F.count("*").alias("n"))
+    of_key = sizes.groupBy(key).agg(
+        F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts")
+    )
+    of_key = of_key.filter("parts > 1").select(
+        key,
+        F.col("main.component").alias("main"),
+        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("shards"),
+        F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("blocks"),
+    )
+    rows = members.join(of_key, key)
+    # Blocks of the others are numbered after the shards.
+    in_main = F.col("component") == F.col("main")
+    side = F.when(in_main, F.pmod(F.xxhash64("id"), F.col("shards"))).otherwise(
+        F.col("shards") + F.pmod(F.xxhash64("id"), F.col("blocks"))
+    )
+    rows = rows.withColumn("side", side.cast("int"))
+    first, last = F.col("shards"), F.col("shards") + F.col("blocks") - 1
+    # As x, a block meets each shard and each block up to itself; as y, each block from itself.
+    as_x = F.when(in_main, F.array().cast("array<struct<x:int,y:int>>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("side")), lambda y: F.struct(F.col("side").alias("x"), y.alias("y")))
+    )
+    as_y = F.transform(
+        F.sequence(F.greatest(first, F.when(in_main, first).otherwise(F.col("side") + 1)), F.greatest(last, first)),
+        lambda x: F.struct(x.alias("x"), F.col("side").alias("y")),
+    )
+    as_y = F.when(in_main | (F.col("side") < last), as_y).otherwise(F.array().cast("array<struct<x:int,y:int>>"))
+    rows = rows.withColumn("at", F.explode(F.concat(as_x, as_y)))
+    rows = rows.select(F.col(key).alias("key"), "at.x", "at.y", "side", "id", "component", "short", *([payload] if payload else []))
+    return rows.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 75
 ) -> DataFrame:
@@ -239,27 +335,27 @@ def near_duplicates(
     met = entries.filter("entry").join(met.filter("hub < last"), "a").filter("b <> hub")
     pairs = entries.filter("NOT entry").select("a", "b").unionAll(met.select(F.col("hub").alias("a"), "b"))
     pairs = written(pairs.distinct(), "minhash-pairs")
-    first = written(_links(pairs, docs, percent).unionAll(same), "minhash-links")
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    ends = written(ends, "minhash-ends")
+    # The merge hint keeps one plan at all sizes: ids of copies grow with the table.
+    texts = written(docs.join(ends.hint("merge"), "id", "left_semi").distinct(), "minhash-texts")
+    first = written(_links(pairs, texts, percent).unionAll(same), "minhash-links")
 
-    # Pairs that met in a bucket and are not joined so far.
+    # What met in a bucket and is not joined so far.
+    tasks = tasks_for(docs)
     groups = written(components(first, "minhash-groups"), "minhash-groups")
-    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     members = reps.join(ends, "id", "left_semi").join(groups, F.col("id") == F.col("node"), "left")
     members = members.select("id", F.coalesce("component", "id").alias("component"), "signature")
-    members = members.mapInArrow(_all_keys, "key long, id long, component long, short binary")
-    mixed = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    )
-    mixed = mixed.filter("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = members.join(mixed, "key")
-    side = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    blocks = members.withColumn("side", side).withColumn("other", other)
-    blocks = blocks.withColumn("x", F.least("side", "other")).withColumn("y", F.greatest("side", "other"))
-    blocks = blocks.repartition(tasks_for(docs), "key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
-    blocks = blocks.select("key", "x", "y", "side", "id", "component", "short")
-    more = written(blocks.mapInArrow(_close, "a long, b long").distinct(), "minhash-more")
-    second = _links(more, docs, percent)
+    members = written(members, "minhash-members")
+    keyed = members.mapInArrow(_all_keys, "key long, id long, component long, short binary")
+    relatives = _in_blocks(keyed, "key", "", tasks).mapInArrow(_by_group(_relatives), "a long, b long")
+    families = written(components(relatives, "minhash-families"), "minhash-families")
+    families = families.select(F.col("node").alias("component"), F.col("component").alias("family"))
+    members = members.join(families, "component").select("family", "id", "component", "signature")
+    members = members.mapInArrow(_shortened, "family long, id long, component long, short binary")
+    sets = texts.mapInArrow(_set_rows, "id long, shingles binary")
+    members = _in_blocks(members.join(sets, "id"), "family", "shingles", tasks)
+    second = written(members.mapInArrow(_by_group(_compared(percent)), "a long, b long"), "minhash-more")
 
     joined = components(first.unionAll(second), "minhash-components")
     classes = classes.join(joined, F.col("rep") == F.col("node"), "left")

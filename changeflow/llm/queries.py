@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import chat, embeddings, minhash, mixing, packing, quality, suffix, token_counts, topk, url_filter
+from changeflow.llm.ship import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,7 +80,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: shipped(f)
     for f in (
         op1_url_filter,
         op2_chat_format,

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from changeflow.llm import minhash, mixing, packing, quality, suffix
 from changeflow.llm.queries import quality_model
 from changeflow.llm.scratch import written
+from changeflow.llm.ship import shipped
 
 
+@shipped
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go."""
     model = quality_model(spark, sf_dir, docs.select("doc_id", "text", "n_chars"))
@@ -17,6 +19,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.filter("_score >= 0.5").drop("_score")
 
 
+@shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that of the least id.
 
@@ -29,17 +32,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
 
 
+@shipped
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages an earlier document has go. A character that is cut goes as a whole."""
     found = suffix.remove_repeats(docs, with_text=True).withColumnRenamed("_kept_text", "text")
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@shipped
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target weight takes them."""
     return mixing.take(docs)
 
 
+@shipped
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     return packing.pack_documents(docs)
