@@ -43,6 +43,8 @@ LENGTH = 50
 GRAM = 20
 WINDOW = LENGTH - GRAM + 1
 BLOCK_BYTES = 6 << 20
+# Suffix arrays per shuffle task: each is sorted by itself, in memory.
+ARRAYS = 8
 # An anchor with more different contexts than this is a common phrase. Its strings are then
 # dealt out one by one, by their own hash, so that it doesn't load one task.
 COMMON = 4096
@@ -266,7 +268,7 @@ def _judge(group: pa.Table) -> pa.Table:
     )
 
 
-def _texts(id_column: str, buckets: int):
+def _texts(id_column: str, buckets: int, routes: int):
     """What the blocks know now: runs of strings to remove, and texts that are to be compared."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,12 +294,12 @@ def _texts(id_column: str, buckets: int):
                 by = block.key[ask] >> np.uint64(20)
                 alone = kernels.mixed(_string_hashes(block.data, start[(~common).sum() :]))
                 by = np.r_[by[~common], alone]
-                route = (kernels.mixed(by) % np.uint64(buckets)).astype(np.int64)
+                route = (kernels.mixed(by) % np.uint64(routes)).astype(np.int64)
                 whole = np.stack([block.start[remove], block.run[remove]])
                 yield _text_row(row["block"], -1, b"", whole[0], whole[1], b"")
                 doc = block.ids[np.searchsorted(block.offsets, start, side="right") - 1]
                 by_route = np.argsort(route, kind="stable")
-                edges = np.searchsorted(route[by_route], np.arange(buckets + 1))
+                edges = np.searchsorted(route[by_route], np.arange(routes + 1))
                 for k in np.flatnonzero(np.diff(edges)):
                     own = by_route[edges[k] : edges[k + 1]]
                     at = _each(start[own], size[own] + LENGTH - 1)
@@ -414,7 +416,7 @@ def remove_repeats(
 
     schema = "block long, route int, text binary, start binary, size binary, doc binary"
     asked = blocks.join(states, "block", "left").select(*blocks.columns, "states")
-    asked = written(asked.mapInArrow(_texts(id_column, buckets), schema), "suffix_texts")
+    asked = written(asked.mapInArrow(_texts(id_column, buckets, ARRAYS * buckets), schema), "suffix_texts")
     runs = asked.filter("route >= 0").groupBy("route")
     runs = runs.applyInArrow(_compare, "block long, start binary, size binary")
     runs = runs.unionAll(asked.filter("route < 0").select("block", "start", "size"))
