@@ -187,7 +187,9 @@ class _Block:
             own = whole[cuts] & (starts[cuts] >= c) & (starts[cuts] < c + _CHUNK) & ((cuts > 0) | (low == c))
             cuts, run = cuts[own], run[own]
             content = (sums[cuts + run + LENGTH - 1] - sums[cuts]) * back[cuts]
-            found.append((starts[cuts], run, least[cuts] >> np.uint64(20), kernels.mixed(content)))
+            # The least of many hashes is a small number; mixed again, anchors fill their range.
+            anchor = kernels.mixed(least[cuts] >> np.uint64(20)) >> np.uint64(20)
+            found.append((starts[cuts], run, anchor, kernels.mixed(content)))
         empty = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))
         self.start, self.run, anchor, content = map(np.concatenate, zip(empty, *found, strict=True))
         self.doc = np.searchsorted(self.offsets, self.start, side="right") - 1
