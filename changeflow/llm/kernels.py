@@ -52,6 +52,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows``, for steps that make many rows of one.
+
+    What Arrow has set aside and no longer uses goes back to the system now and then: Spark
+    keeps workers for later tasks, and several share an executor's memory.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string or binary column and the n + 1 offsets; null is the empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -66,7 +66,7 @@ def table_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in kernels.slices(batches, 2048):
         data, offsets = kernels.text_bytes(batch.column(1))
         for a, b in kernels.pieces(offsets):
             part = data[offsets[a] : offsets[b]]
@@ -96,13 +96,17 @@ def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     first = np.r_[True, keys[1:] != keys[:-1]]
     hub = ids[first][np.cumsum(first) - 1]
     other = hub != ids
-    pairs = np.unique(np.stack([hub[other], ids[other]], axis=1), axis=0)
-    return keys[first], ids[first], pairs[:, 0], pairs[:, 1]
+    a, b = hub[other], ids[other]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return keys[first], ids[first], a[new], b[new]
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Table entries, one per key and batch, and links between what met within the batch."""
-    for batch in batches:
+    for batch in kernels.slices(batches, 4096):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         keys = table_keys(_signature_rows(batch.column(1)))
         key, hub, a, b = _star(keys.ravel(), np.repeat(ids, TABLES))
@@ -122,7 +126,7 @@ def _short(signature: np.ndarray) -> pa.Array:
 
 
 def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in kernels.slices(batches, 512):
         signature = _signature_rows(batch.column(2))
         keys = table_keys(signature).view(np.int64).ravel()
         at = pa.array(np.repeat(np.arange(len(signature)), TABLES))
@@ -237,7 +241,7 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 def _verified(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in kernels.slices(batches, 1024):
             texts = zip(*(_sets(batch.column(n)) for n in ("text_a", "text_b")), strict=True)
             keep = []
             for a, b in texts:
@@ -249,7 +253,7 @@ def _verified(percent: int):
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in kernels.slices(batches, 1024):
         sets = pa.array([x.tobytes() for x in _sets(batch.column(1))], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["id", "shingles"])
 
