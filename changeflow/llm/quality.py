@@ -123,9 +123,12 @@ class FactorisationMachine:
 
 def fit(
     number: np.ndarray, value: np.ndarray, bounds: np.ndarray, label: np.ndarray, dimensions: int,
-    epochs: int = 6, batch: int = 128, rate: float = 0.08, decay: float = 1e-5, seed: int = 8,
+    epochs: int = 6, steps: int = 600, batch: int = 128, rate: float = 0.08, decay: float = 1e-5, seed: int = 8,
 ) -> FactorisationMachine:
-    """Adaptive gradient steps on the logistic loss; the same rows always give the same model."""
+    """Adaptive gradient steps on the logistic loss; the same rows always give the same model.
+
+    At least ``epochs`` times all rows, and as often as ``steps`` batches take where rows are few.
+    """
     random = np.random.default_rng(seed)
     share = np.clip(label.mean(), 1e-3, 1 - 1e-3)
     model = FactorisationMachine(
@@ -135,7 +138,7 @@ def fit(
     )
     sum_w, sum_v = np.full(dimensions, 1e-6), np.full((dimensions, RANK), 1e-6)
     size = np.diff(bounds)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * batch // len(label)))):
         order = random.permutation(len(label))
         for start in range(0, len(order), batch):
             rows = order[start : start + batch]
