@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm import minhash, mixing, packing, quality, suffix
@@ -28,8 +28,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = minhash.near_duplicates(docs.select("doc_id", "text"))
     kept = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars"))
+    named = named.withColumn("_first", first).filter("_first = 1").drop("_first")
+    return named.unionByName(docs.filter("doc_id IS NULL"))
 
 
 @shipped
