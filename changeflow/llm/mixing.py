@@ -130,9 +130,9 @@ def mix(
     return rows, written(plan.withColumn("threshold", F.coalesce("threshold", F.lit(0))), "mix-plan")
 
 
-def copies(hash_column: str = "hash") -> Column:
+def copies(hash_column: str = "hash", epochs: str = "epochs", threshold: str = "threshold") -> Column:
     """How often the mix takes a row, from the columns of the plan."""
-    return F.col("epochs") + (F.col(hash_column) < F.col("threshold")).cast("long")
+    return F.col(epochs) + (F.col(hash_column) < F.col(threshold)).cast("long")
 
 
 def take(
@@ -141,9 +141,11 @@ def take(
     """The mixed documents: the columns of ``docs``, a row as often as the mix takes it."""
     _, plan = mix(docs, source_column, id_column, text_column)
     names = docs.columns
-    plan = plan.select(F.col("source").alias("_source"), "epochs", "threshold")
+    mine = {"source": "_mix_source", "epochs": "_mix_epochs", "threshold": "_mix_threshold"}
+    plan = plan.select(*[F.col(c).alias(name) for c, name in mine.items()])
     ids, text = F.col(id_column), F.col(text_column)
-    hashed = docs.withColumn("_hash", F.when(ids.isNotNull(), unit_hash(ids)).otherwise(unit_hash(text)))
-    found = hashed.join(plan, F.col(source_column).eqNullSafe(F.col("_source")))
-    found = found.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies("_hash").cast("int"))))
+    hashed = docs.withColumn("_mix_hash", F.when(ids.isNotNull(), unit_hash(ids)).otherwise(unit_hash(text)))
+    found = hashed.join(plan, F.col(source_column).eqNullSafe(F.col("_mix_source")))
+    times = copies("_mix_hash", "_mix_epochs", "_mix_threshold").cast("int")
+    found = found.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), times)))
     return found.select(*names)

@@ -224,10 +224,12 @@ def score_quality(
     docs: DataFrame, model: FactorisationMachine, text_column: str = "text",
     metadata: Sequence[str] = ("n_chars",), score: str = "score",
 ) -> DataFrame:
-    """All columns of ``docs`` and a ``score`` between 0 and 1. Null texts count as empty ones.
+    """All columns of ``docs`` and a ``score`` between 0 and 1. Null texts count as empty ones,
+    null metadata as unknown. A column that has the name of the score is replaced.
 
     Texts go through in pieces of about a megabyte and nothing is shuffled.
     """
+    docs = docs.drop(score)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     keep = [f.name for f in docs.schema.fields]

@@ -131,15 +131,15 @@ def _pack(rows: pa.Table, id_column: str, text_column: str) -> pa.RecordBatch:
     )
 
 
-def _packer(id_column: str, text_column: str):
+def _packer(id_column: str, text_column: str, block_bytes: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             _, offsets = kernels.text_bytes(batch.column(batch.schema.get_field_index(text_column)))
-            for a, b in kernels.pieces(offsets, BLOCK_BYTES // 4):
+            for a, b in kernels.pieces(offsets, block_bytes // 4):
                 held.append(batch.slice(a, b - a))
                 size += int(offsets[b] - offsets[a])
-                if size >= BLOCK_BYTES:
+                if size >= block_bytes:
                     yield _pack(pa.Table.from_batches(held), id_column, text_column)
                     held, size = [], 0
         if held:
@@ -237,7 +237,7 @@ def _entries(id_column: str, buckets: int):
     return send
 
 
-def _judge(group: pa.Table) -> pa.Table:
+def _judge(common: int, group: pa.Table) -> pa.Table:
     """All entries of a bucket: which an earlier document has whole, and which need their text."""
     sizes = [len(k) // 8 for k in (x.as_py() for x in group.column("key"))]
     key = np.frombuffer(b"".join(x.as_py() for x in group.column("key")), dtype=np.uint64)
@@ -256,7 +256,7 @@ def _judge(group: pa.Table) -> pa.Table:
     group_of = np.cumsum(new_anchor) - 1
     contexts = np.bincount(group_of, weights=new)[group_of]
     state = np.empty(len(k), dtype=np.uint8)
-    state[order] = np.where(gone, 1, np.where(contexts < 2, 0, np.where(contexts <= COMMON, 2, 3)))
+    state[order] = np.where(gone, 1, np.where(contexts < 2, 0, np.where(contexts <= common, 2, 3)))
     cuts = np.r_[0, np.cumsum(sizes)]
     pack = zstandard.ZstdCompressor(level=1).compress
     return pa.table(
@@ -270,6 +270,10 @@ def _judge(group: pa.Table) -> pa.Table:
     )
 
 
+def _judged(common: int):
+    return lambda group: _judge(common, group)
+
+
 def _texts(id_column: str, buckets: int, routes: int):
     """What the blocks know now: runs of strings to remove, and texts that are to be compared."""
 
@@ -394,8 +398,9 @@ def _cut(id_column: str, with_text: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False
-) -> DataFrame:
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False,
+    block_bytes: int = BLOCK_BYTES, common: int = COMMON,
+) -> DataFrame:
     """All columns but the text, and _n_bytes, _n_removed, _n_spans, _kept_sha256.
 
     Removed is each byte that lies in a string of 50 bytes which also starts in a document
@@ -403,17 +408,20 @@ def remove_repeats(
     text. The hash is that of the bytes that stay. ``with_text`` adds them as ``_kept_text``,
     without the rests of characters that were cut apart. A null text is an empty one. Rows with the same id are one document and don't take from each
     other; those without an id count as one document after all others. Texts shorter than 50
-    bytes stay. An empty table gives an empty result.
+    bytes stay. Columns that have the names of new ones are replaced. An empty table gives an
+    empty result.
     """
     buckets = tasks_for(docs)
+    new = ("_n_bytes", "_n_removed", "_n_spans", "_kept_sha256", "_kept_text")
+    docs = docs.drop(*new)
     other = [f for f in docs.schema.fields if f.name != text_column]
-    blocks = docs.mapInArrow(_packer(id_column, text_column), "text binary, offsets binary, rest binary")
+    blocks = docs.mapInArrow(_packer(id_column, text_column, block_bytes), "text binary, offsets binary, rest binary")
     blocks = blocks.withColumn("block", F.monotonically_increasing_id())
     blocks = written_by_key(blocks, "suffix_blocks", "block", buckets)
 
     schema = "bucket int, block long, key binary, more binary, per_doc binary, steps binary"
     entries = blocks.mapInArrow(_entries(id_column, buckets), schema)
-    states = entries.groupBy("bucket").applyInArrow(_judge, "block long, bucket int, state binary")
+    states = entries.groupBy("bucket").applyInArrow(_judged(common), "block long, bucket int, state binary")
     states = states.groupBy("block").agg(F.collect_list(F.struct("bucket", "state")).alias("states"))
 
     schema = "block long, route int, text binary, start binary, size binary, doc binary"

@@ -80,6 +80,9 @@ def _search(k: int):
                 (asked, queries), (ids, candidates) = sides
                 out: list[list[np.ndarray]] = [[], [], []]
                 total = scores(queries, candidates)
+                order = np.argsort(ids, kind="stable")  # of rows with one id the best counts
+                ids, first = np.unique(ids[order], return_index=True)
+                total = np.maximum.reduceat(total[:, order], first, axis=1) if len(ids) else total
                 for q, name in enumerate(asked):
                     others = np.flatnonzero(ids != name)
                     found = others[best(total[q][others], ids[others], k)]

@@ -109,10 +109,10 @@ def judge_urls(
 
     A null URL, or one without ``://``, has an empty host and path. ``rule`` is the name of
     the winning rule of rank 1 or more, else null; the verdict is that of the winning rule, or
-    ``default``. Repeated rows are judged alike; without rules everything gets ``default``.
+    ``default``. Columns that have the names of new ones are replaced. Repeated rows are judged alike; without rules everything gets ``default``.
     """
     url = F.col(f"`{url_column}`")
-    keep = [c for c in pages.columns if c != url_column]
+    keep = [c for c in pages.columns if c not in (url_column, "host", "path", "rule", "verdict")]
     parsed = pages.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], url.alias("_url"))
     host, path = host_and_path(F.col("_url"))
     parsed = parsed.withColumns({"host": host, "path": path})

@@ -1,0 +1,8 @@
+import pytest
+
+from changeflow.llm.ship import shipped
+
+
+@pytest.fixture(autouse=True, scope="session")
+def code_on_executors(spark):
+    shipped(lambda session: None)(spark)
