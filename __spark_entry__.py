@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ from changeflow.sources import (  # noqa: E402
 )
 from changeflow.sources.feeds import FEEDS, TIE_BREAKS, tables_in  # noqa: E402
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE  # noqa: E402
-from changeflow.sources.paths import count_files, delete  # noqa: E402
+from changeflow.sources.paths import delete  # noqa: E402
 from changeflow.streaming import append_stream, finish, upsert_stream  # noqa: E402
 
 try:  # the training-data operators are a part of their own, which may be left out
@@ -127,7 +128,9 @@ def _land(feed: DataFrame, folder: str, by: str | None = None) -> None:
 
 
 def _files_per_batch(spark: SparkSession, folder: str) -> int:
-    return -(-count_files(spark, folder) // BATCHES)
+    """For at least ``BATCHES`` batches, where there are as many files."""
+    files = spark.read.option("recursiveFileLookup", "true").parquet(folder).inputFiles()
+    return max(1, len(files) // BATCHES)
 
 
 def _clear(spark: SparkSession, root: str) -> None:
@@ -180,37 +183,59 @@ def _bronze_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _age(feed: DataFrame) -> DataFrame:
+    """Which quarter of the time stamps a change is in, the newest 0; without one, the oldest."""
+    cuts = [(BATCHES - i) / BATCHES for i in range(1, BATCHES)]
+    seconds = F.unix_seconds(F.col("cdc_timestamp").cast("timestamp"))
+    edges = feed.agg(F.percentile_approx(seconds, cuts)).first()[0] or []
+    older = [F.coalesce(seconds <= F.lit(edge), F.lit(True)).cast("int") for edge in edges]
+    return feed.withColumn("age", reduce(lambda a, b: a + b, older, F.lit(0)))
+
+
 def _current_incremental(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checked changes arrive by year, the newest first, and are merged batch by batch."""
+    """The checked changes arrive a quarter at a time, the newest first, and the second quarter
+    once more at the end; each delivery is a run of the stream."""
     spec = ENTITIES[entity]
     root = scratch_dir(spark, spec.current)
-    _land(_silver(entity, spark, sf_dir), f"{root}/source", "cdc_timestamp")
-    rows = stream_files(
-        spark,
-        f"{root}/source",
-        infer_schema(spark, f"{root}/source"),
-        max_files_per_trigger=_files_per_batch(spark, f"{root}/source"),
-    )
+    feed = _silver(entity, spark, sf_dir)
+    _age(feed).write.partitionBy("age").parquet(f"{root}/quarters")
     table = CurrentTable(
-        spark,
-        f"{root}/{spec.current}",
-        spec.keys,
-        spec.sequence_by,
-        spec.tie_break,
-        cluster_by=spec.layout,
-        buckets=8,
-    )
-    finish([upsert_stream(rows, table, f"{root}/checkpoint")])
-    table.vacuum(keep=1)
+        spark, f"{root}/{spec.current}", spec.keys, spec.sequence_by, spec.tie_break, cluster_by=spec.layout
+    ).create(feed.schema)
+    quarters = spark.read.parquet(f"{root}/quarters")
+    for number, age in enumerate((*range(BATCHES), 1)):
+        quarters.filter(F.col("age") == age).drop("age").write.parquet(f"{root}/source/batch_{number:03d}")
+        rows = stream_files(spark, f"{root}/source", feed.schema)
+        finish([upsert_stream(rows, table, f"{root}/checkpoint")])
     _clear(spark, root)
+    delete(spark, f"{root}/quarters")
     return table.read()
 
 
+def _current_encounters_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes with and without the last column, tied in time, in both orders of arrival.
+
+    Each change comes twice, once with ``s5`` and once without. The one that has a value wins,
+    whichever was first; a row of the result says how many orders led to it.
+    """
+    root = scratch_dir(spark, "evolving")
+    spec = ENTITIES["encounters"]
+    feed = _silver("encounters", spark, sf_dir).withColumn("s2", F.lit(0)).drop("s3", "s4")
+    found = []
+    for order, batches in enumerate(((feed.drop("s5"), feed), (feed, feed.drop("s5")))):
+        table = CurrentTable(spark, f"{root}/{order}", spec.keys, spec.sequence_by)
+        for batch in batches:
+            table.apply(batch)
+        found.append(table.read().select(*feed.columns))
+    both = found[0].unionByName(found[1])
+    return both.groupBy(*feed.columns).agg(F.count("*").alias("orders"))
+
+
 def _quality_streamed(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted while the checked rows are written, batch by batch."""
     spec = ENTITIES[entity]
     root = scratch_dir(spark, spec.silver)
-    _land(_feed(spark, sf_dir, entity), f"{root}/source", "cdc_timestamp")
+    _age(_feed(spark, sf_dir, entity)).write.partitionBy("age").parquet(f"{root}/source")
     changes = stream_files(
         spark,
         f"{root}/source",
@@ -220,7 +245,7 @@ def _quality_streamed(entity: str, spark: SparkSession, sf_dir: str) -> DataFram
     finish(
         [
             append_stream(
-                spec.clean(changes),
+                spec.clean(changes.drop("age")),
                 f"{root}/{spec.silver}",
                 f"{root}/checkpoint",
                 spec.layout,
@@ -239,7 +264,7 @@ def _layers(spark: SparkSession, sf_dir: str) -> Layers:
         by = "cdc_timestamp" if entity == "encounters" else None
         _land(_feed(spark, sf_dir, entity), f"{root}/source/{entity}", by)
     tables = tuple(ENTITIES.values())
-    layers = Layers(spark, f"{root}/source", f"{root}/tables", tables, REPORTS, buckets=8).run()
+    layers = Layers(spark, f"{root}/source", f"{root}/tables", tables, REPORTS).run()
     _clear(spark, root)
     return layers
 
@@ -255,8 +280,26 @@ def _layers_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _layers_diagnosis_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _layers(spark, sf_dir)
-    layers.publish()
-    return spark.read.table("gold_diagnosis_distribution")
+    return layers.read("gold_diagnosis_distribution")
+
+
+def _layers_current_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published after the first half of the deliveries, then two more runs, a compaction, and
+    the superseded files gone: read by name, with its comment."""
+    root = scratch_dir(spark, "named")
+    spec = replace(ENTITIES["procedures"], name=f"procedures_{root[-8:]}")
+    layers = Layers(spark, f"{root}/source", f"{root}/tables", (spec,))
+    feed = _age(_feed(spark, sf_dir, "procedures"))
+    for number in range(BATCHES - 1):
+        part = feed.filter(F.col("age") >= 2 if number == 0 else F.col("age") == number - 1).drop("age")
+        part.write.parquet(f"{root}/source/{spec.name}/batch_{number:03d}")
+        layers.run()
+        if number == 0:
+            layers.publish()
+    layers.current_table(spec).remove(layers.compact()[spec.current])
+    layers.run()
+    comment = spark.catalog.getTable(spec.current).description
+    return spark.read.table(spec.current).drop(INGESTED_AT, SOURCE_FILE).withColumn("table_comment", F.lit(comment))
 
 
 # -- contract -------------------------------------------------------------------------
@@ -289,6 +332,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clustered_roundtrip": _clustered_roundtrip,
         "layers_row_counts": _layers_row_counts,
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
+        "layers_current_by_name": _layers_current_by_name,
+        "current_encounters_evolving": _current_encounters_evolving,
         **LLM_QUERIES,
     }
 
@@ -322,5 +367,8 @@ def oracle_sql() -> dict[str, str]:
         "clustered_roundtrip": oracles.daily_admissions(),
         "layers_row_counts": oracles.row_counts(),
         "layers_diagnosis_distribution": oracles.diagnosis_distribution(),
+        "layers_current_by_name": f"""select *, 'Procedures, latest row per procedure_id' as table_comment
+            from ({oracles.current('procedures')})""",
+        "current_encounters_evolving": oracles.evolving(),
         **LLM_ORACLES,
     }

@@ -16,7 +16,6 @@ from changeflow.operators.reports import (
     diagnoses_with_facility,
     diagnosis_distribution,
     facility_summary,
-    grouped_report,
 )
 
 __all__ = [
@@ -33,7 +32,6 @@ __all__ = [
     "expect",
     "expect_or_drop",
     "facility_summary",
-    "grouped_report",
     "keep_active",
     "latest_by_key",
     "observe_rules",

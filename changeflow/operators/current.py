@@ -1,61 +1,32 @@
 """A current-state table: one row per key, fed by changes in any order.
 
 Plain parquet has no row-level upsert, and a folder must not be overwritten by a job that
-reads it. So rows are split into buckets by a hash of the key, a batch of changes writes
-new folders for the buckets it touches, and a small numbered file then names the valid
-folder of each bucket. Until that file is there, readers see the table as it was.
-
-Merging takes the latest row per key out of "table plus batch". That is commutative and
-idempotent: late, shuffled and replayed batches give the same table, so the at-least-once
-delivery of ``foreachBatch`` is enough.
-
-Two plans lead to that result. In general the touched part of the table is shuffled once,
-together with the batch. A batch whose measured size is small is broadcast to the table
-instead, whose rows then stay where they are.
+reads it. So a batch of changes is reduced to its latest row per key and appended, and the
+table *is* the latest row per key of all that was appended. Taking the latest is commutative
+and idempotent: late, shuffled and replayed batches give the same table, so the at-least-once
+delivery of ``foreachBatch`` is enough, and a second writer does no harm.
+
+A run costs what its batch costs. Reading ranks the rows appended since the last
+:meth:`CurrentTable.compact`, which writes the current rows anew and says which folders nobody
+needs any more. As long as both are there, rows are read twice, which changes nothing.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from changeflow.operators.latest import latest_by_key, tie_break_columns
-from changeflow.sources.paths import NumberedFiles, delete, names
+from changeflow.operators.latest import latest_by_key, latest_by_key_sql
+from changeflow.operators.layout import cluster_globally, cluster_within
+from changeflow.sources.paths import NumberedFiles, delete, make_dir, names
 from changeflow.sources.schema import widen
 
-BUCKET = "_bucket"
-PART = "_part"
-
-
-def _bytes(df: DataFrame) -> int:
-    """Spark's size of a DataFrame: exact for one that is cached, or that reads whole files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def _fit(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of the schema, NULL where ``df`` does not have them."""
-    have = set(df.columns)
-    return df.select(
-        [
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
-
 
 class CurrentTable:
-    """``buckets`` is the unit of rewriting and ``splits`` the number of files, and of write
-    tasks, per bucket. Both are fixed when the table is created; README.md says how to
-    choose them. Only lists of bucket numbers ever reach the driver."""
-
-    # How many times larger than the batch the table must be for a broadcast to pay off.
-    ADVANTAGE = 4
+    """Rows lie below ``path/rows``, a folder for each batch and each compaction."""
 
     def __init__(
         self,
@@ -65,176 +36,64 @@ class CurrentTable:
         sequence_by: str,
         tie_break: Sequence[str] | None = None,
         cluster_by: Sequence[str] = (),
-        buckets: int = 32,
-        splits: int = 1,
         comment: str = "",
-        broadcast_bytes: int = 32 << 20,
-        patches: int = 8,
     ):
-        """A batch of at most ``broadcast_bytes`` (as cached) that is small beside the part of
-        the table it touches is broadcast, up to ``patches`` times in a row: each time adds
-        small files, which the general plan packs again."""
         self.spark = spark
         self.path = path.rstrip("/")
+        self.rows = f"{self.path}/rows"
         self.keys = tuple(keys)
         self.sequence_by = sequence_by
         self.tie_break = tie_break
         self.cluster_by = tuple(cluster_by)
-        self.buckets = buckets
-        self.splits = splits
         self.comment = comment
-        self.broadcast_bytes = broadcast_bytes
-        self.patches = patches
-        self._log = NumberedFiles(spark, f"{self.path}/_versions")
-
-    # -- state ------------------------------------------------------------------------
+        self._schemas = NumberedFiles(spark, f"{self.path}/_schemas")
 
     def create(self, schema: T.StructType) -> CurrentTable:
-        """Make an empty table of these columns, unless there is one already."""
-        if self._log.latest()[1] is None:
-            self._log.put(1, self._empty(schema))
+        """Make an empty table of these columns, or add those an existing one lacks."""
+        number, stored = self._schemas.latest()
+        known = T.StructType.fromJson(stored) if stored else T.StructType([])
+        wider = widen(known, schema)
+        if wider != known:
+            make_dir(self.spark, self.rows)
+            self._schemas.put(number + 1, wider.jsonValue())
         return self
 
-    def _empty(self, schema: T.StructType) -> dict:
-        return {
-            "buckets": self.buckets,
-            "splits": self.splits,
-            "comment": self.comment,
-            "schema": widen(T.StructType([]), schema).jsonValue(),
-            "live": {},
-            "patches": 0,
-        }
-
-    def version(self) -> int:
-        return self._log.latest()[0]
+    def schema(self) -> T.StructType:
+        stored = self._schemas.latest()[1]
+        if stored is None:
+            raise LookupError(f"no current-state table in {self.path}")
+        return T.StructType.fromJson(stored)
 
-    # -- reading ----------------------------------------------------------------------
+    def appended(self) -> DataFrame:
+        """All rows appended so far; columns that came later are NULL in older rows."""
+        return self.spark.read.schema(self.schema()).option("recursiveFileLookup", "true").parquet(self.rows)
 
     def read(self) -> DataFrame:
-        """The current rows, as of the newest version at the time of the call."""
-        number, state = self._log.latest()
-        if state is None:
-            raise LookupError(f"no current-state table in {self.path}")
-        return self._rows(state, state["live"])
-
-    def _rows(self, state: dict, buckets) -> DataFrame:
-        schema = T.StructType.fromJson(state["schema"])
-        folders = [f"{self.path}/{state['live'][b]}/{BUCKET}={b}" for b in buckets]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    # -- writing ----------------------------------------------------------------------
-
-    def apply(self, changes: DataFrame) -> int:
-        """Merge a batch of changes; returns the version that holds them."""
-        number, state = self._log.latest()
-        if state is None:
-            state = self._empty(changes.schema)
-        schema = widen(T.StructType.fromJson(state["schema"]), changes.schema)
-        folder = f"v{number + 1:012d}-{uuid.uuid4().hex[:8]}"
-
-        # Each key is down to one row before anything is moved to its bucket.
-        winners = self._place(latest_by_key(changes, self.keys, self.sequence_by, self.tie_break), state)
-        patches = 0
-        if state["live"]:
-            winners = winners.persist()
-            try:
-                touched = [str(row[0]) for row in winners.select(BUCKET).distinct().collect()]
-                if not touched:
-                    return number
-                known = {**state, "schema": schema.jsonValue()}
-                base = self._rows(known, [b for b in touched if b in state["live"]])
-                if state["patches"] < self.patches and self._is_small(winners, base):
-                    rows, patches = self._patched(base, winners, state, schema), state["patches"] + 1
-                else:
-                    rows = self._merged(base, winners, state, len(touched))
-                self._write(rows, schema, folder)
-            finally:
-                winners.unpersist()
-        else:
-            self._write(self._spread(winners, state, state["buckets"]), schema, folder)
-
-        written = [n.split("=")[1] for n in names(self.spark, f"{self.path}/{folder}") if n.startswith(BUCKET)]
-        live = {**state["live"], **dict.fromkeys(written, folder)}
-        self._log.put(
-            number + 1, {**state, "schema": schema.jsonValue(), "live": live, "patches": patches}
-        )
-        return number + 1
-
-    def _merged(self, base: DataFrame, winners: DataFrame, state: dict, touched: int) -> DataFrame:
-        """One shuffle of both sides to their parts, then the latest row per key."""
-        both = self._place(base, state).unionByName(winners, allowMissingColumns=True)
-        spread = self._spread(both, state, touched)
-        return latest_by_key(spread, self.keys, self.sequence_by, self.tie_break, (BUCKET, PART))
-
-    def _patched(
-        self, base: DataFrame, winners: DataFrame, state: dict, schema: T.StructType
-    ) -> DataFrame:
-        """The same without moving the rows of the table: the batch goes to them by broadcast.
-
-        The keys alone are read a second time, to find the rows of the batch that are new.
-        """
-        winners = _fit(winners, schema)
-        ties = tie_break_columns(schema, self.keys, self.sequence_by, self.tie_break)
-
-        def rank(row: str) -> Column:
-            # Struct comparison takes NULL for the smallest value, as the ranking does.
-            return F.struct(*[F.col(f"{row}.{name}") for name in (self.sequence_by, *ties)])
-
-        def same_key(row: str) -> Column:
-            return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{row}.{k}")) for k in self.keys])
-
-        new = F.broadcast(winners.select(F.struct(*schema.names).alias("new")))
-        old = base.select(*self.keys, F.struct(*schema.names).alias("old"))
-        wins = F.col("new").isNotNull() & (rank("new") > rank("old"))
-        kept = old.join(new, same_key("new"), "left").select(
-            F.when(wins, F.col("new")).otherwise(F.col("old")).alias("row")
-        )
-        met = base.select(*self.keys).join(new, same_key("new"), "left_semi")
-        met = met.select(F.struct(*self.keys).alias("met"))
-        added = self._place(winners.join(met, same_key("met"), "left_anti"), state)
-        return self._place(kept.select("row.*"), state).unionByName(added.repartition(BUCKET))
-
-    def _is_small(self, winners: DataFrame, base: DataFrame) -> bool:
-        """By the measured size of the cached batch and of the files of the table."""
-        batch = _bytes(winners)
-        return batch <= self.broadcast_bytes and batch * self.ADVANTAGE <= _bytes(base)
-
-    def _place(self, df: DataFrame, state: dict) -> DataFrame:
-        """Add the bucket and, finer, the part a row belongs to: both depend on the key alone."""
-        part = F.pmod(F.xxhash64(*self.keys), F.lit(state["buckets"] * state["splits"])).cast("int")
-        return df.withColumn(PART, part).withColumn(BUCKET, (F.col(PART) / state["splits"]).cast("int"))
-
-    def _spread(self, df: DataFrame, state: dict, touched: int) -> DataFrame:
-        """One task per part. Keys are unique by now, so parts are of even size."""
-        if touched * 2 >= state["buckets"]:
-            return df.repartitionById(state["buckets"] * state["splits"], F.col(PART))
-        return df.repartition(touched * state["splits"], BUCKET, PART)
-
-    def _write(self, df: DataFrame, schema: T.StructType, folder: str) -> None:
-        rows = df.sortWithinPartitions(BUCKET, *self.cluster_by)
-        columns = [field.name for field in schema if field.name in df.columns]
-        rows.select(*columns, BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete the folders that the last ``keep`` versions do not name.
-
-        To be called by the writer between batches; a reader that still works on an older
-        version loses its files.
+        """The current rows."""
+        return latest_by_key(self.appended(), self.keys, self.sequence_by, self.tie_break)
+
+    def select_sql(self, relation: str) -> str:
+        """:meth:`read` as SQL over a relation of the appended rows."""
+        return latest_by_key_sql(relation, self.schema(), self.keys, self.sequence_by, self.tie_break)
+
+    def apply(self, changes: DataFrame) -> None:
+        """Merge a batch of changes: one shuffle by key, and only rows of the batch are written."""
+        self.create(changes.schema)
+        winners = latest_by_key(changes, self.keys, self.sequence_by, self.tie_break)
+        cluster_within(winners, self.cluster_by).write.parquet(self._new_folder())
+
+    def _new_folder(self) -> str:
+        return f"{self.rows}/{uuid.uuid4().hex}"
+
+    def compact(self) -> list[str]:
+        """Write the current rows anew, clustered; returns the folders that are now superseded.
+
+        They may be removed when no reader that began before is still at work.
         """
-        numbers = self._log.numbers()
-        kept = [self._log.get(number) for number in numbers[-keep:]]
-        live = {f"{folder}/{BUCKET}={b}" for state in kept for b, folder in state["live"].items()}
-        for number in numbers[:-keep]:
-            self._log.drop(number)
-        used = {path.split("/")[0] for path in live}
-        for folder in names(self.spark, self.path):
-            if not folder.startswith("v"):
-                continue
-            if folder not in used:
-                delete(self.spark, f"{self.path}/{folder}")
-                continue
-            for bucket in names(self.spark, f"{self.path}/{folder}"):
-                if bucket.startswith(BUCKET) and f"{folder}/{bucket}" not in live:
-                    delete(self.spark, f"{self.path}/{folder}/{bucket}")
+        old = [f"{self.rows}/{name}" for name in names(self.spark, self.rows)]
+        cluster_globally(self.read(), self.cluster_by).write.parquet(self._new_folder())
+        return old
+
+    def remove(self, folders: Iterable[str]) -> None:
+        for folder in folders:
+            delete(self.spark, folder)

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Where a row came from says nothing about which of two changes is the later one.
+LINEAGE = ("_ingested_at", "_source_file")
+
 
 def orderable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.StructType):
@@ -17,40 +20,71 @@ def orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def tie_break_columns(
-    schema: T.StructType,
-    keys: Sequence[str],
-    sequence_by: str,
-    tie_break: Sequence[str] | None,
-    within: Sequence[str] = (),
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _comparable(field: T.StructField) -> str:
+    """SQL for something that orders the column's values; a map counts as its sorted entries."""
+    name, kind = _quoted(field.name), field.dataType
+    if orderable(kind):
+        return name
+    if isinstance(kind, T.MapType) and orderable(kind.keyType) and orderable(kind.valueType):
+        return f"sort_array(map_entries({name}))"
+    raise ValueError(f"column {field.name} of type {kind.simpleString()} has no order: give a tie-break")
+
+
+def ranking_order(
+    schema: T.StructType, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None
 ) -> list[str]:
-    """What orders rows of equal key and sequence: the given columns, else all that can."""
-    if tie_break is not None:
-        return list(tie_break)
-    taken = {*keys, *within, sequence_by}
-    return [f.name for f in schema if f.name not in taken and orderable(f.dataType)]
+    """What orders the rows of a key, as SQL, the first to be kept.
+
+    Without a tie-break, rows of equal sequence are ordered by all other columns in the order
+    of their *names*, lineage last. Where in the schema a column stands, and whether a batch
+    has it already, then makes no difference: a column nobody has yet is NULL in every row.
+    """
+    if tie_break is None:
+        taken = {*keys, sequence_by}
+        fields = sorted((f for f in schema if f.name not in taken), key=lambda f: (f.name in LINEAGE, f.name))
+    else:
+        fields = [schema[name] for name in tie_break if name in schema.names]
+    order = [_quoted(sequence_by), *map(_comparable, fields)]
+    return [f"{value} DESC NULLS LAST" for value in order]
 
 
 def latest_by_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    sequence_by: str,
-    tie_break: Sequence[str] | None = None,
-    within: Sequence[str] = (),
+    df: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None = None
 ) -> DataFrame:
     """Keep, for each key, the whole row with the greatest sequence value.
 
     A NULL sequence loses to any value, but a key that has nothing else keeps its row. Rows
-    with equal sequence are ordered by ``tie_break``; without one, by every other column, so
-    that the result never depends on the order in which rows arrive.
+    with equal sequence are ordered by ``tie_break``; without one, by every other column by
+    name, so that the result depends neither on the order in which rows arrive nor on the
+    order of columns. A column without any order, other than a map of ordered values, is then
+    an error.
 
     Ranking with a limit of one lets Spark reduce each key to one row before the shuffle
     (``WindowGroupLimit``), so a key with a third of all rows does not load one task, and
-    columns nobody asks for are pruned through it, which an aggregate over whole rows
-    prevents. ``within`` names columns that are functions of the key, by which the rows are
-    distributed already; the ranking then needs no shuffle of its own.
+    columns that neither decide nor are asked for are pruned through it, which an aggregate
+    over whole rows prevents.
     """
-    ties = tie_break_columns(df.schema, keys, sequence_by, tie_break, within)
-    order = [F.col(name).desc_nulls_last() for name in (sequence_by, *ties)]
-    ranking = Window.partitionBy(*within, *keys).orderBy(*order)
+    order = [_order_column(term) for term in ranking_order(df.schema, keys, sequence_by, tie_break)]
+    ranking = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranking)).filter("_rank = 1").drop("_rank")
+
+
+def _order_column(term: str):
+    return F.expr(term.removesuffix(" DESC NULLS LAST")).desc_nulls_last()
+
+
+def latest_by_key_sql(
+    relation: str, schema: T.StructType, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None = None
+) -> str:
+    """The same as SQL, for a view."""
+    columns = ", ".join(_quoted(name) for name in schema.names)
+    by = ", ".join(map(_quoted, keys))
+    order = ", ".join(ranking_order(schema, keys, sequence_by, tie_break))
+    return (
+        f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {order})"
+        f" AS `_rank` FROM {relation}) WHERE `_rank` = 1"
+    )

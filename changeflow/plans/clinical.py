@@ -19,7 +19,8 @@ from changeflow.operators import (
 )
 from changeflow.plans.specs import ReportSpec, TableSpec
 
-# Results depend on them.
+# Results depend on them. So do, below, the names of datasets, rules and columns,
+# the keys, the sequence columns and the layouts.
 ICD10_PATTERN = r"^[A-Z][0-9]{2}(\.[0-9A-Z]{1,4})?$"
 PROCEDURE_STATUSES = ("COMPLETED", "SCHEDULED", "CANCELLED")
 EMERGENCY = "EMERGENCY"
@@ -106,19 +107,19 @@ REPORTS = (
         name="gold_facility_summary",
         build=lambda tables: facility_summary(tables["encounters"]),
         layout=("facility_code",),
-        comment="Encounter volume and mean stay by facility and encounter type",
+        comment="For each facility and encounter type: stays, patients, emergencies, first and last admission",
     ),
     ReportSpec(
         name="gold_diagnosis_distribution",
         build=lambda tables: diagnosis_distribution(tables["diagnoses"], tables["encounters"]),
         layout=("facility_code", "diagnosis_code"),
-        comment="Frequency of diagnosis codes by facility",
+        comment="How often surviving diagnoses name a code, in how many encounters and patients of a facility",
     ),
     ReportSpec(
         name="gold_daily_admissions",
         build=lambda tables: daily_admissions(tables["encounters"]),
         layout=("facility_code", "admit_date_day"),
-        comment="Admissions by facility and day",
+        comment="Admissions that passed the checks, for each facility and UTC day",
     ),
 )
 

@@ -15,6 +15,7 @@ from changeflow.sources import (
     ingest_files,
     publish_table,
     publish_view,
+    refresh,
     read_files,
     stored_schema,
     stream_files,
@@ -43,8 +44,8 @@ class Layers:
     """The folders of one flow. ``source`` has one folder of change files per entity.
 
     ``max_files_per_trigger`` cuts the raw intake into micro-batches; the later layers take
-    what is there in one batch, so a run rewrites a bucket of the current state once.
-    Readers of the current state may be up to ``keep_versions - 1`` versions behind.
+    what is there in one batch. A run appends to the current state what its batch changes;
+    :meth:`compact` is to be called now and then.
     """
 
     spark: SparkSession
@@ -52,11 +53,8 @@ class Layers:
     root: str
     tables: Sequence[TableSpec]
     reports: Sequence[ReportSpec] = ()
-    buckets: int = 32
-    splits: int = 1
     max_files_per_trigger: int | None = None
     parallel: int = 4
-    keep_versions: int = 2
 
     def path(self, dataset: str) -> str:
         return f"{self.root}/{dataset}"
@@ -75,8 +73,6 @@ class Layers:
             spec.sequence_by,
             spec.tie_break,
             cluster_by=spec.layout,
-            buckets=self.buckets,
-            splits=self.splits,
             comment=spec.comments.get("gold", ""),
         )
 
@@ -90,8 +86,18 @@ class Layers:
             state = dict(zip((s.name for s in self.tables), pool.map(self._advance, self.tables)))
         for report in self.reports:
             write_clustered(report.build(state), self.path(report.name), report.layout)
+        for name in (*self.datasets(), *(self._rows_name(s) for s in self.tables)):
+            refresh(self.spark, name)
         return self
 
+    def compact(self) -> dict[str, list[str]]:
+        """Write the current tables anew; per table the folders that may go when readers are done."""
+        return {spec.current: self.current_table(spec).compact() for spec in self.tables}
+
+    @staticmethod
+    def _rows_name(spec: TableSpec) -> str:
+        return f"{spec.current}_rows"
+
     def _advance(self, spec: TableSpec) -> DataFrame:
         """Bring one entity from its new files to its current state."""
         raw = self._ingest(spec)
@@ -103,7 +109,6 @@ class Layers:
         table = self.current_table(spec)
         changes = stream_files(self.spark, silver, clean.schema)
         finish([upsert_stream(changes, table, self._checkpoint(spec.current))])
-        table.vacuum(self.keep_versions)
         return table.read()
 
     def _schemas(self, spec: TableSpec) -> str:
@@ -138,13 +143,19 @@ class Layers:
         return names + [report.name for report in self.reports]
 
     def publish(self) -> None:
-        """Register everything under its name: tables, and views for the current state."""
+        """Register everything under its name, with comments.
+
+        The current state is a view over a table of the rows appended, so it has the newest
+        state whenever it is read, in any session of the catalog. Call again when a column is new.
+        """
         for spec in self.tables:
             for layer, name in (("bronze", spec.bronze), ("silver", spec.silver)):
                 publish_table(
                     self.spark, name, self.read(name), self.path(name), spec.comments.get(layer, "")
                 )
-            publish_view(self.spark, spec.current, self.read(spec.current))
+            table, rows, comment = self.current_table(spec), self._rows_name(spec), spec.comments.get("gold", "")
+            publish_table(self.spark, rows, table.appended(), table.rows, f"Changes that are ranked by {spec.current}")
+            publish_view(self.spark, spec.current, table.select_sql(rows), comment)
         for report in self.reports:
             publish_table(
                 self.spark, report.name, self.read(report.name), self.path(report.name), report.comment

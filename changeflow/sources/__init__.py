@@ -1,12 +1,13 @@
 from changeflow.sources.files import ingest_files, read_files, stream_files, with_lineage
 from changeflow.sources.schema import infer_schema, stored_schema, tracked_schema, widen
-from changeflow.sources.tables import publish_table, publish_view
+from changeflow.sources.tables import publish_table, publish_view, refresh
 
 __all__ = [
     "infer_schema",
     "ingest_files",
     "publish_table",
     "publish_view",
+    "refresh",
     "read_files",
     "stored_schema",
     "stream_files",

@@ -1,6 +1,6 @@
 """Small files in the shared store, through the Hadoop file system Spark is set up with.
 
-Used for bookkeeping only (schemas, bucket maps, counts): a few kilobytes per call.
+Used for bookkeeping only (schemas, counts): a few kilobytes per call.
 """
 
 from __future__ import annotations
@@ -21,12 +21,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """Number of files below a folder, markers included."""
-    fs, target = _resolve(spark, path)
-    return fs.getContentSummary(target).getFileCount()
-
-
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.mkdirs(target)

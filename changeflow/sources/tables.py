@@ -1,19 +1,46 @@
-"""Named tables over folders this package writes."""
+"""Named tables and views over folders this package writes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def quoted(name: str) -> str:
+    """A possibly qualified name for SQL, each part in backticks."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()
+    return {row["col_name"]: row["data_type"] for row in rows}
+
+
+def _same_folder(spark: SparkSession, a: str, b: str) -> bool:
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (a, b)]
+    config = spark._jsc.hadoopConfiguration()
+    whole = [p.getFileSystem(config).makeQualified(p).toUri().getPath().rstrip("/") for p in paths]
+    return whole[0] == whole[1]
+
+
 def publish_table(spark: SparkSession, name: str, df: DataFrame, path: str, comment: str = "") -> None:
     """Register the folder as an external table, so that ``spark.read.table`` and
     ``spark.readStream.table`` find it by name.
 
-    ``df`` gives the columns. Registering again replaces the definition, never the files.
+    ``df`` gives the columns. Registering again replaces the definition, never the files: a
+    table of this name that is managed, a view, or lies elsewhere is left alone and an error.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(quoted(name)):
+        found = _described(spark, name)
+        ours = found.get("Type") == "EXTERNAL" and _same_folder(spark, found.get("Location", ""), path)
+        if not ours:
+            raise ValueError(f"there is another table or view named {name}")
+        spark.sql(f"DROP TABLE {quoted(name)}")
     spark.catalog.createTable(
-        name,
+        quoted(name),
         path=path,
         source="parquet",
         schema=df.schema,
@@ -22,6 +49,14 @@ def publish_table(spark: SparkSession, name: str, df: DataFrame, path: str, comm
     )
 
 
-def publish_view(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Register a session view, for tables whose folder set changes with every version."""
-    df.createOrReplaceTempView(name)
+def publish_view(spark: SparkSession, name: str, sql: str, comment: str = "") -> None:
+    """Register a view in the catalog. A table of this name is an error and stays."""
+    if spark.catalog.tableExists(quoted(name)) and _described(spark, name).get("Type") != "VIEW":
+        raise ValueError(f"there is a table named {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} COMMENT {_text(comment)} AS {sql}")
+
+
+def refresh(spark: SparkSession, name: str) -> None:
+    """Forget which files a published table had when this session last read it."""
+    if spark.catalog.tableExists(quoted(name)):
+        spark.catalog.refreshTable(quoted(name))

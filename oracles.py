@@ -165,3 +165,15 @@ def row_counts() -> str:
     return " union all ".join(
         f"select '{name}' as dataset, count(*) as row_count from ({sql})" for name, sql in counted.items()
     )
+
+
+def evolving() -> str:
+    """Ties in time go to the greater values, column by column in the order of names."""
+    ties = (
+        "admit_date, cdc_operation, discharge_date, encounter_type, facility_code, is_emergency,"
+        " length_of_stay_hours, patient_id, s5"
+    )
+    order = ", ".join(f"{name.strip()} desc nulls last" for name in ("cdc_timestamp, " + ties).split(","))
+    return f"""select * exclude (pos), cast(2 as bigint) as orders from (
+        select *, row_number() over (partition by encounter_id order by {order}) as pos
+        from (select * exclude (s3, s4) replace (0 as s2) from ({silver('encounters')}))) where pos = 1"""

@@ -78,7 +78,7 @@ def deliver(spark, source, data, folder):
 @pytest.fixture(scope="module")
 def layers(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("layers")
-    flow = Layers(spark, f"{root}/source", f"{root}/tables", TABLES, REPORTS, buckets=4)
+    flow = Layers(spark, f"{root}/source", f"{root}/tables", TABLES, REPORTS)
     deliver(spark, flow.source, FIRST, "batch_000")
     flow.run()
     deliver(spark, flow.source, SECOND, "batch_001")
@@ -154,13 +154,8 @@ def test_a_run_without_news_changes_nothing(layers):
     assert {name: layers.read(name).count() for name in layers.datasets()} == before
 
 
-def test_old_versions_are_removed(spark, layers):
-    for spec in TABLES:
-        assert len(layers.current_table(spec)._log.numbers()) <= layers.keep_versions
-
-
 def test_nothing_survives_the_checks(spark, tmp_path):
-    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS, buckets=2)
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS)
     lost = {
         "encounters": [encounter(None, "I", 1)],
         "diagnoses": [diagnosis("D1", "D", 1)],
@@ -177,7 +172,7 @@ def test_nothing_survives_the_checks(spark, tmp_path):
 
 
 def test_a_new_column_reaches_the_current_state(spark, tmp_path):
-    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS, buckets=2)
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS)
     deliver(spark, flow.source, FIRST, "batch_000")
     flow.run()
     wide = spark.createDataFrame([(*encounter("E7", "I", 4), "ICU")], ENCOUNTER + ", ward string")
@@ -189,7 +184,7 @@ def test_a_new_column_reaches_the_current_state(spark, tmp_path):
 
 
 def test_a_broken_entity_does_not_hold_up_the_others(spark, tmp_path):
-    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS, buckets=2)
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS)
     deliver(spark, flow.source, FIRST, "batch_000")
     spark.sql("SELECT 1 AS procedure_id").write.mode("append").parquet(f"{flow.source}/procedures")
     with pytest.raises(Exception, match="(?i)merge"):
@@ -203,14 +198,63 @@ def test_incremental_equals_one_go(spark, layers):
         assert rows(layers.read(spec.current)) == rows(want)
 
 
-def test_datasets_by_name(spark, layers):
-    layers.publish()
+def test_ties_across_runs_and_a_new_column(spark, tmp_path):
+    """The same two changes give the same row in one run, in two, and in two the other way round."""
+    plain = spark.createDataFrame([encounter("E1", "U", 4)], ENCOUNTER)
+    ward = spark.createDataFrame([(*encounter("E1", "U", 4), "B")], ENCOUNTER + ", ward string")
+    seen = set()
+    for name, runs in (("one", ((plain, ward),)), ("two", ((plain,), (ward,))), ("back", ((ward,), (plain,)))):
+        flow = Layers(spark, f"{tmp_path}/{name}/source", f"{tmp_path}/{name}/tables", TABLES[:1])
+        for number, batches in enumerate(runs):
+            for k, batch in enumerate(batches):
+                batch.write.parquet(f"{flow.source}/encounters/batch_{number}{k}")
+            flow.run()
+        seen.add(flow.read("gold_encounters_current").first()["ward"])
+    assert seen == {"B"}
+
+
+def test_datasets_by_name(spark, tmp_path):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS)
+    deliver(spark, flow.source, FIRST, "batch_000")
+    flow.run().publish()
+    names = [*flow.datasets(), *(f"{s.current}_rows" for s in TABLES)]
     try:
-        for name in layers.datasets():
-            assert spark.read.table(name).count() == layers.read(name).count()
+        deliver(spark, flow.source, SECOND, "batch_001")
+        flow.run()
+        old = flow.compact()
+        for spec in TABLES:
+            flow.current_table(spec).remove(old[spec.current])
+        flow.run()
+        for name in flow.datasets():
+            assert rows(spark.read.table(name)) == rows(flow.read(name))
+        for spec in TABLES:
+            assert spark.catalog.getTable(spec.current).description == spec.comments["gold"]
         assert spark.catalog.getTable("silver_diagnoses").description == DIAGNOSES.comments["silver"]
         assert spark.catalog.getTable("gold_daily_admissions").description == REPORTS[2].comment
         assert spark.readStream.table("bronze_encounters").isStreaming
+        flow.publish()
+    finally:
+        for name in names:
+            spark.sql(f"DROP {'VIEW' if name.endswith('_current') else 'TABLE'} IF EXISTS {name}")
+
+
+def test_tables_of_others_are_left_alone(spark, tmp_path):
+    from changeflow.sources import publish_table, publish_view
+
+    spark.range(3).write.saveAsTable("somebody")
+    spark.range(2).write.parquet(f"{tmp_path}/ours")
+    spark.range(2).write.option("path", f"{tmp_path}/theirs").saveAsTable("elsewhere")
+    try:
+        ours = spark.read.parquet(f"{tmp_path}/ours")
+        for name in ("somebody", "elsewhere"):
+            with pytest.raises(ValueError, match="another table"):
+                publish_table(spark, name, ours, f"{tmp_path}/ours")
+            with pytest.raises(ValueError, match="there is a table"):
+                publish_view(spark, name, "SELECT 1 AS a")
+        assert spark.read.table("somebody").count() == 3
+        publish_table(spark, "default.select", ours, f"{tmp_path}/ours")
+        publish_table(spark, "default.select", ours, f"{tmp_path}/ours", "again")
+        assert spark.read.table("`default`.`select`").count() == 2
     finally:
-        for name in layers.datasets():
-            spark.sql(f"DROP {'VIEW' if name.endswith('_current') else 'TABLE'} {name}")
+        for name in ("somebody", "elsewhere", "`default`.`select`"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -66,12 +66,21 @@ def test_distinct_counts_are_shuffled_by_value_and_reduced_first(spark, plan, tm
     assert "partial_avg" in by_value.split("\n")[1]
 
 
+def test_rows_are_reduced_before_they_are_tripled(spark, plan, tmp_path):
+    table = stored(spark, str(tmp_path / "t"))
+    text = plan(diagnosis_distribution(table.drop("facility_code", "encounter_type"), table))
+    below = text.split("Expand")[1]
+    assert "HashAggregate(keys=[encounter_id" in below and "count(1)" in below
+
+
 def test_a_hot_encounter_is_split_in_the_join(spark, tmp_path, plan):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        # A partition is split between the tasks that wrote it; so few rows would get a single one.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     encounters = spark.range(2000).selectExpr(
         "cast(id as string) encounter_id", "'f' facility_code", "'t' encounter_type"

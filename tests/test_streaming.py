@@ -106,7 +106,7 @@ def test_observed_rules_are_in_the_progress(spark, source, tmp_path):
 
 
 def test_upsert_equals_batch_with_restart_and_replay(spark, source, tmp_path):
-    table = CurrentTable(spark, f"{tmp_path}/t", ["k"], "seq", buckets=4)
+    table = CurrentTable(spark, f"{tmp_path}/t", ["k"], "seq")
     checkpoint = f"{tmp_path}/checkpoint"
     held = f"{tmp_path}/held"
     os.makedirs(held)
@@ -123,7 +123,7 @@ def test_upsert_equals_batch_with_restart_and_replay(spark, source, tmp_path):
 
 
 def test_a_lost_checkpoint_loses_no_rows(spark, source, tmp_path):
-    table = CurrentTable(spark, f"{tmp_path}/t", ["k"], "seq", buckets=4)
+    table = CurrentTable(spark, f"{tmp_path}/t", ["k"], "seq")
     finish([upsert_stream(stream(spark, source, 6), table, f"{tmp_path}/first")])
     before = rows(table.read())
     spark.createDataFrame([("new", 1, 1)], "k string, seq long, v long").write.parquet(f"{source}/file=9")
