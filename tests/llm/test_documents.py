@@ -9,11 +9,17 @@ import pyarrow as pa
 import pytest
 
 from changeflow.llm import kernels, minhash, mixing, packing, quality, suffix, token_counts
+from changeflow.llm.ship import shipped
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def code_on_executors(spark):
+    shipped(lambda session: None)(spark)
+
+
 def lower(text):
     return text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 

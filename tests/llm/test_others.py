@@ -12,6 +12,7 @@ import compare
 import corpus_pipeline
 from changeflow.llm import chat, components, embeddings, quality, topk, url_filter
 from changeflow.llm.queries import ORACLES, QUERIES
+from changeflow.llm.ship import shipped
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -19,6 +20,11 @@ TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversati
 needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def code_on_executors(spark):
+    shipped(lambda session: None)(spark)
+
+
 @needs_data
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
