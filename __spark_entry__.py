@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,6 +20,7 @@ from changeflow.operators import (  # noqa: E402
     diagnoses_with_facility,
     diagnosis_distribution,
     facility_summary,
+    key_ranges,
     quality_history,
     quality_report,
     write_clustered,
@@ -54,10 +55,13 @@ ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
 
 # How many micro-batches the queries that show incremental work use, at any size of data.
 BATCHES = 4
+# How many files the query that shows a clustered layout writes.
+CLUSTERED_FILES = 4
 
 
 def _feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # stays and days are those of UTC
+    """The changes of an entity. Stays and days are those of the session time zone, which
+    ``build_session`` sets to UTC."""
     return FEEDS[entity](tables_in(spark, sf_dir))
 
 
@@ -103,25 +107,31 @@ def _daily_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clustered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "clustered")
-    report = daily_admissions(_current("encounters", spark, sf_dir))
-    write_clustered(report, path, ("facility_code", "admit_date_day"))
-    return _midnight(read_files(spark, path))
+    """The report read back from several files; ``file_apart`` tells whether the range of keys of a
+    row's file is apart from those of the files before it, so that a filter on them skips files."""
+    path, key = scratch_dir(spark, "clustered"), ("facility_code", "admit_date_day")
+    write_clustered(daily_admissions(_current("encounters", spark, sf_dir)), path, key, CLUSTERED_FILES)
+    rows = read_files(spark, path)
+    ranges = key_ranges(rows, key)
+    files = rows.select("*", F.col("_metadata.file_name").alias("file"))
+    counted = ranges.withColumn("files", F.count("*").over(Window.partitionBy()))
+    found = files.join(counted, "file").withColumn("file_apart", F.col("apart") & (F.col("files") > 1))
+    return _midnight(found.drop("file", "apart", "files"))
+
+
+def _silver_procedures_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes whose source also delivers the column of values that did not fit."""
+    feed = _feed(spark, sf_dir, "procedures")
+    rescued = F.when(F.col("s3") % 2 == 0, F.to_json(F.struct("procedure_date")))
+    return checked(feed.withColumn("_rescued_data", rescued), ENTITIES["procedures"])
 
 
 # -- streams --------------------------------------------------------------------------
 
 
 def _land(feed: DataFrame, folder: str, by: str | None = None) -> None:
-    """Write a feed as the change files of a source, in one folder or one per ship year.
-
-    A source delivers many files. The small test tables are one file each, which one task
-    reads, so their rows are dealt out first.
-    """
-    cores = feed.sparkSession.sparkContext.defaultParallelism
+    """Write a feed as the change files of a source, in one folder or one per ship year."""
     if by is None:
-        if feed.rdd.getNumPartitions() < cores:
-            feed = feed.repartition(cores)
         feed.write.parquet(folder)
     else:
         feed.withColumn("year", F.year(by)).write.partitionBy("year").parquet(folder)
@@ -134,8 +144,10 @@ def _files_per_batch(spark: SparkSession, folder: str) -> int:
 
 
 def _clear(spark: SparkSession, root: str) -> None:
-    """Remove the change files a query landed for itself, once they are taken in."""
-    delete(spark, f"{root}/source")
+    """Remove what a query made for itself and its result does not read: the change files it
+    landed, and what streams and schemas keep to go on from."""
+    for name in ("source", "checkpoint", "schema", "quarters", "tables/_checkpoints"):
+        delete(spark, f"{root}/{name}")
 
 
 def _bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +220,6 @@ def _current_incremental(entity: str, spark: SparkSession, sf_dir: str) -> DataF
         rows = stream_files(spark, f"{root}/source", feed.schema)
         finish([upsert_stream(rows, table, f"{root}/checkpoint")])
     _clear(spark, root)
-    delete(spark, f"{root}/quarters")
     return table.read()
 
 
@@ -330,6 +341,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "diagnosis_distribution": _diagnosis_distribution,
         "daily_admissions": _daily_admissions,
         "clustered_roundtrip": _clustered_roundtrip,
+        "silver_procedures_rescued": _silver_procedures_rescued,
         "layers_row_counts": _layers_row_counts,
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
         "layers_current_by_name": _layers_current_by_name,
@@ -364,7 +376,8 @@ def oracle_sql() -> dict[str, str]:
         "diagnoses_with_facility": oracles.diagnoses_with_facility(),
         "diagnosis_distribution": oracles.diagnosis_distribution(),
         "daily_admissions": oracles.daily_admissions(),
-        "clustered_roundtrip": oracles.daily_admissions(),
+        "clustered_roundtrip": f"select *, true as file_apart from ({oracles.daily_admissions()})",
+        "silver_procedures_rescued": oracles.silver("procedures"),
         "layers_row_counts": oracles.row_counts(),
         "layers_diagnosis_distribution": oracles.diagnosis_distribution(),
         "layers_current_by_name": f"""select *, 'Procedures, latest row per procedure_id' as table_comment

@@ -1,7 +1,7 @@
 from changeflow.operators.clean import drop_deletes, drop_rescued, keep_active
 from changeflow.operators.current import CurrentTable
 from changeflow.operators.latest import latest_by_key
-from changeflow.operators.layout import cluster_globally, cluster_within, write_clustered
+from changeflow.operators.layout import cluster_globally, cluster_within, key_ranges, write_clustered
 from changeflow.operators.quality import (
     Rule,
     apply_rules,
@@ -33,6 +33,7 @@ __all__ = [
     "expect_or_drop",
     "facility_summary",
     "keep_active",
+    "key_ranges",
     "latest_by_key",
     "observe_rules",
     "quality_history",

@@ -3,12 +3,15 @@ and row groups."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeflow.sources.paths import replace_folder
+
 
 def cluster_within(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sort inside each task, without a shuffle: for large appends that arrive roughly in order."""
@@ -23,8 +26,9 @@ def _hashable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def cluster_globally(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Range-distribute and sort, one shuffle.
+def cluster_globally(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """Range-distribute and sort, one shuffle; into ``files`` parts, or as many as adaptive
+    execution finds right for their size.
 
     A hash of the row ends the range key, so one value with a third of all rows is spread
     over many tasks instead of filling one. It depends on the row alone, so a task that
@@ -33,9 +37,25 @@ def cluster_globally(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if not columns:
         return df
     hashed = [field.name for field in df.schema if _hashable(field.dataType)]
-    return df.repartitionByRange(*columns, F.xxhash64(*hashed)).sortWithinPartitions(*columns)
+    parts = () if files is None else (files,)
+    return df.repartitionByRange(*parts, *columns, F.xxhash64(*hashed)).sortWithinPartitions(*columns)
+
 
+def write_clustered(df: DataFrame, path: str, columns: Sequence[str] = (), files: int | None = None) -> None:
+    """Replace the folder by the rows, clustered: the sink of a fully recomputed table.
 
-def write_clustered(df: DataFrame, path: str, columns: Sequence[str] = ()) -> None:
-    """Replace the folder by the rows, clustered: the sink of a fully recomputed table."""
-    cluster_globally(df, columns).write.mode("overwrite").parquet(path)
+    The rows are written beside the folder and take its place when they are complete, so a
+    job that fails leaves the old ones.
+    """
+    draft = f"{path.rstrip('/')}-draft-{uuid.uuid4().hex}"
+    cluster_globally(df, columns, files).write.parquet(draft)
+    replace_folder(df.sparkSession, draft, path)
+
+
+def key_ranges(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per file of a DataFrame that was read from files: ``file``, and whether its range
+    of ``columns`` lies ``apart`` from those of all files before it."""
+    key = F.struct(*columns)
+    bounds = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    return bounds.select("file", F.coalesce(before < F.col("low"), F.lit(True)).alias("apart"))

@@ -11,6 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from changeflow.sources.paths import make_dir
 
 WARN = "warn"
 DROP = "drop"
@@ -26,6 +29,8 @@ class Rule:
     def __post_init__(self):
         if self.action not in (WARN, DROP):
             raise ValueError(f"rule {self.name}: unknown action {self.action}")
+        if self.name.lower() == TOTAL:
+            raise ValueError(f"no rule may be named {TOTAL}")
 
 
 def expect(name: str, predicate: str) -> Rule:
@@ -50,6 +55,10 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return df
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _passed(rule: Rule) -> Column:
     return F.coalesce(F.expr(rule.predicate), F.lit(False))
 
@@ -67,7 +76,7 @@ def _long_form(counts: DataFrame, rules: Iterable[Rule], labels: tuple[str, ...]
             F.struct(
                 F.lit(rule.name).alias("rule"),
                 F.lit(rule.action).alias("action"),
-                F.col(rule.name).alias("failed_rows"),
+                F.col(_quoted(rule.name)).alias("failed_rows"),
             )
             for rule in rules
         ]
@@ -110,12 +119,13 @@ def quality_history(
     """
     rules = tuple(rules)
     fields = [TOTAL, *(rule.name for rule in rules)]
-    stored = spark.read.schema(", ".join(f"{name} BIGINT" for name in fields)).json(path)
+    make_dir(spark, path)  # before the first batch there is none
+    stored = spark.read.schema(T.StructType([T.StructField(name, T.LongType()) for name in fields])).json(path)
     if by_batch:
         batch = F.regexp_replace("_metadata.file_name", "\\.json$", "").alias("batch")
-        counts = stored.select(batch, *[F.coalesce(name, F.lit(0)).alias(name) for name in fields])
+        counts = stored.select(batch, *[F.coalesce(_quoted(name), F.lit(0)).alias(name) for name in fields])
         return _long_form(counts.withColumn("dataset", F.lit(dataset)), rules, ("dataset", "batch"))
-    sums = stored.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in fields])
+    sums = stored.agg(*[F.coalesce(F.sum(_quoted(name)), F.lit(0)).alias(name) for name in fields])
     return _long_form(sums.withColumn("dataset", F.lit(dataset)), rules)
 
 

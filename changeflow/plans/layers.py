@@ -11,18 +11,10 @@ from pyspark.sql import types as T
 
 from changeflow.operators import CurrentTable, apply_rules, latest_by_key, quality_history, write_clustered
 from changeflow.plans.specs import ReportSpec, TableSpec
-from changeflow.sources import (
-    ingest_files,
-    publish_table,
-    publish_view,
-    refresh,
-    read_files,
-    stored_schema,
-    stream_files,
-    tracked_schema,
-)
+from changeflow.sources import publish_table, publish_view, read_files, refresh, starting_schema, stored_schema
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE
-from changeflow.streaming import append_stream, finish, upsert_stream
+from changeflow.sources.paths import exists, make_dir, write_json
+from changeflow.streaming import counts_file, intake, write_checked
 
 
 def checked(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -43,9 +35,10 @@ def current(changes: DataFrame, spec: TableSpec) -> DataFrame:
 class Layers:
     """The folders of one flow. ``source`` has one folder of change files per entity.
 
-    ``max_files_per_trigger`` cuts the raw intake into micro-batches; the later layers take
-    what is there in one batch. A run appends to the current state what its batch changes;
-    :meth:`compact` is to be called now and then.
+    Each entity is one stream over its change files, which ``max_files_per_trigger`` may cut
+    into micro-batches. A batch goes through all layers before the next one, so raw and checked
+    rows are never listed or read again as sources of their own. A run appends to the current
+    state what its batches change; :meth:`compact` is to be called now and then.
     """
 
     spark: SparkSession
@@ -99,39 +92,55 @@ class Layers:
         return f"{spec.current}_rows"
 
     def _advance(self, spec: TableSpec) -> DataFrame:
-        """Bring one entity from its new files to its current state."""
-        raw = self._ingest(spec)
-        bronze, silver = self.path(spec.bronze), self.path(spec.silver)
-        finish([append_stream(raw, bronze, self._checkpoint(spec.bronze), spec.raw_layout)])
-        clean = spec.clean(stream_files(self.spark, bronze, raw.schema))
-        checkpoint, counts = self._checkpoint(spec.silver), self._counts(spec)
-        finish([append_stream(clean, silver, checkpoint, spec.layout, spec.rules, counts)])
-        table = self.current_table(spec)
-        changes = stream_files(self.spark, silver, clean.schema)
-        finish([upsert_stream(changes, table, self._checkpoint(spec.current))])
+        """Bring one entity from its new files to its current state, batch by batch.
+
+        The counts of a batch are written last and mark it as done: one that is delivered
+        again before that replaces its rows, and merging them again changes nothing.
+        """
+        table, source = self.current_table(spec), f"{self.source}/{spec.name}"
+        starting_schema(self.spark, source, self._schemas(spec))
+        make_dir(self.spark, self.path(spec.silver))
+        make_dir(self.spark, self._counts(spec))
+        table.create(self._schema(spec, spec.silver))
+
+        def check_and_merge(raw: DataFrame, name: str) -> None:
+            marker = counts_file(self._counts(spec), name)
+            if exists(self.spark, marker):
+                return
+            folder, clean = f"{self.path(spec.silver)}/{name}", spec.clean(raw)
+            counts = write_checked(clean, folder, spec.layout, spec.rules)
+            table.apply(self.spark.read.schema(clean.schema).parquet(folder))
+            write_json(self.spark, marker, counts, replace=True)
+
+        intake(
+            self.spark,
+            source,
+            self._schemas(spec),
+            self.path(spec.bronze),
+            self._checkpoint(spec.bronze),
+            spec.raw_layout,
+            check_and_merge,
+            self.max_files_per_trigger,
+        )
         return table.read()
 
     def _schemas(self, spec: TableSpec) -> str:
         return f"{self.root}/_schemas/{spec.bronze}"
 
-    def _ingest(self, spec: TableSpec) -> DataFrame:
-        source = f"{self.source}/{spec.name}"
-        schema = tracked_schema(self.spark, source, self._schemas(spec))
-        return ingest_files(self.spark, source, schema, max_files_per_trigger=self.max_files_per_trigger)
+    def _schema(self, spec: TableSpec, dataset: str) -> T.StructType:
+        """Of the raw or the checked rows. Older files lack the columns that came later, so no
+        single file has it."""
+        raw = stored_schema(self.spark, self._schemas(spec))
+        raw = raw.add(INGESTED_AT, T.TimestampType()).add(SOURCE_FILE, T.StringType())
+        return raw if dataset == spec.bronze else spec.clean(self.spark.createDataFrame([], raw)).schema
 
     def read(self, dataset: str) -> DataFrame:
         """A dataset by name, as of the last run."""
         for spec in self.tables:
             if dataset == spec.current:
                 return self.current_table(spec).read()
-            # Older files lack the columns that came later, so no single file has the schema.
-            raw = stored_schema(self.spark, self._schemas(spec))
-            raw = raw.add(INGESTED_AT, T.TimestampType()).add(SOURCE_FILE, T.StringType())
-            if dataset == spec.bronze:
-                return read_files(self.spark, self.path(dataset), raw)
-            if dataset == spec.silver:
-                clean = spec.clean(self.spark.createDataFrame([], raw))
-                return read_files(self.spark, self.path(dataset), clean.schema)
+            if dataset in (spec.bronze, spec.silver):
+                return read_files(self.spark, self.path(dataset), self._schema(spec, dataset))
         return read_files(self.spark, self.path(dataset))
 
     def quality(self, spec: TableSpec, by_batch: bool = False) -> DataFrame:

@@ -1,6 +1,6 @@
 """Small files in the shared store, through the Hadoop file system Spark is set up with.
 
-Used for bookkeeping only (schemas, counts): a few kilobytes per call.
+Used for bookkeeping only (schemas, counts, code): small files, written whole.
 """
 
 from __future__ import annotations
@@ -40,6 +40,24 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``."""
+    fs, target = _resolve(spark, path)
+    draft = _resolve(spark, new)[1]
+    fs.delete(target, True)
+    if not fs.rename(draft, target):
+        raise OSError(f"{new} could not be renamed to {path}")
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    fs, target = _resolve(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
 def read_json(spark: SparkSession, path: str) -> dict:
     fs, target = _resolve(spark, path)
     stream = fs.open(target)

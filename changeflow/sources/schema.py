@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -40,6 +43,23 @@ def stored_schema(spark: SparkSession, location: str) -> T.StructType:
     return T.StructType.fromJson(stored) if stored else T.StructType([])
 
 
+def starting_schema(spark: SparkSession, path: str, location: str) -> T.StructType:
+    """The stored schema or, for a start, that of all files; reads no footers once it is stored."""
+    return stored_schema(spark, location) or tracked_schema(spark, path, location)
+
+
+def grow_schema(spark: SparkSession, location: str, files: Sequence[str]) -> bool:
+    """Add to the stored schema what is new in these files, given as ``_metadata.file_path`` has
+    them; whether there was anything. Reads their footers and no others."""
+    log = NumberedFiles(spark, location)
+    known = stored_schema(spark, location)
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    current = widen(known, reader.parquet(*[unquote(file) for file in files]).schema)
+    if current != known:
+        log.put(log.latest()[0] + 1, current.jsonValue())
+    return current != known
+
+
 def tracked_schema(
     spark: SparkSession, path: str, location: str, path_glob: str | None = None
 ) -> T.StructType:

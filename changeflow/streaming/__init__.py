@@ -1,3 +1,3 @@
-from changeflow.streaming.flows import append_stream, finish, upsert_stream
+from changeflow.streaming.flows import append_stream, counts_file, finish, intake, upsert_stream, write_checked
 
-__all__ = ["append_stream", "finish", "upsert_stream"]
+__all__ = ["append_stream", "counts_file", "finish", "intake", "upsert_stream", "write_checked"]

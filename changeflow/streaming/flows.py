@@ -6,15 +6,93 @@ where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.current import CurrentTable
 from changeflow.operators.layout import cluster_within
 from changeflow.operators.quality import Rule, apply_rules, as_counts, observe_rules
-from changeflow.sources.paths import exists, make_dir, write_json
+from changeflow.sources.files import SOURCE_FILE, ingest_files
+from changeflow.sources.paths import delete, exists, make_dir, write_json
+from changeflow.sources.schema import grow_schema, starting_schema
+
+
+def batch_name(batch: DataFrame, number: int) -> str:
+    """Query and number of a micro-batch, the same when it is delivered again."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}/{number:09d}"
+
+
+def counts_file(counts: str, name: str) -> str:
+    """Where the rule counts of a batch lie."""
+    return f"{counts}/{name.replace('/', '-')}.json"
+
+
+def write_checked(batch: DataFrame, folder: str, cluster_by: Sequence[str], rules: Sequence[Rule]) -> dict[str, int]:
+    """Write the rows that pass, replacing leftovers, and count the rules in the same pass."""
+    seen = Observation()
+    if rules:
+        batch = apply_rules(observe_rules(batch, rules, seen), rules)
+    cluster_within(batch, cluster_by).write.mode("overwrite").parquet(folder)
+    return as_counts(seen.get) if rules else {}
+
+
+def intake(
+    spark: SparkSession,
+    source: str,
+    schemas: str,
+    path: str,
+    checkpoint: str,
+    cluster_by: Sequence[str],
+    then: Callable[[DataFrame, str], None],
+    max_files_per_trigger: int | None = None,
+) -> None:
+    """Take in all new files of a folder, which may have columns nobody has seen before.
+
+    Each micro-batch is written to a folder of its own below ``path``. Then the footers of its
+    files, and of no others, are held against the schema tracked in ``schemas``. If a column is
+    new, the folder goes, the schema grows and the batch is delivered again; a column that
+    changed its type is an error. ``then`` gets the rows as written and the batch's name, and
+    has to bear being called again with the same batch.
+    """
+    make_dir(spark, path)
+    schema = starting_schema(spark, source, schemas)
+    grown: list[str] = []
+    refused: list[ValueError] = []
+
+    def store(batch: DataFrame, number: int) -> None:
+        session, name = batch.sparkSession, batch_name(batch, number)
+        folder = f"{path}/{name}"
+        cluster_within(batch, cluster_by).write.mode("overwrite").parquet(folder)
+        written = session.read.schema(batch.schema).parquet(folder)
+        files = [row[0] for row in written.select(SOURCE_FILE).distinct().collect()]
+        try:
+            wider = bool(files) and grow_schema(session, schemas, files)
+        except ValueError as error:
+            refused.append(error)
+            delete(session, folder)
+            raise
+        if wider:
+            grown.append(name)
+            delete(session, folder)
+            raise RuntimeError(f"batch {name} has new columns and is to be delivered again")
+        then(written, name)
+
+    while True:
+        rows = ingest_files(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
+        writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        try:
+            return finish([writer.foreachBatch(store).start()])
+        except StreamingQueryException:
+            if refused:
+                raise refused[0] from None
+            if not grown:
+                raise
+            grown.clear()
+            schema = starting_schema(spark, source, schemas)
 
 
 def append_stream(
@@ -40,18 +118,15 @@ def append_stream(
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        folder = f"{path}/{query}/{number:09d}"
-        marker = f"{counts}/{query}-{number:09d}.json" if counts else f"{folder}/_SUCCESS"
+        name = batch_name(batch, number)
+        folder = f"{path}/{name}"
+        marker = counts_file(counts, name) if counts else f"{folder}/_SUCCESS"
         if exists(spark, marker):
             return
-        seen = Observation()
-        if rules:
-            batch = apply_rules(observe_rules(batch, rules, seen), rules)
-        cluster_within(batch, cluster_by).write.mode("overwrite").parquet(folder)
+        found = write_checked(batch, folder, cluster_by, rules)
         if counts:
             make_dir(spark, counts)
-            write_json(spark, marker, as_counts(seen.get) if rules else {}, replace=True)
+            write_json(spark, marker, found, replace=True)
 
     return writer.foreachBatch(write).start()
 

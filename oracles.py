@@ -53,6 +53,7 @@ _CLEAN = {
     "procedures": "select * from feed where cdc_operation <> 'D'",
 }
 
+# Names of datasets and rules, predicates, and the columns of the reports below.
 _RULES = {
     "encounters": (
         ("valid_encounter_id", "drop", "encounter_id is not null"),

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -183,6 +184,76 @@ def test_a_new_column_reaches_the_current_state(spark, tmp_path):
         assert got == [("E1", None), ("E7", "ICU")]
 
 
+def test_a_run_reads_new_files_only(spark, tmp_path):
+    """Files of earlier runs are not opened again, not even for their schema, and a file of one
+    run may have columns that others of it lack. Names may need escapes."""
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES[:1])
+    folder = f"{flow.source}/encounters"
+    spark.createDataFrame(FIRST["encounters"], ENCOUNTER).write.parquet(f"{folder}/batch 000%")
+    flow.run()
+    spoilt = 0
+    for place, _, files in os.walk(f"{folder}/batch 000%"):
+        for name in files:
+            if name.endswith(".parquet"):
+                with open(f"{place}/{name}", "wb") as out:
+                    out.write(b"no parquet")
+                spoilt += 1
+    assert spoilt
+    wide = spark.createDataFrame([(*encounter("E7", "I", 4), "ICU")], ENCOUNTER + ", ward string")
+    wide.write.parquet(f"{folder}/batch 001%")
+    spark.createDataFrame([encounter("E8", "I", 4)], ENCOUNTER).write.parquet(f"{folder}/batch_001b")
+    old = (T0 - timedelta(days=400)).timestamp()
+    for place, _, files in os.walk(f"{folder}/batch 001%"):
+        for name in files:
+            os.utime(f"{place}/{name}", (old, old))
+    flow.run()
+    got = rows(flow.read("gold_encounters_current"), "encounter_id", "ward")
+    assert got == [("E1", None), ("E2", None), ("E7", "ICU"), ("E8", None)]
+    assert flow.read("bronze_encounters").count() == len(FIRST["encounters"]) + 2
+    flow.run()
+    assert rows(flow.read("gold_encounters_current"), "encounter_id", "ward") == got
+
+
+def test_a_column_that_changes_its_type_is_refused(spark, tmp_path):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES[:1])
+    first = spark.createDataFrame([(*encounter("E1", "I", 1), 1)], ENCOUNTER + ", beds long")
+    first.write.parquet(f"{flow.source}/encounters/batch_000")
+    flow.run()
+    second = spark.createDataFrame([(*encounter("E2", "I", 1), 2)], ENCOUNTER + ", beds int")
+    second.write.parquet(f"{flow.source}/encounters/batch_001")
+    with pytest.raises(ValueError, match="column beds was bigint and now arrives as int"):
+        flow.run()
+    for name in ("bronze_encounters", "silver_encounters", "gold_encounters_current"):
+        assert rows(flow.read(name), "encounter_id", "beds") == [("E1", 1)]
+
+
+def test_a_batch_that_is_lost_on_its_way_is_made_up_for(spark, tmp_path, monkeypatch):
+    """A run that fails after the raw rows, and one that fails before its batch is marked."""
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES[:1])
+    spark.createDataFrame(FIRST["encounters"], ENCOUNTER).write.parquet(f"{flow.source}/encounters/batch_000")
+    for broken in ("write_checked", "write_json"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"changeflow.plans.layers.{broken}", lambda *a, **k: 1 / 0)
+            with pytest.raises(Exception, match="(?i)division"):
+                flow.run()
+    flow.run()
+    assert flow.read("bronze_encounters").count() == len(FIRST["encounters"])
+    assert flow.read("silver_encounters").count() == flow.read("gold_encounters_current").count() == 2
+    assert flow.quality(ENCOUNTERS).first()["total_rows"] == 5
+
+
+def test_a_report_that_fails_leaves_the_old_one(spark, tmp_path):
+    from changeflow.operators import write_clustered
+
+    path = f"{tmp_path}/report"
+    write_clustered(spark.range(5), path, ("id",))
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION|no more"):
+        write_clustered(spark.range(5).selectExpr("if(id > 3, raise_error('no more'), id) AS id"), path, ("id",))
+    assert spark.read.parquet(path).count() == 5
+    write_clustered(spark.range(7), path, ("id",))
+    assert spark.read.parquet(path).count() == 7
+
+
 def test_a_broken_entity_does_not_hold_up_the_others(spark, tmp_path):
     flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS)
     deliver(spark, flow.source, FIRST, "batch_000")

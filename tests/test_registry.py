@@ -107,3 +107,8 @@ def test_quality_is_counted_over_several_batches(spark, monkeypatch):
     for entity in registry.ENTITIES:
         registry.queries()[f"quality_{entity}_streamed"](spark, SMALL).count()
     assert min(batches) >= registry.BATCHES
+
+
+def test_a_missing_layout_is_seen(spark, monkeypatch):
+    monkeypatch.setattr("changeflow.operators.layout.cluster_globally", lambda df, columns, files: df.repartition(files))
+    assert registry.queries()["clustered_roundtrip"](spark, SMALL).filter("NOT file_apart").count() > 0

@@ -97,6 +97,18 @@ def test_counts_of_a_flow_that_has_not_run(spark, tmp_path):
     assert [(r["total_rows"], r["failed_rows"]) for r in report] == [(0, 0), (0, 0)]
 
 
+def test_rules_may_have_any_name_but_that_of_the_total(spark, source, tmp_path):
+    rules = (expect("a rule, with `marks`", "v < 5"), expect("select", "k IS NOT NULL"))
+    counts = f"{tmp_path}/counts"
+    assert [r["total_rows"] for r in quality_history(spark, counts, rules, "t").collect()] == [0, 0]
+    finish([append_stream(stream(spark, source, 6), f"{tmp_path}/out", f"{tmp_path}/cp", (), rules, counts)])
+    want = rows(quality_report(read_files(spark, source), rules, "t"))
+    assert rows(quality_history(spark, counts, rules, "t")) == want
+    assert rows(quality_history(spark, counts, rules, "t", True).drop("batch")) == want
+    with pytest.raises(ValueError, match="total_rows"):
+        expect("Total_Rows", "true")
+
+
 def test_observed_rules_are_in_the_progress(spark, source, tmp_path):
     df = observe_rules(stream(spark, source, 6), RULES, "checks")
     query = append_stream(df, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
