@@ -97,9 +97,9 @@ def _search(k: int):
 
 
 def _blocks(rows: DataFrame, size: int, count: int) -> DataFrame:
-    """Rows dealt by a hash to blocks of about ``size``."""
+    """Rows dealt by a hash to blocks of about ``size``; a row that is repeated is one."""
     number = F.pmod(F.xxhash64("id", "vector"), F.lit(max(1, -(-count // size)))).cast("int")
-    return rows.groupBy(number.alias("block")).agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
+    return rows.groupBy(number.alias("block")).agg(F.collect_set(F.struct("id", "vector")).alias("rows"))
 
 
 def top_k(

@@ -225,6 +225,8 @@ def test_top_k_equals_brute_force(spark):
             want += [(q, n + 1, c, best[c]) for n, c in enumerate(order)]
     got = topk.top_k(table, 10).select("query_id", "rank", "vec_id", "score").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+    again = topk.top_k(table.unionAll(table).unionAll(table), 10).select("query_id", "rank", "vec_id", "score")
+    assert sorted(map(tuple, again.collect())) == sorted(want)
     assert topk.top_k(table.limit(0), 10).collect() == []
     assert topk.top_k(table.filter("vec_id = 10"), 10).collect() == []
 
