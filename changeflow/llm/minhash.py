@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import kernels
@@ -35,9 +35,11 @@ ROWS = 2
 TABLES = HALVES * HALVES
 HASHES = 2 * HALVES * ROWS
 AGREE = 20
-# Members that are compared with each other in one go. Larger buckets and families are cut
-# into blocks, and each two blocks are compared by one task.
+# Members that are compared with each other in one go, and how many shingles they may have
+# together. Larger buckets and families are cut into blocks, and each two blocks are compared
+# by one task.
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
 
 _random = np.random.default_rng(75)
 _FLIP = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -139,7 +141,8 @@ def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], _short(_signature_rows(batch.column(3)))], ["family", "id", "component", "short"]
+            [*batch.columns[:4], _short(_signature_rows(batch.column(4)))],
+            ["family", "id", "component", "n_shingles", "short"],
         )
 
 
@@ -269,23 +272,24 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(_verified(percent), "a long, b long")
 
 
-def _in_blocks(members: DataFrame, key: str, payload: str, tasks: int) -> DataFrame:
+def _in_blocks(members: DataFrame, key: str, payload: str, tasks: int, share: Column) -> DataFrame:
     """Rows of each key by pairs of blocks, sorted, so that any two members of different
     components meet somewhere.
 
     The largest component of a key needs no comparison with itself. Its members are dealt to
     shards, which the blocks of the others come to: while those are few, as stragglers around
-    a large group of copies are, every member of it moves once.
+    a large group of copies are, every member of it moves once. ``share`` is how much of a block
+    a member fills.
     """
-    sizes = members.groupBy(key, "component").agg(F.count("*").alias("n"))
+    sizes = members.groupBy(key, "component").agg(F.sum(share).alias("n"))
     of_key = sizes.groupBy(key).agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts")
     )
     of_key = of_key.filter("parts > 1").select(
         key,
         F.col("main.component").alias("main"),
-        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("shards"),
-        F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("blocks"),
+        F.ceil("main.n").cast("int").alias("shards"),
+        F.ceil(F.col("all") - F.col("main.n")).cast("int").alias("blocks"),
     )
     rows = members.join(of_key, key)
     # Blocks of the others are numbered after the shards.
@@ -328,13 +332,14 @@ def near_duplicates(
     known = rows.filter("id IS NOT NULL AND mark IS NOT NULL")
     # Equal sets are one class, which its least id stands for from here on.
     classes = known.groupBy("mark").agg(F.min("id").alias("rep"))
-    reps = known.groupBy("mark").agg(F.min(F.struct("id", "signature")).alias("r")).select("r.*")
+    reps = known.groupBy("mark").agg(F.min(F.struct("id", "n_shingles", "signature")).alias("r")).select("r.*")
     reps = written(reps, "minhash-classes")
     several = known.groupBy("id").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).filter("lo <> hi")
     several = known.join(several.select("id"), "id", "left_semi").join(classes, "mark")
     same = several.select(F.col("id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
 
-    entries = written(reps.mapInArrow(_entries, "a long, b long, entry boolean"), "minhash-entries")
+    signed = reps.select("id", "signature")
+    entries = written(signed.mapInArrow(_entries, "a long, b long, entry boolean"), "minhash-entries")
     met = entries.filter("entry").groupBy("a").agg(F.min("b").alias("hub"), F.max("b").alias("last"))
     met = entries.filter("entry").join(met.filter("hub < last"), "a").filter("b <> hub")
     pairs = entries.filter("NOT entry").select("a", "b").unionAll(met.select(F.col("hub").alias("a"), "b"))
@@ -349,16 +354,18 @@ def near_duplicates(
     tasks = tasks_for(docs)
     groups = written(components(first, "minhash-groups"), "minhash-groups")
     members = reps.join(ends, "id", "left_semi").join(groups, F.col("id") == F.col("node"), "left")
-    members = members.select("id", F.coalesce("component", "id").alias("component"), "signature")
+    members = members.select("id", F.coalesce("component", "id").alias("component"), "signature", "n_shingles")
     members = written(members, "minhash-members")
     keyed = members.mapInArrow(_all_keys, "key long, id long, component long, short binary")
-    relatives = _in_blocks(keyed, "key", "", tasks).mapInArrow(_by_group(_relatives), "a long, b long")
+    one = F.lit(1 / BLOCK)
+    relatives = _in_blocks(keyed, "key", "", tasks, one).mapInArrow(_by_group(_relatives), "a long, b long")
     families = written(components(relatives, "minhash-families"), "minhash-families")
     families = families.select(F.col("node").alias("component"), F.col("component").alias("family"))
-    members = members.join(families, "component").select("family", "id", "component", "signature")
-    members = members.mapInArrow(_shortened, "family long, id long, component long, short binary")
+    members = members.join(families, "component").select("family", "id", "component", "n_shingles", "signature")
+    members = members.mapInArrow(_shortened, "family long, id long, component long, n_shingles long, short binary")
     sets = texts.mapInArrow(_set_rows, "id long, shingles binary")
-    members = _in_blocks(members.join(sets, "id"), "family", "shingles", tasks)
+    share = F.greatest(one, F.col("n_shingles") / BLOCK_SHINGLES)
+    members = _in_blocks(members.join(sets, "id"), "family", "shingles", tasks, share)
     second = written(members.mapInArrow(_by_group(_compared(percent)), "a long, b long"), "minhash-more")
 
     joined = components(first.unionAll(second), "minhash-components")

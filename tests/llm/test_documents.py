@@ -131,9 +131,10 @@ def test_near_duplicates_equal_brute_force(docs):
     assert len(set(want.values())) < len(want) - 10
 
 
-def test_stragglers_around_a_large_group_are_compared(spark, monkeypatch):
+@pytest.mark.parametrize("bound", ["BLOCK", "BLOCK_SHINGLES"])
+def test_stragglers_around_a_large_group_are_compared(spark, monkeypatch, bound):
     """A chain of small changes: ends are far from the least id, and blocks are many."""
-    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, bound, {"BLOCK": 8, "BLOCK_SHINGLES": 512}[bound])
     pick = random.Random(4)
     words = [f"w{i}" for i in range(60)]
     rows = []
