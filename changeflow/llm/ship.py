@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import io
 import os
-import tempfile
 import zipfile
 
 import changeflow
+from changeflow.session import scratch_dir
+from changeflow.sources.paths import write_bytes
 
 _sent: set[str] = set()
 
@@ -17,13 +19,15 @@ def _send(spark) -> None:
     if context.applicationId in _sent:
         return
     root = os.path.dirname(os.path.abspath(changeflow.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="changeflow-"), "changeflow.zip")
-    with zipfile.ZipFile(path, "w") as out:
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as out:
         for folder, _, files in os.walk(root):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     out.write(full, os.path.join("changeflow", os.path.relpath(full, root)))
+    path = f"{scratch_dir(spark, 'code')}/changeflow.zip"
+    write_bytes(spark, path, content.getvalue())
     context.addPyFile(path)
     _sent.add(context.applicationId)
 
