@@ -272,16 +272,18 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(_verified(percent), "a long, b long")
 
 
-def _in_blocks(members: DataFrame, key: str, payload: str, tasks: int, share: Column) -> DataFrame:
+def _in_blocks(
+    members: DataFrame, key: str, payload: str, tasks: int, share: Column, sized: DataFrame | None = None
+) -> DataFrame:
     """Rows of each key by pairs of blocks, sorted, so that any two members of different
     components meet somewhere.
 
     The largest component of a key needs no comparison with itself. Its members are dealt to
     shards, which the blocks of the others come to: while those are few, as stragglers around
     a large group of copies are, every member of it moves once. ``share`` is how much of a block
-    a member fills.
+    a member fills; ``sized`` has the same members where they can be counted at less cost.
     """
-    sizes = members.groupBy(key, "component").agg(F.sum(share).alias("n"))
+    sizes = (members if sized is None else sized).groupBy(key, "component").agg(F.sum(share).alias("n"))
     of_key = sizes.groupBy(key).agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts")
     )
@@ -362,10 +364,11 @@ def near_duplicates(
     families = written(components(relatives, "minhash-families"), "minhash-families")
     families = families.select(F.col("node").alias("component"), F.col("component").alias("family"))
     members = members.join(families, "component").select("family", "id", "component", "n_shingles", "signature")
+    sized = members.select("family", "component", "n_shingles")
     members = members.mapInArrow(_shortened, "family long, id long, component long, n_shingles long, short binary")
     sets = texts.mapInArrow(_set_rows, "id long, shingles binary")
     share = F.greatest(one, F.col("n_shingles") / BLOCK_SHINGLES)
-    members = _in_blocks(members.join(sets, "id"), "family", "shingles", tasks, share)
+    members = _in_blocks(members.join(sets, "id"), "family", "shingles", tasks, share, sized)
     second = written(members.mapInArrow(_by_group(_compared(percent)), "a long, b long"), "minhash-more")
 
     joined = components(first.unionAll(second), "minhash-components")
