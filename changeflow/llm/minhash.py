@@ -9,11 +9,14 @@ instead of 400. Two documents of similarity s meet in a table with probability
 
 What follows the tables is exact. Members of a bucket are first compared with its least member
 only, and the links found join them to components. Buckets that still hold several components
-are looked at again: components with members whose 40 minhashes agree in ``AGREE`` or more
-(fewer agree with probability 2e-4 at 0.75) form a family. The sets of a family meet once, and
-every two of its members that agree so and are not joined yet are compared. So a bucket of
+are looked at again: components with members that may be similar form a family. The sets of a
+family meet once, and every two of its members that may be similar and are not joined yet are
+compared. Whether two may be similar is a bound that never errs to the other side: their sizes,
+and a bit set of each with at least as many bits as it has shingles, in which every shingle
+turns one bit; sets differ in as many shingles or more as these differ in bits. So a bucket of
 thousands of copies costs a comparison a member, only links that join something leave a task,
-and no link that the tables show is missed. Comparing is always done on the full sets.
+and no link that the tables show is missed: what is missed are pairs that meet in no table.
+Comparing is always done on the full sets.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import kernels
@@ -34,7 +37,6 @@ HALVES = 10
 ROWS = 2
 TABLES = HALVES * HALVES
 HASHES = 2 * HALVES * ROWS
-AGREE = 20
 # Members that are compared with each other in one go, and how many shingles they may have
 # together. Larger buckets and families are cut into blocks, and each two blocks are compared
 # by one task.
@@ -67,6 +69,43 @@ def table_keys(signature: np.ndarray) -> np.ndarray:
     return kernels.mixed(pairs.reshape(len(signature), TABLES) ^ _TABLE)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A set as bits, each turned by every shingle that falls on it: 64-bit words, a power of two
+    of them, with at least one bit a shingle."""
+    bits = 1 << max(6, (len(hashes) - 1).bit_length())
+    at = (hashes & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(at, minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+class Bound:
+    """Sizes and bits of sets, and which of them may be similar to ``percent`` hundredths."""
+
+    def __init__(self, size: np.ndarray, words: np.ndarray, bounds: np.ndarray, percent: int):
+        self.size, self.words, self.percent = size, words, percent
+        self.start, self.width = bounds[:-1], np.diff(bounds)
+
+    def within(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others whose similarity to ``i`` is not ruled out. None that is similar
+        enough is left out: a similarity of p hundredths is a difference of at most
+        (100 - p) / (100 + p) of both sizes together, and the bits differ in no more."""
+        own = self.size[i]
+        sizes = self.size[others]
+        others = others[100 * np.minimum(sizes, own) >= self.percent * np.maximum(sizes, own)]
+        differ = np.zeros(len(others), dtype=np.int64)
+        mine = self.words[self.start[i] : self.start[i] + self.width[i]]
+        widths = self.width[others]
+        for width in np.unique(widths):
+            of = np.flatnonzero(widths == width)
+            theirs = self.words[self.start[others[of], None] + np.arange(width)]
+            # The longer of two folds to the shorter, as if it had been made with fewer bits.
+            least = min(width, len(mine))
+            theirs = np.bitwise_xor.reduce(theirs.reshape(len(of), -1, least), axis=1)
+            folded = np.bitwise_xor.reduce(mine.reshape(-1, least), axis=0)
+            differ[of] = np.bitwise_count(theirs ^ folded).sum(axis=1, dtype=np.int64)
+        return others[(100 + self.percent) * differ <= (100 - self.percent) * (self.size[others] + own)]
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in kernels.slices(batches, 2048):
         data, offsets = kernels.text_bytes(batch.column(1))
@@ -82,8 +121,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(marks, pa.binary()),
                     pa.array([next(signed).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([parity(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                ["id", "n_shingles", "mark", "signature"],
+                ["id", "n_shingles", "mark", "signature", "parity"],
             )
 
 
@@ -122,27 +162,12 @@ def _pairs_batch(a: np.ndarray, b: np.ndarray, entry: np.ndarray | None = None)
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def _short(signature: np.ndarray) -> pa.Array:
-    """The lowest byte of each minhash. Of different ones it agrees once in 256 times."""
-    return pa.array([row.tobytes() for row in (signature & np.uint32(255)).astype(np.uint8)], pa.binary())
-
-
 def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in kernels.slices(batches, 512):
-        signature = _signature_rows(batch.column(2))
-        keys = table_keys(signature).view(np.int64).ravel()
-        at = pa.array(np.repeat(np.arange(len(signature)), TABLES))
+        keys = table_keys(_signature_rows(batch.column(3))).view(np.int64).ravel()
+        at = pa.array(np.repeat(np.arange(batch.num_rows), TABLES))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), batch.column(0).take(at), batch.column(1).take(at), _short(signature).take(at)],
-            ["key", "id", "component", "short"],
-        )
-
-
-def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:4], _short(_signature_rows(batch.column(4)))],
-            ["family", "id", "component", "n_shingles", "short"],
+            [pa.array(keys), *(batch.column(n).take(at) for n in range(3))], ["key", "id", "component", "n_shingles"]
         )
 
 
@@ -151,7 +176,6 @@ def _groups(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, dict[str,
     marks = np.stack([rows.column(n).to_numpy() for n in ("key", "x", "y")])
     cuts = np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0), True])
     part = {n: rows.column(n).to_numpy() for n in ("id", "component", "side")}
-    part["short"] = np.frombuffer(kernels.text_bytes(rows.column("short"))[0], np.uint8).reshape(-1, HASHES)
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
         left = np.flatnonzero(part["side"][s:e] == marks[1, s]) + s
         right = np.flatnonzero(part["side"][s:e] == marks[2, s]) + s
@@ -184,21 +208,27 @@ def _by_group(compare):
     return run
 
 
-def _relatives(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Of buckets, which components have members that agree: links of a spanning forest."""
-    found = []
-    for left, right, part in _groups(rows):
-        comp, short = part["component"], part["short"]
-        edges = []
-        for i in left:
-            agree = (short[right] == short[i]).sum(axis=1) >= AGREE
-            others = np.unique(comp[right[agree & (comp[right] != comp[i])]])
-            edges.append(np.stack([np.full(len(others), comp[i]), others]))
-        if edges:
-            found.append(np.stack(spanning(*np.concatenate(edges, axis=1))))
-    if found:
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        yield _pairs_batch(pairs[0], pairs[1])
+def _relatives(percent: int):
+    def relate(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Of buckets, which components have members that may be similar: links of a spanning forest."""
+        words, offsets = kernels.text_bytes(rows.column("parity"))
+        size = rows.column("n_shingles").to_numpy()
+        bound, found = Bound(size, np.frombuffer(words, np.uint64), offsets // 8, percent), []
+        for left, right, part in _groups(rows):
+            comp = part["component"]
+            edges = []
+            for i in left:
+                others = right[comp[right] != comp[i]]
+                if len(others):
+                    others = np.unique(comp[bound.within(i, others)])
+                    edges.append(np.stack([np.full(len(others), comp[i]), others]))
+            if edges:
+                found.append(np.stack(spanning(*np.concatenate(edges, axis=1))))
+        if found:
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield _pairs_batch(pairs[0], pairs[1])
+
+    return relate
 
 
 def _compared(percent: int):
@@ -206,16 +236,19 @@ def _compared(percent: int):
         """Of families, the links that join two components."""
         data = rows.column("shingles").combine_chunks()
         flat, offsets = kernels.text_bytes(data)
-        _, flat = np.unique(np.frombuffer(flat, np.uint64), return_inverse=True)
-        bounds, mark = offsets // 8, np.zeros(flat.max(initial=-1) + 1, dtype=np.int64)
+        flat, bounds = np.frombuffer(flat, np.uint64), offsets // 8
         size, found = np.diff(bounds), []
+        bits = [parity(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        widths = np.cumsum([0, *map(len, bits)])
+        bound = Bound(size, np.concatenate(bits), widths, percent)
+        _, flat = np.unique(flat, return_inverse=True)
+        mark = np.zeros(flat.max(initial=-1) + 1, dtype=np.int64)
         for left, right, part in _groups(rows):
-            ids, short, label = part["id"], part["short"], part["component"].copy()
+            ids, label = part["id"], part["component"].copy()
             for i in left:
                 apart = right[label[right] != label[i]]
-                fits = 100 * np.minimum(size[apart], size[i]) >= percent * np.maximum(size[apart], size[i])
-                apart = apart[fits]
-                apart = apart[(short[apart] == short[i]).sum(axis=1) >= AGREE]
+                if len(apart):
+                    apart = bound.within(i, apart)
                 if not len(apart):
                     continue
                 own = flat[bounds[i] : bounds[i + 1]]
@@ -272,18 +305,17 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(_verified(percent), "a long, b long")
 
 
-def _in_blocks(
-    members: DataFrame, key: str, payload: str, tasks: int, share: Column, sized: DataFrame | None = None
-) -> DataFrame:
+def _in_blocks(members: DataFrame, key: str, payload: DataFrame, tasks: int) -> DataFrame:
     """Rows of each key by pairs of blocks, sorted, so that any two members of different
     components meet somewhere.
 
     The largest component of a key needs no comparison with itself. Its members are dealt to
     shards, which the blocks of the others come to: while those are few, as stragglers around
-    a large group of copies are, every member of it moves once. ``share`` is how much of a block
-    a member fills; ``sized`` has the same members where they can be counted at less cost.
+    a large group of copies are, every member of it moves once. ``payload`` has what else rows
+    need, by id; only members of keys with several components are given it.
     """
-    sizes = (members if sized is None else sized).groupBy(key, "component").agg(F.sum(share).alias("n"))
+    share = F.greatest(F.lit(1 / BLOCK), F.col("n_shingles") / BLOCK_SHINGLES)
+    sizes = members.groupBy(key, "component").agg(F.sum(share).alias("n"))
     of_key = sizes.groupBy(key).agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts")
     )
@@ -293,7 +325,7 @@ def _in_blocks(
         F.ceil("main.n").cast("int").alias("shards"),
         F.ceil(F.col("all") - F.col("main.n")).cast("int").alias("blocks"),
     )
-    rows = members.join(of_key, key)
+    rows = members.select(key, "id", "component").distinct().join(of_key, key).join(payload, "id")
     # Blocks of the others are numbered after the shards.
     in_main = F.col("component") == F.col("main")
     side = F.when(in_main, F.pmod(F.xxhash64("id"), F.col("shards"))).otherwise(
@@ -311,7 +343,7 @@ def _in_blocks(
     )
     as_y = F.when(in_main | (F.col("side") < last), as_y).otherwise(F.array().cast("array<struct<x:int,y:int>>"))
     rows = rows.withColumn("at", F.explode(F.concat(as_x, as_y)))
-    rows = rows.select(F.col(key).alias("key"), "at.x", "at.y", "side", "id", "component", "short", *([payload] if payload else []))
+    rows = rows.select(F.col(key).alias("key"), "at.x", "at.y", "side", "id", "component", *payload.drop("id").columns)
     return rows.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
 
 
@@ -328,13 +360,13 @@ def near_duplicates(
     empty result. Columns other than the two named are not looked at.
     """
     docs = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    schema = "id long, n_shingles long, mark binary, signature binary"
+    schema = "id long, n_shingles long, mark binary, signature binary, parity binary"
     rows = written(docs.mapInArrow(_sketch, schema), "minhash-sets")
 
     known = rows.filter("id IS NOT NULL AND mark IS NOT NULL")
     # Equal sets are one class, which its least id stands for from here on.
     classes = known.groupBy("mark").agg(F.min("id").alias("rep"))
-    reps = known.groupBy("mark").agg(F.min(F.struct("id", "n_shingles", "signature")).alias("r")).select("r.*")
+    reps = known.groupBy("mark").agg(F.min(F.struct("id", "n_shingles", "signature", "parity")).alias("r")).select("r.*")
     reps = written(reps, "minhash-classes")
     several = known.groupBy("id").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).filter("lo <> hi")
     several = known.join(several.select("id"), "id", "left_semi").join(classes, "mark")
@@ -356,19 +388,17 @@ def near_duplicates(
     tasks = tasks_for(docs)
     groups = written(components(first, "minhash-groups"), "minhash-groups")
     members = reps.join(ends, "id", "left_semi").join(groups, F.col("id") == F.col("node"), "left")
-    members = members.select("id", F.coalesce("component", "id").alias("component"), "signature", "n_shingles")
+    members = members.select("id", F.coalesce("component", "id").alias("component"), "n_shingles", "signature")
     members = written(members, "minhash-members")
-    keyed = members.mapInArrow(_all_keys, "key long, id long, component long, short binary")
-    one = F.lit(1 / BLOCK)
-    relatives = _in_blocks(keyed, "key", "", tasks, one).mapInArrow(_by_group(_relatives), "a long, b long")
+    keyed = members.mapInArrow(_all_keys, "key long, id long, component long, n_shingles long")
+    bits = reps.select("id", "n_shingles", "parity")
+    near = _in_blocks(keyed, "key", bits, tasks)
+    relatives = near.mapInArrow(_by_group(_relatives(percent)), "a long, b long")
     families = written(components(relatives, "minhash-families"), "minhash-families")
     families = families.select(F.col("node").alias("component"), F.col("component").alias("family"))
-    members = members.join(families, "component").select("family", "id", "component", "n_shingles", "signature")
-    sized = members.select("family", "component", "n_shingles")
-    members = members.mapInArrow(_shortened, "family long, id long, component long, n_shingles long, short binary")
+    members = members.join(families, "component").select("family", "id", "component", "n_shingles")
     sets = texts.mapInArrow(_set_rows, "id long, shingles binary")
-    share = F.greatest(one, F.col("n_shingles") / BLOCK_SHINGLES)
-    members = _in_blocks(members.join(sets, "id"), "family", "shingles", tasks, share, sized)
+    members = _in_blocks(members, "family", sets, tasks)
     second = written(members.mapInArrow(_by_group(_compared(percent)), "a long, b long"), "minhash-more")
 
     joined = components(first.unionAll(second), "minhash-components")

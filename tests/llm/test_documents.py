@@ -148,6 +148,62 @@ def test_stragglers_around_a_large_group_are_compared(spark, monkeypatch, bound)
     assert got == want
 
 
+def test_candidates_that_agree_in_few_minhashes_are_compared(spark):
+    """Two similar texts, 17 of whose 40 minhashes agree, meet behind a third in all their tables."""
+    words = [f"w11x933x{i}" for i in range(104)]
+    a, b = " ".join(words), " ".join([f"v11x933x{i}" for i in range(14)] + words[14:])
+
+    def signed(*texts):
+        hashes, bounds = kernels.shingles(*kernels.text_bytes(pa.array(texts)))
+        return minhash.signatures(hashes, bounds)
+
+    both = signed(a, b)
+    agree = both[0] == both[1]
+    keys = minhash.table_keys(both)
+    tables = np.flatnonzero(keys[0] == keys[1])
+    assert agree.sum() == 17 and len(tables) == 4
+    groups = agree.reshape(-1, minhash.ROWS).all(axis=1)
+    windows = {i: " ".join(words[i : i + 5]) for i in range(100)}
+    single = signed(*windows.values())
+    of = sorted({int(np.flatnonzero(single[:, j] == both[0, j])[0]) for j in np.flatnonzero(np.repeat(groups, minhash.ROWS))})
+    pick = random.Random(1)
+    for _ in range(10_000):
+        pick.shuffle(of)
+        hub = " ".join(windows[i] for i in of)
+        if (minhash.table_keys(signed(hub))[0, tables] == keys[0, tables]).all():
+            break
+    else:
+        raise AssertionError("no third text")
+    sets = [shingle_set(t) for t in (hub, a, b)]
+    assert [100 * len(x & y) >= 75 * len(x | y) for x, y in ((sets[0], sets[1]), (sets[0], sets[2]), (sets[1], sets[2]))] == [False, False, True]
+    docs = spark.createDataFrame([(0, hub), (1, a), (2, b)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 1}
+
+
+def test_what_is_ruled_out_is_never_similar():
+    pick = np.random.default_rng(4)
+    sets = [np.zeros(1, np.uint64)]
+    for size in (1, 3, 60, 64, 65, 130, 700, 1030):
+        whole = pick.integers(0, 1 << 63, size, dtype=np.uint64)
+        for share in (1, 0.95, 0.9, 0.87, 0.8, 0.6):
+            own = whole[pick.random(size) < share]
+            sets.append(np.unique(np.r_[own, pick.integers(0, 1 << 63, pick.integers(0, size // 8 + 2), dtype=np.uint64)]))
+    sets = [s for s in sets if len(s)]
+    bits = [minhash.parity(s) for s in sets]
+    size, every = np.array([len(s) for s in sets]), np.arange(len(sets))
+    seen = 0
+    for percent in (50, 75, 90):
+        bound = minhash.Bound(size, np.concatenate(bits), np.cumsum([0, *map(len, bits)]), percent)
+        for i, s in enumerate(sets):
+            both = np.array([len(np.intersect1d(s, t)) for t in sets])
+            similar = every[100 * both >= percent * (size + len(s) - both)]
+            within = bound.within(i, every)
+            assert set(similar) <= set(within)
+            seen += len(every) - len(within)
+    assert seen > len(sets) ** 2
+
+
 def test_tensored_tables_reach_their_recall():
     random_ = np.random.default_rng(3)
     missed = 0
