@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm import minhash, mixing, packing, quality, suffix
@@ -19,18 +19,55 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.filter("_score >= 0.5").drop("_score")
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """(doc_id, _mark, _node) of all ids that have several texts: a number no id has for each text,
+    in the order of ids and texts' hashes."""
+    pairs = docs.select("doc_id", _mark())
+    several = pairs.groupBy("doc_id").agg(F.min("_mark").alias("lo"), F.max("_mark").alias("hi")).filter("lo <> hi")
+    pairs = pairs.join(several.select("doc_id"), "doc_id", "left_semi").distinct()
+    pairs = pairs.repartitionByRange("doc_id", "_mark").withColumn("_part", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("doc_id", "_mark")).cast("long")
+    pairs = written(pairs.withColumn("_place", place), "pipeline-nodes")
+    sizes = sorted((r["_part"], r["count"]) for r in pairs.groupBy("_part").count().collect())
+    total = sum(n for _, n in sizes)
+    before, node = 0, F.lit(None).cast("long")
+    if total:
+        least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+        before = most if most + total < 1 << 63 else least - total - 1
+        if before < -(1 << 63):
+            raise ValueError("no free numbers above or below the ids")
+        starts = []
+        for part, n in sizes:
+            starts += [F.lit(part), F.lit(before).cast("long")]
+            before += n
+        node = F.create_map(*starts)[F.col("_part")] + F.col("_place")
+    return pairs.select("doc_id", "_mark", node.alias("_node"))
+
+
+def _mark() -> Column:
+    return F.coalesce(F.sha2("text", 256), F.lit("")).alias("_mark")
+
+
 @shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that of the least id.
 
-    Rows that repeat an id are one document; of those the first by content stays. Rows without
-    an id stay.
+    A document is an id with a text. Rows that repeat both are one, of which the first by
+    source, language and length stays; different texts of one id are documents of their own,
+    and of those that are near each other the one of the least hash stays. Rows without an id
+    stay.
     """
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars"))
-    named = named.withColumn("_first", first).filter("_first = 1").drop("_first")
+    nodes = _nodes(docs.filter("doc_id IS NOT NULL"))
+    nodes = written(nodes, "pipeline-nodes")
+    named = docs.filter("doc_id IS NOT NULL").withColumn("_mark", _mark())
+    named = named.join(nodes, ["doc_id", "_mark"], "left").withColumn("_node", F.coalesce("_node", "doc_id"))
+    found = written(minhash.near_duplicates(named.select("_node", "text"), "_node"), "pipeline-near")
+    known = nodes.select("_node", F.col("doc_id").alias("_id"))
+    found = found.select("_node", "component_id").distinct().join(known, "_node", "left")
+    kept = found.groupBy("component_id").agg(F.min(F.struct(F.coalesce("_id", "_node").alias("id"), "_node")).alias("m"))
+    named = named.join(kept.select("m._node"), "_node", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_node").orderBy("source", "lang", "n_chars"))
+    named = named.withColumn("_first", first).filter("_first = 1").select(*docs.columns)
     return named.unionByName(docs.filter("doc_id IS NULL"))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -254,6 +255,25 @@ def test_pipeline_stages(spark):
     assert {"doc_id", "bin", "bin_offset", "n_words"} <= set(docs.columns)
 
 
+@pytest.mark.parametrize("shift", (0, (1 << 63) - 12))
+def test_different_texts_of_one_id_are_documents_of_their_own(spark, shift):
+    def text(name, n=100):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    near = text("a") + " more"
+    rows = [(1, text("a")), (5, None), (5, near), (5, text("b")), (5, text("b")), (7, text("c")), (7, text("c") + " more"),
+            (7, ""), (8, text("d") + " more"), (9, text("e")), (9, text("d")), (11, text("b") + " more"), (None, near)]
+    rows = [(None if i is None else i + shift, t, "en", "s", len(t or "")) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    got = Counter((None if r["doc_id"] is None else r["doc_id"] - shift, r["text"]) for r in out.collect())
+    of_7 = [t for (i, t) in got if i == 7 and t]
+    assert out.columns == docs.columns and len(of_7) == 1 and of_7[0].startswith("c0 ")
+    del got[7, of_7[0]]
+    want = [(1, text("a")), (5, None), (5, text("b")), (7, ""), (8, text("d") + " more"), (9, text("e")), (None, near)]
+    assert got == Counter(want)
+
+
 @needs_data
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
