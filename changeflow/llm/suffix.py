@@ -13,8 +13,8 @@ they get into the same array. Neighbouring strings mostly share their anchor; su
 one *context*, of at most 80 bytes, and 16 strings in the mean.
 
 1. Texts are packed into blocks of some megabytes, compressed, written bucketed by block.
-2. Each block sends 12 bytes for each of its distinct contexts: the hashes of its anchor and
-   of its whole. In the order of these hashes, documents within, the previous smaller
+2. Each block sends 16 bytes for each of its distinct contexts: the hashes of its anchor (44
+   bits) and of its whole (64 bits). In the order of these hashes, documents within, the previous smaller
    position of a context tells whether an earlier document has all of it.
 3. What is left are contexts nobody earlier has as a whole, but whose anchor occurs in other
    contexts too. Only their text is sent on. In the suffix array of these texts, to a depth of
@@ -194,7 +194,7 @@ class _Block:
         self.start, self.run, anchor, content = map(np.concatenate, zip(empty, *found, strict=True))
         self.doc = np.searchsorted(self.offsets, self.start, side="right") - 1
         self.key = (anchor << np.uint64(20)) | (content >> np.uint64(44))
-        self.more = (content & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        self.more = content
         # Distinct contexts, each with its first document here; positions are in that order.
         order = np.lexsort((self.more, self.key))
         key, more = self.key[order], self.more[order]
@@ -241,7 +241,7 @@ def _judge(common: int, group: pa.Table) -> pa.Table:
     """All entries of a bucket: which an earlier document has whole, and which need their text."""
     sizes = [len(k) // 8 for k in (x.as_py() for x in group.column("key"))]
     key = np.frombuffer(b"".join(x.as_py() for x in group.column("key")), dtype=np.uint64)
-    more = np.frombuffer(b"".join(x.as_py() for x in group.column("more")), dtype=np.uint32)
+    more = np.frombuffer(b"".join(x.as_py() for x in group.column("more")), dtype=np.uint64)
     doc = np.concatenate([
         np.repeat(np.cumsum(np.frombuffer(s.as_py(), np.int64)), np.frombuffer(c.as_py(), np.uint32))
         for s, c in zip(group.column("steps"), group.column("per_doc"), strict=True)

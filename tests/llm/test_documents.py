@@ -264,6 +264,21 @@ def test_common_anchors_are_dealt_out_string_by_string(spark):
     assert sorted((tuple(r[n] for n in NAMES) for r in got.collect()), key=repr) == brute_repeats(rows)
 
 
+def test_contexts_differ_if_any_bit_of_their_hashes_does(monkeypatch):
+    """Hashes are cut to bits that were once thrown away; contexts with one anchor stay apart."""
+    real = kernels.mixed
+    monkeypatch.setattr(suffix.kernels, "mixed", lambda x: real(x) & np.uint64(0xFFF << 32))
+    pick = random.Random(3)
+    phrase = pick.randbytes(40)
+    data = b"".join(pick.randbytes(40) + phrase + pick.randbytes(40) for _ in range(30))
+    block = suffix._Block.__new__(suffix._Block)
+    block.data, block.offsets = np.frombuffer(data, np.uint8), np.arange(31) * 120
+    block.contexts()
+    ends = block.start + block.run + suffix.LENGTH - 1
+    contexts = {(int(k) >> 20, data[a:b]) for k, a, b in zip(block.key, block.start, ends, strict=True)}
+    assert len({a for a, _ in contexts}) < len(contexts) == len(block.first)
+
+
 def test_kept_text_is_what_stays(spark):
     shared = "this sentence of more than fifty bytes stands in both of the texts. "
     rows = [(1, shared + "first", None, None, None), (2, "é" + shared + "second", None, None, None)]
