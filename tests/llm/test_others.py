@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import compare
@@ -236,6 +237,13 @@ def test_selection_keeps_ties_to_smaller_ids():
     assert topk.best(np.array([5, 7, 7, 7, 1]), np.array([9, 8, 2, 4, 1]), 2).tolist() == [2, 3]
 
 
+def test_what_has_no_sql_is_not_called_ok():
+    frame = pd.DataFrame({"a": [1, 2]})
+    assert compare.compared(frame, None) == "no SQL"
+    assert compare.compared(frame, frame[::-1]) == "ok"
+    assert compare.compared(frame, frame + 1) not in ("ok", "no SQL")
+
+
 # -- pipeline -----------------------------------------------------------------------------
 
 
