@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, embeddings, minhash, mixing, packing, quality, suffix, token_counts, topk, url_filter
+from changeflow.llm import (
+    alignment,
+    chat,
+    embeddings,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    suffix,
+    token_counts,
+    topk,
+    url_filter,
+    whitening,
+)
 from changeflow.llm.ship import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +93,25 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = alignment.score(alignment.align(_table(spark, sf_dir, "documents")))
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return scored.select(F.col("id").cast("long").alias("doc_id"), *names)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", digest)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    deviation = F.col("deviation").try_cast("long")
+    names = ("whitened", "explained", "identity_error")
+    return rows.select(F.col("id").alias("vec_id"), "component", "n", deviation.alias("deviation"), *names)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
     for f in (
@@ -92,6 +125,9 @@ QUERIES: dict[str, Query] = {
         op8_quality_classifier,
         op9_topk_search,
         op10_mix_sources,
+        op11_token_alignment,
+        op12_line_dedup,
+        op13_embedding_whitening,
     )
 }
 
@@ -206,4 +242,17 @@ ORACLES: dict[str, str] = {
         select query_id, cast(rank as integer) as rank, vec_id, score from (
           select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
         where rank <= 10""",
+    "op12_line_dedup": r"""
+        with split as (
+          select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i
+          from documents),
+        keyed as (
+          select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+          from split),
+        repeated as (select k from keyed where k <> '' group by k having count(distinct doc_id) >= 10)
+        select doc_id, count(*) as n_lines, count(*) filter (where r.k is not null) as n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) order by i) filter (where r.k is null), '')) as kept_sha256
+        from keyed left join repeated r using (k) group by doc_id""",
 }

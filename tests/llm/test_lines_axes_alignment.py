@@ -1,0 +1,341 @@
+"""Line dedup, whitening and tokenizer alignment beside plain versions of the same."""
+
+import hashlib
+import os
+import random
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from changeflow.llm import alignment, line_dedup, whitening
+from changeflow.llm.queries import QUERIES
+from changeflow.llm.ship import shipped
+
+needs_vocabularies = pytest.mark.skipif(not os.path.exists(alignment.VOCABULARY_A), reason="needs the vocabularies")
+
+
+@pytest.fixture(autouse=True, scope="module")
+def code_on_executors(spark):
+    shipped(lambda session: None)(spark)
+
+
+# -- lines ------------------------------------------------------------------------------------
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def key_of(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(SPACE))
+
+
+def plain_lines(rows, least, chars=1, keep_first=False):
+    where = defaultdict(dict)
+    for name, text in rows:
+        for i, line in enumerate((text or "").split("\n")):
+            own = where[key_of(line)]
+            own[name] = min(own.get(name, i), i)
+    gone = {k: own for k, own in where.items() if len(own) >= least and len(k) >= chars}
+    first = {k: min(own.items(), key=lambda at: (at[0] is None, at[0] or 0)) for k, own in gone.items()}
+    out = []
+    for name, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line for i, line in enumerate(lines)
+            if key_of(line) not in gone or (keep_first and first[key_of(line)] == (name, i))
+        ]
+        out.append((name, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def some_texts(seed=3, documents=60):
+    rng = random.Random(seed)
+    stock = ["Common line", " common LINE\t", "é", "É", "ab", "", " ", "x" * 5000, "a\x0bb", "terms: apply", "ſ", " "]
+    rows = []
+    for i in range(documents):
+        lines = [rng.choice(stock) if rng.random() < 0.6 else f"line {rng.randint(0, 400)}" for _ in range(rng.randint(1, 9))]
+        rows.append((i, "\n".join(lines)))
+    long = "\n".join(f"own {i} " + "word " * rng.randint(0, 40) for i in range(20_000)) + "\ncommon line"
+    return [*rows, *rows[:7], (90, None), (91, ""), (92, "\n\n"), (None, "common line\nz"), (None, "z\nterms: apply"), (93, long)]
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"min_documents": 3}, {"min_documents": 2, "keep_first": True}, {"min_documents": 2, "min_chars": 3},
+    {"min_documents": 4, "min_chars": 0},
+])
+@pytest.mark.parametrize("broadcast", [line_dedup.BROADCAST_BYTES, -1])
+def test_lines_equal_plain_version(spark, options, broadcast):
+    rows = some_texts()
+    docs = spark.createDataFrame([(i, t, "mine", 1) for i, t in rows], "doc_id int, text string, n_lines string, line int")
+    got = line_dedup.drop_lines(docs.repartition(5), broadcast_bytes=broadcast, **options).collect()
+    least = options.get("min_documents", 10)
+    want = plain_lines(rows, least, options.get("min_chars", 1), options.get("keep_first", False))
+    assert sorted((tuple(r) for r in got), key=repr) == want
+
+
+def test_a_full_filter_loses_nothing(spark):
+    rows = [(i, "\n".join(f"{j}" for j in range(i % 7, 9000, 7 + i % 3))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = line_dedup.drop_lines(docs, min_documents=4, most_words=1 << 10).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain_lines(rows, 4)
+
+
+def test_lines_seen_once_stay_in_their_task(spark):
+    """Of ten thousand lines only the shared ones, and few others, are suspected."""
+    rows = [(i, "\n".join([*(f"own {i} {j}" for j in range(500)), "shared"])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    filter_ = line_dedup.seen_twice(docs.select("text"))
+    hashes = []
+    for _, text in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        hashes.append(line_dedup.lines(data, np.array([0, len(data)])).hashes)
+    suspected = line_dedup._has(filter_, np.concatenate(hashes))
+    assert all(line_dedup._has(filter_, h[-1:])[0] for h in hashes)
+    assert suspected.sum() < 20 + 200
+
+
+def test_no_lines(spark):
+    docs = spark.createDataFrame([], "doc_id string, text string")
+    assert line_dedup.drop_lines(docs).collect() == []
+    assert line_dedup.drop_lines(docs, broadcast_bytes=-1).collect() == []
+    with pytest.raises(ValueError, match="min_documents"):
+        line_dedup.drop_lines(docs, min_documents=1)
+
+
+# -- whitening --------------------------------------------------------------------------------
+
+
+def householder(n, seed=3):
+    """An orthogonal matrix that is exact in double precision, if n is a power of four."""
+    v = np.random.default_rng(seed).choice([-1.0, 1.0], size=n)
+    return np.eye(n) - 2 * np.outer(v, v) / n
+
+
+def test_products_are_exact():
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=(9, 30)), rng.normal(size=(30, 7)) * 10.0 ** rng.integers(-9, 9, size=(30, 7))
+    high, low = whitening.product(a, b)
+    for i in range(9):
+        for j in range(7):
+            terms = [Fraction(x) * Fraction(y) for x, y in zip(a[i], b[:, j], strict=True)]
+            error = abs(Fraction(high[i, j]) + Fraction(low[i, j]) - sum(terms))
+            assert error <= Fraction(1, 1 << 90) * max(map(abs, terms))
+
+
+@pytest.mark.parametrize("values", [
+    np.r_[np.arange(60) + 1.0, 1000 + np.arange(4) * 2.0**-30],  # four values within 3e-12 of their size
+    np.r_[np.full(62, 2.0**-20) * (1 + np.arange(62)), 3, 3 + 2.0**-38],
+    np.r_[2.0 ** np.arange(32), -(2.0 ** np.arange(32))],
+])
+def test_eigenvectors_of_clusters(values):
+    """Beyond what a solver in plain double precision separates."""
+    q = householder(64)
+    found, x = whitening.eigenvectors((q * values) @ q.T)
+    order = np.argsort(-values, kind="stable")
+    want = q[:, order]
+    assert np.abs(found - values[order]).max() <= 1e-15 * np.abs(values).max()
+    assert np.abs(want - x * np.sign((want * x).sum(axis=0))).max() < 1e-15
+
+
+def test_equal_eigenvalues_have_a_basis():
+    values = np.r_[np.ones(32), 5 + np.arange(32) * 2.0**-34]
+    q = householder(64)
+    found, x = whitening.eigenvectors((q * values) @ q.T)
+    assert np.abs(x.T @ x - np.eye(64)).max() < 1e-14
+    assert np.abs(((q * values) @ q.T) @ x - x * found).max() < 1e-14
+    assert whitening.eigenvectors(np.zeros((3, 3)))[0].tolist() == [0, 0, 0]
+
+
+def plain_whitening(vectors):
+    x = [[int(np.floor(float(c) * 1024)) + 100_000 for c in v] for v in vectors]
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    deviation = [sum((n * c - s) ** 2 for c, s in zip(row, sums, strict=True)) for row in x]
+    centred = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(row, sums, strict=True)] for row in x])
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1][:8], axes[:, ::-1][:, :8]
+    return deviation, centred @ axes / np.sqrt(values), values / np.trace(centred.T @ centred / n)
+
+
+def test_whitening_equals_plain_version(spark):
+    rng = np.random.default_rng(5)
+    good = rng.normal(size=(300, 12)) * np.linspace(3, 0.2, 12) + 1e4
+    rows = [(i % 290, v.tolist(), "x") for i, v in enumerate(good)]  # some ids twice
+    rows += [(900, None, ""), (901, [float("nan")] * 12, ""), (902, [None, *[0.0] * 11], ""), (903, [float("inf")] * 12, ""), (904, [], "")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, whitened string")
+    got = whitening.whiten(frame.repartition(3)).collect()
+    assert len(got) == 300 * 8 and {r["n"] for r in got} == {300}
+    deviation, white, shares = plain_whitening(good)
+    by_deviation = {}
+    for r in got:
+        by_deviation.setdefault((r["id"], int(r["deviation"])), {})[r["component"]] = r
+    assert len(by_deviation) == 300
+    table = np.array([[by_deviation[i % 290, d][c]["whitened"] for c in range(1, 9)] for i, d in enumerate(deviation)])
+    assert np.abs(table * np.sign((table * white).sum(axis=0)) - white).max() < 1e-9
+    for c in range(8):
+        assert got and abs({r["explained"] for r in got if r["component"] == c + 1}.pop() / shares[c] - 1) < 1e-12
+    (error,) = {r["identity_error"] for r in got}
+    cov = np.cov(table.T, bias=True)
+    assert error < 1e-9 and abs(error - np.abs(cov - np.eye(8)).max()) < 1e-12
+
+
+def test_whitening_of_few_equal_and_large_vectors(spark):
+    def run(vectors):
+        return whitening.whiten(spark.createDataFrame(list(enumerate(vectors)), "vec_id int, embedding array<double>")).collect()
+
+    assert run([]) == []
+    one = run([[1.0, 2.0, 3.0]])
+    assert [(r["component"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) for r in one] == [
+        (c, 0, None, None, None) for c in (1, 2, 3)
+    ]
+    flat = run([[float(i), 7.0] for i in range(5)])  # no variance on the second axis
+    assert {(r["component"], r["whitened"] is None) for r in flat} == {(1, False), (2, True)}
+    assert {r["identity_error"] for r in flat} and all(r["identity_error"] < 1e-12 for r in flat)
+    large = [[1e14, 3.0], [-1e14, 2.0], [5e13, 1.0]]
+    found = {r["id"]: int(r["deviation"]) for r in run(large)}
+    assert found == dict(enumerate(plain_whitening(large)[0]))  # beyond 64 bits
+    assert run([[1e300, 1.0]]) == []  # no whole number of 60 bits
+    mixed = run([[1.0, 2.0], [3.0, 1.0], [1.0], [4.0], [5.0]])
+    assert sorted({(r["id"], r["n"]) for r in mixed}) == [(0, 2), (1, 2), (2, 3), (3, 3), (4, 3)]
+
+
+# -- alignment --------------------------------------------------------------------------------
+
+
+def plain_alignment(texts):
+    """Per text: ids of both sides, groups as text, links; by the tokenizers' own libraries."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    one = Tokenizer.from_file(alignment.VOCABULARY_A)
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file=alignment.VOCABULARY_B)
+    chars = alignment.byte_of_char()
+    out = []
+    for text in texts:
+        found = ([], [], "", [])
+        if text:
+            a, b = one.encode(" " + text, add_special_tokens=False).ids, two.encode(text)
+            bytes_a = [bytes(chars[c] for c in one.id_to_token(i)) for i in a]
+            bytes_b = [
+                bytes([int(two.id_to_piece(i)[3:5], 16)]) if two.is_byte(i) else two.id_to_piece(i).replace("▁", " ").encode()
+                for i in b
+            ]
+            if b"".join(bytes_a) == b"".join(bytes_b) == b" " + text.encode():
+                spans = []
+                for tokens in (bytes_a, bytes_b):
+                    ends = np.cumsum([len(t) for t in tokens])
+                    spans.append([(int(e) - len(t), int(e)) for e, t in zip(ends, tokens, strict=True)])
+                common = {e for _, e in spans[0]} & {e for _, e in spans[1]}
+                groups, left, right = [], [], []
+                merged = sorted([(e, 0, i) for (_, e), i in zip(spans[0], a, strict=True)] + [(e, 1, i) for (_, e), i in zip(spans[1], b, strict=True)])
+                for end, side, i in merged:
+                    (left, right)[side].append(str(i))
+                    if end in common and side == 1:
+                        groups.append(",".join(left) + "|" + ",".join(right))
+                        left, right = [], []
+                links = [
+                    (i, j) for (s, e), i in zip(spans[0], a, strict=True) for (t, f), j in zip(spans[1], b, strict=True) if s < f and t < e
+                ]
+                found = (a, b, ";".join(groups), links)
+        out.append(found)
+    return out
+
+
+def plain_scores(texts):
+    found = plain_alignment(texts)
+    counts = Counter(link for *_, links in found for link in links)
+    best = defaultdict(int)
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    return [
+        (
+            len(a), len(b), groups.count(";") + bool(groups), len(links), sum(counts[k] == best[k[1]] for k in links),
+            sum(counts[k] for k in links), hashlib.sha256(groups.encode()).hexdigest() if groups else "",
+        )
+        for a, b, groups, links in found
+    ]
+
+
+def odd_texts():
+    rng = random.Random(7)
+    bits = ["a", "é", "▁", " ", "  ", "\n", "\t", "'s", "1", "!", " ", "　", "ß", "x y", "한국", "🙂", "\x1c", "don't", "<|endoftext|>", "</s>", "<0x41>", "\x00", "lower", "Ünter", "́"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 25))) for _ in range(250)]
+    return [None, "", " ", "\n", "▁", "the end", "the end", "a  b", *texts, "unbroken" * 400, "é" * 700]
+
+
+@needs_vocabularies
+@pytest.mark.parametrize("most", [alignment.BROADCAST_PAIRS, 0])
+def test_alignment_equals_plain_version(spark, monkeypatch, most):
+    texts = odd_texts()
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id int, text string, n_a string").repartition(3)
+    got = alignment.score(alignment.align(docs), most).collect()
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    assert {r["id"]: tuple(r[n] for n in names) for r in got} == dict(enumerate(plain_scores(texts)))
+
+
+@needs_vocabularies
+def test_alignment_of_words_is_that_of_the_whole(monkeypatch):
+    """Words that are kept, met again, forgotten; texts of megabytes, with and without spaces."""
+    contents = [open(p, "rb").read() for p in (alignment.VOCABULARY_A, alignment.VOCABULARY_B)]
+    aligner = alignment.Aligner(*contents)
+    assert aligner.by_words
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeéßñ한.,!'") for _ in range(rng.randint(1, 9))) for _ in range(30_000)]
+    long = " ".join(rng.choice(words) + rng.choice(["", "", "", "\n", " ", "▁"[:0]]) for _ in range(200_000))
+    texts = [*[t for t in odd_texts() if t], long, long[:50_000], "x" * 300_000]
+    monkeypatch.setattr(alignment, "KEPT_WORDS", 500)
+    for some in (texts, texts[::-1]):
+        for text, found in zip(some, aligner.texts(some), strict=True):
+            whole = aligner.whole(text)
+            if whole is None:
+                assert found == []
+                continue
+            joined = [b"".join(getattr(f, n) for f in found) for n in ("a", "b", "moved")]
+            assert joined == [whole.a, whole.b, whole.moved]
+            assert [sum(getattr(f, n) for f in found) for n in ("n_a", "n_b", "n_groups")] == [whole.n_a, whole.n_b, whole.n_groups]
+            assert ";".join(f.groups for f in found) == whole.groups
+            steps = np.frombuffer(whole.moved, np.uint8)  # the ids of either side can be read off
+            assert (np.frombuffer(whole.a, np.uint32)[(steps & 1) > 0].tolist(), whole.n_groups) == (aligner.a.encode(" " + text), int((steps == 3).sum()))
+
+
+@needs_vocabularies
+def test_other_vocabularies(spark, tmp_path):
+    """A byte-level file whose ids do not number its merges goes to its own library."""
+    import json
+
+    found = json.loads(open(alignment.VOCABULARY_A).read())
+    found["model"]["vocab"] = {t: 50_255 - i if i < 50_256 else i for t, i in found["model"]["vocab"].items()}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(found))
+    other, own = alignment.ByteLevel(path.read_bytes()), alignment.ByteLevel(open(alignment.VOCABULARY_A, "rb").read())
+    for text in ("one two <|endoftext|>", " é\n"):
+        assert other.encode(text) == [50_255 - i for i in own.encode(text)]
+        assert [other.token_bytes[i] for i in other.encode(text)] == [own.token_bytes[i] for i in own.encode(text)]
+
+
+@needs_vocabularies
+def test_no_texts(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    for most in (alignment.BROADCAST_PAIRS, -1):
+        assert alignment.score(alignment.align(docs), most).collect() == []
+
+
+@needs_vocabularies
+def test_queries_return_what_is_asked(spark, tmp_path):
+    texts = ["a b", None, "c\n" * 3]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.0, 5.0])], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["op11_token_alignment"](spark, str(tmp_path))
+    assert dict(got.dtypes) == {
+        "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint",
+        "count_sum": "bigint", "groups_sha256": "string",
+    }
+    got = QUERIES["op12_line_dedup"](spark, str(tmp_path))
+    assert sorted(got.collect())[1][1:] == (1, 0, hashlib.sha256(b"").hexdigest())
+    got = QUERIES["op13_embedding_whitening"](spark, str(tmp_path))
+    assert dict(got.dtypes) == {
+        "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
+        "explained": "double", "identity_error": "double",
+    }
+    assert got.count() == 4
