@@ -4,28 +4,32 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
 from changeflow.operators import (  # noqa: E402
     CurrentTable,
+    HistoryTable,
     daily_admissions,
     diagnoses_with_facility,
     diagnosis_distribution,
+    expect_or_fail,
     facility_summary,
     key_ranges,
     quality_history,
     quality_report,
     write_clustered,
 )
-from changeflow.plans import Layers, checked, current  # noqa: E402
+from changeflow.plans import Layers, checked, current, with_deletes  # noqa: E402
 from changeflow.plans.clinical import REPORTS, TABLES, with_tie_breaks  # noqa: E402
 from changeflow.session import scratch_dir  # noqa: E402
 from changeflow.sources import (  # noqa: E402
@@ -46,9 +50,8 @@ try:  # the training-data operators are a part of their own, which may be left o
     from changeflow.llm.queries import QUERIES as LLM_QUERIES
 
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "changeflow.llm", "changeflow.llm.queries"):
-        raise
+except ImportError as missing:  # of themselves, or of a library only they use
+    warnings.warn(f"no training-data queries: {missing}", stacklevel=1)
     LLM_QUERIES, LLM_ORACLES = {}, {}
 
 ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
@@ -57,6 +60,12 @@ ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
 BATCHES = 4
 # How many files the query that shows a clustered layout writes.
 CLUSTERED_FILES = 4
+# Which raw changes delete their key, in the queries that apply deletes.
+DELETES = "cdc_operation = 'D'"
+# The queries that show a rule that blocks take in the encounters in three deliveries, cut here. The
+# rule fails where a stay ends more than four and a half years before it begins.
+DELIVERY_CUTS = ("1997-01-01", "1999-06-01")
+GATE = ("stay_not_reversed", "length_of_stay_hours IS NULL OR length_of_stay_hours >= -40000")
 
 
 def _feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -223,6 +232,70 @@ def _current_incremental(entity: str, spark: SparkSession, sf_dir: str) -> DataF
     return table.read()
 
 
+def _deliveries_with_deletes(spark: SparkSession, sf_dir: str, table, root: str) -> DataFrame:
+    """Checked changes and deletes arrive a quarter at a time, the newest first, so that most deletes
+    are there before what they delete; the second quarter comes once more at the end. After two
+    deliveries the table is compacted and the superseded files go."""
+    spec = replace(ENTITIES["encounters"], delete_when=DELETES)
+    feed = _feed(spark, sf_dir, "encounters")
+    changes = with_deletes(checked(feed, spec), feed, spec)
+    _age(changes).write.partitionBy("age").parquet(f"{root}/quarters")
+    table.create(changes.schema)
+    quarters = spark.read.parquet(f"{root}/quarters")
+    for number, age in enumerate((*range(BATCHES), 1)):
+        quarters.filter(F.col("age") == age).drop("age").write.parquet(f"{root}/source/batch_{number:03d}")
+        rows = stream_files(spark, f"{root}/source", changes.schema)
+        finish([upsert_stream(rows, table, f"{root}/checkpoint")])
+        if number == 1:
+            table.remove(table.compact())
+    _clear(spark, root)
+    return table.read()
+
+
+def _current_encounters_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, spec = scratch_dir(spark, "deletes"), ENTITIES["encounters"]
+    table = CurrentTable(spark, f"{root}/current", spec.keys, spec.sequence_by, spec.tie_break, spec.layout, delete_when=DELETES)
+    return _deliveries_with_deletes(spark, sf_dir, table, root)
+
+
+def _history_encounters_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, spec = scratch_dir(spark, "history"), ENTITIES["encounters"]
+    table = HistoryTable(spark, f"{root}/history", spec.keys, spec.sequence_by, spec.tie_break, spec.layout, delete_when=DELETES)
+    return _deliveries_with_deletes(spark, sf_dir, table, root)
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Encounters in three deliveries behind a rule that blocks; those it refuses are passed over.
+    Returns the folder, and the changes for their schema."""
+    root, spec = scratch_dir(spark, "gated"), ENTITIES["encounters"]
+    time = F.col("cdc_timestamp").cast("timestamp")
+    number = reduce(lambda a, b: a + b, [(time >= F.lit(cut).cast("timestamp")).cast("int") for cut in DELIVERY_CUTS])
+    feed = spec.clean(_feed(spark, sf_dir, "encounters")).withColumn("delivery", number)
+    for delivery in (1, 0, 2):  # the one with such stays comes between two that pass
+        feed.filter(F.col("delivery") == delivery).write.parquet(f"{root}/source/batch_{delivery:03d}")
+        rows = stream_files(spark, f"{root}/source", feed.schema)
+        rules = (*spec.rules, expect_or_fail(*GATE))
+        gate = append_stream(
+            rows, f"{root}/table", f"{root}/checkpoint", spec.layout, rules, f"{root}/counts", f"{root}/refused", skip_refused=True
+        )
+        finish([gate])
+    _clear(spark, root)
+    return root, feed
+
+
+def _silver_encounters_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What got through the gate: nothing of a delivery with a row that fails."""
+    root, feed = _gated(spark, sf_dir)
+    return read_files(spark, f"{root}/table", feed.schema)
+
+
+def _refused_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows for which deliveries were refused, with the rules they fail."""
+    root, feed = _gated(spark, sf_dir)
+    rows = read_files(spark, f"{root}/refused", T.StructType([*feed.schema, T.StructField("failed_rules", T.ArrayType(T.StringType()))]))
+    return rows.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
 def _current_encounters_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes with and without the last column, tied in time, in both orders of arrival.
 
@@ -346,6 +419,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
         "layers_current_by_name": _layers_current_by_name,
         "current_encounters_evolving": _current_encounters_evolving,
+        "current_encounters_with_deletes": _current_encounters_with_deletes,
+        "history_encounters_incremental": _history_encounters_incremental,
+        "silver_encounters_gated": _silver_encounters_gated,
+        "refused_encounters": _refused_encounters,
         **LLM_QUERIES,
     }
 
@@ -383,5 +460,9 @@ def oracle_sql() -> dict[str, str]:
         "layers_current_by_name": f"""select *, 'Procedures, latest row per procedure_id' as table_comment
             from ({oracles.current('procedures')})""",
         "current_encounters_evolving": oracles.evolving(),
+        "current_encounters_with_deletes": oracles.current_with_deletes("encounters"),
+        "history_encounters_incremental": oracles.history("encounters"),
+        "silver_encounters_gated": oracles.gated_silver(DELIVERY_CUTS, GATE[1]),
+        "refused_encounters": oracles.gated_refused(DELIVERY_CUTS, *GATE),
         **LLM_ORACLES,
     }

@@ -1,15 +1,19 @@
 from changeflow.operators.clean import drop_deletes, drop_rescued, keep_active
 from changeflow.operators.current import CurrentTable
+from changeflow.operators.history import HistoryTable, with_next
 from changeflow.operators.latest import latest_by_key
 from changeflow.operators.layout import cluster_globally, cluster_within, key_ranges, write_clustered
 from changeflow.operators.quality import (
+    BatchRefused,
     Rule,
     apply_rules,
     expect,
     expect_or_drop,
+    expect_or_fail,
     observe_rules,
     quality_history,
     quality_report,
+    refused_rows,
 )
 from changeflow.operators.reports import (
     daily_admissions,
@@ -19,7 +23,9 @@ from changeflow.operators.reports import (
 )
 
 __all__ = [
+    "BatchRefused",
     "CurrentTable",
+    "HistoryTable",
     "Rule",
     "apply_rules",
     "cluster_globally",
@@ -31,6 +37,7 @@ __all__ = [
     "drop_rescued",
     "expect",
     "expect_or_drop",
+    "expect_or_fail",
     "facility_summary",
     "keep_active",
     "key_ranges",
@@ -38,5 +45,7 @@ __all__ = [
     "observe_rules",
     "quality_history",
     "quality_report",
+    "refused_rows",
+    "with_next",
     "write_clustered",
 ]

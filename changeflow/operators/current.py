@@ -9,6 +9,10 @@ delivery of ``foreachBatch`` is enough, and a second writer does no harm.
 A run costs what its batch costs. Reading ranks the rows appended since the last
 :meth:`CurrentTable.compact`, which writes the current rows anew and says which folders nobody
 needs any more. As long as both are there, rows are read twice, which changes nothing.
+
+With ``delete_when`` a change may delete its key. The delete is stored as a row like any other, a
+tombstone: it ranks by its sequence, is hidden from readers, and stays through compactions, so that
+an older change that comes late finds it and does not bring the key back. A newer change does.
 """
 
 from __future__ import annotations
@@ -16,10 +20,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.operators.latest import latest_by_key, latest_by_key_sql
+from changeflow.operators.latest import DELETED, latest_by_key, latest_by_key_sql, mark_deletes, without_deleted
 from changeflow.operators.layout import cluster_globally, cluster_within
 from changeflow.sources.paths import NumberedFiles, delete, make_dir, names
 from changeflow.sources.schema import widen
@@ -37,6 +45,7 @@ class CurrentTable:
         tie_break: Sequence[str] | None = None,
         cluster_by: Sequence[str] = (),
         comment: str = "",
+        delete_when: str | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -46,12 +55,15 @@ class CurrentTable:
         self.tie_break = tie_break
         self.cluster_by = tuple(cluster_by)
         self.comment = comment
+        self.delete_when = delete_when
         self._schemas = NumberedFiles(spark, f"{self.path}/_schemas")
 
     def create(self, schema: T.StructType) -> CurrentTable:
         """Make an empty table of these columns, or add those an existing one lacks."""
         number, stored = self._schemas.latest()
         known = T.StructType.fromJson(stored) if stored else T.StructType([])
+        if self.delete_when is not None and DELETED not in schema.names:
+            schema = T.StructType([*schema, T.StructField(DELETED, T.BooleanType())])
         wider = widen(known, schema)
         if wider != known:
             make_dir(self.spark, self.rows)
@@ -65,11 +77,14 @@ class CurrentTable:
         return T.StructType.fromJson(stored)
 
     def appended(self) -> DataFrame:
-        """All rows appended so far; columns that came later are NULL in older rows."""
+        """All rows appended so far, tombstones with them; columns that came later are NULL in older rows."""
         return self.spark.read.schema(self.schema()).option("recursiveFileLookup", "true").parquet(self.rows)
 
     def read(self) -> DataFrame:
         """The current rows."""
+        return without_deleted(self._latest())
+
+    def _latest(self) -> DataFrame:
         return latest_by_key(self.appended(), self.keys, self.sequence_by, self.tie_break)
 
     def select_sql(self, relation: str) -> str:
@@ -78,6 +93,7 @@ class CurrentTable:
 
     def apply(self, changes: DataFrame) -> None:
         """Merge a batch of changes: one shuffle by key, and only rows of the batch are written."""
+        changes = mark_deletes(changes, self.delete_when)
         self.create(changes.schema)
         winners = latest_by_key(changes, self.keys, self.sequence_by, self.tie_break)
         cluster_within(winners, self.cluster_by).write.parquet(self._new_folder())
@@ -85,15 +101,29 @@ class CurrentTable:
     def _new_folder(self) -> str:
         return f"{self.rows}/{uuid.uuid4().hex}"
 
-    def compact(self) -> list[str]:
+    def compact(self, forget_before: Any = None) -> list[str]:
         """Write the current rows anew, clustered; returns the folders that are now superseded.
 
-        They may be removed when no reader that began before is still at work.
+        They may be removed, in any order, when no reader that began before is still at work.
+
+        Tombstones stay for ever unless ``forget_before`` says that no change of a lesser sequence
+        will come any more. One that is older goes if the table has no row left that it hides:
+        with the rows it hides it stays once more, so it is never the first to be removed.
         """
         old = [f"{self.rows}/{name}" for name in names(self.spark, self.rows)]
-        cluster_globally(self.read(), self.cluster_by).write.parquet(self._new_folder())
+        rows = self._latest()
+        if forget_before is not None and DELETED in rows.columns:
+            dead = F.coalesce(F.col(DELETED), F.lit(False))
+            stale = F.coalesce(dead & (F.col(self.sequence_by) < F.lit(forget_before)), F.lit(False))
+            hidden = self.appended().filter(~dead).select(*[F.col(k).alias(f"_hidden_{i}") for i, k in enumerate(self.keys)])
+            rows = rows.filter(~stale).unionByName(rows.filter(stale).join(hidden, self._same_key("_hidden_"), "left_semi"))
+        cluster_globally(rows, self.cluster_by).write.parquet(self._new_folder())
         return old
 
+    def _same_key(self, prefix: str) -> Column:
+        equal = [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(self.keys)]
+        return reduce(lambda a, b: a & b, equal)
+
     def remove(self, folders: Iterable[str]) -> None:
         for folder in folders:
             delete(self.spark, folder)

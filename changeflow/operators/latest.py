@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 # Where a row came from says nothing about which of two changes is the later one.
 LINEAGE = ("_ingested_at", "_source_file")
 
+# Marks a stored change that deletes its key.
+DELETED = "_is_deleted"
+
 
 def orderable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.StructType):
@@ -42,14 +45,34 @@ def ranking_order(
     Without a tie-break, rows of equal sequence are ordered by all other columns in the order
     of their *names*, lineage last. Where in the schema a column stands, and whether a batch
     has it already, then makes no difference: a column nobody has yet is NULL in every row.
+
+    Where rows are marked as deletes, a delete comes before other rows of equal sequence (and
+    equal tie-break, if there is one).
     """
+    marked = [f"coalesce({_quoted(DELETED)}, false)"] if DELETED in schema.names else []
     if tie_break is None:
-        taken = {*keys, sequence_by}
+        taken = {*keys, sequence_by, DELETED}
         fields = sorted((f for f in schema if f.name not in taken), key=lambda f: (f.name in LINEAGE, f.name))
+        order = [*marked, *map(_comparable, fields)]
     else:
-        fields = [schema[name] for name in tie_break if name in schema.names]
-    order = [_quoted(sequence_by), *map(_comparable, fields)]
-    return [f"{value} DESC NULLS LAST" for value in order]
+        order = [*[_comparable(schema[name]) for name in tie_break if name in schema.names], *marked]
+    return [f"{value} DESC NULLS LAST" for value in (_quoted(sequence_by), *order)]
+
+
+def mark_deletes(changes: DataFrame, delete_when: str | None) -> DataFrame:
+    """Add whether a change deletes its key: where the predicate is true, not where it is NULL."""
+    if delete_when is None:
+        return changes
+    if DELETED in changes.columns:
+        raise ValueError(f"changes have a column {DELETED} of their own")
+    return changes.withColumn(DELETED, F.coalesce(F.expr(delete_when), F.lit(False)))
+
+
+def without_deleted(rows: DataFrame) -> DataFrame:
+    """Rows that stand, without the mark. To be called on the latest rows, not before ranking."""
+    if DELETED not in rows.columns:
+        return rows
+    return rows.filter(~F.coalesce(F.col(DELETED), F.lit(False))).drop(DELETED)
 
 
 def latest_by_key(
@@ -80,11 +103,12 @@ def _order_column(term: str):
 def latest_by_key_sql(
     relation: str, schema: T.StructType, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None = None
 ) -> str:
-    """The same as SQL, for a view."""
-    columns = ", ".join(_quoted(name) for name in schema.names)
+    """The same as SQL, for a view, without the rows that are marked as deleted."""
+    columns = ", ".join(_quoted(name) for name in schema.names if name != DELETED)
     by = ", ".join(map(_quoted, keys))
     order = ", ".join(ranking_order(schema, keys, sequence_by, tie_break))
+    stands = f" AND NOT coalesce({_quoted(DELETED)}, false)" if DELETED in schema.names else ""
     return (
         f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {order})"
-        f" AS `_rank` FROM {relation}) WHERE `_rank` = 1"
+        f" AS `_rank` FROM {relation}) WHERE `_rank` = 1{stands}"
     )

@@ -1,4 +1,4 @@
-"""Named row rules that warn or drop, and how often each one failed.
+"""Named row rules that warn, drop, or block a whole batch, and how often each one failed.
 
 A rule is failed by a row for which its predicate is false or NULL. All rules are counted
 on the same rows, those before any drop, so the counts do not depend on the rule order.
@@ -17,7 +17,9 @@ from changeflow.sources.paths import make_dir
 
 WARN = "warn"
 DROP = "drop"
+FAIL = "fail"
 TOTAL = "total_rows"
+FAILED_RULES = "failed_rules"
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,7 @@ class Rule:
     action: str = WARN
 
     def __post_init__(self):
-        if self.action not in (WARN, DROP):
+        if self.action not in (WARN, DROP, FAIL):
             raise ValueError(f"rule {self.name}: unknown action {self.action}")
         if self.name.lower() == TOTAL:
             raise ValueError(f"no rule may be named {TOTAL}")
@@ -43,6 +45,36 @@ def expect_or_drop(name: str, predicate: str) -> Rule:
     return Rule(name, predicate, DROP)
 
 
+def expect_or_fail(name: str, predicate: str) -> Rule:
+    """Count the rows that fail; a batch that has any is refused as a whole."""
+    return Rule(name, predicate, FAIL)
+
+
+class BatchRefused(RuntimeError):
+    """A batch has rows that fail rules of action ``fail``; none of it was let through."""
+
+    def __init__(self, batch: str, failures: Mapping[str, int]):
+        self.batch = batch
+        self.failures = dict(failures)
+        told = ", ".join(f"{rule} ({n} rows)" for rule, n in self.failures.items())
+        super().__init__(f"batch {batch} is refused: {told}")
+
+
+def blocking_failures(counts: Mapping[str, int], rules: Iterable[Rule]) -> dict[str, int]:
+    """How many rows failed each rule that blocks, where any did."""
+    return {rule.name: counts[rule.name] for rule in rules if rule.action == FAIL and counts.get(rule.name)}
+
+
+def refused_rows(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """The rows that fail a blocking rule, with the names of those they fail, in order."""
+    if FAILED_RULES in df.columns:
+        raise ValueError(f"rows have a column {FAILED_RULES} of their own")
+    told = [F.when(~_passed(rule), F.lit(rule.name)) for rule in rules if rule.action == FAIL]
+    if not told:
+        return df.withColumn(FAILED_RULES, F.array().cast("array<string>")).limit(0)
+    return df.withColumn(FAILED_RULES, F.array_compact(F.array(*told))).filter(F.size(FAILED_RULES) > 0)
+
+
 def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Drop the rows that fail a drop rule.
 

@@ -1,4 +1,4 @@
-from changeflow.plans.layers import Layers, checked, current
+from changeflow.plans.layers import Layers, checked, current, with_deletes
 from changeflow.plans.specs import ReportSpec, TableSpec
 
-__all__ = ["Layers", "ReportSpec", "TableSpec", "checked", "current"]
+__all__ = ["Layers", "ReportSpec", "TableSpec", "checked", "current", "with_deletes"]

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.operators import CurrentTable, apply_rules, latest_by_key, quality_history, write_clustered
+from changeflow.operators import CurrentTable, HistoryTable, apply_rules, latest_by_key, quality_history, write_clustered
+from changeflow.operators.latest import mark_deletes, without_deleted
+from changeflow.operators.quality import FAILED_RULES
 from changeflow.plans.specs import ReportSpec, TableSpec
 from changeflow.sources import publish_table, publish_view, read_files, refresh, starting_schema, stored_schema
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE
 from changeflow.sources.paths import exists, make_dir, write_json
-from changeflow.streaming import counts_file, intake, write_checked
+from changeflow.streaming import Refused, counts_file, intake, write_checked
 
 
 def checked(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -26,9 +30,24 @@ def current(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """The current state in one go, for changes that are all at hand.
 
     Filtering comes first: a row that is deleted, inactive or broken does not replace an
-    older good one.
+    older good one. With ``delete_when`` a delete does, and its key is gone.
     """
-    return latest_by_key(checked(changes, spec), spec.keys, spec.sequence_by, spec.tie_break)
+    rows = mark_deletes(with_deletes(checked(changes, spec), changes, spec), spec.delete_when)
+    return without_deleted(latest_by_key(rows, spec.keys, spec.sequence_by, spec.tie_break))
+
+
+def with_deletes(passed: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """The checked rows and, if the entity applies deletes, those among the raw changes.
+
+    A delete needs its key and nothing else: often it has no more, so the rules are not for it.
+    Derived columns are NULL in it.
+    """
+    if spec.delete_when is None:
+        return passed
+    keyed = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in spec.keys))
+    gone = changes.filter(F.expr(spec.delete_when) & keyed)
+    shared = [name for name in passed.columns if name in changes.columns]
+    return passed.unionByName(gone.select(*shared), allowMissingColumns=True)
 
 
 @dataclass
@@ -48,6 +67,7 @@ class Layers:
     reports: Sequence[ReportSpec] = ()
     max_files_per_trigger: int | None = None
     parallel: int = 4
+    skip_refused: bool = False  # go on past a batch that fails a blocking rule, instead of stopping
 
     def path(self, dataset: str) -> str:
         return f"{self.root}/{dataset}"
@@ -67,30 +87,54 @@ class Layers:
             spec.tie_break,
             cluster_by=spec.layout,
             comment=spec.comments.get("gold", ""),
+            delete_when=spec.delete_when,
+        )
+
+    def history_table(self, spec: TableSpec) -> HistoryTable:
+        return HistoryTable(
+            self.spark,
+            self.path(spec.history),
+            spec.keys,
+            spec.sequence_by,
+            spec.tie_break,
+            cluster_by=spec.layout,
+            comment=spec.comments.get("history", ""),
+            delete_when=spec.delete_when,
         )
 
+    def _refused(self, spec: TableSpec) -> str:
+        return f"{self.root}/_refused/{spec.silver}"
+
     def run(self) -> Layers:
         """Take in everything new and bring all datasets up to date.
 
         The entities do not depend on each other and run side by side, ``parallel`` at a
         time. The reports are built when all of them are done, so they agree with each other.
+        A batch that fails a blocking rule goes no further than the raw layer: the run ends with
+        ``BatchRefused`` before the reports, and the next run meets the batch again.
         """
         with ThreadPoolExecutor(self.parallel) as pool:
             state = dict(zip((s.name for s in self.tables), pool.map(self._advance, self.tables)))
         for report in self.reports:
             write_clustered(report.build(state), self.path(report.name), report.layout)
-        for name in (*self.datasets(), *(self._rows_name(s) for s in self.tables)):
+        rows = [name(s) for s in self.tables for name in (self._rows_name, self._history_rows_name)]
+        for name in (*self.datasets(), *rows):
             refresh(self.spark, name)
         return self
 
     def compact(self) -> dict[str, list[str]]:
         """Write the current tables anew; per table the folders that may go when readers are done."""
-        return {spec.current: self.current_table(spec).compact() for spec in self.tables}
+        found = {spec.current: self.current_table(spec).compact() for spec in self.tables}
+        return found | {spec.history: self.history_table(spec).compact() for spec in self.tables if spec.keep_history}
 
     @staticmethod
     def _rows_name(spec: TableSpec) -> str:
         return f"{spec.current}_rows"
 
+    @staticmethod
+    def _history_rows_name(spec: TableSpec) -> str:
+        return f"{spec.history}_rows"
+
     def _advance(self, spec: TableSpec) -> DataFrame:
         """Bring one entity from its new files to its current state, batch by batch.
 
@@ -102,14 +146,26 @@ class Layers:
         make_dir(self.spark, self.path(spec.silver))
         make_dir(self.spark, self._counts(spec))
         table.create(self._schema(spec, spec.silver))
+        if spec.keep_history:
+            self.history_table(spec).create(self._schema(spec, spec.silver))
 
         def check_and_merge(raw: DataFrame, name: str) -> None:
             marker = counts_file(self._counts(spec), name)
             if exists(self.spark, marker):
                 return
             folder, clean = f"{self.path(spec.silver)}/{name}", spec.clean(raw)
-            counts = write_checked(clean, folder, spec.layout, spec.rules)
-            table.apply(self.spark.read.schema(clean.schema).parquet(folder))
+            try:
+                counts = write_checked(clean, folder, spec.layout, spec.rules, f"{self._refused(spec)}/{name}")
+            except Refused as error:
+                if not self.skip_refused:
+                    raise
+                write_json(self.spark, marker, error.counts, replace=True)
+                return
+            passed = self.spark.read.schema(clean.schema).parquet(folder)
+            changes = with_deletes(passed, raw, spec)
+            table.apply(changes)
+            if spec.keep_history:
+                self.history_table(spec).apply(changes)
             write_json(self.spark, marker, counts, replace=True)
 
         intake(
@@ -139,6 +195,8 @@ class Layers:
         for spec in self.tables:
             if dataset == spec.current:
                 return self.current_table(spec).read()
+            if dataset == spec.history and spec.keep_history:
+                return self.history_table(spec).read()
             if dataset in (spec.bronze, spec.silver):
                 return read_files(self.spark, self.path(dataset), self._schema(spec, dataset))
         return read_files(self.spark, self.path(dataset))
@@ -147,8 +205,18 @@ class Layers:
         """How often each rule failed, over all runs or batch by batch."""
         return quality_history(self.spark, self._counts(spec), spec.rules, spec.silver, by_batch)
 
+    def refused(self, spec: TableSpec) -> DataFrame:
+        """The rows for which batches were refused that have not passed since, with the names of the
+        rules they fail and their batch."""
+        make_dir(self.spark, self._refused(spec))
+        schema = T.StructType([*self._schema(spec, spec.silver), T.StructField(FAILED_RULES, T.ArrayType(T.StringType()))])
+        rows = read_files(self.spark, self._refused(spec), schema)
+        return rows.withColumn("batch", F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -3, 2)))
+
     def datasets(self) -> list[str]:
-        names = [name for s in self.tables for name in (s.bronze, s.silver, s.current)]
+        names = [
+            name for s in self.tables for name in (s.bronze, s.silver, s.current, *([s.history] if s.keep_history else []))
+        ]
         return names + [report.name for report in self.reports]
 
     def publish(self) -> None:
@@ -165,6 +233,10 @@ class Layers:
             table, rows, comment = self.current_table(spec), self._rows_name(spec), spec.comments.get("gold", "")
             publish_table(self.spark, rows, table.appended(), table.rows, f"Changes that are ranked by {spec.current}")
             publish_view(self.spark, spec.current, table.select_sql(rows), comment)
+            if spec.keep_history:
+                past, rows = self.history_table(spec), self._history_rows_name(spec)
+                publish_table(self.spark, rows, past.appended(), past.rows, f"Intervals that are ranked by {spec.history}")
+                publish_view(self.spark, spec.history, past.select_sql(rows), past.comment)
         for report in self.reports:
             publish_table(
                 self.spark, report.name, self.read(report.name), self.path(report.name), report.comment

@@ -26,6 +26,8 @@ class TableSpec:
     raw_layout: tuple[str, ...] = ()
     layout: tuple[str, ...] = ()  # of the checked and of the current table
     comments: Mapping[str, str] = field(default_factory=dict)  # by layer
+    delete_when: str | None = None  # which raw changes delete their key; None: they are only dropped
+    keep_history: bool = False  # a table of all intervals beside the current rows
 
     @property
     def bronze(self) -> str:
@@ -39,6 +41,10 @@ class TableSpec:
     def current(self) -> str:
         return f"gold_{self.name}_current"
 
+    @property
+    def history(self) -> str:
+        return f"gold_{self.name}_history"
+
 
 @dataclass(frozen=True)
 class ReportSpec:

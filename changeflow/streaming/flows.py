@@ -13,10 +13,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.current import CurrentTable
+from changeflow.operators.history import HistoryTable
 from changeflow.operators.layout import cluster_within
-from changeflow.operators.quality import Rule, apply_rules, as_counts, observe_rules
+from changeflow.operators.quality import (
+    FAIL,
+    BatchRefused,
+    Rule,
+    apply_rules,
+    as_counts,
+    blocking_failures,
+    observe_rules,
+    refused_rows,
+)
 from changeflow.sources.files import SOURCE_FILE, ingest_files
-from changeflow.sources.paths import delete, exists, make_dir, write_json
+from changeflow.sources.paths import delete, exists, make_dir, replace_folder, write_json
 from changeflow.sources.schema import grow_schema, starting_schema
 
 
@@ -31,13 +41,45 @@ def counts_file(counts: str, name: str) -> str:
     return f"{counts}/{name.replace('/', '-')}.json"
 
 
-def write_checked(batch: DataFrame, folder: str, cluster_by: Sequence[str], rules: Sequence[Rule]) -> dict[str, int]:
-    """Write the rows that pass, replacing leftovers, and count the rules in the same pass."""
-    seen = Observation()
+def write_checked(
+    batch: DataFrame, folder: str, cluster_by: Sequence[str], rules: Sequence[Rule], refused: str | None = None
+) -> dict[str, int]:
+    """Write the rows that pass, replacing leftovers, and count the rules in the same pass.
+
+    With rules that block, the rows first go to a folder beside, which no reader lists, and the
+    counts of that pass decide. If none failed, the folder takes its place. If any did, it goes,
+    the rows that failed are written to the folder ``refused``, and ``BatchRefused`` is raised.
+    """
+    seen, rows = Observation(), batch
     if rules:
-        batch = apply_rules(observe_rules(batch, rules, seen), rules)
-    cluster_within(batch, cluster_by).write.mode("overwrite").parquet(folder)
-    return as_counts(seen.get) if rules else {}
+        rows = apply_rules(observe_rules(batch, rules, seen), rules)
+    rows = cluster_within(rows, cluster_by)
+    if not any(rule.action == FAIL for rule in rules):
+        rows.write.mode("overwrite").parquet(folder)
+        return as_counts(seen.get) if rules else {}
+    spark = batch.sparkSession
+    place, name = folder.rsplit("/", 1)
+    draft = f"{place}/_draft-{name}"
+    rows.write.mode("overwrite").parquet(draft)
+    counts = as_counts(seen.get)
+    failures = blocking_failures(counts, rules)
+    if not failures:
+        replace_folder(spark, draft, folder)
+        if refused:
+            delete(spark, refused)  # of an earlier try under other rules
+        return counts
+    delete(spark, draft)
+    if refused:
+        refused_rows(batch, rules).write.mode("overwrite").parquet(refused)
+    raise Refused(folder, failures, counts)
+
+
+class Refused(BatchRefused):
+    """With the counts of all rules."""
+
+    def __init__(self, batch: str, failures: dict[str, int], counts: dict[str, int]):
+        super().__init__(batch, failures)
+        self.counts = counts
 
 
 def intake(
@@ -56,12 +98,13 @@ def intake(
     files, and of no others, are held against the schema tracked in ``schemas``. If a column is
     new, the folder goes, the schema grows and the batch is delivered again; a column that
     changed its type is an error. ``then`` gets the rows as written and the batch's name, and
-    has to bear being called again with the same batch.
+    has to bear being called again with the same batch. If it refuses the batch, the run ends with
+    its ``BatchRefused``; the next run delivers the batch again.
     """
     make_dir(spark, path)
     schema = starting_schema(spark, source, schemas)
     grown: list[str] = []
-    refused: list[ValueError] = []
+    refused: list[Exception] = []
 
     def store(batch: DataFrame, number: int) -> None:
         session, name = batch.sparkSession, batch_name(batch, number)
@@ -79,7 +122,11 @@ def intake(
             grown.append(name)
             delete(session, folder)
             raise RuntimeError(f"batch {name} has new columns and is to be delivered again")
-        then(written, name)
+        try:
+            then(written, name)
+        except BatchRefused as error:
+            refused.append(error)
+            raise
 
     while True:
         rows = ingest_files(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
@@ -102,6 +149,8 @@ def append_stream(
     cluster_by: Sequence[str] = (),
     rules: Iterable[Rule] = (),
     counts: str | None = None,
+    refused: str | None = None,
+    skip_refused: bool = False,
 ) -> StreamingQuery:
     """Append the rows of a stream to a parquet folder, each exactly once.
 
@@ -109,6 +158,10 @@ def append_stream(
     not allowed on a stream, so they happen per micro-batch. Each batch has a folder of its
     own, named by query and batch number; the rule counts go to a file of that name in
     ``counts``. A batch that is delivered again finds itself done, or replaces its leftovers.
+
+    A batch with rows that fail a blocking rule is not let through; those rows go to a folder of
+    its name below ``refused``. The query then fails, and delivers the batch again when it is
+    started again, or with ``skip_refused`` counts it and goes on with the next one.
     """
     rules = tuple(rules)
     make_dir(df.sparkSession, path)  # so that a first run without input leaves a readable folder
@@ -123,7 +176,12 @@ def append_stream(
         marker = counts_file(counts, name) if counts else f"{folder}/_SUCCESS"
         if exists(spark, marker):
             return
-        found = write_checked(batch, folder, cluster_by, rules)
+        try:
+            found = write_checked(batch, folder, cluster_by, rules, f"{refused}/{name}" if refused else None)
+        except Refused as error:
+            if not skip_refused:
+                raise
+            found = error.counts
         if counts:
             make_dir(spark, counts)
             write_json(spark, marker, found, replace=True)
@@ -131,8 +189,8 @@ def append_stream(
     return writer.foreachBatch(write).start()
 
 
-def upsert_stream(df: DataFrame, table: CurrentTable, checkpoint: str) -> StreamingQuery:
-    """Merge the rows of a stream into a current-state table.
+def upsert_stream(df: DataFrame, table: CurrentTable | HistoryTable, checkpoint: str) -> StreamingQuery:
+    """Merge the rows of a stream into a current-state or a history table.
 
     Late rows are welcome without limit: there is no watermark and no state but the table. A
     batch that is delivered again merges to the same table.

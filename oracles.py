@@ -104,6 +104,46 @@ def current(entity: str) -> str:
         from ({silver(entity)})) where pos = 1"""
 
 
+def _changes_with_deletes(entity: str) -> str:
+    """Checked changes and keyed deletes; a delete comes after other changes of equal rank."""
+    key, _ = _ORDER[entity]
+    return f"""select *, false as gone from ({silver(entity)})
+        union all by name
+        select *, true as gone from ({feed(entity)}) where cdc_operation = 'D' and {key} is not null"""
+
+
+def current_with_deletes(entity: str) -> str:
+    key, order = _ORDER[entity]
+    return f"""select * exclude (pos, gone) from (
+        select *, row_number() over (partition by {key} order by {order}, gone desc) as pos
+        from ({_changes_with_deletes(entity)})) where pos = 1 and not gone"""
+
+
+def history(entity: str) -> str:
+    key, order = _ORDER[entity]
+    return f"""select * exclude (pos, gone), cdc_timestamp as valid_from, valid_to is null as is_current from (
+        select *, lead(cdc_timestamp) over (partition by {key} order by cdc_timestamp) as valid_to from (
+          select *, row_number() over (partition by {key}, cdc_timestamp order by {order}, gone desc) as pos
+          from ({_changes_with_deletes(entity)})) where pos = 1) where not gone"""
+
+
+def _gated(cuts: tuple[str, ...], predicate: str) -> str:
+    """Checked encounters with the number of their delivery and whether it has a row that fails."""
+    number = " + ".join(f"cast(cdc_timestamp >= timestamp '{cut}' as int)" for cut in cuts)
+    return f"""select *, bool_or(not coalesce({predicate}, false)) over (partition by delivery) as refused
+        from (select *, {number} as delivery from ({clean('encounters')}))"""
+
+
+def gated_silver(cuts: tuple[str, ...], predicate: str) -> str:
+    kept = " and ".join(f"({p})" for _, action, p in _RULES["encounters"] if action == "drop")
+    return f"select * exclude (refused) from ({_gated(cuts, predicate)}) where not refused and {kept}"
+
+
+def gated_refused(cuts: tuple[str, ...], rule: str, predicate: str) -> str:
+    return f"""select * exclude (refused), '{rule}' as failed_rules from ({_gated(cuts, predicate)})
+        where refused and not coalesce({predicate}, false)"""
+
+
 def quality(entity: str) -> str:
     parts = [
         f"""select 'silver_{entity}' as dataset, '{name}' as "rule", '{action}' as "action",

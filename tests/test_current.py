@@ -161,3 +161,88 @@ def test_empty_table_and_empty_batch(spark, tmp_path):
     t.apply(frame(spark, [("x", 1, 1)]))
     t.apply(frame(spark, [], SCHEMA))
     assert rows(t.read()) == [("x", 1, 1)]
+
+
+# -- deletes ------------------------------------------------------------------------------
+
+OPS = SCHEMA + ", op string"
+
+
+def deleting(spark, path, **more):
+    return table(spark, path, delete_when="op = 'D'", **more)
+
+
+def test_a_late_older_change_does_not_bring_a_key_back(spark, tmp_path):
+    t = deleting(spark, tmp_path)
+    t.apply(frame(spark, [("x", 1, 1, "I"), ("y", 1, 1, None)], OPS))
+    t.apply(frame(spark, [("x", 5, None, "D")], OPS))
+    t.apply(frame(spark, [("x", 3, 3, "U")], OPS))
+    assert rows(t.read(), "k", "seq") == [("y", 1)]
+    t.apply(frame(spark, [("x", 6, 6, "I")], OPS))
+    assert rows(t.read(), "k", "seq", "v") == [("x", 6, 6), ("y", 1, 1)]
+    assert t.read().columns == ["k", "seq", "v", "op"]
+
+
+def test_a_delete_wins_a_tie(spark, tmp_path):
+    for name, tie_break in (("a", None), ("b", ["v"])):
+        t = deleting(spark, tmp_path / name, tie_break=tie_break)
+        t.apply(frame(spark, [("x", 1, 1, "I"), ("x", 1, 1, "D"), ("y", 1, 2, "I"), ("y", 1, 1, "D")], OPS))
+        assert rows(t.read(), "k") == ([] if tie_break is None else [("y",)])
+
+
+def model(log):
+    """What stands: per key the greatest of (sequence, deletes last, other columns)."""
+    best = {}
+    for k, seq, v, op in log:
+        rank = ((seq is not None, seq or 0), op == "D", (op is not None, op or ""), (v is not None, v or 0))
+        if k not in best or rank > best[k][0]:
+            best[k] = (rank, (k, seq, v, op))
+    return sorted((row for _, row in best.values() if row[3] != "D"), key=repr)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.data())
+def test_any_split_order_and_replay_with_deletes_agree(spark, tmp_path_factory, data):
+    change = st.tuples(
+        st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 2), st.sampled_from(["I", "U", "D", None])
+    )
+    log = data.draw(st.lists(change, min_size=1, max_size=25))
+    cuts = sorted(data.draw(st.lists(st.integers(0, len(log)), max_size=2)))
+    batches = data.draw(st.permutations([log[a:b] for a, b in zip([0, *cuts], [*cuts, len(log)])]))
+    if data.draw(st.booleans()):
+        batches = [*batches, batches[0]]
+    t = deleting(spark, tmp_path_factory.mktemp("t")).create(frame(spark, [], OPS).schema)
+    compact_after = data.draw(st.integers(0, len(batches)))
+    for number, batch in enumerate(batches):
+        t.apply(frame(spark, batch, OPS))
+        if number == compact_after:
+            old = t.compact()
+            t.remove(old if data.draw(st.booleans()) else old[:1])
+    assert rows(t.read()) == model(log)
+    t.appended().createOrReplaceTempView("rows_with_deletes")
+    assert rows(spark.sql(t.select_sql("rows_with_deletes"))) == model(log)
+
+
+def test_tombstones_are_forgotten_when_they_hide_nothing(spark, tmp_path):
+    t = deleting(spark, tmp_path)
+    t.apply(frame(spark, [("x", 1, 1, "I"), ("y", 1, 1, "I")], OPS))
+    t.apply(frame(spark, [("x", 2, None, "D"), ("y", 9, None, "D")], OPS))
+    old = t.compact(forget_before=5)
+    assert t.appended().filter("_is_deleted").count() == 4  # both stay beside the rows they hide
+    for folder in old:  # in any order, nothing comes back
+        t.remove([folder])
+        assert rows(t.read()) == []
+    t.remove(t.compact(forget_before=5))
+    assert rows(t.appended(), "k") == [("y",)]
+    t.apply(frame(spark, [("y", 3, 3, "U"), ("z", 1, 1, "I")], OPS))
+    assert rows(t.read(), "k") == [("z",)]
+
+
+def test_a_table_may_begin_to_apply_deletes(spark, tmp_path):
+    table(spark, tmp_path).apply(frame(spark, [("x", 1, 1, "I"), ("y", 1, 1, "D")], OPS))
+    t = deleting(spark, tmp_path)
+    t.apply(frame(spark, [("x", 2, 1, "D")], OPS))
+    assert rows(t.read(), "k", "op") == [("y", "D")]  # stored before deletes were applied
+    assert rows(table(spark, tmp_path).read(), "k") == [("y",)]  # whoever reads honours them
+    with pytest.raises(ValueError, match="_is_deleted"):
+        t.apply(frame(spark, [("x", 2, 1, "D", True)], OPS + ", _is_deleted boolean"))

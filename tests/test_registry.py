@@ -1,6 +1,8 @@
 """Every registered query beside its SQL, and the fixed numbers the feeds must give."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -112,3 +114,20 @@ def test_quality_is_counted_over_several_batches(spark, monkeypatch):
 def test_a_missing_layout_is_seen(spark, monkeypatch):
     monkeypatch.setattr("changeflow.operators.layout.cluster_globally", lambda df, columns, files: df.repartition(files))
     assert registry.queries()["clustered_roundtrip"](spark, SMALL).filter("NOT file_apart").count() > 0
+
+
+def test_the_registry_loads_without_libraries_of_the_training_data_queries():
+    """A library only they use may be absent: the other queries are there all the same."""
+    code = """
+import sys
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name.split('.')[0] in ('numpy', 'zstandard', 'public_tokenizers'):
+            raise ModuleNotFoundError(f'No module named {name!r}', name=name)
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as registry
+print(sorted(registry.queries()) == sorted(set(registry.queries()) - set(registry.LLM_QUERIES)), len(registry.queries()))
+"""
+    root = os.path.dirname(os.path.abspath(registry.__file__))
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == ["True", str(len(OWN))]
