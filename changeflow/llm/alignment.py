@@ -9,7 +9,7 @@ such spaces are tokenized and aligned one by one, and the words a task has met l
 their alignment. A text is then a run of words, whatever its length. Whether a tokenizer cuts there
 is read from its vocabulary; if one does not, a word is the whole text.
 
-A text is written as its links in order: the ids of both sides and which side moved on. How often a
+A text is written as its links in order: the ids of both sides, and which side moved on. How often a
 pair of ids is linked anywhere is counted from the different pairs of each piece of text.
 """
 
@@ -21,7 +21,6 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -115,69 +114,30 @@ class Pieces:
         self.encode = lambda text: engine.encode(text)
 
 
-class Aligned(NamedTuple):
-    """A text or a word of it: ids linked by place, what moved on, and the groups as text."""
+# A text or a word of it: its links in order (64-bit numbers, the id of A above that of B), what moved on
+# to reach each (a byte), and the groups as text.
+Aligned = tuple[bytes, bytes, str]
 
-    a: bytes
-    b: bytes
-    moved: bytes
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
 
-
-def _grouped(a: list[int], b: list[int], common: list[int], at_a: dict[int, int], at_b: dict[int, int]) -> list[str]:
+def _grouped(a: list[str], b: list[str], cuts_a: list[int], cuts_b: list[int]) -> list[str]:
     """Both lists of ids cut at the common ends, each group as text."""
-    left, right, out, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
-    for end in common:
-        last_a, last_b = at_a[end], at_b[end]
-        if last_a - i == last_b - j == 1:
-            out.append(left[i] + "|" + right[j])
+    out, i, j = [], 0, 0
+    for last_a, last_b in zip(cuts_a, cuts_b, strict=True):
+        if last_a - i == 1 == last_b - j:
+            out.append(a[i] + "|" + b[j])
         else:
-            out.append(",".join(left[i:last_a]) + "|" + ",".join(right[j:last_b]))
+            out.append(",".join(a[i:last_a]) + "|" + ",".join(b[j:last_b]))
         i, j = last_a, last_b
     return out
 
 
-def align_ids(
-    a: list[int], b: list[int], size_a: np.ndarray, size_b: np.ndarray, words: np.ndarray | None = None
-) -> list[Aligned] | None:
-    """Groups and links of two lists of ids whose tokens have the same bytes in all, for each of the
-    words that end at the given bytes, or for all as one; nothing if a token crosses words."""
-    ids_a, ids_b = np.array(a, np.uint32), np.array(b, np.uint32)
-    ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
-    at_a = dict(zip(ends_a.tolist(), range(1, len(a) + 1), strict=True))
-    at_b = dict(zip(ends_b.tolist(), range(1, len(b) + 1), strict=True))
-    both = at_a.keys() & at_b.keys()
-    words = ends_a[-1:] if words is None else words
-    if not both.issuperset(words.tolist()):
-        return None
-    common = sorted(both)
-    groups = _grouped(a, b, common, at_a, at_b)
-    # Within a slice a link ends where either of its tokens does.
-    ends = np.union1d(ends_a, ends_b)
-    left, right = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    moved = np.full(len(ends), NEXT_GROUP, np.uint8)
-    moved[1:] = (np.diff(left) > 0) * NEXT_A + (np.diff(right) > 0) * NEXT_B
-    linked = ids_a[left].tobytes(), ids_b[right].tobytes(), moved.tobytes()
-    cuts = [np.searchsorted(e, words, side="right").tolist() for e in (ends, ends_a, ends_b, np.array(common))]
-    out, before = [], (0, 0, 0, 0)
-    for k, na, nb, g in zip(*cuts, strict=True):
-        k0, a0, b0, g0 = before
-        out.append(
-            Aligned(linked[0][4 * k0 : 4 * k], linked[1][4 * k0 : 4 * k], linked[2][k0:k], na - a0, nb - b0, g - g0, ";".join(groups[g0:g]))
-        )
-        before = k, na, nb, g
-    return out
-
-
 class Aligner:
     """Both tokenizers, and the words met lately."""
 
     def __init__(self, vocabulary_a: bytes, vocabulary_b: bytes):
         self.a, self.b = ByteLevel(vocabulary_a), Pieces(vocabulary_b)
         self.size_a, self.size_b = (np.array([*map(len, side.token_bytes)]) for side in (self.a, self.b))
+        self.name_a, self.name_b = ([*map(str, range(len(side.token_bytes)))] for side in (self.a, self.b))
         self.by_words = self.a.cuts_words and self.b.cuts_words
         self.kept: dict[str, Aligned | None] = {}
         self.chars = 0
@@ -191,8 +151,36 @@ class Aligner:
         for ids, token_bytes in ((a, self.a.token_bytes), (b, self.b.token_bytes)):
             if b"".join(map(token_bytes.__getitem__, ids)) != want:
                 return None
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        return align_ids(a, b, self.size_a, self.size_b, ends)
+        return self.align_ids(a, b, np.cumsum([len(w.encode()) + 1 for w in words]))
+
+    def align_ids(self, a: list[int], b: list[int], words: np.ndarray) -> list[Aligned] | None:
+        """Groups and links of two lists of ids whose tokens have the same bytes in all, for each of
+        the words that end at the given bytes; nothing if a token crosses words."""
+        ids_a, ids_b = np.array(a), np.array(b)
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        at_a = dict(zip(ends_a.tolist(), range(1, len(a) + 1), strict=True))
+        at_b = dict(zip(ends_b.tolist(), range(1, len(b) + 1), strict=True))
+        both = at_a.keys() & at_b.keys()
+        if not both.issuperset(words.tolist()):
+            return None
+        common = sorted(both)
+        names = list(map(self.name_a.__getitem__, a)), list(map(self.name_b.__getitem__, b))
+        groups = _grouped(*names, list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common)))
+        # Within a slice a link ends where either of its tokens does.
+        ends_here = np.zeros((2, int(ends_a[-1]) + 1), np.int8)
+        ends_here[0, ends_a], ends_here[1, ends_b] = 1, 1
+        ends = np.flatnonzero(ends_here[0] | ends_here[1])
+        left, right = (np.cumsum(side, dtype=np.int32)[ends] - side[ends] for side in ends_here)
+        links = ((ids_a[left] << 32) | ids_b[right]).tobytes()
+        moved = np.full(len(ends), NEXT_GROUP, np.uint8)
+        moved[1:] = np.diff(left) * NEXT_A + np.diff(right) * NEXT_B
+        moved = moved.tobytes()
+        at = [0, *np.searchsorted(ends, words, side="right").tolist()]
+        cut = [0, *np.searchsorted(np.array(common), words, side="right").tolist()]
+        return [
+            (links[8 * i : 8 * j], moved[i:j], ";".join(groups[g:h]) if h - g > 1 else groups[g])
+            for i, j, g, h in zip(at[:-1], at[1:], cut[:-1], cut[1:], strict=True)
+        ]
 
     def whole(self, text: str) -> Aligned | None:
         """A text without a look at its words."""
@@ -239,9 +227,6 @@ class Alignment:
     uses: DataFrame  # the different pairs of each block of texts
 
 
-_FIELDS = ("a", "b", "moved", "n_a", "n_b", "n_groups")
-
-
 def _aligned(vocabularies, names: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(*vocabularies.value)
@@ -250,47 +235,43 @@ def _aligned(vocabularies, names: list[str]) -> Callable:
             _, offsets = text_bytes(batch.column(1))
             for first, last in pieces(offsets, PIECE):
                 part = batch.slice(first, last - first)
-                columns: dict[str, list] = {name: [] for name in (*_FIELDS, "groups_sha256")}
+                links, moved, digests = [], [], []
                 for found in aligner.texts([text or "" for text in part.column(1).to_pylist()]):
-                    for name in ("a", "b", "moved"):
-                        columns[name].append(b"".join([getattr(f, name) for f in found]))
-                    for name in ("n_a", "n_b", "n_groups"):
-                        columns[name].append(sum([getattr(f, name) for f in found]))
-                    digest = hashlib.sha256(";".join([f.groups for f in found]).encode()).hexdigest()
-                    columns["groups_sha256"].append(digest if found else "")
-                yield _texts(block, part.column(0), columns)
-                yield _uses(block, part.column(0).type, columns)
+                    own = tuple(zip(*found, strict=True)) or ((), (), ())
+                    links.append(b"".join(own[0]))
+                    moved.append(b"".join(own[1]))
+                    digests.append(hashlib.sha256(";".join(own[2]).encode()).hexdigest() if found else "")
+                yield _texts(block, part.column(0), links, moved, digests)
+                yield _uses(block, part.column(0).type, links)
                 block += 1
 
-    def _texts(block: int, ids: pa.Array, columns: dict[str, list]) -> pa.RecordBatch:
+    def _texts(block: int, ids: pa.Array, links: list[bytes], moved: list[bytes], digests: list[str]) -> pa.RecordBatch:
         n = len(ids)
-        kinds = {"a": pa.binary(), "b": pa.binary(), "moved": pa.binary(), "groups_sha256": pa.string()}
-        own = [pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()]
-        nothing = [pa.nulls(n, pa.int64())] * 2
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), ids, *own, *nothing], names)
-
-    def _uses(block: int, kind: pa.DataType, columns: dict[str, list]) -> pa.RecordBatch:
-        pairs, counts = np.unique(_pairs(b"".join(columns["a"]), b"".join(columns["b"])), return_counts=True)
+        flat, bounds = np.frombuffer(b"".join(moved), np.uint8), np.cumsum([0, *map(len, moved)])
+        counts = []
+        for step in ((flat & NEXT_A) > 0, (flat & NEXT_B) > 0, flat == NEXT_GROUP):
+            before = np.concatenate([[0], np.cumsum(step)])[bounds]
+            counts.append(pa.array(np.diff(before)))
+        own = [pa.array(links, pa.binary()), pa.array(moved, pa.binary()), *counts, pa.array(np.diff(bounds)), pa.array(digests, pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), ids, *own, *[pa.nulls(n, pa.int64())] * 2], names)
+
+    def _uses(block: int, kind: pa.DataType, links: list[bytes]) -> pa.RecordBatch:
+        pairs, counts = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
         n = len(pairs)
-        nothing = [pa.nulls(n, kind), *[pa.nulls(n, pa.binary())] * 3, *[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.string())]
+        nothing = [pa.nulls(n, kind), *[pa.nulls(n, pa.binary())] * 2, *[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.string())]
         return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), *nothing, pa.array(pairs), pa.array(counts)], names)
 
     return run
 
 
-def _pairs(a: bytes, b: bytes) -> np.ndarray:
-    """One number for each link: the id of A above that of B."""
-    return (np.frombuffer(a, np.uint32).astype(np.int64) << 32) | np.frombuffer(b, np.uint32)
-
-
 def align(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     vocabulary_a: str = VOCABULARY_A, vocabulary_b: str = VOCABULARY_B,
 ) -> Alignment:
     """The alignment of every text, and how often each pair of ids is linked in all of them.
 
-    ``texts`` has block, id, the links in order (``a``, ``b``: ids as 32-bit numbers, ``moved``: a
-    byte), n_a, n_b, n_groups and groups_sha256 (of ``a1,a2|b1;a3|b2,b3``). Null and empty texts, and
+    ``texts`` has block, id, the links in order (``links``: 64-bit numbers, the id of A above that of
+    B, ``moved``: a byte), n_a, n_b, n_groups, n_links and groups_sha256 (of ``a1,a2|b1;a3|b2,b3``). Null and empty texts, and
     those of which a tokenizer does not give back a space and the text, have no tokens: zeros and
     an empty string. Texts are aligned whole; special tokens inside them are plain text. Equal rows
     and null ids keep their rows, and count each. Other columns are not read. Files of the
@@ -303,9 +284,9 @@ def align(
     sent = docs.sparkSession.sparkContext.broadcast(tuple(contents))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     schema = T.StructType().add("block", T.LongType()).add("id", rows.schema["id"].dataType)
-    for name in ("a", "b", "moved"):
+    for name in ("links", "moved"):
         schema = schema.add(name, T.BinaryType())
-    for name in ("n_a", "n_b", "n_groups"):
+    for name in ("n_a", "n_b", "n_groups", "n_links"):
         schema = schema.add(name, T.LongType())
     schema = schema.add("groups_sha256", T.StringType()).add("pair", T.LongType()).add("uses", T.LongType())
     found = written(rows.mapInArrow(_aligned(sent, schema.names), schema), "alignment")
@@ -317,27 +298,23 @@ def align(
     return Alignment(texts, written(counts.withColumn("best", F.col("links") == most), "pair-counts"), uses)
 
 
-def _scores(keys: np.ndarray, links: np.ndarray, best: np.ndarray, batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array]:
-    """For each row of links ``a`` and ``b``: the sum of their counts, and how many are the best."""
-    (a, bounds), (b, _) = (text_bytes(batch.column(name)) for name in ("a", "b"))
-    at = np.searchsorted(keys, _pairs(a.tobytes(), b.tobytes()))
-    out = []
-    for values in (links, best):
-        sums = np.concatenate([[0], np.cumsum(values[at])])
-        out.append(pa.array(sums[bounds[1:] // 4] - sums[bounds[:-1] // 4]))
-    return out[0], out[1]
-
-
-_SCORED = ("id", "n_a", "n_b", "n_groups", "groups_sha256")
+_SCORED = ("id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
 
 def _scored(known) -> Callable:
+    """For each text: the sum of the counts of its links, and how many are the best."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, links, best = known.value
         for batch in batches:
-            sums, best = _scores(*known.value, batch)
+            flat, bounds = text_bytes(batch.column("links"))
+            at = np.searchsorted(keys, np.frombuffer(flat.tobytes(), np.int64))
+            sums = []
+            for values in (best, links):
+                total = np.concatenate([[0], np.cumsum(values[at])])
+                sums.append(pa.array(total[bounds[1:] // 8] - total[bounds[:-1] // 8]))
             own = [batch.column(n) for n in _SCORED]
-            n_links = pa.array(np.diff(text_bytes(batch.column("moved"))[1]))
-            yield pa.RecordBatch.from_arrays([*own, n_links, best, sums], [*_SCORED, "n_links", "n_best", "count_sum"])
+            yield pa.RecordBatch.from_arrays([*own, *sums], [*_SCORED, "n_best", "count_sum"])
 
     return run
 
@@ -351,18 +328,18 @@ def _scored_block(texts: pa.Table, known: pa.Table) -> pa.Table:
 
 
 def score(found: Alignment, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """id, n_a, n_b, n_groups, groups_sha256, n_links, n_best and count_sum of each text.
+    """id, n_a, n_b, n_groups, n_links, groups_sha256, n_best and count_sum of each text.
 
     ``count_sum`` adds up, over the links of a text, how often their pair is linked anywhere, and
     ``n_best`` counts those whose pair is the most frequent of its id of B, ties included.
     """
     texts, spark = found.texts, found.texts.sparkSession
-    fields = [texts.schema[n] for n in _SCORED] + [T.StructField(n, T.LongType()) for n in ("n_links", "n_best", "count_sum")]
+    fields = [texts.schema[n] for n in _SCORED] + [T.StructField(n, T.LongType()) for n in ("n_best", "count_sum")]
     schema = T.StructType(fields)
     if found.pairs.count() <= broadcast_pairs:
         rows = found.pairs.toArrow().sort_by("pair")
         keys, links, best = (rows.column(n).to_numpy() for n in ("pair", "links", "best"))
         sent = spark.sparkContext.broadcast((keys, links, best.astype(np.int64)))
-        return texts.select(*_SCORED, "a", "b", "moved").mapInArrow(_scored(sent), schema)
+        return texts.select(*_SCORED, "links").mapInArrow(_scored(sent), schema)
     own = found.uses.join(found.pairs, "pair").select(F.col("block").alias("of"), "pair", "links", "best")
     return texts.groupBy("block").cogroup(own.groupBy("of")).applyInArrow(_scored_block, schema)

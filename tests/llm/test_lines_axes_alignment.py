@@ -291,12 +291,12 @@ def test_alignment_of_words_is_that_of_the_whole(monkeypatch):
             if whole is None:
                 assert found == []
                 continue
-            joined = [b"".join(getattr(f, n) for f in found) for n in ("a", "b", "moved")]
-            assert joined == [whole.a, whole.b, whole.moved]
-            assert [sum(getattr(f, n) for f in found) for n in ("n_a", "n_b", "n_groups")] == [whole.n_a, whole.n_b, whole.n_groups]
-            assert ";".join(f.groups for f in found) == whole.groups
-            steps = np.frombuffer(whole.moved, np.uint8)  # the ids of either side can be read off
-            assert (np.frombuffer(whole.a, np.uint32)[(steps & 1) > 0].tolist(), whole.n_groups) == (aligner.a.encode(" " + text), int((steps == 3).sum()))
+            assert tuple(map(b"".join, zip(*[f[:2] for f in found], strict=True))) == whole[:2]
+            assert ";".join(f[2] for f in found) == whole[2]
+            steps, links = np.frombuffer(whole[1], np.uint8), np.frombuffer(whole[0], np.int64)  # the ids of either side can be read off
+            assert (links[(steps & 1) > 0] >> 32).tolist() == aligner.a.encode(" " + text)
+            assert (links[(steps & 2) > 0] & 0xFFFFFFFF).tolist() == aligner.b.encode(text)
+            assert whole[2].count(";") + 1 == (steps == 3).sum()
 
 
 @needs_vocabularies
