@@ -36,13 +36,14 @@ from changeflow.sources import (  # noqa: E402
     infer_schema,
     ingest_files,
     read_files,
+    stored_schema,
     stream_files,
     tracked_schema,
 )
 from changeflow.sources.feeds import FEEDS, TIE_BREAKS, tables_in  # noqa: E402
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE  # noqa: E402
 from changeflow.sources.paths import delete  # noqa: E402
-from changeflow.streaming import append_stream, finish, upsert_stream  # noqa: E402
+from changeflow.streaming import append_stream, finish, intake, upsert_stream  # noqa: E402
 
 try:  # the training-data operators are a part of their own, which may be left out
     import corpus_pipeline
@@ -204,6 +205,28 @@ def _bronze_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _bronze_rescued_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Procedures whose ``s3`` first arrives as a whole number, and then, in one batch, from some files
+    as text that is not always one and from others as a fraction. A new column comes with them."""
+    root = scratch_dir(spark, "rescued")
+    feed, number = _feed(spark, sf_dir, "procedures"), F.col("s3")
+    texts = F.when(number % 7 == 0, F.concat(F.lit("n/a "), number)).otherwise(number.cast("string"))
+    deliveries = {
+        "whole": feed.filter(number % 3 == 0),
+        "text": feed.filter(number % 3 == 1).withColumn("s3", texts).withColumn("origin", F.lit("text")),
+        "fraction": feed.filter(number % 3 == 2).withColumn("s3", number + F.when(number % 5 == 0, 0.5).otherwise(0.0)),
+    }
+    for run in (("whole",), ("text", "fraction")):
+        for name in run:
+            deliveries[name].write.parquet(f"{root}/source/{name}")
+        intake(spark, f"{root}/source", f"{root}/schema", f"{root}/bronze", f"{root}/checkpoint", (), lambda rows, name: None)
+    schema = stored_schema(spark, f"{root}/schema").add(SOURCE_FILE, T.StringType())
+    _clear(spark, root)
+    folder = F.element_at(F.split(SOURCE_FILE, "/"), -2).alias("source_folder")
+    found = read_files(spark, f"{root}/bronze", schema).select("*", folder, F.typeof("s3").alias("s3_type")).drop(SOURCE_FILE)
+    return found.withColumn("s3", F.col("s3").cast("string"))  # engines hand over whole numbers with NULLs differently
+
+
 def _age(feed: DataFrame) -> DataFrame:
     """Which quarter of the time stamps a change is in, the newest 0; without one, the oldest."""
     cuts = [(BATCHES - i) / BATCHES for i in range(1, BATCHES)]
@@ -399,6 +422,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "bronze_events_ingested": _bronze_events_ingested,
         "bronze_schema_evolution": _bronze_schema_evolution,
+        "bronze_rescued_types": _bronze_rescued_types,
     }
     for entity in ENTITIES:
         found[f"bronze_{entity}"] = partial(_bronze, entity)
@@ -437,6 +461,7 @@ def oracle_sql() -> dict[str, str]:
             case when ts >= timestamp '2024-01-16' then 'batch_001' else 'batch_000' end
               as source_folder
             from events""",
+        "bronze_rescued_types": oracles.rescued_types(),
     }
     year = "concat('year=', cast(year(cdc_timestamp) as varchar))"
     for entity in ENTITIES:

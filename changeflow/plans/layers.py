@@ -18,7 +18,7 @@ from changeflow.plans.specs import ReportSpec, TableSpec
 from changeflow.sources import publish_table, publish_view, read_files, refresh, starting_schema, stored_schema
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE
 from changeflow.sources.paths import exists, make_dir, write_json
-from changeflow.streaming import Refused, counts_file, intake, write_checked
+from changeflow.streaming import MOST_FILES, Refused, counts_file, intake, write_checked
 
 
 def checked(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -65,7 +65,7 @@ class Layers:
     root: str
     tables: Sequence[TableSpec]
     reports: Sequence[ReportSpec] = ()
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int = MOST_FILES
     parallel: int = 4
     skip_refused: bool = False  # go on past a batch that fails a blocking rule, instead of stopping
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +55,25 @@ def stream_files(
     return reader.parquet(path)
 
 
+def stream_names(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of the names of the files below ``path``, a row of ``path`` each. None is opened."""
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("maxFileAge", "36500d")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path).select("path")
+
+
+def read_named(spark: SparkSession, files: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Parquet files by their exact names. Without a schema, the union of their columns."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    return reader.parquet(*[re.sub(r"([\\{}\[\]*?])", r"\\\1", name) for name in files])
+
+
 def ingest_files(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """The incremental source: :func:`stream_files` with the two lineage columns."""
     return with_lineage(stream_files(spark, path, schema, **options))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from changeflow.sources.paths import NumberedFiles
+from changeflow.sources.rescue import CANNOT_MERGE
 
 
 def widen(known: T.StructType, seen: T.StructType) -> T.StructType:
@@ -29,6 +29,12 @@ def widen(known: T.StructType, seen: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
 
+def with_new_columns(known: T.StructType, seen: T.StructType) -> T.StructType:
+    """``known`` followed by the columns only ``seen`` has; one that changed its type keeps its own."""
+    names = set(known.names)
+    return widen(known, T.StructType([f for f in seen if f.name not in names]))
+
+
 def infer_schema(spark: SparkSession, path: str, path_glob: str | None = None) -> T.StructType:
     """The union of the schemas of all files below ``path``. Reads footers only, as a Spark job."""
     reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
@@ -44,20 +50,32 @@ def stored_schema(spark: SparkSession, location: str) -> T.StructType:
 
 
 def starting_schema(spark: SparkSession, path: str, location: str) -> T.StructType:
-    """The stored schema or, for a start, that of all files; reads no footers once it is stored."""
-    return stored_schema(spark, location) or tracked_schema(spark, path, location)
+    """The stored schema or, for a start, that of all files; reads no footers once it is stored.
 
+    Where the files of the start disagree on a type, that of one file is the start, and the
+    others are held against it when their batch comes."""
+    stored = stored_schema(spark, location)
+    if stored:
+        return stored
+    try:
+        return tracked_schema(spark, path, location)
+    except Exception as error:  # the bridge to the JVM does not translate this one
+        if CANNOT_MERGE not in str(error):
+            raise
+    first = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    return grow_schema(spark, location, [first])
 
-def grow_schema(spark: SparkSession, location: str, files: Sequence[str]) -> bool:
-    """Add to the stored schema what is new in these files, given as ``_metadata.file_path`` has
-    them; whether there was anything. Reads their footers and no others."""
+
+def grow_schema(spark: SparkSession, location: str, seen: Sequence[T.StructType]) -> T.StructType:
+    """The stored schema with the columns that are new in those seen, which is stored if there are any."""
     log = NumberedFiles(spark, location)
     known = stored_schema(spark, location)
-    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    current = widen(known, reader.parquet(*[unquote(file) for file in files]).schema)
+    current = known
+    for schema in seen:
+        current = with_new_columns(current, schema)
     if current != known:
         log.put(log.latest()[0] + 1, current.jsonValue())
-    return current != known
+    return current
 
 
 def tracked_schema(

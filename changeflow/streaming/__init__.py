@@ -1,3 +1,3 @@
-from changeflow.streaming.flows import Refused, append_stream, counts_file, finish, intake, upsert_stream, write_checked
+from changeflow.streaming.flows import MOST_FILES, Refused, append_stream, counts_file, finish, intake, upsert_stream, write_checked
 
-__all__ = ["Refused", "append_stream", "counts_file", "finish", "intake", "upsert_stream", "write_checked"]
+__all__ = ["MOST_FILES", "Refused", "append_stream", "counts_file", "finish", "intake", "upsert_stream", "write_checked"]

@@ -7,9 +7,11 @@ where it stopped.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.current import CurrentTable
@@ -25,9 +27,14 @@ from changeflow.operators.quality import (
     observe_rules,
     refused_rows,
 )
-from changeflow.sources.files import SOURCE_FILE, ingest_files
+from changeflow.sources.files import INGESTED_AT, SOURCE_FILE, read_named, stream_names, with_lineage
 from changeflow.sources.paths import delete, exists, make_dir, replace_folder, write_json
-from changeflow.sources.schema import grow_schema, starting_schema
+from changeflow.sources.rescue import RESCUED, fit, schema_groups
+from changeflow.sources.schema import grow_schema, starting_schema, stored_schema
+
+
+# How many files a micro-batch of intake has at most: the driver holds their names.
+MOST_FILES = 10_000
 
 
 def batch_name(batch: DataFrame, number: int) -> str:
@@ -90,56 +97,69 @@ def intake(
     checkpoint: str,
     cluster_by: Sequence[str],
     then: Callable[[DataFrame, str], None],
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = MOST_FILES,
 ) -> None:
-    """Take in all new files of a folder, which may have columns nobody has seen before.
-
-    Each micro-batch is written to a folder of its own below ``path``. Then the footers of its
-    files, and of no others, are held against the schema tracked in ``schemas``. If a column is
-    new, the folder goes, the schema grows and the batch is delivered again; a column that
-    changed its type is an error. ``then`` gets the rows as written and the batch's name, and
-    has to bear being called again with the same batch. If it refuses the batch, the run ends with
-    its ``BatchRefused``; the next run delivers the batch again.
+    """Take in all new files of a folder, whose columns and types may differ from those before.
+
+    The stream says which files are new, and opens none. Each micro-batch of them is written to a
+    folder of its own below ``path``. Before, the footers of its files, and of no others, are held
+    against the schema tracked in ``schemas``: new columns are added to it, and values of a column
+    that arrives as another type are cast to the tracked one, or kept in ``_rescued_data`` where they
+    do not fit. Files are read by name, those of one schema together.
+
+    ``then`` gets the rows as written and the batch's name, and has to bear being called again with
+    the same batch. If it refuses the batch, the run ends with its ``BatchRefused``; the next run
+    delivers the batch again. The driver holds the names of the files of one batch: more than
+    ``max_files_per_trigger`` are several batches.
     """
     make_dir(spark, path)
-    schema = starting_schema(spark, source, schemas)
-    grown: list[str] = []
-    refused: list[Exception] = []
+    starting_schema(spark, source, schemas)
+    refused: list[BatchRefused] = []
 
     def store(batch: DataFrame, number: int) -> None:
         session, name = batch.sparkSession, batch_name(batch, number)
         folder = f"{path}/{name}"
-        cluster_within(batch, cluster_by).write.mode("overwrite").parquet(folder)
-        written = session.read.schema(batch.schema).parquet(folder)
-        files = [row[0] for row in written.select(SOURCE_FILE).distinct().collect()]
-        try:
-            wider = bool(files) and grow_schema(session, schemas, files)
-        except ValueError as error:
-            refused.append(error)
-            delete(session, folder)
-            raise
-        if wider:
-            grown.append(name)
-            delete(session, folder)
-            raise RuntimeError(f"batch {name} has new columns and is to be delivered again")
+        files = [row[0] for row in batch.collect()]
+        if not files:
+            return
+        rows = _as_tracked(session, files, schemas)
+        cluster_within(rows, cluster_by).write.mode("overwrite").parquet(folder)
+        written = session.read.schema(rows.schema).parquet(folder)
         try:
             then(written, name)
         except BatchRefused as error:
             refused.append(error)
             raise
 
-    while True:
-        rows = ingest_files(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
-        writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        try:
-            return finish([writer.foreachBatch(store).start()])
-        except StreamingQueryException:
-            if refused:
-                raise refused[0] from None
-            if not grown:
-                raise
-            grown.clear()
-            schema = starting_schema(spark, source, schemas)
+    names = stream_names(spark, source, max_files_per_trigger)
+    writer = names.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    try:
+        finish([writer.foreachBatch(store).start()])
+    except StreamingQueryException:
+        if refused:
+            raise refused[0] from None
+        raise
+
+
+def _as_tracked(spark: SparkSession, files: Sequence[str], schemas: str) -> DataFrame:
+    """The rows of some files in the tracked schema, which grows by the columns only they have."""
+    groups = schema_groups(spark, files)
+    fields = [seen for seen, _ in groups]
+    tracked = grow_schema(spark, schemas, fields)
+    types = {f.name: f.dataType for f in tracked}
+    if all(types[f.name] == f.dataType for seen in fields for f in seen):
+        return with_lineage(read_named(spark, files, tracked))
+    tracked = grow_schema(spark, schemas, [T.StructType([T.StructField(RESCUED, T.StringType())])])
+    parts = []
+    for seen, own in groups:
+        rows = with_lineage(read_named(spark, own, seen))
+        fitted = fit(rows, T.StructType([*tracked, *rows.schema.fields[-2:]]))
+        parts.append(fitted.select(*[_quoted(n) for n in (*tracked.names, INGESTED_AT, SOURCE_FILE)]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def append_stream(

@@ -194,6 +194,17 @@ def bronze(entity: str, folder: str) -> str:
         from ({feed(entity)})"""
 
 
+def rescued_types() -> str:
+    """Whole numbers stay; texts that are none and numbers with a fraction are kept as JSON."""
+    return f"""select * replace (case when s3 % 3 = 1 and s3 % 7 = 0 or s3 % 3 = 2 and s3 % 5 = 0 then null
+            else cast(s3 as varchar) end as s3), 'bigint' as s3_type,
+          case when s3 % 3 = 1 then 'text' end as origin,
+          case when s3 % 3 = 1 and s3 % 7 = 0 then concat('{{"s3":"n/a ', s3, '"}}')
+            when s3 % 3 = 2 and s3 % 5 = 0 then concat('{{"s3":', s3, '.5}}') end as _rescued_data,
+          case s3 % 3 when 0 then 'whole' when 1 then 'text' else 'fraction' end as source_folder
+        from ({feed('procedures')})"""
+
+
 def row_counts() -> str:
     counted = {}
     for entity in _FEEDS:
