@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import sys
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 from functools import partial, reduce
 
@@ -365,17 +366,30 @@ def _quality_streamed(entity: str, spark: SparkSession, sf_dir: str) -> DataFram
     return quality_history(spark, f"{root}/counts", spec.rules, spec.silver)
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> Layers:
+def _layers(spark: SparkSession, sf_dir: str, database: str = "") -> Layers:
     root = scratch_dir(spark, "layers")
     for entity in ENTITIES:
         by = "cdc_timestamp" if entity == "encounters" else None
         _land(_feed(spark, sf_dir, entity), f"{root}/source/{entity}", by)
     tables = tuple(ENTITIES.values())
-    layers = Layers(spark, f"{root}/source", f"{root}/tables", tables, REPORTS).run()
+    layers = Layers(spark, f"{root}/source", f"{root}/tables", tables, REPORTS, database=database).run()
     _clear(spark, root)
     return layers
 
 
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[str]:
+    """A database of the catalog for one query. What was read from it by name stays readable: its
+    entries go, the files of its external tables do not."""
+    root = scratch_dir(spark, "named")
+    name = f"named_{root[-32:]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{root}/database'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def _layers_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _layers(spark, sf_dir)
     counts = [
@@ -385,28 +399,45 @@ def _layers_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def _layers_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All datasets by their published names: the comment the catalog has, and the rows found there."""
+    with _database(spark) as database:
+        layers = _layers(spark, sf_dir, database)
+        layers.publish()
+        found = []
+        for name in layers.datasets():
+            comment = F.lit(spark.catalog.getTable(f"{database}.{name}").description).alias("table_comment")
+            counted = spark.read.table(f"{database}.{name}").agg(F.count("*").alias("row_count"))
+            found.append(counted.select(F.lit(name).alias("dataset"), comment, "row_count"))
+        return reduce(DataFrame.unionAll, found)
+
+
 def _layers_diagnosis_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = _layers(spark, sf_dir)
-    return layers.read("gold_diagnosis_distribution")
+    """The report by its published name."""
+    with _database(spark) as database:
+        _layers(spark, sf_dir, database).publish()
+        return spark.read.table(f"{database}.gold_diagnosis_distribution")
 
 
 def _layers_current_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published after the first half of the deliveries, then two more runs, a compaction, and
     the superseded files gone: read by name, with its comment."""
     root = scratch_dir(spark, "named")
-    spec = replace(ENTITIES["procedures"], name=f"procedures_{root[-8:]}")
-    layers = Layers(spark, f"{root}/source", f"{root}/tables", (spec,))
+    spec = ENTITIES["procedures"]
     feed = _age(_feed(spark, sf_dir, "procedures"))
-    for number in range(BATCHES - 1):
-        part = feed.filter(F.col("age") >= 2 if number == 0 else F.col("age") == number - 1).drop("age")
-        part.write.parquet(f"{root}/source/{spec.name}/batch_{number:03d}")
+    with _database(spark) as database:
+        layers = Layers(spark, f"{root}/source", f"{root}/tables", (spec,), database=database)
+        for number in range(BATCHES - 1):
+            part = feed.filter(F.col("age") >= 2 if number == 0 else F.col("age") == number - 1).drop("age")
+            part.write.parquet(f"{root}/source/{spec.name}/batch_{number:03d}")
+            layers.run()
+            if number == 0:
+                layers.publish()
+        layers.current_table(spec).remove(layers.compact()[spec.current])
         layers.run()
-        if number == 0:
-            layers.publish()
-    layers.current_table(spec).remove(layers.compact()[spec.current])
-    layers.run()
-    comment = spark.catalog.getTable(spec.current).description
-    return spark.read.table(spec.current).drop(INGESTED_AT, SOURCE_FILE).withColumn("table_comment", F.lit(comment))
+        comment = spark.catalog.getTable(f"{database}.{spec.current}").description
+        rows = spark.read.table(f"{database}.{spec.current}").drop(INGESTED_AT, SOURCE_FILE)
+        return rows.withColumn("table_comment", F.lit(comment))
 
 
 # -- contract -------------------------------------------------------------------------
@@ -442,6 +473,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layers_row_counts": _layers_row_counts,
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
         "layers_current_by_name": _layers_current_by_name,
+        "layers_comments": _layers_comments,
         "current_encounters_evolving": _current_encounters_evolving,
         "current_encounters_with_deletes": _current_encounters_with_deletes,
         "history_encounters_incremental": _history_encounters_incremental,
@@ -484,6 +516,10 @@ def oracle_sql() -> dict[str, str]:
         "layers_diagnosis_distribution": oracles.diagnosis_distribution(),
         "layers_current_by_name": f"""select *, 'Procedures, latest row per procedure_id' as table_comment
             from ({oracles.current('procedures')})""",
+        "layers_comments": oracles.comments(
+            {name: text for s in TABLES for name, text in zip((s.bronze, s.silver, s.current), s.comments.values(), strict=True)}
+            | {report.name: report.comment for report in REPORTS}
+        ),
         "current_encounters_evolving": oracles.evolving(),
         "current_encounters_with_deletes": oracles.current_with_deletes("encounters"),
         "history_encounters_incremental": oracles.history("encounters"),

@@ -108,18 +108,28 @@ REPORTS = (
         build=lambda tables: facility_summary(tables["encounters"]),
         layout=("facility_code",),
         comment="For each facility and encounter type: stays, patients, emergencies, first and last admission",
+        uses={
+            "encounters": (
+                "facility_code", "encounter_type", "length_of_stay_hours", "patient_id", "is_emergency", "admit_date",
+            )
+        },
     ),
     ReportSpec(
         name="gold_diagnosis_distribution",
         build=lambda tables: diagnosis_distribution(tables["diagnoses"], tables["encounters"]),
         layout=("facility_code", "diagnosis_code"),
         comment="How often surviving diagnoses name a code, in how many encounters and patients of a facility",
+        uses={
+            "encounters": ("encounter_id", "facility_code", "encounter_type"),
+            "diagnoses": ("encounter_id", "patient_id", "diagnosis_code", "code_system"),
+        },
     ),
     ReportSpec(
         name="gold_daily_admissions",
         build=lambda tables: daily_admissions(tables["encounters"]),
         layout=("facility_code", "admit_date_day"),
         comment="Admissions that passed the checks, for each facility and UTC day",
+        uses={"encounters": ("facility_code", "admit_date", "is_emergency", "encounter_type", "length_of_stay_hours")},
     ),
 )
 

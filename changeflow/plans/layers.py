@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from concurrent.futures import ThreadPoolExecutor
@@ -11,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.operators import CurrentTable, HistoryTable, apply_rules, latest_by_key, quality_history, write_clustered
+from changeflow.operators import CurrentTable, HistoryTable, apply_rules, cluster_globally, latest_by_key, quality_history
 from changeflow.operators.latest import mark_deletes, without_deleted
 from changeflow.operators.quality import FAILED_RULES
 from changeflow.plans.specs import ReportSpec, TableSpec
 from changeflow.sources import publish_table, publish_view, read_files, refresh, starting_schema, stored_schema
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE
-from changeflow.sources.paths import exists, make_dir, write_json
+from changeflow.sources.paths import NumberedFiles, delete, exists, make_dir, write_json
+from changeflow.sources.tables import quoted
 from changeflow.streaming import MOST_FILES, Refused, counts_file, intake, write_checked
 
 
@@ -68,6 +70,7 @@ class Layers:
     max_files_per_trigger: int = MOST_FILES
     parallel: int = 4
     skip_refused: bool = False  # go on past a batch that fails a blocking rule, instead of stopping
+    database: str = ""  # where datasets are published; the session's if empty
 
     def path(self, dataset: str) -> str:
         return f"{self.root}/{dataset}"
@@ -115,13 +118,66 @@ class Layers:
         """
         with ThreadPoolExecutor(self.parallel) as pool:
             state = dict(zip((s.name for s in self.tables), pool.map(self._advance, self.tables)))
-        for report in self.reports:
-            write_clustered(report.build(state), self.path(report.name), report.layout)
+        if self.reports:
+            self._refresh_reports(state)
         rows = [name(s) for s in self.tables for name in (self._rows_name, self._history_rows_name)]
         for name in (*self.datasets(), *rows):
-            refresh(self.spark, name)
+            refresh(self.spark, self._published(name))
         return self
 
+    def _refresh_reports(self, state: dict[str, DataFrame]) -> None:
+        """Build all reports beside the old ones, then switch to them together.
+
+        Each run has a folder of its own, and one small file that is written last says which is
+        valid: whoever reads sees all reports of one run, and a run that fails leaves the old ones.
+        The folder before the valid one stays for readers that began earlier, older ones go.
+        """
+        folder = f"{self.root}/_reports/{uuid.uuid4().hex}"
+        versions = self._versions()
+        number, _ = versions.latest()  # before reading: of two runs at once the slower one fails
+        shared = {}
+        for name, table in state.items():
+            asked = [report.uses[name] for report in self.reports if name in report.uses]
+            if len(asked) > 1:  # ranked once for all of them
+                shared[name] = table.select(*sorted(set().union(*asked))).persist()
+        try:
+            for report in self.reports:
+                own = {**state, **{name: shared[name] for name in report.uses if name in shared}}
+                cluster_globally(report.build(own), report.layout).write.parquet(f"{folder}/{report.name}")
+            versions.put(number + 1, {"folder": folder})
+        except BaseException:
+            delete(self.spark, folder)
+            raise
+        finally:
+            for table in shared.values():
+                table.unpersist()
+        for report in self.reports:
+            if self.spark.catalog.tableExists(quoted(self._published(report.name))):
+                self._publish_report(report)
+        for old in versions.numbers()[:-2]:
+            delete(self.spark, versions.get(old)["folder"])
+            versions.drop(old)
+
+    def _versions(self) -> NumberedFiles:
+        return NumberedFiles(self.spark, f"{self.root}/_reports_versions")
+
+    def read_reports(self) -> dict[str, DataFrame]:
+        """All reports of the last run that completed them, by name."""
+        valid = self._versions().latest()[1]
+        if valid is None:
+            raise LookupError("no run has built reports yet")
+        return {report.name: read_files(self.spark, f"{valid['folder']}/{report.name}") for report in self.reports}
+
+    def _publish_report(self, report: ReportSpec) -> None:
+        folder = self._versions().latest()[1]["folder"]
+        publish_table(
+            self.spark, self._published(report.name), self.read(report.name), f"{folder}/{report.name}",
+            report.comment, within=f"{self.root}/_reports",
+        )
+
+    def _published(self, dataset: str) -> str:
+        return f"{self.database}.{dataset}" if self.database else dataset
+
     def compact(self) -> dict[str, list[str]]:
         """Write the current tables anew; per table the folders that may go when readers are done."""
         found = {spec.current: self.current_table(spec).compact() for spec in self.tables}
@@ -199,7 +255,7 @@ class Layers:
                 return self.history_table(spec).read()
             if dataset in (spec.bronze, spec.silver):
                 return read_files(self.spark, self.path(dataset), self._schema(spec, dataset))
-        return read_files(self.spark, self.path(dataset))
+        return self.read_reports()[dataset]
 
     def quality(self, spec: TableSpec, by_batch: bool = False) -> DataFrame:
         """How often each rule failed, over all runs or batch by batch."""
@@ -220,24 +276,25 @@ class Layers:
         return names + [report.name for report in self.reports]
 
     def publish(self) -> None:
-        """Register everything under its name, with comments.
+        """Register everything under its name, with comments, in ``database`` if there is one.
 
         The current state is a view over a table of the rows appended, so it has the newest
         state whenever it is read, in any session of the catalog. Call again when a column is new.
+        Runs point published reports to their new folders, each in one step; a catalog cannot
+        switch several at once, as :meth:`read_reports` does.
         """
         for spec in self.tables:
             for layer, name in (("bronze", spec.bronze), ("silver", spec.silver)):
                 publish_table(
-                    self.spark, name, self.read(name), self.path(name), spec.comments.get(layer, "")
+                    self.spark, self._published(name), self.read(name), self.path(name), spec.comments.get(layer, "")
                 )
-            table, rows, comment = self.current_table(spec), self._rows_name(spec), spec.comments.get("gold", "")
-            publish_table(self.spark, rows, table.appended(), table.rows, f"Changes that are ranked by {spec.current}")
-            publish_view(self.spark, spec.current, table.select_sql(rows), comment)
+            self._publish_state(spec.current, self._rows_name(spec), self.current_table(spec))
             if spec.keep_history:
-                past, rows = self.history_table(spec), self._history_rows_name(spec)
-                publish_table(self.spark, rows, past.appended(), past.rows, f"Intervals that are ranked by {spec.history}")
-                publish_view(self.spark, spec.history, past.select_sql(rows), past.comment)
+                self._publish_state(spec.history, self._history_rows_name(spec), self.history_table(spec))
         for report in self.reports:
-            publish_table(
-                self.spark, report.name, self.read(report.name), self.path(report.name), report.comment
-            )
+            self._publish_report(report)
+
+    def _publish_state(self, name: str, rows: str, table: CurrentTable | HistoryTable) -> None:
+        rows = self._published(rows)
+        publish_table(self.spark, rows, table.appended(), table.rows, f"Changes that are ranked by {name}")
+        publish_view(self.spark, self._published(name), table.select_sql(quoted(rows)), table.comment)

@@ -48,9 +48,13 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class ReportSpec:
-    """A fully recomputed table: ``build`` gets the current tables by entity name."""
+    """A fully recomputed table: ``build`` gets the current tables by entity name.
+
+    ``uses`` may name the columns it needs of each; what several reports need is then ranked once.
+    """
 
     name: str
     build: Callable[[Mapping[str, DataFrame]], DataFrame]
     layout: tuple[str, ...] = ()
     comment: str = ""
+    uses: Mapping[str, tuple[str, ...]] = field(default_factory=dict)

@@ -19,25 +19,34 @@ def _described(spark: SparkSession, name: str) -> dict[str, str]:
     return {row["col_name"]: row["data_type"] for row in rows}
 
 
-def _same_folder(spark: SparkSession, a: str, b: str) -> bool:
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (a, b)]
-    config = spark._jsc.hadoopConfiguration()
-    whole = [p.getFileSystem(config).makeQualified(p).toUri().getPath().rstrip("/") for p in paths]
-    return whole[0] == whole[1]
+def _folder(spark: SparkSession, path: str) -> str:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().getPath().rstrip("/")
 
 
-def publish_table(spark: SparkSession, name: str, df: DataFrame, path: str, comment: str = "") -> None:
+def publish_table(
+    spark: SparkSession, name: str, df: DataFrame, path: str, comment: str = "", within: str | None = None
+) -> None:
     """Register the folder as an external table, so that ``spark.read.table`` and
     ``spark.readStream.table`` find it by name.
 
     ``df`` gives the columns. Registering again replaces the definition, never the files: a
     table of this name that is managed, a view, or lies elsewhere is left alone and an error.
+    With ``within``, one that lies anywhere below that folder is an older version of this one; if its
+    columns are the same, it is pointed to the new folder in one step and is there all the time.
     """
     if spark.catalog.tableExists(quoted(name)):
         found = _described(spark, name)
-        ours = found.get("Type") == "EXTERNAL" and _same_folder(spark, found.get("Location", ""), path)
+        place = _folder(spark, found["Location"]) if found.get("Type") == "EXTERNAL" else None
+        ours = place == _folder(spark, path) or (
+            place is not None and within is not None and place.startswith(_folder(spark, within) + "/")
+        )
         if not ours:
             raise ValueError(f"there is another table or view named {name}")
+        if within is not None and spark.table(quoted(name)).dtypes == df.dtypes:
+            spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION {_text(path)}")
+            spark.sql(f"COMMENT ON TABLE {quoted(name)} IS {_text(comment)}")
+            return spark.catalog.refreshTable(quoted(name))
         spark.sql(f"DROP TABLE {quoted(name)}")
     spark.catalog.createTable(
         quoted(name),

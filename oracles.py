@@ -219,6 +219,12 @@ def row_counts() -> str:
     )
 
 
+def comments(told: dict[str, str]) -> str:
+    known = ", ".join(f"('{name}', '{text}')" for name, text in told.items())
+    return f"""select dataset, table_comment, row_count from ({row_counts()})
+        join (values {known}) as told(dataset, table_comment) using (dataset)"""
+
+
 def evolving() -> str:
     """Ties in time go to the greater values, column by column in the order of names."""
     ties = (

@@ -1,0 +1,120 @@
+"""All reports of a run take the place of the old ones together."""
+
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from test_layers import FIRST, SECOND, deliver
+
+from changeflow.plans import Layers, ReportSpec
+from changeflow.plans.clinical import REPORTS, TABLES
+from changeflow.sources import publish_table
+
+
+def start(spark, tmp_path, reports=REPORTS, **more):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, reports, **more)
+    deliver(spark, flow.source, FIRST, "batch_000")
+    return flow.run()
+
+
+def told(flow):
+    return {name: rows(df) for name, df in flow.read_reports().items()}
+
+
+def counted(spec_name, fail_from=None):
+    """A report that counts the encounters, and may fail when there are many."""
+    count = F.count("*")
+    if fail_from is not None:
+        count = F.when(count >= fail_from, F.raise_error(F.lit("too many"))).otherwise(count)
+    return ReportSpec(spec_name, lambda tables: tables["encounters"].agg(count.cast("long").alias("n")))
+
+
+def test_a_reader_sees_the_reports_of_one_run(spark, tmp_path, monkeypatch):
+    """One that looks while the next run has written some reports, and one that began before it."""
+    flow = start(spark, tmp_path, (counted("one"), counted("two")))
+    before, held = told(flow), flow.read_reports()
+    assert before == {"one": [(2,)], "two": [(2,)]}
+    deliver(spark, flow.source, SECOND, "batch_001")
+    seen = []
+
+    class Looking(ReportSpec):
+        pass
+
+    second = Looking("two", lambda tables: (seen.append(told(flow)), counted("two").build(tables))[1])
+    flow.reports = (flow.reports[0], second)
+    flow.run()
+    assert seen == [before]
+    assert told(flow) == {"one": [(3,)], "two": [(3,)]}
+    assert {name: rows(df) for name, df in held.items()} == before  # files of the run before are still there
+
+
+def test_a_run_that_fails_leaves_all_old_reports(spark, tmp_path):
+    flow = start(spark, tmp_path, (counted("one"), counted("two", fail_from=3)))
+    before = told(flow)
+    deliver(spark, flow.source, SECOND, "batch_001")
+    with pytest.raises(Exception, match="too many"):
+        flow.run()
+    assert told(flow) == before == {"one": [(2,)], "two": [(2,)]}
+    assert len(os.listdir(f"{flow.root}/_reports")) == 1
+    flow.reports = (counted("one"), counted("two"))
+    flow.run()
+    assert told(flow) == {"one": [(3,)], "two": [(3,)]}
+
+
+def test_before_the_first_run_there_are_none(spark, tmp_path):
+    flow = Layers(spark, f"{tmp_path}/source", f"{tmp_path}/tables", TABLES, REPORTS)
+    with pytest.raises(LookupError, match="no run"):
+        flow.read("gold_facility_summary")
+
+
+def test_old_versions_go_but_for_the_last(spark, tmp_path):
+    flow = start(spark, tmp_path, (counted("one"),))
+    for _ in range(3):
+        flow.run()
+    folders = {f for f in os.listdir(f"{flow.root}/_reports") if not f.startswith(".")}
+    assert len(folders) == 2 and flow._versions().latest()[1]["folder"].split("/")[-1] in folders
+    assert len(flow._versions().numbers()) == 2
+
+
+def test_a_second_writer_does_not_undo_the_first(spark, tmp_path):
+    """Another run switches while this one builds its reports from what it read before."""
+    flow = start(spark, tmp_path, (counted("one"),))
+    other = Layers(spark, flow.source, flow.root, TABLES, (counted("one"),))
+    flow.reports = (ReportSpec("one", lambda tables: (other.run(), counted("one").build(tables))[1]),)
+    with pytest.raises(Exception, match="(?i)exist"):
+        flow._refresh_reports({s.name: flow.read(s.current) for s in TABLES})
+    assert len(flow._versions().numbers()) == 2 and told(other) == {"one": [(2,)]}
+
+
+def test_published_reports_follow(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE reports_by_name LOCATION '{tmp_path}/db'")
+    try:
+        flow = start(spark, tmp_path, database="reports_by_name")
+        flow.publish()
+        deliver(spark, flow.source, SECOND, "batch_001")
+        flow.run()
+        for report in REPORTS:
+            name = f"reports_by_name.{report.name}"
+            assert rows(spark.read.table(name)) == rows(flow.read(report.name)) != []
+            assert spark.catalog.getTable(name).description == report.comment
+        found = {t.name for t in spark.catalog.listTables("reports_by_name")}
+        assert set(flow.datasets()) <= found and not spark.catalog.tableExists("gold_facility_summary")
+        spark.range(1).write.option("path", f"{tmp_path}/elsewhere").saveAsTable("reports_by_name.theirs")
+        with pytest.raises(ValueError, match="another table"):
+            publish_table(spark, "reports_by_name.theirs", spark.range(1), f"{tmp_path}/x/y", within=f"{tmp_path}/x")
+    finally:
+        spark.sql("DROP DATABASE reports_by_name CASCADE")
+
+
+def test_what_several_reports_need_is_ranked_once(spark, tmp_path, monkeypatch):
+    flow = start(spark, tmp_path)
+    given = []
+    spies = [
+        ReportSpec(r.name, lambda tables, r=r: (given.append(tables["encounters"]), r.build(tables))[1], r.layout, r.comment, r.uses)
+        for r in REPORTS
+    ]
+    flow.reports = spies
+    flow.run()
+    assert len(given) == 3 and given[0] is given[1] is given[2]
+    assert "discharge_date" not in given[0].columns and not given[0].is_cached
