@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.scratch import written
+from changeflow.llm.scratch import free_name, written
 
 BITS = 12
 LEVELS = 4
@@ -138,14 +138,13 @@ def copies(hash_column: str = "hash", epochs: str = "epochs", threshold: str = "
 def take(
     docs: DataFrame, source_column: str = "source", id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The mixed documents: the columns of ``docs``, a row as often as the mix takes it."""
+    """The mixed documents: the columns of ``docs``, whatever their names, a row as often as the mix
+    takes it."""
     _, plan = mix(docs, source_column, id_column, text_column)
-    names = docs.columns
-    mine = {"source": "_mix_source", "epochs": "_mix_epochs", "threshold": "_mix_threshold"}
-    plan = plan.select(*[F.col(c).alias(name) for c, name in mine.items()])
+    source, epochs, threshold, own, copy = (free_name(docs, f"_mix_{n}") for n in ("source", "epochs", "threshold", "hash", "copy"))
+    plan = plan.select(F.col("source").alias(source), F.col("epochs").alias(epochs), F.col("threshold").alias(threshold))
     ids, text = F.col(id_column), F.col(text_column)
-    hashed = docs.withColumn("_mix_hash", F.when(ids.isNotNull(), unit_hash(ids)).otherwise(unit_hash(text)))
-    found = hashed.join(plan, F.col(source_column).eqNullSafe(F.col("_mix_source")))
-    times = copies("_mix_hash", "_mix_epochs", "_mix_threshold").cast("int")
-    found = found.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), times)))
-    return found.select(*names)
+    hashed = docs.withColumn(own, F.when(ids.isNotNull(), unit_hash(ids)).otherwise(unit_hash(text)))
+    found = hashed.join(plan, F.col(source_column).eqNullSafe(F.col(source)))
+    found = found.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies(own, epochs, threshold).cast("int"))))
+    return found.drop(source, epochs, threshold, own, copy)

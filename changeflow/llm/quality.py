@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import kernels
+from changeflow.llm.scratch import free_name
 
 WORD_BITS = 16
 RANK = 8
@@ -225,7 +226,8 @@ def score_quality(
     metadata: Sequence[str] = ("n_chars",), score: str = "score",
 ) -> DataFrame:
     """All columns of ``docs`` and a ``score`` between 0 and 1. Null texts count as empty ones,
-    null metadata as unknown. A column that has the name of the score is replaced.
+    null metadata as unknown. A column that has the name of the score is replaced; all others stay,
+    whatever their names.
 
     Texts go through in pieces of about a megabyte and nothing is shuffled.
     """
@@ -248,8 +250,8 @@ def score_quality(
 
     given = docs.select(
         *[F.col(f"`{c}`") for c in names],
-        F.col(f"`{text_column}`").alias("_scored_text"),
-        *[F.col(f"`{m}`").cast("double").alias(f"_scored_{i}") for i, m in enumerate(metadata)],
+        F.col(f"`{text_column}`").alias(free_name(docs, "_scored_text")),
+        *[F.col(f"`{m}`").cast("double").alias(free_name(docs, f"_scored_{i}")) for i, m in enumerate(metadata)],
     )
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return given.mapInArrow(run, f"{kinds}, `{score}` double")

@@ -82,7 +82,9 @@ def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.
 
 
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(_table(spark, sf_dir, "embeddings"), queries_every=100)
+    """A score beyond 64 bits, which no long can hold, is null; its rank is right."""
+    found = topk.top_k(_table(spark, sf_dir, "embeddings"), queries_every=100)
+    return found.withColumn("score", F.col("score").try_cast("long"))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,3 +37,11 @@ def written_by_key(df: DataFrame, label: str, key: str, files: int) -> DataFrame
 def tasks_for(df: DataFrame) -> int:
     """How many tasks a shuffle of this session deals rows to."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

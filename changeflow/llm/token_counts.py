@@ -96,11 +96,16 @@ def write_token_files(
     """(blocks, names): the token files cut into blocks, and the ids of their documents in order.
 
     A file for each partition of ``docs``. The vocabulary is read on the driver (it has some
-    hundred kilobytes) and sent to the executors. A null text has no tokens. Writing ends the
+    hundred kilobytes) and sent to the executors; ids of 16 bits below the separator are all a file
+    can hold, and a vocabulary with others is an error. A null text has no tokens. Writing ends the
     lineage, so files and names stay those of one run.
     """
     with open(vocabulary, "rb") as file:
-        ranks = docs.sparkSession.sparkContext.broadcast(file.read())
+        content = file.read()
+    most = max((int(line.split()[1]) for line in content.splitlines() if line), default=0)
+    if most >= SEPARATOR:
+        raise ValueError(f"the vocabulary has the id {most}, but files hold ids below {SEPARATOR}, the separator")
+    ranks = docs.sparkSession.sparkContext.broadcast(content)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     schema = "shard int, block long, tokens binary, names array<long>"
     rows = written(rows.mapInArrow(_tokenized(ranks, split_pattern()), schema), "token-files")

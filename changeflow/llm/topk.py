@@ -10,6 +10,7 @@ partitioning, and the blocks' results merged. Every candidate is scored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from changeflow.llm.scratch import tasks_for, written
 CANDIDATES = 4096
 QUERIES = 512
 SCALE = 1024
+LIMIT = float(1 << 43)
 
 
 class Postings:
@@ -44,18 +46,23 @@ class Postings:
 
 
 def scores(queries: Postings, candidates: Postings) -> np.ndarray:
-    """Inner products of every query with every candidate, one term after the other."""
-    total = np.zeros((queries.n, candidates.n), dtype=np.int64)
+    """Inner products of every query with every candidate, one term after the other.
+
+    Where a sum of products may have more than 62 bits, all of them are Python integers.
+    """
+    most = [float(np.abs(side.weights).max(initial=0)) for side in (queries, candidates)]
+    fits = most[0] * most[1] * max(len(queries.terms), 1) < float(1 << 62)
+    total = np.zeros((queries.n, candidates.n), dtype=np.int64 if fits else object)
     other = candidates.of()
     for term, (rows, weights) in queries.of().items():
         if term in other:
             at, by = other[term]
             if len(at) == candidates.n:
-                for row, weight in zip(rows, weights, strict=True):
-                    total[row] += weight * by
+                for row, weight in zip(rows, weights if fits else weights.tolist(), strict=True):
+                    total[row] += weight * (by if fits else by.astype(object))
             else:
-                for row, weight in zip(rows, weights, strict=True):
-                    total[row, at] += weight * by
+                for row, weight in zip(rows, weights if fits else weights.tolist(), strict=True):
+                    total[row, at] += weight * (by if fits else by.astype(object))
     return total
 
 
@@ -66,9 +73,21 @@ def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         at = np.flatnonzero(score >= bar)  # ties with the last one included
     else:
         at = np.arange(len(score))
+    if score.dtype == object:
+        return np.array(sorted(at.tolist(), key=lambda i: (-score[i], ids[i]))[:k], dtype=np.int64)
     return at[np.lexsort((ids[at], -score[at]))][:k]
 
 
+def _decimals(parts: list[np.ndarray]) -> pa.Array:
+    whole = [
+        pa.array([Decimal(v) for v in part.tolist()], pa.decimal128(38, 0))
+        if part.dtype == object
+        else pa.array(part).cast(pa.decimal128(38, 0))
+        for part in parts
+    ]
+    return pa.concat_arrays(whole)
+
+
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +108,8 @@ def _search(k: int):
                     for column, values in zip(out, (np.full(len(found), name), ids[found], total[q][found]), strict=True):
                         column.append(values)
                 if out[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c), pa.int64()) for c in out], ["query_id", "vec_id", "score"]
-                    )
+                    ids_out = [pa.array(np.concatenate(c), pa.int64()) for c in out[:2]]
+                    yield pa.RecordBatch.from_arrays([*ids_out, _decimals(out[2])], ["query_id", "vec_id", "score"])
 
     return run
 
@@ -105,19 +123,21 @@ def _blocks(rows: DataFrame, size: int, count: int) -> DataFrame:
 def top_k(
     table: DataFrame, queries_every: int, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
-    """query_id, rank (from 1), vec_id and score: for each query its k highest scores.
+    """query_id, rank (from 1), vec_id and score, exact in a decimal: for each query its k highest.
 
     Queries are the rows whose id is divisible by ``queries_every``; candidates are all rows but
     those of the query's own id. Components x count as floor(1024 * x). Ties go to the smaller
     id. Of candidates with an equal id the best counts; of queries with an equal id the least
     vector asks. A missing component is zero, so vectors may differ in length. Rows without an id,
-    and vectors that are null or have a null or a value that is not finite, take no part. With
+    and vectors that are null or have a null or a value that is not finite, take no part; nor do
+    those with a component of 2**43 or more, which is 2**53 as a whole number and past what a double
+    counts exactly. With
     fewer than k candidates all are returned, with none nothing.
     """
     vector = F.transform(F.col(vector_column).cast("array<double>"), lambda x: F.floor(x * SCALE).cast("long"))
     fine = F.forall(
         F.col(vector_column).cast("array<double>"),
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")),
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LIMIT),
     )
     rows = table.filter(fine & F.col(id_column).isNotNull())
     rows = written(rows.select(F.col(id_column).cast("long").alias("id"), vector.alias("vector")), "topk-rows")
@@ -134,7 +154,7 @@ def top_k(
     )
     joined = pairs.join(blocks.withColumnRenamed("rows", "candidates"), "block")
     joined = joined.repartition(tasks_for(table), "q", "block").select("queries", "candidates")
-    found = joined.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = joined.mapInArrow(_search(k), "query_id long, vec_id long, score decimal(38,0)")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
