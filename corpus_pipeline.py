@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from changeflow.llm import minhash, mixing, packing, quality, suffix
 from changeflow.llm.queries import quality_model
-from changeflow.llm.scratch import written
+from changeflow.llm.scratch import free_name, written
 from changeflow.llm.ship import shipped
 
 
 @shipped
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the classifier rejects go."""
+    """Documents the classifier rejects go. Columns keep their names and values, whatever they are."""
     model = quality_model(spark, sf_dir, docs.select("doc_id", "text", "n_chars"))
-    scored = quality.score_quality(docs, model, score="_score")
-    return scored.filter("_score >= 0.5").drop("_score")
+    score = free_name(docs, "_score")
+    return quality.score_quality(docs, model, score=score).filter(F.col(score) >= 0.5).drop(score)
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
@@ -57,25 +57,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     and of those that are near each other the one of the least hash stays. Rows without an id
     stay.
     """
-    nodes = _nodes(docs.filter("doc_id IS NOT NULL"))
-    nodes = written(nodes, "pipeline-nodes")
-    named = docs.filter("doc_id IS NOT NULL").withColumn("_mark", _mark())
-    named = named.join(nodes, ["doc_id", "_mark"], "left").withColumn("_node", F.coalesce("_node", "doc_id"))
-    found = written(minhash.near_duplicates(named.select("_node", "text"), "_node"), "pipeline-near")
-    known = nodes.select("_node", F.col("doc_id").alias("_id"))
+    mark, node, first = (free_name(docs, name) for name in ("_mark", "_node", "_first"))
+    nodes = written(_nodes(docs.filter("doc_id IS NOT NULL")), "pipeline-nodes")
+    nodes = nodes.select("doc_id", F.col("_mark").alias(mark), F.col("_node").alias(node))
+    named = docs.filter("doc_id IS NOT NULL").withColumn(mark, _mark())
+    named = named.join(nodes, ["doc_id", mark], "left").withColumn(node, F.coalesce(node, "doc_id"))
+    pairs = named.select(F.col(node).alias("_node"), "text")
+    found = written(minhash.near_duplicates(pairs, "_node"), "pipeline-near")
+    known = nodes.select(F.col(node).alias("_node"), F.col("doc_id").alias("_id"))
     found = found.select("_node", "component_id").distinct().join(known, "_node", "left")
     kept = found.groupBy("component_id").agg(F.min(F.struct(F.coalesce("_id", "_node").alias("id"), "_node")).alias("m"))
-    named = named.join(kept.select("m._node"), "_node", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_node").orderBy("source", "lang", "n_chars"))
-    named = named.withColumn("_first", first).filter("_first = 1").select(*docs.columns)
+    named = named.join(kept.select(F.col("m._node").alias(node)), node, "left_semi")
+    place = F.row_number().over(Window.partitionBy(node).orderBy("source", "lang", "n_chars"))
+    named = named.withColumn(first, place).filter(F.col(first) == 1).select(*docs.columns)
     return named.unionByName(docs.filter("doc_id IS NULL"))
 
 
 @shipped
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages an earlier document has go. A character that is cut goes as a whole."""
-    found = suffix.remove_repeats(docs, with_text=True).withColumnRenamed("_kept_text", "text")
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Passages an earlier document has go. A character that is cut goes as a whole. ``n_chars`` is
+    counted again; other columns keep their names and values, whatever they are."""
+    held = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    apart = {f"_column_{i}": c for i, c in enumerate(held)}  # no name an operator adds
+    given = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(name) for name, c in apart.items()])
+    found = suffix.remove_repeats(given, with_text=True).withColumnRenamed("_kept_text", "text")
+    found = found.withColumn("n_chars", F.length("text").cast("long"))
+    found = found.select("doc_id", "text", "n_chars", *[F.col(name).alias(c) for name, c in apart.items()])
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @shipped
