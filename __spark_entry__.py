@@ -28,6 +28,7 @@ from changeflow.operators import (  # noqa: E402
     key_ranges,
     quality_history,
     quality_report,
+    top_codes,
     write_clustered,
 )
 from changeflow.plans import Layers, checked, current, with_deletes  # noqa: E402
@@ -62,6 +63,8 @@ ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
 BATCHES = 4
 # How many files the query that shows a clustered layout writes.
 CLUSTERED_FILES = 4
+# How many codes the report of the most frequent ones has for a facility.
+TOP = 5
 # Which raw changes delete their key, in the queries that apply deletes.
 DELETES = "cdc_operation = 'D'"
 # The queries that show a rule that blocks take in the encounters in three deliveries, cut here. The
@@ -113,6 +116,10 @@ def _diagnosis_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _top_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_codes(_current("diagnoses", spark, sf_dir), _current("encounters", spark, sf_dir), TOP)
+
+
 def _daily_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _midnight(daily_admissions(_current("encounters", spark, sf_dir)))
 
@@ -468,6 +475,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "diagnoses_with_facility": _diagnoses_with_facility,
         "diagnosis_distribution": _diagnosis_distribution,
         "daily_admissions": _daily_admissions,
+        "top_codes": _top_codes,
         "clustered_roundtrip": _clustered_roundtrip,
         "silver_procedures_rescued": _silver_procedures_rescued,
         "layers_row_counts": _layers_row_counts,
@@ -510,6 +518,7 @@ def oracle_sql() -> dict[str, str]:
         "diagnoses_with_facility": oracles.diagnoses_with_facility(),
         "diagnosis_distribution": oracles.diagnosis_distribution(),
         "daily_admissions": oracles.daily_admissions(),
+        "top_codes": oracles.top_codes(TOP),
         "clustered_roundtrip": f"select *, true as file_apart from ({oracles.daily_admissions()})",
         "silver_procedures_rescued": oracles.silver("procedures"),
         "layers_row_counts": oracles.row_counts(),

@@ -20,6 +20,8 @@ from changeflow.operators.reports import (
     diagnoses_with_facility,
     diagnosis_distribution,
     facility_summary,
+    top_codes,
+    top_per_group,
 )
 
 __all__ = [
@@ -46,6 +48,8 @@ __all__ = [
     "quality_history",
     "quality_report",
     "refused_rows",
+    "top_codes",
+    "top_per_group",
     "with_next",
     "write_clustered",
 ]

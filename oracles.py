@@ -177,6 +177,12 @@ def diagnosis_distribution() -> str:
         from ({diagnoses_with_facility()}) group by facility_code, diagnosis_code, code_system"""
 
 
+def top_codes(n: int) -> str:
+    return f"""select * exclude (pos), cast(pos as int) as "rank" from (
+        select *, row_number() over (partition by facility_code order by diagnosis_count desc, diagnosis_code, code_system) as pos
+        from ({diagnosis_distribution()})) where pos <= {n}"""
+
+
 def daily_admissions() -> str:
     return f"""select facility_code, cast(cast(admit_date as date) as timestamp) as admit_date_day,
           count(*) as total_admissions,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from changeflow.operators import cluster_globally, daily_admissions, diagnosis_distribution, facility_summary
+from changeflow.operators import cluster_globally, daily_admissions, diagnosis_distribution, facility_summary, top_per_group
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -116,3 +116,18 @@ def test_a_hot_value_is_spread_by_the_layout(spark):
         assert sum(sizes) == 30_000 and max(sizes) < 10_000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_top_rows_are_limited_before_the_shuffle(spark, plan):
+    """A group with a third of all rows arrives as n rows a task, ties by the declared rule."""
+    df = spark.range(0, 30_000, 1, 4).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) g", "cast(id % 100 as int) v", "id")
+    top = top_per_group(df, ["g"], [F.col("v").desc(), F.col("id")], 3)
+    below = plan(top).split("Exchange hashpartitioning(g")[1]
+    assert "WindowGroupLimit [g" in below and "Partial" in below
+    hot = [tuple(r) for r in top.filter("g = 'hot'").orderBy("rank").collect()]
+    assert hot == [("hot", 99, 99, 1), ("hot", 99, 399, 2), ("hot", 99, 699, 3)]
+    ties = top_per_group(df, ["g"], [F.col("v").desc()], 3, rank="place", with_ties=True)
+    assert ties.filter("g = 'hot'").select("v", "place").distinct().collect() == [(99, 1)]
+    assert top_per_group(df.limit(0), ["g"], [F.col("v")], 3).collect() == []
+    with pytest.raises(ValueError, match="rank"):
+        top_per_group(df.withColumnRenamed("v", "rank"), ["g"], [F.col("id")], 3)
