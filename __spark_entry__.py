@@ -25,6 +25,7 @@ from changeflow.operators import (  # noqa: E402
     diagnosis_distribution,
     expect_or_fail,
     facility_summary,
+    file_skips,
     key_ranges,
     quality_history,
     quality_report,
@@ -63,10 +64,13 @@ ENTITIES = {spec.name: spec for spec in with_tie_breaks(TABLES, TIE_BREAKS)}
 BATCHES = 4
 # How many files the query that shows a clustered layout writes.
 CLUSTERED_FILES = 4
+CURVE_FILES = 16
 # How many codes the report of the most frequent ones has for a facility.
 TOP = 5
 # Which raw changes delete their key, in the queries that apply deletes.
 DELETES = "cdc_operation = 'D'"
+# Buckets of the base that is compacted in between.
+BUCKETS = 8
 # The queries that show a rule that blocks take in the encounters in three deliveries, cut here. The
 # rule fails where a stay ends more than four and a half years before it begins.
 DELIVERY_CUTS = ("1997-01-01", "1999-06-01")
@@ -137,6 +141,18 @@ def _clustered_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _midnight(found.drop("file", "apart", "files"))
 
 
+def _clustered_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report laid out along a curve over facility and day; whether a filter on a row's facility
+    alone, and on its day alone, skips at least a quarter of the files."""
+    path, key = scratch_dir(spark, "curve"), ("facility_code", "admit_date_day")
+    report = daily_admissions(_current("encounters", spark, sf_dir))
+    write_clustered(report.filter("admit_date_day IS NOT NULL"), path, key, CURVE_FILES, by_curve=True)
+    found = file_skips(read_files(spark, path), key)
+    for name in key:
+        found = found.withColumn(f"skipped_by_{name}", F.col(f"skipped_by_{name}") >= 0.25)
+    return _midnight(found)
+
+
 def _silver_procedures_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes whose source also delivers the column of values that did not fit."""
     feed = _feed(spark, sf_dir, "procedures")
@@ -285,7 +301,9 @@ def _deliveries_with_deletes(spark: SparkSession, sf_dir: str, table, root: str)
 
 def _current_encounters_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, spec = scratch_dir(spark, "deletes"), ENTITIES["encounters"]
-    table = CurrentTable(spark, f"{root}/current", spec.keys, spec.sequence_by, spec.tie_break, spec.layout, delete_when=DELETES)
+    table = CurrentTable(
+        spark, f"{root}/current", spec.keys, spec.sequence_by, spec.tie_break, spec.layout, delete_when=DELETES, buckets=BUCKETS
+    )
     return _deliveries_with_deletes(spark, sf_dir, table, root)
 
 
@@ -477,6 +495,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_admissions": _daily_admissions,
         "top_codes": _top_codes,
         "clustered_roundtrip": _clustered_roundtrip,
+        "clustered_both_ways": _clustered_both_ways,
         "silver_procedures_rescued": _silver_procedures_rescued,
         "layers_row_counts": _layers_row_counts,
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
@@ -520,6 +539,8 @@ def oracle_sql() -> dict[str, str]:
         "daily_admissions": oracles.daily_admissions(),
         "top_codes": oracles.top_codes(TOP),
         "clustered_roundtrip": f"select *, true as file_apart from ({oracles.daily_admissions()})",
+        "clustered_both_ways": f"""select *, true as skipped_by_facility_code, true as skipped_by_admit_date_day
+            from ({oracles.daily_admissions()})""",
         "silver_procedures_rescued": oracles.silver("procedures"),
         "layers_row_counts": oracles.row_counts(),
         "layers_diagnosis_distribution": oracles.diagnosis_distribution(),

@@ -2,7 +2,7 @@ from changeflow.operators.clean import drop_deletes, drop_rescued, keep_active
 from changeflow.operators.current import CurrentTable
 from changeflow.operators.history import HistoryTable, with_next
 from changeflow.operators.latest import latest_by_key
-from changeflow.operators.layout import cluster_globally, cluster_within, key_ranges, write_clustered
+from changeflow.operators.layout import cluster_by_curve, cluster_globally, cluster_within, file_skips, key_ranges, write_clustered
 from changeflow.operators.quality import (
     BatchRefused,
     Rule,
@@ -30,6 +30,7 @@ __all__ = [
     "HistoryTable",
     "Rule",
     "apply_rules",
+    "cluster_by_curve",
     "cluster_globally",
     "cluster_within",
     "daily_admissions",
@@ -41,6 +42,7 @@ __all__ = [
     "expect_or_drop",
     "expect_or_fail",
     "facility_summary",
+    "file_skips",
     "keep_active",
     "key_ranges",
     "latest_by_key",

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.latest import DELETED, mark_deletes, ranking_order, without_deleted
-from changeflow.operators.layout import cluster_globally, cluster_within
+from changeflow.operators.layout import cluster_by_curve, cluster_within
 from changeflow.sources.paths import NumberedFiles, delete, make_dir, names
 from changeflow.sources.schema import widen
 
@@ -192,7 +192,7 @@ class HistoryTable:
         """Write the intervals anew, clustered; returns the folders that are now superseded, which
         may be removed when no reader that began before is still at work."""
         old = [f"{self.rows}/{name}" for name in names(self.spark, self.rows)]
-        cluster_globally(self.events(), self.cluster_by).write.parquet(self._new_folder())
+        cluster_by_curve(self.events(), self.cluster_by).write.parquet(self._new_folder())
         return old
 
     def remove(self, folders: Iterable[str]) -> None:

@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,90 @@ def cluster_globally(df: DataFrame, columns: Sequence[str], files: int | None =
     return df.repartitionByRange(*parts, *columns, F.xxhash64(*hashed)).sortWithinPartitions(*columns)
 
 
-def write_clustered(df: DataFrame, path: str, columns: Sequence[str] = (), files: int | None = None) -> None:
+# Cells of the curve a column is cut into, a power of two, and rows the cuts are found from. They only
+# decide what lies where.
+CELLS = 64
+SAMPLE = 20_000
+
+
+def _cuts(df: DataFrame, column: str) -> list:
+    """Values that cut a column into at most ``CELLS`` parts of about equal numbers of rows, by at most
+    ``SAMPLE`` rows of the least hash."""
+    value = F.col(column)
+    sample = df.select(value.alias("v")).filter(value.isNotNull()).withColumn("h", F.xxhash64("v", F.monotonically_increasing_id()))
+    values = [row["v"] for row in sample.orderBy("h").limit(SAMPLE).select("v").orderBy("v").collect()]
+    at = sorted({len(values) * i // CELLS for i in range(1, CELLS)})
+    cuts = []
+    for i in at:
+        if values and (not cuts or values[i] > cuts[-1]):
+            cuts.append(values[i])
+    return cuts
+
+
+def _cell(value: Column, cuts: list, kind: T.DataType, first: int = 0) -> Column:
+    """How many cuts are not above a value, by halving; a NULL is before all."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    above = value >= F.lit(cuts[middle]).cast(kind)
+    return F.when(above, _cell(value, cuts[middle + 1 :], kind, first + middle + 1)).otherwise(_cell(value, cuts[:middle], kind, first))
+
+
+def curve(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The place of a row on a space-filling curve over the quantiles of several columns.
+
+    The bits of the columns' cells are interleaved, so rows that are near each other on the curve are
+    near in every column, and not only in the first.
+    """
+    bits = CELLS.bit_length() - 1
+    cells = [_cell(F.col(c), _cuts(df, c), df.schema[c].dataType) for c in columns]
+    place = F.lit(0)
+    for bit in range(bits - 1, -1, -1):
+        for cell in cells:
+            place = place * 2 + F.shiftright(cell, bit).bitwiseAND(1)
+    return place
+
+
+def cluster_by_curve(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """As :func:`cluster_globally`, but so that a filter on any one of the columns skips files.
+
+    Costs a pass over the columns before, for their quantiles. One column is simply sorted.
+    """
+    if len(columns) < 2:
+        return cluster_globally(df, columns, files)
+    place = "_place"
+    while place in df.columns:
+        place = f"_{place}"
+    laid = df.withColumn(place, curve(df, columns).cast("long"))
+    return cluster_globally(laid, [place, *columns], files).drop(place)
+
+
+def file_skips(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of a DataFrame that was read from files and, for each of the columns, the share of
+    files whose range of it leaves the row's value out: what a filter on that value skips. A report on
+    a layout, for some hundreds of files."""
+    bounds = rows.groupBy("_metadata.file_name").agg(
+        *[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("low", F.min), ("high", F.max))]
+    )
+    found, files = rows, bounds.collect()  # a row for each file, as a reader's plan has them
+    for i, c in enumerate(columns):
+        kind = rows.schema[c].dataType
+        ends = [(F.lit(f[f"low{i}"]).cast(kind), F.lit(f[f"high{i}"]).cast(kind)) for f in files if f[f"low{i}"] is not None]
+        out = [(F.col(c).isNull() | (F.col(c) < low) | (F.col(c) > high)).cast("int") for low, high in ends]
+        found = found.withColumn(f"skipped_by_{c}", sum(out, F.lit(0)) / F.lit(max(1, len(ends))))
+    return found
+
+
+def write_clustered(
+    df: DataFrame, path: str, columns: Sequence[str] = (), files: int | None = None, by_curve: bool = False
+) -> None:
     """Replace the folder by the rows, clustered: the sink of a fully recomputed table.
 
     The rows are written beside the folder and take its place when they are complete, so a
     job that fails leaves the old ones.
     """
     draft = f"{path.rstrip('/')}-draft-{uuid.uuid4().hex}"
-    cluster_globally(df, columns, files).write.parquet(draft)
+    (cluster_by_curve if by_curve else cluster_globally)(df, columns, files).write.parquet(draft)
     replace_folder(df.sparkSession, draft, path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.operators import CurrentTable, HistoryTable, apply_rules, cluster_globally, latest_by_key, quality_history
+from changeflow.operators import CurrentTable, HistoryTable, apply_rules, cluster_by_curve, latest_by_key, quality_history
 from changeflow.operators.latest import mark_deletes, without_deleted
 from changeflow.operators.quality import FAILED_RULES
 from changeflow.plans.specs import ReportSpec, TableSpec
@@ -91,6 +91,7 @@ class Layers:
             cluster_by=spec.layout,
             comment=spec.comments.get("gold", ""),
             delete_when=spec.delete_when,
+            buckets=spec.buckets,
         )
 
     def history_table(self, spec: TableSpec) -> HistoryTable:
@@ -143,7 +144,7 @@ class Layers:
         try:
             for report in self.reports:
                 own = {**state, **{name: shared[name] for name in report.uses if name in shared}}
-                cluster_globally(report.build(own), report.layout).write.parquet(f"{folder}/{report.name}")
+                cluster_by_curve(report.build(own), report.layout).write.parquet(f"{folder}/{report.name}")
             versions.put(number + 1, {"folder": folder})
         except BaseException:
             delete(self.spark, folder)

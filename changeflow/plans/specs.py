@@ -28,6 +28,7 @@ class TableSpec:
     comments: Mapping[str, str] = field(default_factory=dict)  # by layer
     delete_when: str | None = None  # which raw changes delete their key; None: they are only dropped
     keep_history: bool = False  # a table of all intervals beside the current rows
+    buckets: int | None = None  # of the base that compaction writes by key; None: it is laid out by ``layout``
 
     @property
     def bronze(self) -> str:

@@ -246,3 +246,65 @@ def test_a_table_may_begin_to_apply_deletes(spark, tmp_path):
     assert rows(table(spark, tmp_path).read(), "k") == [("y",)]  # whoever reads honours them
     with pytest.raises(ValueError, match="_is_deleted"):
         t.apply(frame(spark, [("x", 2, 1, "D", True)], OPS + ", _is_deleted boolean"))
+
+
+# -- a base in buckets ----------------------------------------------------------------------
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.data())
+def test_a_base_in_buckets_changes_nothing(spark, tmp_path_factory, data):
+    """Compactions between late, tied, deleted and keyless changes, with and without the old files."""
+    change = st.tuples(
+        st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 2)), st.sampled_from(["I", "D", None])
+    )
+    log = data.draw(st.lists(change, min_size=1, max_size=25))
+    cuts = sorted(data.draw(st.lists(st.integers(0, len(log)), max_size=2)))
+    batches = data.draw(st.permutations([log[a:b] for a, b in zip([0, *cuts], [*cuts, len(log)])]))
+    t = deleting(spark, tmp_path_factory.mktemp("t"), buckets=3).create(frame(spark, [], OPS).schema)
+    compact_after = data.draw(st.sets(st.integers(0, len(batches)), min_size=1))
+    for number, batch in enumerate(batches):
+        t.apply(frame(spark, batch, OPS))
+        if number in compact_after:
+            old = t.compact()
+            if data.draw(st.booleans()):
+                t.remove(old)
+    assert rows(t.read()) == model(log)
+    t.appended().createOrReplaceTempView("rows_with_base")  # whoever does not know of the base sees the same
+    assert rows(spark.sql(t.select_sql("rows_with_base"))) == model(log)
+
+
+def test_the_base_is_not_shuffled(spark, tmp_path, plan):
+    t = deleting(spark, tmp_path, buckets=4)
+    t.apply(frame(spark, [(str(i), 1, i, "I") for i in range(3000)], OPS))
+    t.remove(t.compact())
+    t.apply(frame(spark, [("7", 2, -7, "U"), ("8", 2, None, "D"), ("new", 1, 1, "I"), (None, 1, 1, "I")], OPS))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(t.read()).split("\n")
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in text]
+        scans = [i for i, line in enumerate(text) if "Bucketed: true" in line and "IsNotNull(k)" in line]
+        assert len(scans) == 1
+        above, at = [], depth[scans[0]]
+        for i in range(scans[0], -1, -1):
+            if depth[i] < at:
+                at = depth[i]
+                above.append(text[i])
+        joined = next(i for i, line in enumerate(above) if "SortMergeJoin" in line)
+        assert not any("Exchange" in line or "Window" in line for line in above[: joined + 1])
+        assert any("Exchange" in line for line in text)  # what was appended is dealt to the buckets
+        got = {r["k"]: r["v"] for r in t.read().collect()}
+        assert len(got) == 3001 and (got["7"], got["new"], got[None]) == (-7, 1, 1) and "8" not in got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("base_")]
+
+
+def test_new_columns_after_a_base(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=2)
+    t.apply(frame(spark, [("x", 1, 1), ("y", 1, 1)]))
+    t.remove(t.compact())
+    t.apply(frame(spark, [("x", 2, 2, "new")], SCHEMA + ", w string"))
+    assert rows(t.read()) == [("x", 2, 2, "new"), ("y", 1, 1, None)]
+    t.remove(t.compact())
+    assert rows(t.read()) == [("x", 2, 2, "new"), ("y", 1, 1, None)] and t.appended().count() == 2

@@ -6,7 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from changeflow.operators import cluster_globally, daily_admissions, diagnosis_distribution, facility_summary, top_per_group
+from changeflow.operators import (
+    cluster_by_curve,
+    cluster_globally,
+    daily_admissions,
+    diagnosis_distribution,
+    facility_summary,
+    file_skips,
+    top_per_group,
+    write_clustered,
+)
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -131,3 +140,24 @@ def test_top_rows_are_limited_before_the_shuffle(spark, plan):
     assert top_per_group(df.limit(0), ["g"], [F.col("v")], 3).collect() == []
     with pytest.raises(ValueError, match="rank"):
         top_per_group(df.withColumnRenamed("v", "rank"), ["g"], [F.col("id")], 3)
+
+
+def test_a_curve_skips_files_by_either_column(spark, tmp_path):
+    """Sorted by both columns, a filter on the second one reads almost every file."""
+    df = spark.range(0, 40_000, 1, 4).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('f', id * 7 % 40)) f", "date_add(date '2024-01-01', cast(id * 13 % 365 as int)) d", "id"
+    )
+    shares = {}
+    for name, by_curve in (("curve", True), ("sorted", False)):
+        write_clustered(df, f"{tmp_path}/{name}", ("f", "d"), 16, by_curve)
+        skips = file_skips(spark.read.parquet(f"{tmp_path}/{name}"), ("f", "d"))
+        assert skips.count() == 40_000
+        shares[name] = skips.agg(F.avg("skipped_by_f"), F.avg("skipped_by_d"), F.min("skipped_by_d")).first()
+    assert shares["sorted"][1] < 0.6 < shares["curve"][1] and shares["curve"][0] > 0.4 and shares["curve"][2] >= 0.25
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/curve").groupBy("_metadata.file_name").count().collect()]
+    assert max(sizes) < 2 * min(sizes) + 500  # the hot value is cut by the other column
+    nulls = df.withColumn("f", F.when(F.col("id") % 2 == 0, F.col("f"))).withColumn("_place", F.lit("mine"))
+    laid = cluster_by_curve(nulls, ["f", "d"], 4)
+    assert laid.columns == nulls.columns and laid.filter("_place = 'mine'").count() == 40_000
+    assert cluster_by_curve(df.limit(0), ["f", "d"]).count() == 0
+    assert cluster_by_curve(df, ["f"]).count() == cluster_by_curve(df, []).count() == 40_000

@@ -114,6 +114,7 @@ def test_quality_is_counted_over_several_batches(spark, monkeypatch):
 def test_a_missing_layout_is_seen(spark, monkeypatch):
     monkeypatch.setattr("changeflow.operators.layout.cluster_globally", lambda df, columns, files: df.repartition(files))
     assert registry.queries()["clustered_roundtrip"](spark, SMALL).filter("NOT file_apart").count() > 0
+    assert registry.queries()["clustered_both_ways"](spark, SMALL).filter("NOT skipped_by_admit_date_day").count() > 0
 
 
 def test_the_registry_loads_without_libraries_of_the_training_data_queries():
