@@ -32,7 +32,7 @@ from changeflow.operators import (  # noqa: E402
     top_codes,
     write_clustered,
 )
-from changeflow.plans import Layers, checked, current, with_deletes  # noqa: E402
+from changeflow.plans import Layers, check_specs, checked, current, load_specs, with_deletes  # noqa: E402
 from changeflow.plans.clinical import REPORTS, TABLES, with_tie_breaks  # noqa: E402
 from changeflow.session import scratch_dir  # noqa: E402
 from changeflow.sources import (  # noqa: E402
@@ -424,6 +424,55 @@ def _layers_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+# The three entities as rows of a table. Names, expressions and values are the fixed ones.
+SPEC_ROWS = """
+    SELECT 'encounters' AS name, array('encounter_id') AS keys, 'cdc_timestamp' AS sequence_by,
+      array('cdc_operation <> \\'D\\'') AS filters,
+      array(
+        struct('length_of_stay_hours' AS name, 'CASE WHEN discharge_date IS NOT NULL THEN round((unix_seconds(CAST(discharge_date AS TIMESTAMP)) - unix_seconds(CAST(admit_date AS TIMESTAMP))) / 3600, 1) END' AS expression),
+        struct('is_emergency' AS name, 'encounter_type = \\'EMERGENCY\\'' AS expression)) AS derived,
+      array('_rescued_data') AS dropped,
+      array(
+        struct('valid_encounter_id' AS name, 'encounter_id IS NOT NULL' AS predicate, 'drop' AS action),
+        struct('valid_patient_id' AS name, 'patient_id IS NOT NULL' AS predicate, 'drop' AS action),
+        struct('valid_admit_date' AS name, 'admit_date IS NOT NULL' AS predicate, 'drop' AS action),
+        struct('valid_discharge_order' AS name, 'discharge_date IS NULL OR discharge_date >= admit_date' AS predicate, 'warn' AS action)) AS rules,
+      array('s2', 's3', 's4', 's5') AS tie_break, array('admit_date') AS raw_layout, array('facility_code', 'admit_date') AS layout
+    UNION ALL
+    SELECT 'diagnoses', array('diagnosis_id'), 'cdc_timestamp', array('cdc_operation <> \\'D\\'', 'is_active'), NULL, array('_rescued_data'),
+      array(
+        struct('valid_diagnosis_id', 'diagnosis_id IS NOT NULL', 'drop'),
+        struct('valid_encounter_id', 'encounter_id IS NOT NULL', 'drop'),
+        struct('valid_icd10_format', 'diagnosis_code RLIKE \\'^[A-Z][0-9]{2}([.][0-9A-Z]{1,4})?$\\'', 'warn')),
+      array('s3', 's4', 's5'), array('cdc_timestamp'), array('diagnosis_code')
+    UNION ALL
+    SELECT 'procedures', array('procedure_id'), 'cdc_timestamp', array('cdc_operation <> \\'D\\''), NULL, array('_rescued_data'),
+      array(
+        struct('valid_procedure_id', 'procedure_id IS NOT NULL', 'drop'),
+        struct('valid_encounter_id', 'encounter_id IS NOT NULL', 'drop'),
+        struct('valid_status', 'procedure_status IN (\\'COMPLETED\\', \\'SCHEDULED\\', \\'CANCELLED\\')', 'warn')),
+      array('s3'), array('procedure_date'), array('procedure_code', 'procedure_date')
+"""
+
+
+def _layers_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all datasets, and how many failed each rule, by entities read from a Parquet table."""
+    root = scratch_dir(spark, "specs")
+    spark.sql(SPEC_ROWS).write.parquet(f"{root}/specs")
+    specs = load_specs(spark.read.parquet(f"{root}/specs"))
+    check_specs(specs, lambda name: _feed(spark, sf_dir, name))
+    for spec in specs:
+        _land(_feed(spark, sf_dir, spec.name), f"{root}/source/{spec.name}")
+    layers = Layers(spark, f"{root}/source", f"{root}/tables", specs, REPORTS).run()
+    _clear(spark, root)
+    counts = [
+        layers.read(name).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("dataset"), F.lit("").alias("rule"), "row_count")
+        for name in layers.datasets()
+    ]
+    failed = [layers.quality(s).select("dataset", "rule", F.col("failed_rows").alias("row_count")) for s in specs]
+    return reduce(DataFrame.unionAll, counts + failed)
+
+
 def _layers_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All datasets by their published names: the comment the catalog has, and the rows found there."""
     with _database(spark) as database:
@@ -501,6 +550,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layers_diagnosis_distribution": _layers_diagnosis_distribution,
         "layers_current_by_name": _layers_current_by_name,
         "layers_comments": _layers_comments,
+        "layers_from_table": _layers_from_table,
         "current_encounters_evolving": _current_encounters_evolving,
         "current_encounters_with_deletes": _current_encounters_with_deletes,
         "history_encounters_incremental": _history_encounters_incremental,
@@ -546,6 +596,8 @@ def oracle_sql() -> dict[str, str]:
         "layers_diagnosis_distribution": oracles.diagnosis_distribution(),
         "layers_current_by_name": f"""select *, 'Procedures, latest row per procedure_id' as table_comment
             from ({oracles.current('procedures')})""",
+        "layers_from_table": f"""select dataset, '' as "rule", row_count from ({oracles.row_counts()}) union all
+            """ + " union all ".join(f'select dataset, "rule", failed_rows from ({oracles.quality(e)})' for e in ENTITIES),
         "layers_comments": oracles.comments(
             {name: text for s in TABLES for name, text in zip((s.bronze, s.silver, s.current), s.comments.values(), strict=True)}
             | {report.name: report.comment for report in REPORTS}
