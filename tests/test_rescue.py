@@ -88,3 +88,16 @@ def test_a_column_that_two_new_files_type_differently(spark, tmp_path):
     else:
         assert rows(got, "k", "n", "_rescued_data") == [(1, None, None), (2, 5, None), (3, None, '{"n":"many"}')]
     assert len(seen) == 2
+
+
+def test_a_large_first_run_is_cut_into_batches(spark, tmp_path, monkeypatch):
+    """The driver gets the names of one batch at a time, and no rows of the files."""
+    for number in range(5):
+        spark.range(number, number + 2).selectExpr("id AS k").coalesce(1).write.parquet(f"{tmp_path}/source/{number}")
+    from changeflow.streaming import flows
+
+    seen, real = [], flows._as_tracked
+    monkeypatch.setattr(flows, "_as_tracked", lambda spark, files, schemas: (seen.append(len(files)), real(spark, files, schemas))[1])
+    intake(spark, f"{tmp_path}/source", f"{tmp_path}/schemas", f"{tmp_path}/raw", f"{tmp_path}/checkpoint", (), lambda rows, name: None, 2)
+    assert sorted(seen) == [1, 2, 2] and flows.MOST_FILES == 10_000
+    assert read_files(spark, f"{tmp_path}/raw", stored_schema(spark, f"{tmp_path}/schemas")).count() == 10
