@@ -45,18 +45,22 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(_quoted(x)).eqNullSafe(F.col(_quoted(y))) for x, y in zip(left, right, strict=True)))
 
 
-def with_next(rows: DataFrame, keys: Sequence[str], sequence_by: str, into: str, slices: int = SLICES) -> DataFrame:
+def sequence_cuts(rows: DataFrame, sequence_by: str, slices: int = SLICES) -> list:
+    """Values that cut a sequence into parts of about equal numbers of rows; none for texts."""
+    if slices < 2 or not isinstance(rows.schema[sequence_by].dataType, _DIVISIBLE):
+        return []
+    shares = [i / slices for i in range(1, slices)]
+    return sorted(set(rows.agg(F.percentile_approx(F.col(_quoted(sequence_by)), shares, 1000)).first()[0] or ()))
+
+
+def with_next(rows: DataFrame, keys: Sequence[str], sequence_by: str, into: str, cuts: Sequence = ()) -> DataFrame:
     """Add the next greater sequence value of the same key; NULL for the last.
 
     ``rows`` has a key and a sequence value at most once; a NULL sequence comes before all others.
-    Values are cut into slices at their quantiles, and a key is put in order slice by slice, so one
-    that holds a third of all rows is spread over many tasks. Only the first value of each slice is
-    held against the other slices of its key. Values without quantiles (texts) are one slice.
+    A key is put in order slice by slice between the cuts, so one that holds a third of all rows is
+    spread over many tasks. Only the first value of each slice is held against the other slices of
+    its key. Any cuts give the same result.
     """
-    cuts = []
-    if slices > 1 and isinstance(rows.schema[sequence_by].dataType, _DIVISIBLE):
-        shares = [i / slices for i in range(1, slices)]
-        cuts = sorted(set(rows.agg(F.percentile_approx(F.col(_quoted(sequence_by)), shares, 1000)).first()[0] or ()))
     value = F.col(_quoted(sequence_by))
     kind = rows.schema[sequence_by].dataType
     over = [F.coalesce((value > F.lit(cut).cast(kind)).cast("int"), F.lit(0)) for cut in cuts]
@@ -180,7 +184,8 @@ class HistoryTable:
         # A change that is there already is not new: the row that is stored goes before an equal one.
         rows = known.unionByName(new, allowMissingColumns=True)
         rows = self._one_each(rows, F.col(_NEW).asc(), F.col(VALID_TO).asc_nulls_last())
-        rows = with_next(rows, self.keys, self.sequence_by, "_next")
+        seen = self.appended().select(_quoted(self.sequence_by)).unionAll(changes.select(_quoted(self.sequence_by)))
+        rows = with_next(rows, self.keys, self.sequence_by, "_next", sequence_cuts(seen, self.sequence_by))
         moved = rows.filter(F.col(_NEW) | ~F.col("_next").eqNullSafe(F.col(VALID_TO)))
         moved = moved.withColumn(VALID_TO, F.col("_next")).drop("_next", _NEW)
         cluster_within(moved, self.cluster_by).write.parquet(self._new_folder())

@@ -2,7 +2,7 @@
 
 A row has what a ``TableSpec`` has. Its cleaning is a list of filters, of derived columns and of
 columns to drop, and its rules are names, predicates and actions: SQL expressions over the columns of
-one row. They are looked at before anything is read with them.
+one row. ``check_specs`` holds them against the columns of the changes before anything is read.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ import re
 from collections.abc import Callable, Sequence
 from functools import partial
 
-from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,17 +49,7 @@ def clean(
     return changes.withColumns({name: F.expr(expression) for name, expression in derived}).drop(*dropped)
 
 
-def _unparsed(spark: SparkSession, expression: str) -> str | None:
-    try:
-        spark.range(0).select(F.expr(expression)).schema  # noqa: B018 - parsed here
-    except ParseException:
-        return f"{expression!r} is no SQL expression"
-    except AnalysisException:  # columns are looked at by check_specs
-        return None
-    return None
-
-
-def _problems(spark: SparkSession, row: dict) -> list[str]:
+def _problems(row: dict) -> list[str]:
     """What can be seen without the columns of the changes."""
     name = row["name"]
     found = []
@@ -69,10 +59,6 @@ def _problems(spark: SparkSession, row: dict) -> list[str]:
         found.append(f"{name}: no keys")
     if not row["sequence_by"]:
         found.append(f"{name}: no sequence column")
-    expressions = [*(row["filters"] or ()), *[e for _, e in row["derived"] or ()], *[p for _, p, _ in row["rules"] or ()]]
-    if row["delete_when"]:
-        expressions.append(row["delete_when"])
-    found += [f"{name}: {problem}" for problem in (_unparsed(spark, e) for e in expressions) if problem]
     for kind in ("derived", "rules"):
         names = [entry[0] for entry in row[kind] or ()]
         found += [f"{name}: {kind} name {n!r} occurs twice" for n in sorted({n for n in names if names.count(n) > 1}, key=str)]
@@ -94,7 +80,7 @@ def load_specs(table: DataFrame) -> tuple[TableSpec, ...]:
     have = set(table.columns)
     rows = table.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted])
     found = [row.asDict() for row in rows.orderBy("name").collect()]
-    problems = [problem for row in found for problem in _problems(table.sparkSession, row)]
+    problems = [problem for row in found for problem in _problems(row)]
     names = [row["name"] for row in found]
     problems += [f"entity {n!r} occurs twice" for n in sorted({n for n in names if names.count(n) > 1}, key=str)]
     if problems:
@@ -125,8 +111,8 @@ def _spec(row: dict) -> TableSpec:
 
 
 def check_specs(specs: Sequence[TableSpec], changes: Callable[[str], DataFrame]) -> None:
-    """Hold entities against the columns of their changes: expressions that name a column nobody has,
-    that are no conditions, or that need more than one row (an aggregate, a window) are told in one
+    """Hold entities against the columns of their changes: expressions that are no SQL, that name a
+    column nobody has, that are no conditions, or that need more than one row (an aggregate, a window) are told in one
     ``SpecError``, and so are keys, sequence and layout columns that are not there."""
     problems = []
     for spec in specs:

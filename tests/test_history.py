@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from changeflow.operators import HistoryTable, with_next
+from changeflow.operators.history import sequence_cuts
 
 SCHEMA = "k string, seq int, v int, op string"
 
@@ -101,15 +102,20 @@ def test_any_split_order_and_replay_gives_the_same_intervals(spark, tmp_path_fac
     assert rows(spark.sql(t.select_sql("rows_of_history")).select(*t.read().columns)) == intervals(log)
 
 
-def test_next_value_of_a_hot_key_is_found_slice_by_slice(spark, plan):
+def test_next_value_of_a_hot_key_is_found_slice_by_slice(spark):
     log = [("hot", i) for i in range(0, 3000, 3)] + [(f"k{i}", i) for i in range(200)] + [("hot", None), (None, 1), (None, 7)]
-    got = with_next(frame(spark, log, "k string, seq int"), ["k"], "seq", "next", slices=8)
+    df = frame(spark, log, "k string, seq int")
+    cuts = sequence_cuts(df, "seq", 8)
+    assert len(cuts) == 7
+    got = with_next(df, ["k"], "seq", "next", cuts)
     want = [("hot", i, i + 3 if i < 2997 else None) for i in range(0, 3000, 3)] + [(f"k{i}", i, None) for i in range(200)]
     want += [("hot", None, 0), (None, 1, 7), (None, 7, None)]
     assert rows(got, "k", "seq", "next") == sorted(want, key=repr)
-    parts = with_next(frame(spark, log, "k string, seq int"), ["k"], "seq", "next", slices=8)
-    assert "_slice" in plan(parts)
+    assert rows(with_next(df, ["k"], "seq", "next")) == rows(got)
+    sizes = got.filter("k = 'hot'").groupBy(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("seq")))).count()
+    assert max(r["count"] for r in sizes.collect()) < 300  # of the hot key no slice has many
     texts = frame(spark, [("a", "x"), ("a", "y"), ("b", "z")], "k string, seq string")
+    assert sequence_cuts(texts, "seq") == []
     assert rows(with_next(texts, ["k"], "seq", "next"), "seq", "next") == [("x", "y"), ("y", None), ("z", None)]
 
 
