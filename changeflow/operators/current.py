@@ -184,7 +184,7 @@ class CurrentTable:
             rows = rows.filter(~stale).unionByName(rows.filter(stale).join(hidden, self._same_key("_hidden_"), "left_semi"))
         folder = self._new_folder()
         if self.buckets is None:
-            cluster_by_curve(rows, self.cluster_by).write.parquet(folder)
+            cluster_by_curve(rows, self.cluster_by, like=self.appended()).write.parquet(folder)
             return old
         self._write_base(rows, folder)
         number, _ = self._bases.latest()

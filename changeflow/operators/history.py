@@ -197,7 +197,7 @@ class HistoryTable:
         """Write the intervals anew, clustered; returns the folders that are now superseded, which
         may be removed when no reader that began before is still at work."""
         old = [f"{self.rows}/{name}" for name in names(self.spark, self.rows)]
-        cluster_by_curve(self.events(), self.cluster_by).write.parquet(self._new_folder())
+        cluster_by_curve(self.events(), self.cluster_by, like=self.appended()).write.parquet(self._new_folder())
         return old
 
     def remove(self, folders: Iterable[str]) -> None:

@@ -47,18 +47,20 @@ CELLS = 64
 SAMPLE = 20_000
 
 
-def _cuts(df: DataFrame, column: str) -> list:
-    """Values that cut a column into at most ``CELLS`` parts of about equal numbers of rows, by at most
-    ``SAMPLE`` rows of the least hash."""
-    value = F.col(column)
-    sample = df.select(value.alias("v")).filter(value.isNotNull()).withColumn("h", F.xxhash64("v", F.monotonically_increasing_id()))
-    values = [row["v"] for row in sample.orderBy("h").limit(SAMPLE).select("v").orderBy("v").collect()]
-    at = sorted({len(values) * i // CELLS for i in range(1, CELLS)})
-    cuts = []
-    for i in at:
-        if values and (not cuts or values[i] > cuts[-1]):
-            cuts.append(values[i])
-    return cuts
+def _cuts(df: DataFrame, columns: Sequence[str]) -> list[list]:
+    """For each column, values that cut it into at most ``CELLS`` parts of about equal numbers of
+    rows, by at most ``SAMPLE`` rows of the least hash; one pass over the columns."""
+    number = F.xxhash64(F.monotonically_increasing_id())
+    sample = df.select(*columns).withColumn("_hash", number).orderBy("_hash").limit(SAMPLE).collect()
+    found = []
+    for i in range(len(columns)):
+        values = sorted(row[i] for row in sample if row[i] is not None)
+        cuts: list = []
+        for at in sorted({len(values) * k // CELLS for k in range(1, CELLS)}):
+            if values and (not cuts or values[at] > cuts[-1]):
+                cuts.append(values[at])
+        found.append(cuts)
+    return found
 
 
 def _cell(value: Column, cuts: list, kind: T.DataType, first: int = 0) -> Column:
@@ -70,14 +72,16 @@ def _cell(value: Column, cuts: list, kind: T.DataType, first: int = 0) -> Column
     return F.when(above, _cell(value, cuts[middle + 1 :], kind, first + middle + 1)).otherwise(_cell(value, cuts[:middle], kind, first))
 
 
-def curve(df: DataFrame, columns: Sequence[str]) -> Column:
-    """The place of a row on a space-filling curve over the quantiles of several columns.
+def curve(df: DataFrame, columns: Sequence[str], like: DataFrame | None = None) -> Column:
+    """The place of a row on a space-filling curve over the quantiles of several columns, which are
+    found in ``like`` if it is given and else in the rows themselves.
 
     The bits of the columns' cells are interleaved, so rows that are near each other on the curve are
     near in every column, and not only in the first.
     """
     bits = CELLS.bit_length() - 1
-    cells = [_cell(F.col(c), _cuts(df, c), df.schema[c].dataType) for c in columns]
+    cuts = _cuts(df if like is None else like, columns)
+    cells = [_cell(F.col(c), own, df.schema[c].dataType) for c, own in zip(columns, cuts, strict=True)]
     place = F.lit(0)
     for bit in range(bits - 1, -1, -1):
         for cell in cells:
@@ -85,17 +89,20 @@ def curve(df: DataFrame, columns: Sequence[str]) -> Column:
     return place
 
 
-def cluster_by_curve(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+def cluster_by_curve(
+    df: DataFrame, columns: Sequence[str], files: int | None = None, like: DataFrame | None = None
+) -> DataFrame:
     """As :func:`cluster_globally`, but so that a filter on any one of the columns skips files.
 
-    Costs a pass over the columns before, for their quantiles. One column is simply sorted.
+    Costs a pass over the columns before, for their quantiles: of ``like``, if rows that are cheaper to
+    read have about the same. One column is simply sorted.
     """
     if len(columns) < 2:
         return cluster_globally(df, columns, files)
     place = "_place"
     while place in df.columns:
         place = f"_{place}"
-    laid = df.withColumn(place, curve(df, columns).cast("long"))
+    laid = df.withColumn(place, curve(df, columns, like).cast("long"))
     return cluster_globally(laid, [place, *columns], files).drop(place)
 
 
