@@ -14,12 +14,12 @@ one *context*, of at most 80 bytes, and 16 strings in the mean.
 
 1. Texts are packed into blocks of some megabytes, compressed, written bucketed by block.
 2. Each block sends 16 bytes for each of its distinct contexts: the hashes of its anchor (44
-   bits) and of its whole (64 bits). In the order of these hashes, documents within, the previous smaller
-   position of a context tells whether an earlier document has all of it.
+   bits) and of its whole (64 bits), and 12 for each document among them. In the order of these
+   hashes, documents within, the first of equal contexts tells whether an earlier document has all of it.
 3. What is left are contexts nobody earlier has as a whole, but whose anchor occurs in other
    contexts too. Only their text is sent on. In the suffix array of these texts, to a depth of
-   ``LENGTH`` bytes and with ties in the order of documents, the previous smaller position is
-   the first suffix of a run with common prefixes of ``LENGTH``.
+   ``LENGTH`` bytes and with ties in the order of documents, the previous and the next smaller
+   documents of each suffix and the prefixes shared with them give its longest previous factor.
 4. Both answers go back to the blocks, which cut out the bytes covered.
 
 Blocks, entries and texts are each read from files or shuffles again if an executor is lost.
@@ -43,6 +43,8 @@ LENGTH = 50
 GRAM = 20
 WINDOW = LENGTH - GRAM + 1
 BLOCK_BYTES = 6 << 20
+# Text whose entries one bucket gets: about four million, of at most 28 bytes.
+BUCKET_BYTES = 64 << 20
 # Suffix arrays per shuffle task: each is sorted by itself, in memory.
 ARRAYS = 8
 # An anchor with more different contexts than this is a common phrase. Its strings are then
@@ -57,10 +59,10 @@ _LAST = np.iinfo(np.int64).max
 # -- suffix order -------------------------------------------------------------------------
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of the suffix at each position by its first ``depth`` bytes; equal ones share a rank.
+def _levels(data: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+    """(d, the rank of each position's suffix by its first d bytes) for d = 7, 14, 28 … and ``depth``.
 
-    Prefix doubling: eight bytes make a number, and two ranks make the next one. Beyond the
+    Prefix doubling: seven bytes make a number, and two ranks make the next one. Beyond the
     end there is a value below all bytes.
     """
     n = len(data)
@@ -72,40 +74,105 @@ def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
         at = padded[j : j + n] + np.uint64(1)
         at[max(n - j, 0) :] = 0
         words = (words << np.uint64(9)) | at
-    ranks, have = np.unique(words, return_inverse=True)[1], first
-    while have < depth:
+    levels = [(first, np.unique(words, return_inverse=True)[1])]
+    while levels[-1][0] < depth:
+        have, ranks = levels[-1]
         step = min(have, depth - have)
         second = np.zeros(n, dtype=np.int64)
         second[: max(n - step, 0)] = ranks[step:] + 1
-        ranks = np.unique(ranks * np.int64(n + 1) + second, return_inverse=True)[1]
-        have += step
-    return ranks
+        levels.append((have + step, np.unique(ranks * np.int64(n + 1) + second, return_inverse=True)[1]))
+    return levels
+
+
+def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
+    """Rank of the suffix at each position by its first ``depth`` bytes; equal ones share a rank."""
+    return _levels(data, depth)[-1][1]
 
 
-def has_earlier(order_keys: tuple[np.ndarray, ...], document: np.ndarray) -> np.ndarray:
-    """For each entry, whether one of equal keys has a smaller document.
+def _common(data: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that the suffixes at ``a`` and ``b`` share at their start, which are fewer than the last level's.
 
-    In the order of the keys, documents within, the entries with equal keys are a run, and the
-    first entry of the run is the previous smaller one of all that have a larger document.
+    All have that many bytes before the end of the data.
     """
-    if not len(document):
-        return np.zeros(0, dtype=bool)
-    order = np.lexsort((document, *order_keys))
-    new = np.zeros(len(order), dtype=bool)
-    new[0] = True
-    for key in order_keys:
-        new[1:] |= key[order[1:]] != key[order[:-1]]
-    least = document[order[new]][np.cumsum(new) - 1]
-    out = np.empty(len(order), dtype=bool)
-    out[order] = document[order] > least
+    a, b = a.copy(), b.copy()
+    begin = a.copy()
+    for d, ranks in reversed(levels[:-1]):
+        step = d * (ranks[a] == ranks[b])
+        a, b = a + step, b + step
+    going = np.ones(len(a), dtype=bool)
+    for _ in range(min(levels[0][0], 7) - 1):
+        going &= data[a] == data[b]
+        a, b = a + going, b + going
+    return a - begin
+
+
+def _before_smaller(value: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each place, the least of ``common`` from behind the previous smaller value to the place.
+
+    ``common`` at a place is what it shares with the place before it, so this is what it shares
+    with its previous smaller value; 0 where there is none. Places climb a tree of least values
+    until a subtree to the left has a smaller one, and go down to its last.
+    """
+    n = len(value)
+    least, shared = [value], [common]
+    while len(least[-1]) > 1:
+        odd = len(least[-1]) % 2
+        v = np.r_[least[-1], np.repeat(_LAST, odd)]
+        c = np.r_[shared[-1], np.repeat(_LAST, odd)]
+        least.append(np.minimum(v[::2], v[1::2]))
+        shared.append(np.minimum(c[::2], c[1::2]))
+    out = np.zeros(n, dtype=np.int64)
+    place, node, so_far, met = np.arange(n), np.arange(n), common.astype(np.int64), []
+    for v, c in zip(least, shared, strict=True):
+        left = np.flatnonzero(node & 1)
+        smaller = v[node[left] - 1] < value[place[left]]
+        found, passed = left[smaller], left[~smaller]
+        met.append((place[found], node[found] - 1, so_far[found]))
+        so_far[passed] = np.minimum(so_far[passed], c[node[passed] - 1])
+        on = np.ones(len(node), dtype=bool)
+        on[found] = False
+        place, node, so_far = place[on], node[on] >> 1, so_far[on]
+    place, node, so_far = (np.empty(0, dtype=np.int64) for _ in range(3))
+    for level in range(len(least) - 1, -1, -1):
+        place, node, so_far = (np.r_[x, y] for x, y in zip((place, node, so_far), met[level], strict=True))
+        if level:
+            v, c = least[level - 1], shared[level - 1]
+            right = np.minimum(2 * node + 1, len(v) - 1)  # the last node may have one child
+            at = (v[right] >= value[place]) & (right > 2 * node)
+            so_far = np.where(at, np.minimum(so_far, c[right]), so_far)
+            node = np.where(at, 2 * node, right)
+    out[place] = so_far
     return out
 
 
 def longest_previous_factors(
     data: np.ndarray, starts: np.ndarray, document: np.ndarray, depth: int = LENGTH
 ) -> np.ndarray:
-    """For each start, whether ``depth`` bytes from it also start in a smaller document."""
-    return has_earlier((suffix_ranks(data, depth)[starts],), document)
+    """For each start, how many bytes from it on (``depth`` at most) also start in a smaller document.
+
+    In suffix order, ties in the order of documents, that is the longer of the prefixes shared with
+    the previous and with the next suffix of a smaller document. Suffixes equal to ``depth`` bytes are
+    a run. Past its first document their previous smaller one is in the run; the others, whose
+    document is the run's least, share with the smaller documents of other runs what the run does.
+    All starts have ``depth`` bytes before the end of the data.
+    """
+    if not len(starts):
+        return np.zeros(0, dtype=np.int64)
+    levels = _levels(data, depth)
+    rank = levels[-1][1][starts]
+    order = np.lexsort((document, rank))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = rank[order[1:]] != rank[order[:-1]]
+    first = order[new]
+    least = document[first]
+    common = np.zeros(len(first), dtype=np.int64)
+    common[1:] = _common(data, levels, starts[first[:-1]], starts[first[1:]])
+    before = _before_smaller(least, common)
+    after = _before_smaller(least[::-1], np.r_[common[1:], 0][::-1])[::-1]
+    run = np.cumsum(new) - 1
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.where(document[order] > least[run], depth, np.maximum(before, after)[run])
+    return out
 
 
 # -- blocks -------------------------------------------------------------------------------
@@ -127,7 +194,8 @@ def _pack(rows: pa.Table, id_column: str, text_column: str) -> pa.RecordBatch:
     squeeze = zstandard.ZstdCompressor(level=3).compress
     values = [data.tobytes(), offsets.tobytes(), sink.getvalue().to_pybytes()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([squeeze(v)], pa.binary()) for v in values], ["text", "offsets", "rest"]
+        [*(pa.array([squeeze(v)], pa.binary()) for v in values), pa.array([len(data)], pa.int64())],
+        ["text", "offsets", "rest", "size"],
     )
 
 
@@ -220,13 +288,14 @@ def _entries(id_column: str, buckets: int):
                 block.contexts()
                 order, cuts = block.dealt(buckets)
                 at = block.first[order]
-                steps = np.diff(block.ids, prepend=0).tobytes()
                 rows = []
                 for k in np.flatnonzero(np.diff(cuts)):
                     own = at[cuts[k] : cuts[k + 1]]
-                    per_doc = np.bincount(block.doc[own], minlength=len(block.ids)).astype(np.uint32)
+                    # Only documents that have entries here: what is sent follows the entries.
+                    docs, per_doc = np.unique(block.doc[own], return_counts=True)
+                    steps = np.diff(block.ids[docs], prepend=0)
                     rows.append((int(k), row["block"], block.key[own].tobytes(), block.more[own].tobytes(),
-                                 per_doc.tobytes(), steps))
+                                 per_doc.astype(np.uint32).tobytes(), steps.tobytes()))
                 if rows:
                     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -346,7 +415,7 @@ def _compare(group: pa.Table) -> pa.Table:
     start, doc = column("start", np.int64), column("doc", np.int64)
     block = np.repeat(group.column("block").to_numpy(), [len(x.as_py()) // 4 for x in group.column("size")])
     begin = np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1)
-    gone = longest_previous_factors(data, _each(begin, size), np.repeat(doc, size))
+    gone = longest_previous_factors(data, _each(begin, size), np.repeat(doc, size)) >= LENGTH
     at, block = _each(start, size)[gone], np.repeat(block, size)[gone]
     blocks = np.unique(block)
     found = [at[block == b] for b in blocks]
@@ -399,7 +468,7 @@ def _cut(id_column: str, with_text: bool):
 
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False,
-    block_bytes: int = BLOCK_BYTES, common: int = COMMON,
+    block_bytes: int = BLOCK_BYTES, common: int = COMMON, bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """All columns but the text, and _n_bytes, _n_removed, _n_spans, _kept_sha256.
 
@@ -411,23 +480,27 @@ def remove_repeats(
     bytes stay. Columns that have the names of new ones are replaced. An empty table gives an
     empty result.
     """
-    buckets = tasks_for(docs)
     new = ("_n_bytes", "_n_removed", "_n_spans", "_kept_sha256", "_kept_text")
     docs = docs.drop(*new)
     other = [f for f in docs.schema.fields if f.name != text_column]
-    blocks = docs.mapInArrow(_packer(id_column, text_column, block_bytes), "text binary, offsets binary, rest binary")
+    schema = "text binary, offsets binary, rest binary, size long"
+    blocks = docs.mapInArrow(_packer(id_column, text_column, block_bytes), schema)
     blocks = blocks.withColumn("block", F.monotonically_increasing_id())
-    blocks = written_by_key(blocks, "suffix_blocks", "block", buckets)
+    blocks = written_by_key(blocks, "suffix_blocks", "block", tasks_for(docs))
+    # As many buckets as the texts' entries need, and not fewer than there are tasks.
+    total = blocks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(tasks_for(docs), -(-total // bucket_bytes))
+    blocks = blocks.drop("size")
 
     schema = "bucket int, block long, key binary, more binary, per_doc binary, steps binary"
     entries = blocks.mapInArrow(_entries(id_column, buckets), schema)
-    states = entries.groupBy("bucket").applyInArrow(_judged(common), "block long, bucket int, state binary")
+    states = entries.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_judged(common), "block long, bucket int, state binary")
     states = states.groupBy("block").agg(F.collect_list(F.struct("bucket", "state")).alias("states"))
 
     schema = "block long, route int, text binary, start binary, size binary, doc binary"
     asked = blocks.join(states, "block", "left").select(*blocks.columns, "states")
     asked = written(asked.mapInArrow(_texts(id_column, buckets, ARRAYS * buckets), schema), "suffix_texts")
-    runs = asked.filter("route >= 0").groupBy("route")
+    runs = asked.filter("route >= 0").repartition(buckets, "route").groupBy("route")
     runs = runs.applyInArrow(_compare, "block long, start binary, size binary")
     runs = runs.unionAll(asked.filter("route < 0").select("block", "start", "size"))
     runs = runs.groupBy("block").agg(F.collect_list(F.struct("start", "size")).alias("runs"))

@@ -1,6 +1,7 @@
 """Operators on documents beside plain Python, and the rows that tend to break things."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -279,6 +280,55 @@ def test_contexts_differ_if_any_bit_of_their_hashes_does(monkeypatch):
     assert len({a for a, _ in contexts}) < len(contexts) == len(block.first)
 
 
+@pytest.mark.parametrize(("seed", "letters", "depth"), [(1, b"a", 50), (2, b"ab", 50), (3, b"ab", 12), (4, b"abc", 5), (5, b"ab", 28)])
+def test_previous_factors_have_the_lengths_of_brute_force(seed, letters, depth):
+    pick = random.Random(seed)
+    texts = [bytes(pick.choices(letters, k=pick.randrange(depth, 2 * depth))) for _ in range(12)]
+    texts += [t[i : i + 2 * depth] for t in texts[:6] for i in (0, 1)]
+    texts = [t for t in texts if len(t) >= depth]
+    ids = [pick.choice([0, 1, 2, 3, 5, 9, np.iinfo(np.int64).max]) for _ in texts]
+    starts, owner, at = [], [], 0
+    for text, i in zip(texts, ids, strict=True):
+        starts += range(at, at + len(text) - depth + 1)
+        owner += [i] * (len(text) - depth + 1)
+        at += len(text)
+    data = b"".join(texts)
+    cut = [data[s : s + depth] for s in starts]
+    want = [
+        max((len(os.path.commonprefix([a, b])) for b, j in zip(cut, owner, strict=True) if j < i), default=0)
+        for a, i in zip(cut, owner, strict=True)
+    ]
+    order = pick.sample(range(len(starts)), len(starts))
+    got = suffix.longest_previous_factors(
+        np.frombuffer(data, np.uint8), np.array(starts)[order], np.array(owner)[order], depth
+    )
+    assert got.tolist() == [want[k] for k in order]
+    assert 0 in want and max(want) == depth
+
+
+def test_what_is_sent_follows_the_entries_and_not_the_buckets():
+    rows = corpus(4, 300)
+    table = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    blocks = list(suffix._packer("doc_id", "text", 1 << 16)(iter(table.to_batches())))
+    blocks = [b.append_column("block", pa.array([n], pa.int64())) for n, b in enumerate(blocks)]
+
+    def sent(buckets):
+        out = list(suffix._entries("doc_id", buckets)(iter(blocks)))
+        entries = sum(len(v) // 8 for b in out for v in b.column("key").to_pylist())
+        return entries, sum(len(v) for b in out for c in ("key", "more", "per_doc", "steps") for v in b.column(c).to_pylist())
+
+    entries, _ = sent(8)
+    for buckets in (1, 8, 2048):
+        assert sent(buckets)[0] == entries and sent(buckets)[1] <= 28 * entries
+
+
+def test_buckets_beyond_the_tasks_change_nothing(spark):
+    rows = corpus(6, 80)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = suffix.remove_repeats(docs, block_bytes=4096, bucket_bytes=1000)
+    assert sorted((tuple(r[n] for n in NAMES) for r in got.collect()), key=repr) == brute_repeats(rows)
+
+
 def test_kept_text_is_what_stays(spark):
     shared = "this sentence of more than fifty bytes stands in both of the texts. "
     rows = [(1, shared + "first", None, None, None), (2, "é" + shared + "second", None, None, None)]
