@@ -5,6 +5,10 @@ block's postings have for each term the rows that have it and their weights. For
 queries and a block of candidates there is one dense array of scores; each term of the queries
 scatters its weighted postings into it. The k best of each query are then selected by
 partitioning, and the blocks' results merged. Every candidate is scored.
+
+Candidates move once. They are dealt to groups of blocks that fit into a task, which holds their
+postings while all blocks of queries are streamed past, and sends on k rows for each query. So what
+is moved is the candidates, and the queries once for each group.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ CANDIDATES = 4096
 QUERIES = 512
 SCALE = 1024
 LIMIT = float(1 << 43)
+# A component that a task holds takes so many bytes: a row and a weight.
+HELD_ENTRY = 16
+HELD_BYTES = 128 << 20
 
 
 class Postings:
@@ -88,28 +95,67 @@ def _decimals(parts: list[np.ndarray]) -> pa.Array:
     return pa.concat_arrays(whole)
 
 
+def _merged(asked: np.ndarray, found: list[np.ndarray], score: np.ndarray, k: int) -> np.ndarray:
+    """Where each query's k best are in rows of (query, id, score); of rows with one id the best counts."""
+    if score.dtype == object:
+        order = np.array(sorted(range(len(score)), key=lambda i: (asked[i], found[i], -score[i])), dtype=np.int64)
+    else:
+        order = np.lexsort((-score, found, asked))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (asked[order[1:]] != asked[order[:-1]]) | (found[order[1:]] != found[order[:-1]])
+    order = order[new]
+    cuts = np.r_[np.flatnonzero(np.r_[True, asked[order[1:]] != asked[order[:-1]]]), len(order)]
+    parts = [order[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    return np.concatenate([p[best(score[p], found[p], k)] for p in parts])
+
+
+class _Held:
+    """The candidates of a task, in blocks of postings, while queries are streamed past them."""
+
+    def __init__(self):
+        self.blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, Postings]] = []
+
+    def add(self, rows: pa.StructArray) -> None:
+        ids = rows.field("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        distinct, first = np.unique(ids[order], return_index=True)
+        self.blocks.append((distinct, first, order, Postings(rows.field("vector"))))
+
+    def best(self, rows: pa.StructArray, k: int) -> pa.RecordBatch | None:
+        asked, queries = rows.field("id").to_numpy(), Postings(rows.field("vector"))
+        out: list[list[np.ndarray]] = [[], [], []]
+        for ids, first, order, candidates in self.blocks:
+            total = scores(queries, candidates)
+            total = np.maximum.reduceat(total[:, order], first, axis=1)  # of rows with one id the best counts
+            for q, name in enumerate(asked):
+                others = np.flatnonzero(ids != name)
+                at = others[best(total[q][others], ids[others], k)]
+                for column, values in zip(out, (np.full(len(at), name), ids[at], total[q][at]), strict=True):
+                    column.append(values)
+        if not out[0] or not sum(map(len, out[0])):
+            return None
+        names, found = np.concatenate(out[0]), np.concatenate(out[1])
+        exact = any(part.dtype == object for part in out[2])
+        score = np.concatenate([p.astype(object) for p in out[2]] if exact else out[2])
+        at = _merged(names, found, score, k)
+        values = [pa.array(names[at], pa.int64()), pa.array(found[at], pa.int64()), _decimals([score[at]])]
+        return pa.RecordBatch.from_arrays(values, ["query_id", "vec_id", "score"])
+
+
 def _search(k: int):
+    """Rows come by group, its blocks of candidates (kind 0) before the blocks of queries."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, _Held()
         for batch in batches:
             for i in range(batch.num_rows):
-                sides = []
-                for name in ("queries", "candidates"):
-                    rows = batch.column(name)[i].values
-                    sides.append((rows.field("id").to_numpy(), Postings(rows.field("vector"))))
-                (asked, queries), (ids, candidates) = sides
-                out: list[list[np.ndarray]] = [[], [], []]
-                total = scores(queries, candidates)
-                order = np.argsort(ids, kind="stable")  # of rows with one id the best counts
-                ids, first = np.unique(ids[order], return_index=True)
-                total = np.maximum.reduceat(total[:, order], first, axis=1) if len(ids) else total
-                for q, name in enumerate(asked):
-                    others = np.flatnonzero(ids != name)
-                    found = others[best(total[q][others], ids[others], k)]
-                    for column, values in zip(out, (np.full(len(found), name), ids[found], total[q][found]), strict=True):
-                        column.append(values)
-                if out[0]:
-                    ids_out = [pa.array(np.concatenate(c), pa.int64()) for c in out[:2]]
-                    yield pa.RecordBatch.from_arrays([*ids_out, _decimals(out[2])], ["query_id", "vec_id", "score"])
+                if batch.column("group")[i].as_py() != group:
+                    group, held = batch.column("group")[i].as_py(), _Held()
+                rows = batch.column("rows")[i].values
+                if batch.column("kind")[i].as_py() == 0:
+                    held.add(rows)
+                elif (found := held.best(rows, k)) is not None:
+                    yield found
 
     return run
 
@@ -121,8 +167,9 @@ def _blocks(rows: DataFrame, size: int, count: int) -> DataFrame:
 
 
 def top_k(
-    table: DataFrame, queries_every: int, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding"
-) -> DataFrame:
+    table: DataFrame, queries_every: int, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding",
+    held_bytes: int = HELD_BYTES,
+) -> DataFrame:
     """query_id, rank (from 1), vec_id and score, exact in a decimal: for each query its k highest.
 
     Queries are the rows whose id is divisible by ``queries_every``; candidates are all rows but
@@ -143,18 +190,20 @@ def top_k(
     rows = written(rows.select(F.col(id_column).cast("long").alias("id"), vector.alias("vector")), "topk-rows")
     asked = rows.filter(F.col("id") % queries_every == 0).groupBy("id").agg(F.min("vector").alias("vector"))
     asked = written(asked, "topk-queries")
-    n_rows, n_asked = rows.count(), asked.count()
+    held = F.sum(HELD_ENTRY * F.size("vector")).alias("bytes")
+    size = rows.agg(F.count("*").alias("n"), held).first()
+    n_asked = asked.count()
 
     queries = _blocks(asked, QUERIES, n_asked)
-    blocks = _blocks(rows, CANDIDATES, n_rows)
-    # Every block of queries meets every block of candidates, dealt out by both numbers.
-    n_blocks = max(1, -(-n_rows // CANDIDATES))
-    pairs = queries.select(
-        F.col("block").alias("q"), F.col("rows").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
-    )
-    joined = pairs.join(blocks.withColumnRenamed("rows", "candidates"), "block")
-    joined = joined.repartition(tasks_for(table), "q", "block").select("queries", "candidates")
-    found = joined.mapInArrow(_search(k), "query_id long, vec_id long, score decimal(38,0)")
+    candidates = _blocks(rows, CANDIDATES, size["n"])
+    # Candidates are dealt once, to groups that a task can hold; each block of queries goes to every group.
+    n_blocks = max(1, -(-size["n"] // CANDIDATES))
+    groups = min(n_blocks, max(tasks_for(table), -(-(size["bytes"] or 0) // held_bytes)))
+    dealt = candidates.select((F.col("block") % groups).alias("group"), F.lit(0).alias("kind"), "rows")
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
+    streamed = queries.select(every, F.lit(1).alias("kind"), "rows")
+    met = dealt.unionByName(streamed).repartition(groups, "group").sortWithinPartitions("group", "kind")
+    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score decimal(38,0)")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

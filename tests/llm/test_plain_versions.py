@@ -196,6 +196,30 @@ def test_scores_beyond_64_bits_are_not_wrapped(spark):
     assert [r["vec_id"] for r in got] == [1, 2, 3]
 
 
+def test_candidates_move_once_and_groups_hold_several_blocks(spark, monkeypatch, plan):
+    """Groups of one, several and all blocks give what a plain sort of all scores gives."""
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    random_ = np.random.default_rng(8)
+    vectors = random_.normal(size=(300, 6)).round(1)
+    rows = [(i % 270, v.tolist()) for i, v in enumerate(vectors)]  # thirty ids have two vectors
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = {}
+    for i, v in rows:
+        whole.setdefault(i, []).append([int(np.floor(1024 * x)) for x in v])
+    want = []
+    for q in range(0, 270, 9):
+        asked = min(whole[q])
+        score = {c: max(sum(a * b for a, b in zip(asked, v, strict=True)) for v in vs) for c, vs in whole.items() if c != q}
+        want += [(q, n + 1, c, score[c]) for n, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:10])]
+    real = topk.tasks_for
+    for tasks, held in ((1, 1 << 30), (1, 10_000), (real(table), 1)):
+        monkeypatch.setattr(topk, "tasks_for", lambda _, tasks=tasks: tasks)
+        got = topk.top_k(table, 9, held_bytes=held)
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], int(r["score"])) for r in got.collect()) == want
+        assert "Join" not in plan(got)  # blocks of candidates are not paired with blocks of queries
+
+
 def test_a_vocabulary_that_holds_the_separator_is_refused(spark, tmp_path):
     path = tmp_path / "large.tiktoken"
     path.write_text("YQ== 0\nYg== 50256\n")
