@@ -161,25 +161,30 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
 
     ``blocks`` has shard, block and tokens, all blocks of a shard in the order of their numbers.
     A document without tokens has 0. What follows the last separator of a file is a document
-    too, unless it is nothing. Only a few numbers for each block are sorted; a file's blocks
-    are one group of such rows.
+    too, unless it is nothing. The scan sorts six numbers for each block, those of a file in one
+    group; the lengths found in a block meet its results by a join on both numbers.
     """
     kind = {f.name: f.dataType.simpleString() for f in blocks.schema}["shard"]
     schema = f"shard {kind}, block long, n long, ends long, head long, tail long, between array<long>"
     found = blocks.select("shard", "block", "tokens").mapInArrow(_scanned(separator), schema)
     found = written(found, "token-scan")
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    found = found.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    order = Window.partitionBy("shard").orderBy("block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    scan = found.select("shard", "block", "n", "ends", "head", "tail")
+    scan = scan.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     # Where, in the file, the document that is open at the end of a block starts.
     opened = F.when(F.col("ends") > 0, F.col("start") + F.col("n") - F.col("tail"))
-    found = found.withColumn("opened", opened)
-    found = found.withColumn("carry", F.col("start") - F.coalesce(F.max("opened").over(before), F.lit(0)))
-    found = found.withColumn("first", F.coalesce(F.sum("ends").over(before), F.lit(0)))
-    last = F.lead("block").over(Window.partitionBy("shard").orderBy("block")).isNull()
+    scan = scan.withColumn("opened", opened)
+    scan = scan.withColumn("carry", F.col("start") - F.coalesce(F.max("opened").over(before), F.lit(0)))
+    scan = scan.withColumn("first", F.coalesce(F.sum("ends").over(before), F.lit(0)))
+    last = F.lead("block").over(order).isNull()
     rest = F.when(F.col("ends") > 0, F.col("tail")).otherwise(F.col("carry") + F.col("n"))
-    lengths = F.when(F.col("ends") > 0, F.concat(F.array(F.col("carry") + F.col("head")), "between"))
+    scan = scan.withColumn("rest", F.when(last & (rest > 0), rest))
+    scan = scan.select("shard", "block", "first", "ends", (F.col("carry") + F.col("head")).alias("stitched"), "rest")
+    found = scan.join(found.select("shard", "block", "between"), ["shard", "block"])
+    lengths = F.when(F.col("ends") > 0, F.concat(F.array("stitched"), "between"))
     lengths = F.coalesce(lengths, F.array().cast("array<long>"))
-    open_end = F.when(last & (rest > 0), F.array(rest)).otherwise(F.array().cast("array<long>"))
+    open_end = F.when(F.col("rest").isNotNull(), F.array("rest")).otherwise(F.array().cast("array<long>"))
     out = found.select("shard", "first", F.concat(lengths, open_end).alias("lengths"))
     out = out.select("shard", "first", F.posexplode("lengths").alias("at", "n_tokens"))
     return out.select("shard", (F.col("first") + F.col("at")).alias("document"), "n_tokens")

@@ -220,6 +220,19 @@ def test_candidates_move_once_and_groups_hold_several_blocks(spark, monkeypatch,
         assert "Join" not in plan(got)  # blocks of candidates are not paired with blocks of queries
 
 
+def test_the_scan_of_a_file_sorts_numbers_and_no_lengths(spark, plan):
+    pick = np.random.default_rng(3)
+    flat = np.where(pick.random(5000) < 0.05, token_counts.SEPARATOR, 7).astype(np.uint16)
+    rows = [("f", n, flat[at : at + 64].tobytes()) for n, at in enumerate(range(0, len(flat), 64))]
+    counted = token_counts.count_tokens(spark.createDataFrame(rows, "shard string, block long, tokens binary").repartition(3))
+    ends = np.flatnonzero(flat == token_counts.SEPARATOR)
+    want = (np.diff(np.r_[-1, ends]) - 1).tolist() + ([len(flat) - 1 - int(ends[-1])] if ends[-1] < len(flat) - 1 else [])
+    assert [r["n_tokens"] for r in counted.orderBy("document").collect()] == want
+    windows = [line for line in plan(counted).splitlines() if "Window [" in line]
+    assert windows and not any("between" in line.split("windowspec")[0] for line in windows)
+    assert "between" not in plan(counted).split("Window [")[-1].split("FileScan")[1].split("\n")[0]
+
+
 def test_a_vocabulary_that_holds_the_separator_is_refused(spark, tmp_path):
     path = tmp_path / "large.tiktoken"
     path.write_text("YQ== 0\nYg== 50256\n")
