@@ -40,6 +40,7 @@ from changeflow.operators.latest import (
     without_deleted,
 )
 from changeflow.operators.layout import cluster_by_curve, cluster_within
+from changeflow.session import CODEC
 from changeflow.sources.paths import NumberedFiles, delete, exists, make_dir, names
 from changeflow.sources.schema import widen
 
@@ -98,6 +99,12 @@ class CurrentTable:
         """All rows appended so far, tombstones with them; columns that came later are NULL in older rows."""
         return self.spark.read.schema(self.schema()).option("recursiveFileLookup", "true").parquet(self.rows)
 
+    def _ranked(self, folders: Sequence[str]) -> DataFrame:
+        """The latest row per key of some folders. One folder has a key at most once, as a batch and a
+        compaction write it, so a single one is read as it is, without a shuffle."""
+        rows = self.spark.read.schema(self.schema()).option("recursiveFileLookup", "true").parquet(*folders)
+        return rows if len(folders) == 1 else latest_by_key(rows, self.keys, self.sequence_by, self.tie_break)
+
     def read(self) -> DataFrame:
         """The current rows."""
         return without_deleted(self._latest())
@@ -106,12 +113,12 @@ class CurrentTable:
         """One row per key, tombstones with them."""
         base = self._bases.latest()[1]
         if base is None or not exists(self.spark, f"{self.rows}/{base['folder']}"):
-            return latest_by_key(self.appended(), self.keys, self.sequence_by, self.tie_break)
+            folders = [f"{self.rows}/{name}" for name in names(self.spark, self.rows)]
+            return self._ranked(folders) if folders else self.appended()
         known = {base["folder"], *base["supersedes"]}
         since = [f"{self.rows}/{name}" for name in names(self.spark, self.rows) if name not in known]
-        reader = self.spark.read.schema(self.schema())
-        new = reader.parquet(*since) if since else self.spark.createDataFrame([], self.schema())
-        return self._merged(self._base(base), latest_by_key(new, self.keys, self.sequence_by, self.tie_break))
+        new = self._ranked(since) if since else self.spark.createDataFrame([], self.schema())
+        return self._merged(self._base(base), new)
 
     def _base(self, base: dict) -> DataFrame:
         """The base with its buckets, which only the catalog can tell Spark of; the entry goes at once."""
@@ -161,7 +168,7 @@ class CurrentTable:
         changes = mark_deletes(changes, self.delete_when)
         self.create(changes.schema)
         winners = latest_by_key(changes, self.keys, self.sequence_by, self.tie_break)
-        cluster_within(winners, self.cluster_by).write.parquet(self._new_folder())
+        cluster_within(winners, self.cluster_by).write.option("compression", CODEC).parquet(self._new_folder())
 
     def _new_folder(self) -> str:
         return f"{self.rows}/{uuid.uuid4().hex}"
@@ -184,7 +191,7 @@ class CurrentTable:
             rows = rows.filter(~stale).unionByName(rows.filter(stale).join(hidden, self._same_key("_hidden_"), "left_semi"))
         folder = self._new_folder()
         if self.buckets is None:
-            cluster_by_curve(rows, self.cluster_by, like=self.appended()).write.parquet(folder)
+            cluster_by_curve(rows, self.cluster_by, like=self.appended()).write.option("compression", CODEC).parquet(folder)
             return old
         self._write_base(rows, folder)
         number, _ = self._bases.latest()
@@ -196,7 +203,7 @@ class CurrentTable:
         name = f"base_{uuid.uuid4().hex}"
         writer = rows.repartition(self.buckets, *self.keys).write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
         try:
-            writer.format("parquet").option("path", folder).saveAsTable(name)
+            writer.format("parquet").option("compression", CODEC).option("path", folder).saveAsTable(name)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,34 @@ def build_session(app_name: str = "changeflow", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+# Of the tables that are written and read again: smaller than Spark's default, for little more time.
+CODEC = "zstd"
+
+# Bytes of files a task reads whose rows it sorts: in memory they take some thirty times as much.
+SORTED_SPLIT = 24 << 20
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+def bound_splits(spark: SparkSession, most: int = SORTED_SPLIT) -> str:
+    """Let a task of this session read at most so many bytes of files, so that sorting them needs no
+    disk; returns the setting before. A session that reads less already stays as it is."""
+    before = spark.conf.get(_SPLIT)
+    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if bytes_of(before) > most:
+        spark.conf.set(_SPLIT, str(most))
+    return before
+
+
+@contextmanager
+def bounded_splits(spark: SparkSession, most: int = SORTED_SPLIT) -> Iterator[None]:
+    """:func:`bound_splits` for a while: a stream of files reads by the session it was made in."""
+    before = bound_splits(spark, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -27,6 +27,7 @@ from changeflow.operators.quality import (
     observe_rules,
     refused_rows,
 )
+from changeflow.session import CODEC, bound_splits
 from changeflow.sources.files import INGESTED_AT, SOURCE_FILE, read_named, stream_names, with_lineage
 from changeflow.sources.paths import delete, exists, make_dir, replace_folder, write_json
 from changeflow.sources.rescue import RESCUED, fit, schema_groups
@@ -62,12 +63,12 @@ def write_checked(
         rows = apply_rules(observe_rules(batch, rules, seen), rules)
     rows = cluster_within(rows, cluster_by)
     if not any(rule.action == FAIL for rule in rules):
-        rows.write.mode("overwrite").parquet(folder)
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(folder)
         return as_counts(seen.get) if rules else {}
     spark = batch.sparkSession
     place, name = folder.rsplit("/", 1)
     draft = f"{place}/_draft-{name}"
-    rows.write.mode("overwrite").parquet(draft)
+    rows.write.mode("overwrite").option("compression", CODEC).parquet(draft)
     counts = as_counts(seen.get)
     failures = blocking_failures(counts, rules)
     if not failures:
@@ -77,7 +78,7 @@ def write_checked(
         return counts
     delete(spark, draft)
     if refused:
-        refused_rows(batch, rules).write.mode("overwrite").parquet(refused)
+        refused_rows(batch, rules).write.mode("overwrite").option("compression", CODEC).parquet(refused)
     raise Refused(folder, failures, counts)
 
 
@@ -118,12 +119,13 @@ def intake(
 
     def store(batch: DataFrame, number: int) -> None:
         session, name = batch.sparkSession, batch_name(batch, number)
+        bound_splits(session)  # the stream's own: what is read here is sorted by the task that reads it
         folder = f"{path}/{name}"
         files = [row[0] for row in batch.collect()]
         if not files:
             return
         rows = _as_tracked(session, files, schemas)
-        cluster_within(rows, cluster_by).write.mode("overwrite").parquet(folder)
+        cluster_within(rows, cluster_by).write.mode("overwrite").option("compression", CODEC).parquet(folder)
         written = session.read.schema(rows.schema).parquet(folder)
         try:
             then(written, name)

@@ -308,3 +308,16 @@ def test_new_columns_after_a_base(spark, tmp_path):
     assert rows(t.read()) == [("x", 2, 2, "new"), ("y", 1, 1, None)]
     t.remove(t.compact())
     assert rows(t.read()) == [("x", 2, 2, "new"), ("y", 1, 1, None)] and t.appended().count() == 2
+
+
+def test_a_single_folder_is_read_without_ranking_and_more_are_ranked(spark, tmp_path, plan):
+    t = CurrentTable(spark, str(tmp_path / "t"), ["k"], "seq").create(spark.createDataFrame([], "k string, seq int, v int").schema)
+    assert rows(t.read()) == []
+    t.apply(spark.createDataFrame([("x", 1, 1), ("x", 2, 2), (None, 1, 3), (None, 4, 4)], "k string, seq int, v int"))
+    assert "Exchange" not in plan(t.read())
+    assert rows(t.read()) == [("x", 2, 2), (None, 4, 4)]
+    t.apply(spark.createDataFrame([("x", 3, 5), ("y", 1, 1)], "k string, seq int, v int"))
+    assert "Exchange" in plan(t.read())
+    assert rows(t.read()) == [("x", 3, 5), ("y", 1, 1), (None, 4, 4)]
+    t.remove(t.compact())
+    assert "Exchange" not in plan(t.read()) and t.read().count() == 3

@@ -153,3 +153,44 @@ def test_a_failing_flow_stops_the_others_and_raises(spark, source, tmp_path):
     with pytest.raises(Exception, match="broken row"):
         finish(queries)
     assert not any(query.isActive for query in queries)
+
+
+def test_rows_that_a_task_sorts_come_from_few_bytes_of_files(spark, tmp_path):
+    from changeflow.session import SORTED_SPLIT, bounded_splits
+    from changeflow.streaming import intake
+
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    spark.range(5).write.parquet(str(tmp_path / "source"))
+    spark.conf.set(name, "128MB")
+    try:
+        with bounded_splits(spark):
+            assert spark.conf.get(name) == str(SORTED_SPLIT)
+        assert spark.conf.get(name) == "128MB"
+        intake(
+            spark, f"{tmp_path}/source", f"{tmp_path}/schema", f"{tmp_path}/raw", f"{tmp_path}/checkpoint", ("id",),
+            lambda batch, _: seen.append((batch.sparkSession.conf.get(name), batch.count())),
+        )
+        assert seen == [(str(SORTED_SPLIT), 5)] and spark.conf.get(name) == "128MB"
+        spark.conf.set(name, "1MB")
+        with bounded_splits(spark):
+            assert spark.conf.get(name) == "1MB"  # less stays
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_line_items_are_joined_last_in_the_feed_of_encounters(spark, tmp_path):
+    from changeflow.sources.feeds import encounters_feed
+
+    kinds = {
+        "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_linestatus string,"
+        " l_shipdate date, l_returnflag string, l_extendedprice double",
+        "orders": "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate date",
+        "customer": "c_custkey long, c_nationkey int",
+    }
+    for name, kind in kinds.items():
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{name}")
+    feed = encounters_feed(lambda name: spark.read.parquet(f"{tmp_path}/{name}"))
+    text = feed._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.split("\n") if "Join Inner" in line]
+    assert len(joins) == 2 and "l_orderkey" in joins[0] and "c_custkey" in joins[1]
