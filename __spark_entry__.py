@@ -34,7 +34,7 @@ from changeflow.operators import (  # noqa: E402
 )
 from changeflow.plans import Layers, check_specs, checked, current, load_specs, with_deletes  # noqa: E402
 from changeflow.plans.clinical import REPORTS, TABLES, with_tie_breaks  # noqa: E402
-from changeflow.session import scratch_dir  # noqa: E402
+from changeflow.session import CODEC, bounded_splits, scratch_dir  # noqa: E402
 from changeflow.sources import (  # noqa: E402
     infer_schema,
     ingest_files,
@@ -166,9 +166,9 @@ def _silver_procedures_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land(feed: DataFrame, folder: str, by: str | None = None) -> None:
     """Write a feed as the change files of a source, in one folder or one per ship year."""
     if by is None:
-        feed.write.parquet(folder)
+        feed.write.option("compression", CODEC).parquet(folder)
     else:
-        feed.withColumn("year", F.year(by)).write.partitionBy("year").parquet(folder)
+        feed.withColumn("year", F.year(by)).write.option("compression", CODEC).partitionBy("year").parquet(folder)
 
 
 def _files_per_batch(spark: SparkSession, folder: str) -> int:
@@ -191,7 +191,8 @@ def _bronze(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(_feed(spark, sf_dir, entity), f"{root}/source/{entity}", "cdc_timestamp" if nested else None)
     schema = tracked_schema(spark, f"{root}/source/{entity}", f"{root}/schema")
     rows = ingest_files(spark, f"{root}/source/{entity}", schema)
-    finish([append_stream(rows, f"{root}/{spec.bronze}", f"{root}/checkpoint", spec.raw_layout)])
+    with bounded_splits(spark):
+        finish([append_stream(rows, f"{root}/{spec.bronze}", f"{root}/checkpoint", spec.raw_layout)])
     _clear(spark, root)
     read = read_files(spark, f"{root}/{spec.bronze}", rows.schema)
     return read.select(
@@ -286,15 +287,16 @@ def _deliveries_with_deletes(spark: SparkSession, sf_dir: str, table, root: str)
     spec = replace(ENTITIES["encounters"], delete_when=DELETES)
     feed = _feed(spark, sf_dir, "encounters")
     changes = with_deletes(checked(feed, spec), feed, spec)
-    _age(changes).write.partitionBy("age").parquet(f"{root}/quarters")
+    changes.write.option("compression", CODEC).parquet(f"{root}/quarters")  # once; which quarter a change is in is read off what is stored
     table.create(changes.schema)
-    quarters = spark.read.parquet(f"{root}/quarters")
+    quarters = _age(spark.read.schema(changes.schema).parquet(f"{root}/quarters"))
     for number, age in enumerate((*range(BATCHES), 1)):
-        quarters.filter(F.col("age") == age).drop("age").write.parquet(f"{root}/source/batch_{number:03d}")
+        quarters.filter(F.col("age") == age).drop("age").write.option("compression", CODEC).parquet(f"{root}/source/batch_{number:03d}")
         rows = stream_files(spark, f"{root}/source", changes.schema)
-        finish([upsert_stream(rows, table, f"{root}/checkpoint")])
-        if number == 1:
-            table.remove(table.compact())
+        with bounded_splits(spark):
+            finish([upsert_stream(rows, table, f"{root}/checkpoint")])
+            if number == 1:
+                table.remove(table.compact())
     _clear(spark, root)
     return table.read()
 

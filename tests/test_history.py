@@ -139,3 +139,45 @@ def test_new_columns_and_clashing_ones(spark, tmp_path):
     empty = table(spark, tmp_path / "empty").create(frame(spark, []).schema)
     empty.apply(frame(spark, []))
     assert rows(empty.read()) == []
+
+
+def shuffled(df):
+    """The shuffles of rows in a plan, before they run."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_rows_are_put_in_order_with_one_shuffle(spark):
+    df = frame(spark, [(f"k{i % 50}", i, i, "I") for i in range(500)])
+    assert len(shuffled(with_next(df, ["k"], "seq", "next", [100, 300], F.lit(False), lambda each, by: each))) <= 4
+    plain = with_next(df, ["k"], "seq", "next", [], F.lit(False))
+    assert len(shuffled(plain)) == 1
+    for cuts, sliced in (([100, 300], F.col("k") == "k7"), ([100, 300], None), ([], None)):
+        assert rows(with_next(df, ["k"], "seq", "next", cuts, sliced)) == rows(plain)
+
+
+def test_a_single_folder_of_a_history_is_read_without_a_shuffle(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.apply(frame(spark, [("x", 1, 1, "I"), ("x", 1, 2, "I"), ("x", 9, 9, "U"), (None, None, 2, "I")]))
+    assert not shuffled(t.read())
+    assert rows(t.read(), "k", "v", "valid_to") == [("x", 2, 9), ("x", 9, None), (None, 2, None)]
+    t.apply(frame(spark, [("x", 5, 5, "U")]))
+    assert len(shuffled(t.read())) == 1
+    t.remove(t.compact())
+    assert not shuffled(t.read())
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_batches_with_and_without_their_keys_sent_to_all_tasks_agree(spark, tmp_path, monkeypatch, few):
+    from changeflow.operators import history
+
+    monkeypatch.setattr(history, "FEW", few)
+    monkeypatch.setattr(history, "HOT", 2)
+    log = [(k, seq, 10 * i, op) for i, (seq, op) in enumerate([(5, "I"), (9, "U"), (7, "D"), (None, "I"), (1, "I")]) for k in ("x", "y", None)]
+    t = table(spark, tmp_path)
+    for batch in (log[6:9], log[:3], log[12:], log[3:6], log[9:12], log[:3]):
+        t.apply(frame(spark, batch))
+    assert rows(t.read()) == intervals(log)
+    before = t.appended().count()
+    t.apply(frame(spark, [("z", 3, 3, "I")]))
+    assert t.appended().count() == before + 1  # keys without a change are not written again
