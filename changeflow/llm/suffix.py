@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import kernels
-from changeflow.llm.scratch import tasks_for, written, written_by_key
+from changeflow.llm.scratch import tasks_for, written_by_key
 
 LENGTH = 50
 GRAM = 20
@@ -74,16 +74,23 @@ def _levels(data: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
         at = padded[j : j + n] + np.uint64(1)
         at[max(n - j, 0) :] = 0
         words = (words << np.uint64(9)) | at
-    levels = [(first, np.unique(words, return_inverse=True)[1])]
+    levels = [(first, _dense(words))]
+    del words, padded
     while levels[-1][0] < depth:
         have, ranks = levels[-1]
         step = min(have, depth - have)
-        second = np.zeros(n, dtype=np.int64)
-        second[: max(n - step, 0)] = ranks[step:] + 1
-        levels.append((have + step, np.unique(ranks * np.int64(n + 1) + second, return_inverse=True)[1]))
+        pairs = ranks * np.int64(n + 1)
+        pairs[: max(n - step, 0)] += ranks[step:] + 1
+        levels.append((have + step, _dense(pairs)))
     return levels
 
 
+def _dense(values: np.ndarray) -> np.ndarray:
+    """The rank of each value among the different ones, in 32 bits where they do."""
+    ranks = np.unique(values, return_inverse=True)[1]
+    return ranks.astype(np.int32) if len(ranks) < 1 << 31 else ranks
+
+
 def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
     """Rank of the suffix at each position by its first ``depth`` bytes; equal ones share a rank."""
     return _levels(data, depth)[-1][1]
@@ -226,10 +233,16 @@ class _Block:
         self.rest = pa.ipc.open_stream(expand(rest)).read_all()
         self.ids = _ids(self.rest.column(id_column).combine_chunks())
 
+    def _ends(self, low: int, high: int) -> np.ndarray:
+        """Where the text of each byte from ``low`` to ``high`` ends."""
+        first = np.searchsorted(self.offsets, low, side="right") - 1
+        last = np.searchsorted(self.offsets, high, side="left")
+        bytes_of = np.diff(np.clip(self.offsets[first : last + 1], low, high))
+        return np.repeat(self.offsets[first + 1 : last + 1], bytes_of)
+
     def contexts(self) -> None:
         """Where each run of strings with one anchor starts, how many, and its two hashes."""
         n = len(self.data)
-        ends = np.repeat(self.offsets[1:], np.diff(self.offsets))
         found: list[tuple[np.ndarray, ...]] = []
         for c in range(0, max(n - LENGTH + 1, 0), _CHUNK):
             low = max(c - 1, 0)
@@ -247,7 +260,7 @@ class _Block:
             if width < WINDOW:
                 least = np.minimum(least[: -(WINDOW - width)], least[WINDOW - width :])
             starts = np.arange(low, high)
-            whole = starts + LENGTH <= ends[low:high]
+            whole = starts + LENGTH <= self._ends(low, high)
             change = np.ones(len(starts), dtype=bool)
             change[1:] = (least[1:] != least[:-1]) | (whole[1:] != whole[:-1])
             cuts = np.flatnonzero(change)
@@ -280,32 +293,41 @@ class _Block:
         return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-def _entries(id_column: str, buckets: int):
+def _by_block(one):
+    """Blocks are worked on one at a time, by a generator whose arrays go with it; workers are kept
+    for later tasks, so what Arrow has set aside goes back to the system as well."""
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row["text"], row["offsets"], row["rest"], id_column)
-                block.contexts()
-                order, cuts = block.dealt(buckets)
-                at = block.first[order]
-                rows = []
-                for k in np.flatnonzero(np.diff(cuts)):
-                    own = at[cuts[k] : cuts[k + 1]]
-                    # Only documents that have entries here: what is sent follows the entries.
-                    docs, per_doc = np.unique(block.doc[own], return_counts=True)
-                    steps = np.diff(block.ids[docs], prepend=0)
-                    rows.append((int(k), row["block"], block.key[own].tobytes(), block.more[own].tobytes(),
-                                 per_doc.astype(np.uint32).tobytes(), steps.tobytes()))
-                if rows:
-                    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        columns, ["bucket", "block", "key", "more", "per_doc", "steps"]
-                    )
+            for i in range(batch.num_rows):
+                yield from one(batch.slice(i, 1).to_pylist()[0])
+                pa.default_memory_pool().release_unused()
 
     return send
 
 
+def _entries(id_column: str, buckets: int):
+    def send(row: dict) -> Iterator[pa.RecordBatch]:
+        block = _Block(row["text"], row["offsets"], row["rest"], id_column)
+        block.contexts()
+        order, cuts = block.dealt(buckets)
+        at = block.first[order]
+        rows = []
+        for k in np.flatnonzero(np.diff(cuts)):
+            own = at[cuts[k] : cuts[k + 1]]
+            # Only documents that have entries here: what is sent follows the entries.
+            docs, per_doc = np.unique(block.doc[own], return_counts=True)
+            steps = np.diff(block.ids[docs], prepend=0)
+            rows.append((int(k), row["block"], block.key[own].tobytes(), block.more[own].tobytes(),
+                         per_doc.astype(np.uint32).tobytes(), steps.tobytes()))
+        if rows:
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "key", "more", "per_doc", "steps"])
+
+    return _by_block(send)
+
+
 def _judge(common: int, group: pa.Table) -> pa.Table:
     """All entries of a bucket: which an earlier document has whole, and which need their text."""
     sizes = [len(k) // 8 for k in (x.as_py() for x in group.column("key"))]
@@ -317,6 +339,7 @@ def _judge(common: int, group: pa.Table) -> pa.Table:
     ])
     order = np.lexsort((doc, more, key))
     k, m, d = key[order], more[order], doc[order]
+    del key, more, doc
     anchor = k >> np.uint64(20)
     new_anchor, new = np.ones(len(k), dtype=bool), np.ones(len(k), dtype=bool)
     new_anchor[1:] = anchor[1:] != anchor[:-1]
@@ -344,44 +367,44 @@ def _judged(common: int):
 
 
 def _texts(id_column: str, buckets: int, routes: int):
-    """What the blocks know now: runs of strings to remove, and texts that are to be compared."""
+    """What the blocks know now: runs of strings to remove, and texts that are to be compared.
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row["text"], row["offsets"], row["rest"], id_column)
-                block.contexts()
-                order, cuts = block.dealt(buckets)
-                state = np.zeros(len(order), dtype=np.uint8)
-                for s in row["states"] or []:
-                    k = s["bucket"]
-                    state[order[cuts[k] : cuts[k + 1]]] = np.frombuffer(expand(s["state"]), np.uint8)
-                later = block.doc > block.doc[block.first][block.entry]
-                # A repeated id is one document, though it is two rows.
-                later &= block.ids[block.doc] > block.ids[block.doc[block.first]][block.entry]
-                remove = later | (state[block.entry] == 1)
-                ask = np.flatnonzero(~remove & (state[block.entry] >= 2))
-                common = state[block.entry[ask]] == 3
-                run = block.run[ask]
-                start = np.r_[block.start[ask[~common]], _each(block.start[ask[common]], run[common])]
-                size = np.r_[run[~common], np.ones(run[common].sum(), dtype=np.int64)]
-                by = block.key[ask] >> np.uint64(20)
-                alone = kernels.mixed(_string_hashes(block.data, start[(~common).sum() :]))
-                by = np.r_[by[~common], alone]
-                route = (kernels.mixed(by) % np.uint64(routes)).astype(np.int64)
-                whole = np.stack([block.start[remove], block.run[remove]])
-                yield _text_row(row["block"], -1, b"", whole[0], whole[1], b"")
-                doc = block.ids[np.searchsorted(block.offsets, start, side="right") - 1]
-                by_route = np.argsort(route, kind="stable")
-                edges = np.searchsorted(route[by_route], np.arange(routes + 1))
-                for k in np.flatnonzero(np.diff(edges)):
-                    own = by_route[edges[k] : edges[k + 1]]
-                    at = _each(start[own], size[own] + LENGTH - 1)
-                    yield _text_row(row["block"], int(k), block.data[at].tobytes(), start[own], size[own],
-                                    doc[own].tobytes())
+    The runs are sent by the same shuffle, under numbers below zero.
+    """
 
-    return send
+    def send(row: dict) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
+        block = _Block(row["text"], row["offsets"], row["rest"], id_column)
+        block.contexts()
+        order, cuts = block.dealt(buckets)
+        state = np.zeros(len(order), dtype=np.uint8)
+        for s in row["states"] or []:
+            k = s["bucket"]
+            state[order[cuts[k] : cuts[k + 1]]] = np.frombuffer(expand(s["state"]), np.uint8)
+        later = block.doc > block.doc[block.first][block.entry]
+        # A repeated id is one document, though it is two rows.
+        later &= block.ids[block.doc] > block.ids[block.doc[block.first]][block.entry]
+        remove = later | (state[block.entry] == 1)
+        ask = np.flatnonzero(~remove & (state[block.entry] >= 2))
+        common = state[block.entry[ask]] == 3
+        run = block.run[ask]
+        start = np.r_[block.start[ask[~common]], _each(block.start[ask[common]], run[common])]
+        size = np.r_[run[~common], np.ones(run[common].sum(), dtype=np.int64)]
+        by = block.key[ask] >> np.uint64(20)
+        alone = kernels.mixed(_string_hashes(block.data, start[(~common).sum() :]))
+        by = np.r_[by[~common], alone]
+        route = (kernels.mixed(by) % np.uint64(routes)).astype(np.int64)
+        past = kernels.mixed(np.array([row["block"]], dtype=np.uint64)) % np.uint64(routes)
+        yield _text_row(row["block"], -1 - int(past[0]), b"", block.start[remove], block.run[remove], b"")
+        doc = block.ids[np.searchsorted(block.offsets, start, side="right") - 1]
+        by_route = np.argsort(route, kind="stable")
+        edges = np.searchsorted(route[by_route], np.arange(routes + 1))
+        for k in np.flatnonzero(np.diff(edges)):
+            own = by_route[edges[k] : edges[k + 1]]
+            at = _each(start[own], size[own] + LENGTH - 1)
+            yield _text_row(row["block"], int(k), block.data[at].tobytes(), start[own], size[own], doc[own].tobytes())
+
+    return _by_block(send)
 
 
 def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -407,6 +430,8 @@ def _text_row(block: int, route: int, text: bytes, start, size, doc: bytes) -> p
 
 def _compare(group: pa.Table) -> pa.Table:
     """A suffix array over the texts of a route; the runs of strings to remove, by block."""
+    if group.column("route")[0].as_py() < 0:
+        return group.select(["block", "start", "size"])
 
     def column(name: str, kind) -> np.ndarray:
         return np.frombuffer(b"".join(x.as_py() for x in group.column(name)), dtype=kind)
@@ -429,41 +454,41 @@ def _compare(group: pa.Table) -> pa.Table:
 
 
 def _cut(id_column: str, with_text: bool):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row["text"], row["offsets"], row["rest"], id_column)
-                edge = np.zeros(len(block.data) + 1, dtype=np.int32)
-                for run in row["runs"] or []:
-                    start = np.frombuffer(run["start"], np.int64)
-                    size = np.frombuffer(run["size"], np.uint32).astype(np.int64)
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + size + LENGTH - 1, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                kept, removed, spans, digest = [], [], [], []
-                for a, b in zip(block.offsets[:-1], block.offsets[1:], strict=True):
-                    mask = gone[a:b]
-                    text = block.data[a:b][~mask].tobytes() if mask.any() else block.data[a:b].tobytes()
-                    if with_text:
-                        kept.append(text.decode(errors="ignore"))
-                    removed.append(int(mask.sum()))
-                    spans.append(int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()))
-                    digest.append(hashlib.sha256(text).hexdigest())
-                out = block.rest
-                columns = {
-                    "n_bytes": pa.array(np.diff(block.offsets), pa.int64()),
-                    "n_removed": pa.array(removed, pa.int64()),
-                    "n_spans": pa.array(spans, pa.int64()),
-                    "kept_sha256": pa.array(digest, pa.string()),
-                }
+    def cut(row: dict) -> Iterator[pa.RecordBatch]:
+        block = _Block(row["text"], row["offsets"], row["rest"], id_column)
+        edge = np.zeros(len(block.data) + 1, dtype=np.int32)
+        for run in row["runs"] or []:
+            start = np.frombuffer(run["start"], np.int64)
+            size = np.frombuffer(run["size"], np.uint32).astype(np.int64)
+            np.add.at(edge, start, 1)
+            np.add.at(edge, start + size + LENGTH - 1, -1)
+        gone = np.cumsum(edge, out=edge)[:-1] > 0
+        del edge
+        for first, last in kernels.pieces(block.offsets):
+            kept, removed, spans, digest = [], [], [], []
+            bounds = block.offsets[first : last + 1]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                mask = gone[a:b]
+                text = block.data[a:b][~mask].tobytes() if mask.any() else block.data[a:b].tobytes()
                 if with_text:
-                    columns["kept_text"] = pa.array(kept, pa.string())
-                for name, values in columns.items():
-                    out = out.append_column(f"_{name}", values)
-                for part in out.combine_chunks().to_batches():
-                    yield part
-
-    return cut
+                    kept.append(text.decode(errors="ignore"))
+                removed.append(int(mask.sum()))
+                spans.append(int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()))
+                digest.append(hashlib.sha256(text).hexdigest())
+            out = block.rest.slice(first, last - first)
+            columns = {
+                "n_bytes": pa.array(np.diff(bounds), pa.int64()),
+                "n_removed": pa.array(removed, pa.int64()),
+                "n_spans": pa.array(spans, pa.int64()),
+                "kept_sha256": pa.array(digest, pa.string()),
+            }
+            if with_text:
+                columns["kept_text"] = pa.array(kept, pa.string())
+            for name, values in columns.items():
+                out = out.append_column(f"_{name}", values)
+            yield from out.combine_chunks().to_batches()
+
+    return _by_block(cut)
 
 
 def remove_repeats(
@@ -499,10 +524,9 @@ def remove_repeats(
 
     schema = "block long, route int, text binary, start binary, size binary, doc binary"
     asked = blocks.join(states, "block", "left").select(*blocks.columns, "states")
-    asked = written(asked.mapInArrow(_texts(id_column, buckets, ARRAYS * buckets), schema), "suffix_texts")
-    runs = asked.filter("route >= 0").repartition(buckets, "route").groupBy("route")
+    asked = asked.mapInArrow(_texts(id_column, buckets, ARRAYS * buckets), schema)
+    runs = asked.repartition(buckets, "route").groupBy("route")
     runs = runs.applyInArrow(_compare, "block long, start binary, size binary")
-    runs = runs.unionAll(asked.filter("route < 0").select("block", "start", "size"))
     runs = runs.groupBy("block").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in other)

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -322,6 +323,30 @@ def test_what_is_sent_follows_the_entries_and_not_the_buckets():
         assert sent(buckets)[0] == entries and sent(buckets)[1] <= 28 * entries
 
 
+def test_steps_over_a_block_need_little_beside_its_text():
+    """Workers share an executor's memory: no arrays of eight bytes for each byte, one block at a time."""
+    pick = random.Random(7)
+    n = 4 << 20
+    texts = [pick.randbytes(1 << 10).hex() for _ in range(n >> 11)]
+    table = pa.table({"doc_id": range(len(texts)), "text": texts})
+    blocks = list(suffix._packer("doc_id", "text", n)(iter(table.to_batches())))
+    blocks = pa.Table.from_batches(blocks * 3).append_column("block", pa.array(range(3), pa.int64()))
+    runs = pa.array([[{"start": np.arange(0, n - 99, 99).tobytes(), "size": np.ones(n // 99, np.uint32).tobytes()}]] * 3)
+    rows = {
+        "entries": (suffix._entries("doc_id", 8), blocks),
+        "cut": (suffix._cut("doc_id", True), blocks.append_column("runs", runs)),
+    }
+    taken, count = {}, {}
+    for name, (step, given) in rows.items():
+        batches = given.combine_chunks().to_batches()
+        tracemalloc.start()
+        count[name] = [out.num_rows for out in step(iter(batches))]
+        taken[name] = tracemalloc.get_traced_memory()[1] / n
+        tracemalloc.stop()
+    assert taken["entries"] < 15 and taken["cut"] < 15, taken
+    assert sum(count["cut"]) == 3 * len(texts) and max(count["cut"]) < len(texts)
+
+
 def test_buckets_beyond_the_tasks_change_nothing(spark):
     rows = corpus(6, 80)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
