@@ -17,9 +17,10 @@ one *context*, of at most 80 bytes, and 16 strings in the mean.
    bits) and of its whole (64 bits), and 12 for each document among them. In the order of these
    hashes, documents within, the first of equal contexts tells whether an earlier document has all of it.
 3. What is left are contexts nobody earlier has as a whole, but whose anchor occurs in other
-   contexts too. Only their text is sent on. In the suffix array of these texts, to a depth of
-   ``LENGTH`` bytes and with ties in the order of documents, the previous and the next smaller
-   documents of each suffix and the prefixes shared with them give its longest previous factor.
+   contexts too. Only their text is sent on. Strings whose hash no second document has are left
+   out there. In the suffix array of what remains, to a depth of ``LENGTH`` bytes and with ties in
+   the order of documents, the previous and the next smaller documents of each suffix and the
+   prefixes shared with them give its longest previous factor.
 4. Both answers go back to the blocks, which cut out the bytes covered.
 
 Blocks, entries and texts are each read from files or shuffles again if an executor is lost.
@@ -45,14 +46,16 @@ WINDOW = LENGTH - GRAM + 1
 BLOCK_BYTES = 6 << 20
 # Text whose entries one bucket gets: about four million, of at most 28 bytes.
 BUCKET_BYTES = 64 << 20
-# Suffix arrays per shuffle task: each is sorted by itself, in memory.
-ARRAYS = 8
+# Text whose strings one suffix array may get: each is sorted by itself, in memory.
+ARRAY_BYTES = 4 << 20
 # An anchor with more different contexts than this is a common phrase. Its strings are then
-# dealt out one by one, by their own hash, so that it doesn't load one task.
+# dealt out a few at a time, by a hash of more bytes, so that it doesn't load one task.
 COMMON = 4096
+STEP = 8
 
 _BASE, _INVERSE = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
-_CHUNK = 1 << 17
+_CHUNK = 1 << 16
+_PLACES = np.arange(_CHUNK + LENGTH + WINDOW + 2, dtype=np.uint64)
 _LAST = np.iinfo(np.int64).max
 
 
@@ -182,6 +185,80 @@ def longest_previous_factors(
     return out
 
 
+# -- hashes and rows ----------------------------------------------------------------------
+
+
+def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What hashes of all substrings come from: (sums[b] - sums[a]) * back[a] is that of a to b."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(kernels.BYTE[data] * kernels.powers(_BASE, len(data)), out=sums[1:])
+    return sums, kernels.powers(_INVERSE, len(data))
+
+
+def _string_hashes(data: np.ndarray, start: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """A hash of the ``length`` bytes from each start on; starts ascend."""
+    out = np.empty(len(start), dtype=np.uint64)
+    for c in range(0, len(data) if len(start) else 0, _CHUNK):
+        a, b = np.searchsorted(start, [c, c + _CHUNK])
+        if a < b:
+            sums, back = _sums(data[c : c + _CHUNK + length])
+            at = start[a:b] - c
+            out[a:b] = kernels.mixed((sums[at + length] - sums[at]) * back[at])
+    return out
+
+
+def _in_order(key: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by both numbers, equal ones in any order, and where in it others begin.
+
+    Almost always the first numbers differ, or both are equal; only what they leave open is sorted by both.
+    """
+    order = np.argsort(key)
+    k, m = key[order], more[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = k[1:] != k[:-1]
+    other = m[1:] != m[:-1]
+    group = np.cumsum(new) - 1
+    open_ = np.unique(group[1:][other & ~new[1:]])
+    if len(open_):
+        mark = np.zeros(group[-1] + 1, dtype=bool)
+        mark[open_] = True
+        rows = np.flatnonzero(mark[group])
+        order[rows] = order[rows][np.lexsort((m[rows], k[rows]))]
+        m = more[order]
+        other = m[1:] != m[:-1]
+    new[1:] |= other
+    return order, new
+
+
+def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1 … of each run."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(size.sum())
+
+
+def _runs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of numbers that follow each other begin, as indices, and how many there are in each."""
+    cuts = np.flatnonzero(np.diff(place, prepend=-2) != 1)
+    return cuts, np.diff(cuts, append=len(place))
+
+
+def _parts(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the values, one row from each cut to the next."""
+    offsets = ((cuts - cuts[0]) * values.itemsize).astype(np.int32)
+    data = np.ascontiguousarray(values[cuts[0] : cuts[-1]])
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column's rows, and how many each row has."""
+    data, sizes = [np.empty(0, np.uint8)], [np.empty(0, np.int64)]
+    for chunk in column.chunks:
+        values, offsets = kernels.text_bytes(chunk)
+        data.append(values)
+        sizes.append(np.diff(offsets))
+    return np.concatenate(data).view(kind), np.concatenate(sizes) // np.dtype(kind).itemsize
+
+
 # -- blocks -------------------------------------------------------------------------------
 
 
@@ -233,64 +310,61 @@ class _Block:
         self.rest = pa.ipc.open_stream(expand(rest)).read_all()
         self.ids = _ids(self.rest.column(id_column).combine_chunks())
 
-    def _ends(self, low: int, high: int) -> np.ndarray:
-        """Where the text of each byte from ``low`` to ``high`` ends."""
-        first = np.searchsorted(self.offsets, low, side="right") - 1
-        last = np.searchsorted(self.offsets, high, side="left")
-        bytes_of = np.diff(np.clip(self.offsets[first : last + 1], low, high))
-        return np.repeat(self.offsets[first + 1 : last + 1], bytes_of)
-
     def contexts(self) -> None:
-        """Where each run of strings with one anchor starts, how many, and its two hashes."""
+        """Where each run of strings with one anchor starts, how many, where the anchor is, and its two hashes."""
         n = len(self.data)
         found: list[tuple[np.ndarray, ...]] = []
         for c in range(0, max(n - LENGTH + 1, 0), _CHUNK):
             low = max(c - 1, 0)
             high = min(n - LENGTH + 1, c + _CHUNK + WINDOW + 1)  # starts of strings looked at
-            part = self.data[low : high + LENGTH - 1]
-            sums = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum(kernels.BYTE[part] * kernels.powers(_BASE, len(part)), out=sums[1:])
-            back = kernels.powers(_INVERSE, len(part))
-            grams = kernels.mixed((sums[GRAM:] - sums[:-GRAM]) * back[: len(part) - GRAM + 1])
-            least = (grams & ~np.uint64((1 << 20) - 1)) | np.arange(len(grams), dtype=np.uint64)
+            sums, back = _sums(self.data[low : high + LENGTH - 1])
+            grams = sums[GRAM:] - sums[:-GRAM]
+            grams *= back[: len(grams)]
+            least = kernels.mixed(grams)
+            least &= ~np.uint64((1 << 20) - 1)
+            least |= _PLACES[: len(least)]
             width = 1
             while 2 * width <= WINDOW:
                 least = np.minimum(least[:-width], least[width:])
                 width *= 2
             if width < WINDOW:
                 least = np.minimum(least[: -(WINDOW - width)], least[WINDOW - width :])
-            starts = np.arange(low, high)
-            whole = starts + LENGTH <= self._ends(low, high)
-            change = np.ones(len(starts), dtype=bool)
-            change[1:] = (least[1:] != least[:-1]) | (whole[1:] != whole[:-1])
+            change = np.ones(high - low, dtype=bool)
+            np.not_equal(least[1:], least[:-1], out=change[1:])
+            # Strings across the end of a text are none: runs end before them and begin behind it.
+            around = slice(*np.searchsorted(self.offsets, [low, high + LENGTH]))
+            for ends in (self.offsets[around] - low, self.offsets[around] - low - LENGTH + 1):
+                change[ends[(ends > 0) & (ends < len(change))]] = True
             cuts = np.flatnonzero(change)
-            run = np.diff(np.r_[cuts, len(starts)])
-            own = whole[cuts] & (starts[cuts] >= c) & (starts[cuts] < c + _CHUNK) & ((cuts > 0) | (low == c))
-            cuts, run = cuts[own], run[own]
+            run = np.diff(cuts, append=len(change))
+            start = cuts + low
+            own = start + LENGTH <= self.offsets[np.searchsorted(self.offsets, start, side="right")]
+            own &= (start >= c) & (start < c + _CHUNK) & ((cuts > 0) | (low == c))
+            cuts, run, start = cuts[own], run[own], start[own]
             content = (sums[cuts + run + LENGTH - 1] - sums[cuts]) * back[cuts]
+            least = least[cuts]
+            at = (least & np.uint64((1 << 20) - 1)).astype(np.int64) - cuts
             # The least of many hashes is a small number; mixed again, anchors fill their range.
-            anchor = kernels.mixed(least[cuts] >> np.uint64(20)) >> np.uint64(20)
-            found.append((starts[cuts], run, anchor, kernels.mixed(content)))
-        empty = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))
-        self.start, self.run, anchor, content = map(np.concatenate, zip(empty, *found, strict=True))
+            anchor = kernels.mixed(least >> np.uint64(20)) >> np.uint64(20)
+            found.append((start, run, at.astype(np.int8), anchor, kernels.mixed(content)))
+        empty = tuple(np.empty(0, kind) for kind in (np.int64, np.int64, np.int8, np.uint64, np.uint64))
+        self.start, self.run, self.at, anchor, content = map(np.concatenate, zip(empty, *found, strict=True))
         self.doc = np.searchsorted(self.offsets, self.start, side="right") - 1
         self.key = (anchor << np.uint64(20)) | (content >> np.uint64(44))
         self.more = content
         # Distinct contexts, each with its first document here; positions are in that order.
-        order = np.lexsort((self.more, self.key))
-        key, more = self.key[order], self.more[order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (more[1:] != more[:-1])
-        self.first = order[new]
-        entry = np.cumsum(new) - 1
+        order, new = _in_order(self.key, self.more)
+        self.first = np.minimum.reduceat(order, np.flatnonzero(new)) if len(order) else order
         self.entry = np.empty(len(order), dtype=np.int64)
-        self.entry[order] = entry
+        self.entry[order] = np.cumsum(new) - 1
 
     def dealt(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries in the order of their buckets and documents, and where each bucket starts."""
         bucket = ((self.key[self.first] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        order = np.lexsort((self.doc[self.first], bucket))
-        return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+        bucket = bucket.astype(np.int64)
+        # Documents follow their places, of which no two are the same: any sort gives this order.
+        order = np.argsort(bucket * np.int64(len(self.start) + 1) + self.first)
+        return order, np.searchsorted(bucket, np.arange(buckets + 1))  # the order of keys is that of buckets
 
 
 def _by_block(one):
@@ -312,42 +386,48 @@ def _entries(id_column: str, buckets: int):
         block.contexts()
         order, cuts = block.dealt(buckets)
         at = block.first[order]
-        rows = []
-        for k in np.flatnonzero(np.diff(cuts)):
-            own = at[cuts[k] : cuts[k + 1]]
-            # Only documents that have entries here: what is sent follows the entries.
-            docs, per_doc = np.unique(block.doc[own], return_counts=True)
-            steps = np.diff(block.ids[docs], prepend=0)
-            rows.append((int(k), row["block"], block.key[own].tobytes(), block.more[own].tobytes(),
-                         per_doc.astype(np.uint32).tobytes(), steps.tobytes()))
-        if rows:
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "key", "more", "per_doc", "steps"])
+        there = np.flatnonzero(np.diff(cuts))
+        if not len(there):
+            return
+        cuts = cuts[np.r_[there, -1]]
+        # Only documents that have entries in a bucket: what is sent follows the entries.
+        doc = block.doc[at]
+        new = np.ones(len(doc), dtype=bool)
+        new[1:] = doc[1:] != doc[:-1]
+        new[cuts[:-1]] = True
+        begin = np.flatnonzero(new)
+        per_doc = np.diff(begin, append=len(doc)).astype(np.uint32)
+        docs = np.searchsorted(begin, cuts)
+        steps = np.diff(block.ids[doc[begin]], prepend=0)
+        steps[docs[:-1]] = block.ids[doc[cuts[:-1]]]
+        columns = [
+            pa.array(there, pa.int32()), pa.array(np.full(len(there), row["block"]), pa.int64()),
+            _parts(block.key[at], cuts), _parts(block.more[at], cuts), _parts(per_doc, docs), _parts(steps, docs),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "key", "more", "per_doc", "steps"])
 
     return _by_block(send)
 
 
 def _judge(common: int, group: pa.Table) -> pa.Table:
     """All entries of a bucket: which an earlier document has whole, and which need their text."""
-    sizes = [len(k) // 8 for k in (x.as_py() for x in group.column("key"))]
-    key = np.frombuffer(b"".join(x.as_py() for x in group.column("key")), dtype=np.uint64)
-    more = np.frombuffer(b"".join(x.as_py() for x in group.column("more")), dtype=np.uint64)
-    doc = np.concatenate([
-        np.repeat(np.cumsum(np.frombuffer(s.as_py(), np.int64)), np.frombuffer(c.as_py(), np.uint32))
-        for s, c in zip(group.column("steps"), group.column("per_doc"), strict=True)
-    ])
-    order = np.lexsort((doc, more, key))
-    k, m, d = key[order], more[order], doc[order]
+    key, sizes = _joined(group.column("key"), np.uint64)
+    more, _ = _joined(group.column("more"), np.uint64)
+    steps, docs = _joined(group.column("steps"), np.int64)
+    cuts = np.cumsum(docs) - docs
+    ids = np.cumsum(steps)
+    ids -= np.repeat(ids[cuts] - steps[cuts], docs)  # steps begin at zero in each row
+    doc = np.repeat(ids, _joined(group.column("per_doc"), np.uint32)[0])
+    order, new = _in_order(key, more)
+    anchor, d = key[order] >> np.uint64(20), doc[order]
     del key, more, doc
-    anchor = k >> np.uint64(20)
-    new_anchor, new = np.ones(len(k), dtype=bool), np.ones(len(k), dtype=bool)
+    new_anchor = np.ones(len(order), dtype=bool)
     new_anchor[1:] = anchor[1:] != anchor[:-1]
-    new[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
-    gone = d > d[new][np.cumsum(new) - 1]
-    group_of = np.cumsum(new_anchor) - 1
-    contexts = np.bincount(group_of, weights=new)[group_of]
-    state = np.empty(len(k), dtype=np.uint8)
+    begin = np.flatnonzero(new)
+    gone = d > np.repeat(np.minimum.reduceat(d, begin), np.diff(begin, append=len(d)))
+    begin = np.flatnonzero(new_anchor)
+    contexts = np.repeat(np.add.reduceat(new, begin, dtype=np.int64), np.diff(begin, append=len(d)))
+    state = np.empty(len(d), dtype=np.uint8)
     state[order] = np.where(gone, 1, np.where(contexts < 2, 0, np.where(contexts <= common, 2, 3)))
     cuts = np.r_[0, np.cumsum(sizes)]
     pack = zstandard.ZstdCompressor(level=1).compress
@@ -387,72 +467,104 @@ def _texts(id_column: str, buckets: int, routes: int):
         remove = later | (state[block.entry] == 1)
         ask = np.flatnonzero(~remove & (state[block.entry] >= 2))
         common = state[block.entry[ask]] == 3
-        run = block.run[ask]
-        start = np.r_[block.start[ask[~common]], _each(block.start[ask[common]], run[common])]
-        size = np.r_[run[~common], np.ones(run[common].sum(), dtype=np.int64)]
-        by = block.key[ask] >> np.uint64(20)
-        alone = kernels.mixed(_string_hashes(block.data, start[(~common).sum() :]))
-        by = np.r_[by[~common], alone]
+        start, size, by = _within(block, ask[common])
+        start, size = np.r_[block.start[ask[~common]], start], np.r_[block.run[ask[~common]], size]
+        by = np.r_[block.key[ask[~common]] >> np.uint64(20), by]
         route = (kernels.mixed(by) % np.uint64(routes)).astype(np.int64)
         past = kernels.mixed(np.array([row["block"]], dtype=np.uint64)) % np.uint64(routes)
-        yield _text_row(row["block"], -1 - int(past[0]), b"", block.start[remove], block.run[remove], b"")
+        known, runs = block.start[remove], block.run[remove].astype(np.uint32)
+        whole = np.array([0, len(known)])
+        yield _text_rows(row["block"], [-1 - int(past[0])], block.data[:0], whole * 0, known, runs, known[:0], whole, whole * 0)
+        order = np.argsort(route, kind="stable")
+        start, size, route = start[order], size[order], route[order]
         doc = block.ids[np.searchsorted(block.offsets, start, side="right") - 1]
-        by_route = np.argsort(route, kind="stable")
-        edges = np.searchsorted(route[by_route], np.arange(routes + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            own = by_route[edges[k] : edges[k + 1]]
-            at = _each(start[own], size[own] + LENGTH - 1)
-            yield _text_row(row["block"], int(k), block.data[at].tobytes(), start[own], size[own], doc[own].tobytes())
+        edges = np.r_[np.flatnonzero(np.diff(route, prepend=-1)), len(route)]
+        length = np.r_[0, np.cumsum(size + LENGTH - 1)][edges]
+        for first, last in kernels.pieces(length):
+            a, b = edges[first], edges[last]
+            text = block.data[_each(start[a:b], size[a:b] + LENGTH - 1)]
+            own = edges[first : last + 1] - a
+            yield _text_rows(row["block"], route[edges[first:last]], text, length[first : last + 1] - length[first],
+                             start[a:b], size[a:b].astype(np.uint32), doc[a:b], own, own)
 
     return _by_block(send)
 
 
-def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """start, start + 1 … of each run."""
-    before = np.cumsum(size) - size
-    return np.repeat(start - before, size) + np.arange(size.sum())
-
-
-def _string_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(start), dtype=np.uint64)
-    for j in range(LENGTH):
-        out = out * np.uint64(_BASE) + kernels.BYTE[data[start + j]]
-    return out
+def _within(block: _Block, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of contexts whose anchor is common, cut where its place in the string reaches a
+    multiple of ``STEP``, and a hash of the bytes that all strings have which are cut alike: those of the
+    anchor and ``LENGTH - GRAM - STEP + 1`` more around it. Equal strings are cut alike."""
+    anchor = block.start[which] + block.at[which]
+    parts = []
+    for place in range(0, WINDOW, STEP):
+        last = np.minimum(block.start[which] + block.run[which] - 1, anchor - place)
+        first = np.maximum(block.start[which], anchor - place - STEP + 1)
+        some = first <= last
+        parts.append((first[some], (last - first + 1)[some], (anchor - place)[some]))
+    start, size, inside = map(np.concatenate, zip(*parts, strict=True))
+    order = np.argsort(inside, kind="stable")
+    return start[order], size[order], _string_hashes(block.data, inside[order], LENGTH - STEP + 1)
 
 
-def _text_row(block: int, route: int, text: bytes, start, size, doc: bytes) -> pa.RecordBatch:
-    values = [text, start.astype(np.int64).tobytes(), size.astype(np.uint32).tobytes(), doc]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.array([route], pa.int32()), *(pa.array([v], pa.binary()) for v in values)],
-        ["block", "route", "text", "start", "size", "doc"],
-    )
+def _text_rows(block: int, routes, text, text_cuts, start, size, doc, cuts, doc_cuts) -> pa.RecordBatch:
+    columns = [
+        pa.array(np.full(len(routes), block), pa.int64()), pa.array(routes, pa.int32()),
+        _parts(text, text_cuts), _parts(start, cuts), _parts(size, cuts), _parts(doc, doc_cuts),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["block", "route", "text", "start", "size", "doc"])
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    """A suffix array over the texts of a route; the runs of strings to remove, by block."""
+    """A suffix array over the texts of a route; the runs of strings to remove, by block.
+
+    A string whose hash no second document has is in no other one. What is left of the texts without
+    these strings gets into the array.
+    """
     if group.column("route")[0].as_py() < 0:
         return group.select(["block", "start", "size"])
-
-    def column(name: str, kind) -> np.ndarray:
-        return np.frombuffer(b"".join(x.as_py() for x in group.column(name)), dtype=kind)
-
-    data, size = column("text", np.uint8), column("size", np.uint32).astype(np.int64)
-    start, doc = column("start", np.int64), column("doc", np.int64)
-    block = np.repeat(group.column("block").to_numpy(), [len(x.as_py()) // 4 for x in group.column("size")])
-    begin = np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1)
-    gone = longest_previous_factors(data, _each(begin, size), np.repeat(doc, size)) >= LENGTH
-    at, block = _each(start, size)[gone], np.repeat(block, size)[gone]
-    blocks = np.unique(block)
-    found = [at[block == b] for b in blocks]
+    data, _ = _joined(group.column("text"), np.uint8)
+    start, _ = _joined(group.column("start"), np.int64)
+    doc, _ = _joined(group.column("doc"), np.int64)
+    size, runs = _joined(group.column("size"), np.uint32)
+    size = size.astype(np.int64)
+    block = np.repeat(group.column("block").to_numpy(), runs)
+    place = _each(np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1), size)
+    left = np.flatnonzero(_shared(_string_hashes(data, place), np.repeat(doc, size)))
+    run = np.searchsorted(np.cumsum(size), left, side="right")
+    place, doc, block = place[left], doc[run], block[run]
+    at = left - (np.cumsum(size) - size)[run] + start[run]
+    cuts, size = _runs(place)
+    data = data[_each(place[cuts], size + LENGTH - 1)]
+    place = _each(np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1), size)
+    gone = longest_previous_factors(data, place, doc) >= LENGTH
+    at, block = at[gone], block[gone]
+    order = np.lexsort((at, block))
+    at, block = at[order], block[order]
+    new = np.flatnonzero(np.diff(block, prepend=-1))
+    cuts = np.diff(at, prepend=-2) != 1
+    cuts[new] = True
+    cuts = np.flatnonzero(cuts)
+    by_block = np.r_[np.searchsorted(cuts, new), len(cuts)]
     return pa.table(
         {
-            "block": pa.array(blocks, pa.int64()),
-            "start": pa.array([f.tobytes() for f in found], pa.binary()),
-            "size": pa.array([np.ones(len(f), np.uint32).tobytes() for f in found], pa.binary()),
+            "block": pa.array(block[new], pa.int64()),
+            "start": _parts(at[cuts], by_block),
+            "size": _parts(np.diff(cuts, append=len(at)).astype(np.uint32), by_block),
         }
     )
 
 
+def _shared(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether another document has the key too."""
+    order = np.argsort(key)
+    k, d = key[order], doc[order]
+    begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    out = np.empty(len(key), dtype=bool)
+    several = np.minimum.reduceat(d, begin) != np.maximum.reduceat(d, begin)
+    out[order] = np.repeat(several, np.diff(begin, append=len(key)))
+    return out
+
+
 def _cut(id_column: str, with_text: bool):
     def cut(row: dict) -> Iterator[pa.RecordBatch]:
         block = _Block(row["text"], row["offsets"], row["rest"], id_column)
@@ -515,6 +627,8 @@ def remove_repeats(
     # As many buckets as the texts' entries need, and not fewer than there are tasks.
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(tasks_for(docs), -(-total // bucket_bytes))
+    # Blocks send a row for each of these, so they follow the texts alone: tasks that grow too don't make more.
+    routes = max(buckets, -(-total // ARRAY_BYTES))
     blocks = blocks.drop("size")
 
     schema = "bucket int, block long, key binary, more binary, per_doc binary, steps binary"
@@ -524,7 +638,7 @@ def remove_repeats(
 
     schema = "block long, route int, text binary, start binary, size binary, doc binary"
     asked = blocks.join(states, "block", "left").select(*blocks.columns, "states")
-    asked = asked.mapInArrow(_texts(id_column, buckets, ARRAYS * buckets), schema)
+    asked = asked.mapInArrow(_texts(id_column, buckets, routes), schema)
     runs = asked.repartition(buckets, "route").groupBy("route")
     runs = runs.applyInArrow(_compare, "block long, start binary, size binary")
     runs = runs.groupBy("block").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
